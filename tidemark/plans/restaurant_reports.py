@@ -407,9 +407,9 @@ register("topk_groups", sql(
 
 
 @register("rank_locations", sql(
-    f"SELECT year, month, restaurant_id, CAST(SUM{REV_SQL} AS DOUBLE) AS total_revenue, "
-    f"CAST(rank() OVER (PARTITION BY year, month ORDER BY SUM{REV_SQL} DESC) AS INTEGER) AS revenue_rank "
-    "FROM v_fact GROUP BY ALL"))
+    "SELECT *, CAST(rank() OVER (PARTITION BY year, month ORDER BY total_revenue DESC) AS INTEGER) "
+    f"AS revenue_rank FROM (SELECT year, month, restaurant_id, CAST(SUM{REV_SQL} AS DOUBLE) AS total_revenue "
+    "FROM v_fact GROUP BY year, month, restaurant_id)"))
 def q_rank_locations(spark, sf):
     m = _loc_metric("rev")[0](spark, sf)
     w = Window.partitionBy("year", "month").orderBy(F.col("total_revenue").desc())
@@ -496,7 +496,8 @@ def q_rev_breakdown(spark, sf):
 
 @register("repeat_orders_by_loyalty", sql(
     "SELECT is_loyalty, COUNT(*) AS n_customers, CAST(SUM(spend) AS DOUBLE) / COUNT(*) AS avg_spend, "
-    "AVG(n_orders - 1) AS avg_repeat_orders, ROUND(AVG(clv), 6) AS avg_clv FROM "
+    "AVG(n_orders - 1) AS avg_repeat_orders, "
+    "CAST(SUM(CAST(clv AS DECIMAL(18,4))) AS DOUBLE) / COUNT(clv) AS avg_clv FROM "
     f"(SELECT user_id, is_loyalty, SUM{REV_SQL} AS spend, COUNT(DISTINCT order_id) AS n_orders, "
     "MAX(customer_lifetime_value) AS clv FROM v_fact GROUP BY user_id, is_loyalty) GROUP BY is_loyalty"))
 def q_repeat_orders(spark, sf):
@@ -505,7 +506,7 @@ def q_repeat_orders(spark, sf):
         F.max("customer_lifetime_value").alias("clv"))
     return per.groupBy("is_loyalty").agg(
         F.count(F.lit(1)).alias("n_customers"), mean_of("spend").alias("avg_spend"),
-        F.avg(F.col("n_orders") - 1).alias("avg_repeat_orders"), F.round(F.avg("clv"), 6).alias("avg_clv"))
+        F.avg(F.col("n_orders") - 1).alias("avg_repeat_orders"), mean_of("clv", 4).alias("avg_clv"))
 
 
 @register("orders_per_period_loc", sql(
