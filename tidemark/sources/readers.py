@@ -90,14 +90,17 @@ def write_snappy(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, parts: Sequence[str], mode: str = "append",
-                      spread: int = 8) -> None:
+                      spread: int = 1) -> None:
     """Partitioned snappy Parquet.
 
-    Rows are clustered on the partition keys plus a row-hash salt in
-    ``[0, spread)``: each task writes few partition directories, and a partition
-    value holding a large share of the rows is still written by ``spread``
-    tasks instead of one.
+    Rows are clustered on the partition keys so each task writes few partition
+    directories. With ``spread > 1`` a row-hash salt in ``[0, spread)`` joins the
+    clustering key: a partition value holding a large share of the rows is then
+    written by ``spread`` tasks instead of one (at the cost of up to ``spread``
+    files per partition, so keep it for coarse partitions).
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-    (df.repartition(*[F.col(p) for p in parts], salt).write.mode(mode).option("compression", "snappy")
+    keys = [F.col(p) for p in parts]
+    if spread > 1:
+        keys.append(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)))
+    (df.repartition(*keys).write.mode(mode).option("compression", "snappy")
      .partitionBy(*parts).parquet(path))
