@@ -1 +1 @@
-"""(filled in below)"""
+"""Media and visitor record keys are registered in tidemark.plans.cleaning_q."""
