@@ -53,3 +53,17 @@ def test_no_single_partition_numbering(spark):
     plan = global_ntile(df, 5, ["v", "id"], out="t", buckets=4)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_bucket" in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 9])
+def test_bucketed_lag_matches_window(spark, buckets):
+    from tidemark.operators.ranking import gap_days
+    r = random.Random(buckets)
+    data = [(i, "hot" if r.random() < 0.6 else f"u{r.randint(0, 20)}", r.randint(0, 60)) for i in range(600)]
+    df = spark.createDataFrame(data, "id long, user string, d int").withColumn(
+        "day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")))
+    got = gap_days(df, "user", "day", ["id"], out="g", buckets=buckets)
+    exp = gap_days(df, "user", "day", ["id"], out="e", distributed=False)
+    j = got.join(exp.select("id", "e"), "id")
+    assert j.count() == 600
+    assert j.filter(~F.col("g").eqNullSafe(F.col("e"))).count() == 0

@@ -59,3 +59,18 @@ def test_publish_pointer_and_compaction(spark, tmp_path):
     assert U.publish(U.compact(df, "g", 3), d) == 1
     back = U.read_table(spark, d)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_bucketed_upsert_rewrites_only_touched(spark, tmp_path):
+    import os
+    d, stage = str(tmp_path / "tbl"), str(tmp_path / "stage")
+    t = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    U.create_bucketed(t, d, ["k"], 16)
+    before = {p: os.path.getmtime(os.path.join(d, p)) for p in os.listdir(d) if p.startswith("_kb=")}
+    b = spark.createDataFrame([(5, -1), (500, 7)], "k long, v long")
+    n = U.upsert_bucketed(spark, d, b, ["k"], 16, stage)
+    assert 1 <= n <= 2
+    got = {r.k: r.v for r in spark.read.parquet(d).collect()}
+    assert len(got) == 201 and got[5] == -1 and got[500] == 7 and got[6] == 60
+    after = {p: os.path.getmtime(os.path.join(d, p)) for p in os.listdir(d) if p.startswith("_kb=")}
+    assert sum(1 for p in before if after.get(p) != before[p]) <= n

@@ -123,33 +123,53 @@ def choose_split_points(df: DataFrame, names: list[str], buckets: int, total: in
     return pts
 
 
+def assign_buckets(df: DataFrame, keys: list[SortKey], buckets: int | None = None,
+                   rows_per_bucket: int = 250_000, max_buckets: int = 512,
+                   stats_from: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Add ``_bucket``: the range of the composite key ``keys`` each row falls in.
+
+    Returns (df with _bucket, stats source with _bucket, normalized field names).
+    Count and split points come from ``stats_from`` (default ``df``), which must
+    hold the same rows; pass a materialized table so those passes are cheap
+    and the (possibly expensive) ``df`` plan runs once.
+    """
+    src = stats_from if stats_from is not None else df
+    fields = _norm_fields(src, keys)
+    names = [f for f, _ in fields]
+    total = src.count()
+    if buckets is None:
+        buckets = max(1, min(max_buckets, math.ceil(total / rows_per_bucket)))
+    src_keyed = src.select("*", *[c.alias(f) for f, c in fields])
+    splits = choose_split_points(src_keyed, names, buckets, total)
+
+    def with_bucket(frame: DataFrame) -> DataFrame:
+        keyed = frame.select("*", *[c.alias(f) for f, c in _norm_fields(frame, keys)])
+        b = _bucket_expr(names, splits) if splits else F.lit(0)
+        return keyed.withColumn("_bucket", b).drop(*names)
+
+    return with_bucket(df), with_bucket(src), names
+
+
 def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by=(),
                  buckets: int | None = None, rows_per_bucket: int = 250_000,
-                 max_buckets: int = 512) -> DataFrame:
+                 max_buckets: int = 512, stats_from: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = NTILE(n) OVER (PARTITION BY partition_by ORDER BY order).
 
     ``order`` is a list of column names, ``(name, ascending)`` pairs or
     :class:`SortKey`. Give a full tie-break so the result is reproducible.
-    The input should be a materialized (cheap to re-read) DataFrame: it is
-    scanned for a count, a sample and the numbering pass.
+    ``stats_from``: a materialized frame with the same rows and order columns
+    (see :func:`assign_buckets`); by default ``df`` itself, which should then
+    be cheap to re-read.
     """
     pcols = list(partition_by)
     keys = [SortKey(p) for p in pcols] + _as_keys(order)
-    fields = _norm_fields(df, keys)
-    names = [f for f, _ in fields]
-    keyed = df.select("*", *[c.alias(f) for f, c in fields])
-
-    total = df.count()
-    if buckets is None:
-        buckets = max(1, min(max_buckets, math.ceil(total / rows_per_bucket)))
-    splits = choose_split_points(keyed, names, buckets, total)
-    keyed = keyed.withColumn("_bucket", _bucket_expr(names, splits) if splits else F.lit(0))
+    keyed, src, _ = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from)
 
     part = [*pcols, "_bucket"]
     w_local = Window.partitionBy(*part).orderBy(*[k.order_expr() for k in _as_keys(order)])
     numbered = keyed.withColumn("_rn", F.row_number().over(w_local))
 
-    sizes = keyed.groupBy(*part).agg(F.count(F.lit(1)).alias("_cnt"))
+    sizes = src.groupBy(*part).agg(F.count(F.lit(1)).alias("_cnt"))
     w_prefix = Window.partitionBy(*pcols).orderBy("_bucket")
     sizes = sizes.select(
         *part,
@@ -162,4 +182,32 @@ def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by=
     sizes = F.broadcast(sizes) if not pcols else sizes
     res = numbered.join(sizes, on=part, how="inner")
     res = res.withColumn(out, tile_of(F.col("_before") + F.col("_rn"), F.col("_total"), n))
-    return res.drop(*names, "_bucket", "_rn", "_before", "_total")
+    return res.drop("_bucket", "_rn", "_before", "_total")
+
+
+def bucketed_lag(df: DataFrame, key: str, order, value: str, out: str, buckets: int | None = None,
+                 rows_per_bucket: int = 250_000, max_buckets: int = 512,
+                 stats_from: DataFrame | None = None) -> DataFrame:
+    """``lag(value) OVER (PARTITION BY key ORDER BY order)`` without one task per key.
+
+    Rows are cut into ranges of the composite key (key, order...), so a key
+    holding a large share of the rows spans several ranges. Inside a range the
+    lag is a normal window; the first row of a key in a range takes the last
+    ``value`` of that key in the previous range (ranges of one key are
+    contiguous). ``value`` must be the first ``order`` column (ascending), so the
+    last value of a range is its maximum.
+    """
+    okeys = _as_keys(order)
+    if okeys[0].col != value or not okeys[0].ascending:
+        raise ValueError("value must be the leading ascending order column")
+    keys = [SortKey(key)] + okeys
+    keyed, src, _ = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from)
+    w = Window.partitionBy("_bucket", key).orderBy(*[k.order_expr() for k in okeys])
+    local = keyed.withColumn("_lag", F.lag(F.col(value)).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    tails = (src.groupBy("_bucket", key).agg(F.max(value).alias("_tail"))
+             .select((F.col("_bucket") + 1).alias("_bucket"), key, "_tail"))
+    # The windowed rows are already hash-partitioned on (_bucket, key): only the
+    # per-range tail table moves for this join.
+    j = local.join(tails, on=["_bucket", key], how="left")
+    val = F.when(F.col("_first"), F.col("_tail")).otherwise(F.col("_lag"))
+    return j.withColumn(out, val).drop("_bucket", "_lag", "_first", "_tail")

@@ -1 +1 @@
-"""(filled in below)"""
+"""Join keys (left_join_multikey, inner_join_multi, ...) are registered with the plans that use them."""

@@ -216,8 +216,8 @@ GAP_SQL = ("date_diff('day', LAG(date_key) OVER (PARTITION BY user_id ORDER BY d
            "lineitem_id, restaurant_id), date_key)")
 
 
-def gapped(spark, sf):
-    return gap_days(final_fact(spark, sf), "user_id", "date_key", GAP_TIEBREAK)
+def gapped(spark, sf, buckets=None):
+    return gap_days(final_fact(spark, sf), "user_id", "date_key", GAP_TIEBREAK, buckets=buckets)
 
 
 def _gap_by(dim: str, name: str):
@@ -239,7 +239,8 @@ for _key, _args in {"gap_by_churn": ("monthly_churn_risk_status", "churn_risk"),
     f"SELECT user_id, order_id, lineitem_id, restaurant_id, date_key, {GAP_SQL} AS days_between_orders "
     "FROM v_fact"))
 def q_lag_gap_rows(spark, sf):
-    return gapped(spark, sf).select("user_id", "order_id", "lineitem_id", "restaurant_id", "date_key",
+    # Eight ranges regardless of size, so the cross-range carry is exercised.
+    return gapped(spark, sf, buckets=8).select("user_id", "order_id", "lineitem_id", "restaurant_id", "date_key",
                                     "days_between_orders")
 
 
