@@ -125,7 +125,8 @@ def choose_split_points(df: DataFrame, names: list[str], buckets: int, total: in
 
 def assign_buckets(df: DataFrame, keys: list[SortKey], buckets: int | None = None,
                    rows_per_bucket: int = 250_000, max_buckets: int = 512,
-                   stats_from: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+                   stats_from: DataFrame | None = None,
+                   total: int | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """Add ``_bucket``: the range of the composite key ``keys`` each row falls in.
 
     Returns (df with _bucket, stats source with _bucket, normalized field names).
@@ -136,7 +137,8 @@ def assign_buckets(df: DataFrame, keys: list[SortKey], buckets: int | None = Non
     src = stats_from if stats_from is not None else df
     fields = _norm_fields(src, keys)
     names = [f for f, _ in fields]
-    total = src.count()
+    if total is None:
+        total = src.count()
     if buckets is None:
         buckets = max(1, min(max_buckets, math.ceil(total / rows_per_bucket)))
     src_keyed = src.select("*", *[c.alias(f) for f, c in fields])
@@ -152,7 +154,8 @@ def assign_buckets(df: DataFrame, keys: list[SortKey], buckets: int | None = Non
 
 def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by=(),
                  buckets: int | None = None, rows_per_bucket: int = 250_000,
-                 max_buckets: int = 512, stats_from: DataFrame | None = None) -> DataFrame:
+                 max_buckets: int = 512, stats_from: DataFrame | None = None,
+                 total: int | None = None) -> DataFrame:
     """Add ``out`` = NTILE(n) OVER (PARTITION BY partition_by ORDER BY order).
 
     ``order`` is a list of column names, ``(name, ascending)`` pairs or
@@ -163,7 +166,7 @@ def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by=
     """
     pcols = list(partition_by)
     keys = [SortKey(p) for p in pcols] + _as_keys(order)
-    keyed, src, _ = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from)
+    keyed, src, _ = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from, total)
 
     part = [*pcols, "_bucket"]
     w_local = Window.partitionBy(*part).orderBy(*[k.order_expr() for k in _as_keys(order)])
