@@ -425,7 +425,7 @@ def q_global_extrema(spark, sf):
     f = final_fact(spark, sf)
     overall = f.agg(F.min(F.col("item_price").cast("double")).alias("min_price_all"))
     per = f.groupBy("year", "month").agg(F.max(F.col("item_price").cast("double")).alias("max_price"))
-    return per.crossJoin(F.broadcast(overall))
+    return R.attach_scalar(per, overall)
 
 
 PRICE_ORDER = ["item_price", "item_quantity", "option_price", "option_quantity"]

@@ -192,11 +192,12 @@ def v_spend(spark, sf_dir) -> DataFrame:
     rng = e.agg(F.date_sub(F.to_date(F.min("ts")), 2).alias("lo"),
                 F.date_add(F.to_date(F.max("ts")), 2).alias("hi"))
     days = rng.select(F.explode(F.sequence("lo", "hi")).alias("spend_date"))
-    ch = spark.createDataFrame(
-        [(name, i) for i, (name, _) in enumerate(CHANNEL_MAP)] + [("organic_search", 3)],
-        "channel string, ch_idx int")
+    # One row per (day, channel): each day row expands a literal channel array.
+    names = [name for name, _ in CHANNEL_MAP] + ["organic_search"]
+    chans = F.array(*[F.struct(F.lit(nm).alias("channel"), F.lit(i).alias("ch_idx")) for i, nm in enumerate(names)])
+    days = days.select("spend_date", F.explode(chans).alias("c")).select("spend_date", "c.*")
     n = F.dayofyear("spend_date") * 31 + F.col("ch_idx") * 7
-    return days.crossJoin(F.broadcast(ch)).select(
+    return days.select(
         F.date_format("spend_date", "yyyy-MM-dd").alias("date"),
         F.col("channel"),
         ((n % 500).cast("double") + (n % 4).cast("double") * 0.25).alias("spend"),
