@@ -126,10 +126,10 @@ def choose_split_points(df: DataFrame, names: list[str], buckets: int, total: in
 def assign_buckets(df: DataFrame, keys: list[SortKey], buckets: int | None = None,
                    rows_per_bucket: int = 250_000, max_buckets: int = 512,
                    stats_from: DataFrame | None = None,
-                   total: int | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+                   total: int | None = None) -> tuple[DataFrame, DataFrame, int, int]:
     """Add ``_bucket``: the range of the composite key ``keys`` each row falls in.
 
-    Returns (df with _bucket, stats source with _bucket, normalized field names).
+    Returns (df with _bucket, stats source with _bucket, number of ranges, row count).
     Count and split points come from ``stats_from`` (default ``df``), which must
     hold the same rows; pass a materialized table so those passes are cheap
     and the (possibly expensive) ``df`` plan runs once.
@@ -149,7 +149,7 @@ def assign_buckets(df: DataFrame, keys: list[SortKey], buckets: int | None = Non
         b = _bucket_expr(names, splits) if splits else F.lit(0)
         return keyed.withColumn("_bucket", b).drop(*names)
 
-    return with_bucket(df), with_bucket(src), names
+    return with_bucket(df), with_bucket(src), len(splits) + 1, total
 
 
 def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by=(),
@@ -166,11 +166,15 @@ def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by=
     """
     pcols = list(partition_by)
     keys = [SortKey(p) for p in pcols] + _as_keys(order)
-    keyed, src, _ = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from, total)
+    keyed, src, n_ranges, total = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from,
+                                                 total)
 
     part = [*pcols, "_bucket"]
     w_local = Window.partitionBy(*part).orderBy(*[k.order_expr() for k in _as_keys(order)])
     numbered = keyed.withColumn("_rn", F.row_number().over(w_local))
+    if n_ranges == 1 and not pcols:
+        # One range (small input): positions are the row numbers, N is known.
+        return numbered.withColumn(out, tile_of(F.col("_rn"), F.lit(total), n)).drop("_bucket", "_rn")
 
     sizes = src.groupBy(*part).agg(F.count(F.lit(1)).alias("_cnt"))
     w_prefix = Window.partitionBy(*pcols).orderBy("_bucket")
@@ -204,7 +208,10 @@ def bucketed_lag(df: DataFrame, key: str, order, value: str, out: str, buckets:
     if okeys[0].col != value or not okeys[0].ascending:
         raise ValueError("value must be the leading ascending order column")
     keys = [SortKey(key)] + okeys
-    keyed, src, _ = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from)
+    keyed, src, n_ranges, _ = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from)
+    if n_ranges == 1:
+        w1 = Window.partitionBy(key).orderBy(*[k.order_expr() for k in okeys])
+        return keyed.withColumn(out, F.lag(F.col(value)).over(w1)).drop("_bucket")
     w = Window.partitionBy("_bucket", key).orderBy(*[k.order_expr() for k in okeys])
     local = keyed.withColumn("_lag", F.lag(F.col(value)).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     tails = (src.groupBy("_bucket", key).agg(F.max(value).alias("_tail"))
