@@ -43,7 +43,6 @@ def test_scd2_invariants(spark):
     l1 = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, None)], "k int, x double")
     l2 = spark.createDataFrame([(1, 10.0), (2, 21.0), (3, 5.0), (4, 1.0)], "k int, x double")
     h = U.scd2_apply(None, l1, ["k"], ["x"], ts("2024-01-01"))
-    h = h.withColumn("valid_to", F.col("valid_to").cast("timestamp_ntz"))
     h2 = U.scd2_apply(h, l2, ["k"], ["x"], ts("2024-02-01"))
     opened = h2.filter(F.col("valid_to").isNull()).groupBy("k").count()
     assert opened.filter(F.col("count") > 1).count() == 0
@@ -74,3 +73,17 @@ def test_bucketed_upsert_rewrites_only_touched(spark, tmp_path):
     assert len(got) == 201 and got[5] == -1 and got[500] == 7 and got[6] == 60
     after = {p: os.path.getmtime(os.path.join(d, p)) for p in os.listdir(d) if p.startswith("_kb=")}
     assert sum(1 for p in before if after.get(p) != before[p]) <= n
+
+
+def test_scd2_publish_open_closed(spark, tmp_path):
+    d = str(tmp_path / "hist")
+    l1 = spark.createDataFrame([(1, 10.0), (2, 20.0)], "k int, x double")
+    l2 = spark.createDataFrame([(1, 11.0), (2, 20.0), (3, 3.0)], "k int, x double")
+    U.scd2_publish(spark, d, l1, ["k"], ["x"], ts("2024-01-01"), load_id=1)
+    U.scd2_publish(spark, d, l2, ["k"], ["x"], ts("2024-02-01"), load_id=2)
+    U.scd2_publish(spark, d, l2, ["k"], ["x"], ts("2024-03-01"), load_id=2)   # replayed load: skipped
+    h = U.read_history(spark, d)
+    assert h.count() == 4
+    assert U.read_table(spark, d + "/open").count() == 3
+    closed = h.filter(F.col("valid_to").isNotNull()).collect()
+    assert [(r.k, r.x) for r in closed] == [(1, 10.0)]

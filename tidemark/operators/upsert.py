@@ -143,7 +143,8 @@ def scd2_apply(history: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     keys, tracked = list(keys), list(tracked)
     cols = keys + tracked
     if history is None:
-        return batch.select(*cols, now.alias(valid_from), F.lit(None).cast("timestamp").alias(valid_to),
+        # valid_to: a NULL of the same type as ``now``
+        return batch.select(*cols, now.alias(valid_from), F.when(F.lit(False), now).alias(valid_to),
                             now.alias(updated_at))
     closed = history.filter(F.col(valid_to).isNotNull())
     open_ = history.filter(F.col(valid_to).isNull())
@@ -223,3 +224,39 @@ def upsert_bucketed(spark: SparkSession, table_dir: str, batch: DataFrame, keys:
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     return len(touched)
+
+
+# ------------------------------------------------------------------ SCD2 on open / closed directories
+def scd2_publish(spark: SparkSession, history_dir: str, batch: DataFrame, keys: Sequence[str],
+                 tracked: Sequence[str], now: Column, load_id: int, valid_from: str = "valid_from",
+                 valid_to: str = "valid_to", updated_at: str = "updated_at") -> None:
+    """Apply one load to a history stored as ``open/`` (versioned) + ``closed/`` (append-only).
+
+    Only the open rows (the current table) are read and rewritten; rows closed
+    by this load are written once to ``closed/load=<id>/`` (overwrite, so a
+    retried load rewrites the same folder) before the open pointer moves. A
+    load whose id the pointer already records is skipped. The history size
+    therefore never drives the cost of a load.
+    """
+    open_dir, closed_dir = f"{history_dir}/open", f"{history_dir}/closed"
+    cur = current_version(open_dir)
+    if cur is not None and cur.get("batch_id") is not None and cur["batch_id"] >= load_id:
+        return
+    check_unique(batch, keys)
+    open_rows = read_table(spark, open_dir)
+    applied = scd2_apply(open_rows, batch, keys, tracked, now, valid_from, valid_to, updated_at)
+    staged = f"{history_dir}/_stage/load={load_id}"
+    applied.write.mode("overwrite").parquet(staged)
+    res = spark.read.parquet(staged)
+    res.filter(F.col(valid_to).isNotNull()).write.mode("overwrite").parquet(f"{closed_dir}/load={load_id}")
+    publish(res.filter(F.col(valid_to).isNull()), open_dir, batch_id=load_id)
+
+
+def read_history(spark: SparkSession, history_dir: str) -> DataFrame:
+    """open rows + every closed row (``load`` folder column dropped)."""
+    open_rows = read_table(spark, f"{history_dir}/open")
+    closed_dir = local_fs_path(f"{history_dir}/closed")
+    if not os.path.isdir(closed_dir) or not os.listdir(closed_dir):
+        return open_rows
+    closed = spark.read.parquet(f"{history_dir}/closed").drop("load")
+    return open_rows.unionByName(closed.select(*open_rows.columns))
