@@ -117,9 +117,10 @@ def q_stream_scd1(spark, sf):
     (d.filter(k % 2 == 0).withColumn("weekly_sales", (F.col("weekly_sales") + 1).cast("decimal(12,2)"))
      .coalesce(1).write.mode("append").parquet(src))
     stamps = {0: T0, 1: T1}
+    # Key-bucketed target: each micro-batch rewrites only the buckets it touches.
     jobs.change_stream_scd1(spark, src, d.schema, tdir, ck, ["store_id", "dept_id", "date"],
-                            now_of_batch=lambda b: ts(stamps.get(b, T1)))
-    return read_table(spark, tdir)
+                            now_of_batch=lambda b: ts(stamps.get(b, T1)), buckets=16)
+    return jobs.read_bucketed(spark, tdir)
 
 
 from tidemark.plans.registry import ORACLE as _ORACLE  # noqa: E402

@@ -16,7 +16,13 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.events import flatten_event
 from tidemark.operators.ranking import latest_per_key
-from tidemark.operators.upsert import current_version, publish, read_table, upsert
+import json
+import os
+import uuid
+
+from tidemark.operators.upsert import (KEY_BUCKET, create_bucketed, current_version, publish, read_table, upsert,
+                                       upsert_bucketed)
+from tidemark.session import local_fs_path
 
 
 def _drain(writer) -> None:
@@ -50,28 +56,54 @@ def foreach_batch_upsert(spark: SparkSession, table_dir: str, keys: Sequence[str
                          update_cols: Sequence[str] | None = None, dedupe_ts: str | None = None,
                          dedupe_tiebreak: Sequence[str] = (), stamps: tuple[str, str] | None = None,
                          now_of_batch: Callable[[int], Column] | None = None,
-                         newer_only: str | None = None) -> Callable[[DataFrame, int], None]:
-    """Callback for ``foreachBatch``: dedupe the batch, MERGE it, publish a version.
-
-    Empty batches are skipped. The batch id is stored in the table pointer, so
-    a batch replayed after a failure (same id) is a no-op.
+                         newer_only: str | None = None,
+                         buckets: int | None = None) -> Callable[[DataFrame, int], None]:
+    """Callback for ``foreachBatch``: dedupe the batch, MERGE it, commit.
+
+    Empty batches are skipped. Versioned form (default): the batch id is stored
+    in the table pointer, so a batch replayed after a failure is a no-op.
+    ``buckets=n``: the table is hash-bucketed on the keys and only the buckets a
+    batch touches are rewritten (cost follows the batch, not the table); the
+    last committed batch id is kept in ``_last_batch.json`` and re-applying a
+    half-committed batch is idempotent.
     """
-    def callback(batch: DataFrame, batch_id: int) -> None:
+    marker = f"{local_fs_path(table_dir)}/_last_batch.json"
+
+    def done(batch_id: int) -> bool:
+        if buckets:
+            if not os.path.exists(marker):
+                return False
+            with open(marker) as fh:
+                return json.load(fh)["batch_id"] >= batch_id
         cur = current_version(table_dir)
-        if cur is not None and cur.get("batch_id") is not None and cur["batch_id"] >= batch_id:
-            return
-        if batch.isEmpty():
+        return cur is not None and cur.get("batch_id") is not None and cur["batch_id"] >= batch_id
+
+    def callback(batch: DataFrame, batch_id: int) -> None:
+        if done(batch_id) or batch.isEmpty():
             return
         if dedupe_ts:
             batch = latest_per_key(batch, keys, dedupe_ts, dedupe_tiebreak)
         now = now_of_batch(batch_id) if now_of_batch else F.current_timestamp()
-        merged = upsert(read_table(spark, table_dir), batch, keys, update_cols=update_cols, stamps=stamps,
-                        now=now, newer_only=newer_only)
-        publish(merged, table_dir, batch_id=batch_id)
+        opts = dict(update_cols=update_cols, stamps=stamps, now=now, newer_only=newer_only)
+        if not buckets:
+            publish(upsert(read_table(spark, table_dir), batch, keys, **opts), table_dir, batch_id=batch_id)
+            return
+        if not os.path.exists(f"{local_fs_path(table_dir)}/_SUCCESS"):
+            create_bucketed(upsert(None, batch, keys, **opts), table_dir, keys, buckets)
+        else:
+            stage = f"{table_dir}/_stage/b={batch_id}-{uuid.uuid4().hex[:8]}"
+            upsert_bucketed(spark, table_dir, batch, keys, buckets, stage, **opts)
+        with open(marker + ".tmp", "w") as fh:
+            json.dump({"batch_id": batch_id}, fh)
+        os.replace(marker + ".tmp", marker)
 
     return callback
 
 
+def read_bucketed(spark: SparkSession, table_dir: str) -> DataFrame:
+    return spark.read.parquet(table_dir).drop(KEY_BUCKET)
+
+
 def silver_stream(spark: SparkSession, bronze_dir: str, table_dir: str, checkpoint: str,
                   update_cols: Sequence[str], max_files: int | None = 1) -> None:
     """Bronze table stream -> flatten -> per batch latest per invitee -> partial upsert."""
@@ -86,10 +118,12 @@ def silver_stream(spark: SparkSession, bronze_dir: str, table_dir: str, checkpoi
 
 
 def change_stream_scd1(spark: SparkSession, src: str, schema: StructType, table_dir: str, checkpoint: str,
-                       keys: Sequence[str], now_of_batch: Callable[[int], Column], fmt: str = "parquet") -> None:
+                       keys: Sequence[str], now_of_batch: Callable[[int], Column], fmt: str = "parquet",
+                       buckets: int | None = None) -> None:
     """Append-only change files -> SCD1 merge per micro-batch (only when data arrived)."""
     df = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).format(fmt).load(src)
-    cb = foreach_batch_upsert(spark, table_dir, keys, stamps=("insert_dts", "update_dts"), now_of_batch=now_of_batch)
+    cb = foreach_batch_upsert(spark, table_dir, keys, stamps=("insert_dts", "update_dts"), now_of_batch=now_of_batch,
+                              buckets=buckets)
     _drain(df.writeStream.foreachBatch(cb).option("checkpointLocation", checkpoint))
 
 
