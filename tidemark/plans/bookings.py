@@ -117,7 +117,7 @@ ORACLES = {
     "event_type AS source, COUNT(*) AS bookings FROM v_book GROUP BY ALL",
     "bookings_weekly_source": W(VB) + "SELECT CAST(date_trunc('week', event_start_time) AS DATE) AS period_start, "
     "event_type AS source, COUNT(*) AS bookings FROM v_book GROUP BY ALL",
-    "channel_leaderboard": W(VB, VM, VSP, DAILY, CPB) + "SELECT marketing_channel, SUM(meetings_booked) AS bookings, "
+    "channel_leaderboard": W(VB, VM, VSP, DAILY, CPB) + "SELECT marketing_channel, CAST(SUM(meetings_booked) AS BIGINT) AS bookings, "
     "CAST(SUM(CAST(ad_spend AS DECIMAL(18,2))) AS DOUBLE) AS spend, "
     "CASE WHEN SUM(meetings_booked) = 0 THEN NULL ELSE CAST(SUM(CAST(ad_spend AS DECIMAL(18,2))) AS DOUBLE) / "
     "CAST(SUM(meetings_booked) AS DOUBLE) END AS cpb, "
@@ -125,14 +125,14 @@ ORACLES = {
     "booking_heatmap": W(VB) + "SELECT CAST(hour(event_start_time) AS INTEGER) AS hour, "
     "CAST(dayofweek(event_start_time) + 1 AS INTEGER) AS day_of_week, event_type AS channel, COUNT(*) AS bookings "
     "FROM v_book GROUP BY ALL",
-    "meeting_load": W(VB) + "SELECT host, SUM(n) AS meetings, COUNT(*) AS weeks, "
+    "meeting_load": W(VB) + "SELECT host, CAST(SUM(n) AS BIGINT) AS meetings, COUNT(*) AS weeks, "
     "CAST(SUM(n) AS DOUBLE) / COUNT(*) AS meetings_per_week, MAX(n) AS max_week, MIN(n) AS min_week FROM ("
     "SELECT host, week, COUNT(*) AS n FROM (SELECT DISTINCT invitee_id, unnest(list_distinct_keep(["
     "'host' || CAST(host_id AS VARCHAR), 'host' || CAST((user_id + 3) % 10 AS VARCHAR)])) AS host, "
     "CAST(date_trunc('week', event_start_time) AS DATE) AS week, k FROM (SELECT *, 1 AS k FROM v_book)) "
     "GROUP BY host, week) GROUP BY host",
-    "cumulative_bookings": W(VB) + "SELECT source, date, bookings, SUM(bookings) OVER (PARTITION BY source "
-    "ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_bookings FROM ("
+    "cumulative_bookings": W(VB) + "SELECT source, date, bookings, CAST(SUM(bookings) OVER (PARTITION BY source "
+    "ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_bookings FROM ("
     "SELECT event_type AS source, CAST(event_start_time AS DATE) AS date, COUNT(*) AS bookings FROM v_book "
     "GROUP BY ALL)",
 }

@@ -134,7 +134,7 @@ def W(*p):
 
 def _topsql(inner, col, desc):
     d = "DESC" if desc else "ASC"
-    return (f"SELECT *, row_number() OVER (ORDER BY {col} {d} NULLS LAST, provider_name) AS rank "
+    return (f"SELECT *, CAST(row_number() OVER (ORDER BY {col} {d} NULLS LAST, provider_name) AS INTEGER) AS rank "
             f"FROM ({inner}) QUALIFY rank <= 10")
 
 
@@ -153,8 +153,8 @@ ORACLES = {
     "hc_hours_provider_bottom": W(VS) + _topsql(HRS_BY_PROV, "total_nurse_hrs", False),
     "hc_bed_util_top": W(VS, VP, VPS) + _topsql(UTIL_BY_PROV, "bed_utilization_rate", True),
     "hc_bed_util_bottom": W(VS, VP, VPS) + _topsql(UTIL_BY_PROV, "bed_utilization_rate", False),
-    "hc_readmission_top": W(VP) + "SELECT provider_name, score, row_number() OVER (ORDER BY score DESC NULLS LAST, "
-    "provider_name) AS rank FROM v_prov QUALIFY rank <= 10",
+    "hc_readmission_top": W(VP) + "SELECT provider_name, score, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, "
+    "provider_name) AS INTEGER) AS rank FROM v_prov QUALIFY rank <= 10",
     "hc_staff_vs_load": W(VS) + _topsql(f"SELECT provider_name, {RATE} AS hours_per_resident FROM v_staff "
                                         "GROUP BY provider_name", "hours_per_resident", False),
     "hc_staff_occupancy_corr": W(VS, VP, VPS) + "SELECT state, ROUND(corr(total_nurse_hrs, mds_census), 6) AS "

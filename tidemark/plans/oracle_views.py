@@ -52,11 +52,11 @@ v_cal AS (
 V_SALES_FACT = """
 v_fact_base AS (
   SELECT i.order_id, i.lineitem_id, i.user_id, i.restaurant_id, i.creation_time_utc,
-         i.item_category, i.item_name, COALESCE(i.item_price, 0) AS item_price,
-         COALESCE(i.item_quantity, 0) AS item_quantity, i.is_loyalty,
+         i.item_category, i.item_name, COALESCE(i.item_price, CAST(0 AS DECIMAL(10,2))) AS item_price,
+         COALESCE(i.item_quantity, CAST(0 AS INTEGER)) AS item_quantity, i.is_loyalty,
          CAST(i.creation_time_utc AS DATE) AS date_key,
-         COALESCE(o.option_price, 0) AS option_price,
-         COALESCE(o.option_quantity, 0) AS option_quantity,
+         COALESCE(o.option_price, CAST(0 AS DECIMAL(10,2))) AS option_price,
+         COALESCE(o.option_quantity, CAST(0 AS INTEGER)) AS option_quantity,
          COALESCE(c.year, CAST(year(i.creation_time_utc) AS INTEGER)) AS year,
          COALESCE(c.month, CAST(month(i.creation_time_utc) AS INTEGER)) AS month,
          COALESCE(c.week, CAST(week(i.creation_time_utc) AS INTEGER)) AS week,

@@ -105,8 +105,8 @@ def q_clv_segment(spark, sf):
 
 
 @register("ntile5_global", sql(
-    "SELECT user_id, customer_lifetime_value, NTILE(5) OVER (ORDER BY customer_lifetime_value, user_id) "
-    "AS clv_tile FROM v_clv"))
+    "SELECT user_id, customer_lifetime_value, CAST(NTILE(5) OVER (ORDER BY customer_lifetime_value, user_id) "
+    "AS INTEGER) AS clv_tile FROM v_clv"))
 def q_ntile5(spark, sf):
     base = materialize(R.clv(base_fact(spark, sf)).select("user_id", "customer_lifetime_value"), "n5")
     return global_ntile(base, 5, ["customer_lifetime_value", "user_id"], out="clv_tile")
@@ -212,8 +212,8 @@ def q_dslo_by_churn(spark, sf):
 
 
 # ---------------------------------------------------------------- order gaps (lag)
-GAP_SQL = ("date_diff('day', LAG(date_key) OVER (PARTITION BY user_id ORDER BY date_key, order_id, "
-           "lineitem_id, restaurant_id), date_key)")
+GAP_SQL = ("CAST(date_diff('day', LAG(date_key) OVER (PARTITION BY user_id ORDER BY date_key, order_id, "
+           "lineitem_id, restaurant_id), date_key) AS INTEGER)")
 
 
 def gapped(spark, sf, buckets=None):
@@ -245,8 +245,8 @@ def q_lag_gap_rows(spark, sf):
 
 
 @register("lag_gap_orders", sql(
-    "SELECT order_id, user_id, date_key, date_diff('day', LAG(date_key) OVER (PARTITION BY user_id "
-    "ORDER BY date_key, order_id), date_key) AS days_between_orders "
+    "SELECT order_id, user_id, date_key, CAST(date_diff('day', LAG(date_key) OVER (PARTITION BY user_id "
+    "ORDER BY date_key, order_id), date_key) AS INTEGER) AS days_between_orders "
     "FROM (SELECT DISTINCT order_id, user_id, date_key FROM v_fact)"))
 def q_lag_gap_orders(spark, sf):
     o = final_fact(spark, sf).select("order_id", "user_id", "date_key").distinct()
@@ -395,13 +395,13 @@ for _kind, _name in (("rev", "loc_rev"), ("aov", "loc_aov"), ("gap", "loc_gap"),
             return top_k(_m(spark, sf), _col, 10, desc=_desc, tiebreak=["restaurant_id"],
                          group=["year", "month"])
         _dir = "DESC" if _desc else "ASC"
-        _o = sql(f"SELECT *, row_number() OVER (PARTITION BY year, month ORDER BY {_col} {_dir} NULLS LAST, "
-                 f"restaurant_id) AS rank FROM ({_msql}) QUALIFY rank <= 10")
+        _o = sql(f"SELECT *, CAST(row_number() OVER (PARTITION BY year, month ORDER BY {_col} {_dir} NULLS LAST, "
+                 f"restaurant_id) AS INTEGER) AS rank FROM ({_msql}) QUALIFY rank <= 10")
         register(f"{_name}_{_suffix}", _o)(_q)
 
 register("topk_groups", sql(
-    f"SELECT *, row_number() OVER (PARTITION BY year, month ORDER BY total_revenue DESC NULLS LAST, "
-    f"restaurant_id) AS rank FROM (SELECT year, month, restaurant_id, CAST(SUM{REV_SQL} AS DOUBLE) "
+    f"SELECT *, CAST(row_number() OVER (PARTITION BY year, month ORDER BY total_revenue DESC NULLS LAST, "
+    f"restaurant_id) AS INTEGER) AS rank FROM (SELECT year, month, restaurant_id, CAST(SUM{REV_SQL} AS DOUBLE) "
     "AS total_revenue FROM v_fact GROUP BY ALL) QUALIFY rank <= 10"))(
     lambda spark, sf: top_k(_loc_metric("rev")[0](spark, sf), "total_revenue", 10, desc=True,
                             tiebreak=["restaurant_id"], group=["year", "month"]))
@@ -433,8 +433,8 @@ PRICE_ORDER = ["item_price", "item_quantity", "option_price", "option_quantity"]
 
 @register("price_deciles", sql(
     f"SELECT year, month, price_bucket, CAST(SUM{REV_SQL} AS DOUBLE) AS bucket_revenue FROM "
-    "(SELECT *, NTILE(10) OVER (PARTITION BY year, month ORDER BY item_price, item_quantity, option_price, "
-    "option_quantity) AS price_bucket FROM v_fact) GROUP BY year, month, price_bucket"))
+    "(SELECT *, CAST(NTILE(10) OVER (PARTITION BY year, month ORDER BY item_price, item_quantity, option_price, "
+    "option_quantity) AS INTEGER) AS price_bucket FROM v_fact) GROUP BY year, month, price_bucket"))
 def q_price_deciles(spark, sf):
     f = final_fact(spark, sf).select("year", "month", *PRICE_ORDER)
     t = global_ntile(f, 10, [SortKey(c) for c in PRICE_ORDER], out="price_bucket",
@@ -445,8 +445,8 @@ def q_price_deciles(spark, sf):
 
 @register("ntile10_price", sql(
     "SELECT year, month, price_bucket, COUNT(*) AS n_rows, MIN(CAST(item_price AS DOUBLE)) AS min_price, "
-    "MAX(CAST(item_price AS DOUBLE)) AS max_price FROM (SELECT *, NTILE(10) OVER (PARTITION BY year, month "
-    "ORDER BY item_price, item_quantity, option_price, option_quantity) AS price_bucket FROM v_fact) "
+    "MAX(CAST(item_price AS DOUBLE)) AS max_price FROM (SELECT *, CAST(NTILE(10) OVER (PARTITION BY year, month "
+    "ORDER BY item_price, item_quantity, option_price, option_quantity) AS INTEGER) AS price_bucket FROM v_fact) "
     "GROUP BY ALL"))
 def q_ntile10(spark, sf):
     f = final_fact(spark, sf).select("year", "month", *PRICE_ORDER)
