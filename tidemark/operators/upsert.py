@@ -1,23 +1,24 @@
 """Upserts (SCD1), history tables (SCD2) and file compaction on plain Parquet.
 
-Without a table format, a table is a directory of versions ``v=<n>/`` plus a
-one-line pointer file naming the current version (and the last stream batch
-applied). :func:`publish` writes the next version and swaps the pointer, so
-readers see either the old or the new table, never a half-written one.
+Without a table format, a table is a directory of versions ``v=<n>/`` plus
+commit markers ``_commits/<n>.json``. A version becomes visible only when its
+marker is created, after all its files are written; markers are created with
+overwrite disabled, so a second writer of the same version fails instead of
+clobbering. Readers take the highest marker. All file operations go through
+Hadoop's FileSystem API, so the same code runs on local disk, HDFS or S3A.
 """
 
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_dir, is_local_path, local_fs_path
+from tidemark.sources import fs
 
-POINTER = "_current.json"
+COMMITS = "_commits"
 
 
 class DuplicateKeyError(ValueError):
@@ -25,44 +26,43 @@ class DuplicateKeyError(ValueError):
 
 
 # ------------------------------------------------------------------ versioned table
-def _pointer_path(table_dir: str) -> str:
-    return f"{local_fs_path(table_dir)}/{POINTER}"
+def _active() -> SparkSession:
+    s = SparkSession.getActiveSession()
+    if s is None:
+        raise RuntimeError("no active Spark session")
+    return s
 
 
-def current_version(table_dir: str) -> dict | None:
-    p = _pointer_path(table_dir)
-    if not os.path.exists(p):
+def current_version(table_dir: str, spark: SparkSession | None = None) -> dict | None:
+    spark = spark or _active()
+    names = [n for n in fs.list_names(spark, f"{table_dir}/{COMMITS}") if n.endswith(".json")]
+    if not names:
         return None
-    with open(p) as fh:
-        return json.load(fh)
+    last = max(names, key=lambda n: int(n.split(".")[0]))
+    return json.loads(fs.read_text(spark, f"{table_dir}/{COMMITS}/{last}"))
 
 
 def read_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    cur = current_version(table_dir)
+    cur = current_version(table_dir, spark)
     if cur is None:
         return None
     return spark.read.parquet(f"{table_dir}/v={cur['version']}")
 
 
 def publish(df: DataFrame, table_dir: str, batch_id: int | None = None, partition_by: Sequence[str] = ()) -> int:
-    """Write ``df`` as the next version and atomically move the pointer to it.
+    """Write ``df`` as the next version, then commit it with a new marker file.
 
-    The pointer swap is ``os.replace`` (atomic on a POSIX file system); an
-    object store needs a conditional put instead. Single writer per table.
+    Single writer per table; a concurrent writer fails on the data directory or
+    the marker (both are created without overwrite).
     """
-    if not is_local_path(table_dir):
-        raise NotImplementedError("pointer swap implemented for file-system paths only")
-    ensure_dir(table_dir)
-    cur = current_version(table_dir)
+    spark = df.sparkSession
+    cur = current_version(table_dir, spark)
     nxt = 0 if cur is None else cur["version"] + 1
     w = df.write.mode("error").option("compression", "snappy")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{table_dir}/v={nxt}")
-    tmp = _pointer_path(table_dir) + ".tmp"
-    with open(tmp, "w") as fh:
-        json.dump({"version": nxt, "batch_id": batch_id}, fh)
-    os.replace(tmp, _pointer_path(table_dir))
+    fs.write_text(spark, f"{table_dir}/{COMMITS}/{nxt}.json", json.dumps({"version": nxt, "batch_id": batch_id}))
     return nxt
 
 
@@ -239,7 +239,7 @@ def scd2_publish(spark: SparkSession, history_dir: str, batch: DataFrame, keys:
     therefore never drives the cost of a load.
     """
     open_dir, closed_dir = f"{history_dir}/open", f"{history_dir}/closed"
-    cur = current_version(open_dir)
+    cur = current_version(open_dir, spark)
     if cur is not None and cur.get("batch_id") is not None and cur["batch_id"] >= load_id:
         return
     check_unique(batch, keys)
@@ -255,8 +255,7 @@ def scd2_publish(spark: SparkSession, history_dir: str, batch: DataFrame, keys:
 def read_history(spark: SparkSession, history_dir: str) -> DataFrame:
     """open rows + every closed row (``load`` folder column dropped)."""
     open_rows = read_table(spark, f"{history_dir}/open")
-    closed_dir = local_fs_path(f"{history_dir}/closed")
-    if not os.path.isdir(closed_dir) or not os.listdir(closed_dir):
+    if not any(n.startswith("load=") for n in fs.list_names(spark, f"{history_dir}/closed")):
         return open_rows
     closed = spark.read.parquet(f"{history_dir}/closed").drop("load")
     return open_rows.unionByName(closed.select(*open_rows.columns))

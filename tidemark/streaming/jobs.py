@@ -17,12 +17,11 @@ from pyspark.sql.types import StructType
 from tidemark.operators.events import flatten_event
 from tidemark.operators.ranking import latest_per_key
 import json
-import os
 import uuid
 
 from tidemark.operators.upsert import (KEY_BUCKET, create_bucketed, current_version, publish, read_table, upsert,
                                        upsert_bucketed)
-from tidemark.session import local_fs_path
+from tidemark.sources import fs
 
 
 def _drain(writer) -> None:
@@ -67,15 +66,13 @@ def foreach_batch_upsert(spark: SparkSession, table_dir: str, keys: Sequence[str
     last committed batch id is kept in ``_last_batch.json`` and re-applying a
     half-committed batch is idempotent.
     """
-    marker = f"{local_fs_path(table_dir)}/_last_batch.json"
+    marks = f"{table_dir}/_batches"
 
     def done(batch_id: int) -> bool:
         if buckets:
-            if not os.path.exists(marker):
-                return False
-            with open(marker) as fh:
-                return json.load(fh)["batch_id"] >= batch_id
-        cur = current_version(table_dir)
+            ids = [int(n.split(".")[0]) for n in fs.list_names(spark, marks) if n.endswith(".json")]
+            return bool(ids) and max(ids) >= batch_id
+        cur = current_version(table_dir, spark)
         return cur is not None and cur.get("batch_id") is not None and cur["batch_id"] >= batch_id
 
     def callback(batch: DataFrame, batch_id: int) -> None:
@@ -88,14 +85,12 @@ def foreach_batch_upsert(spark: SparkSession, table_dir: str, keys: Sequence[str
         if not buckets:
             publish(upsert(read_table(spark, table_dir), batch, keys, **opts), table_dir, batch_id=batch_id)
             return
-        if not os.path.exists(f"{local_fs_path(table_dir)}/_SUCCESS"):
+        if not fs.exists(spark, f"{table_dir}/_SUCCESS"):
             create_bucketed(upsert(None, batch, keys, **opts), table_dir, keys, buckets)
         else:
             stage = f"{table_dir}/_stage/b={batch_id}-{uuid.uuid4().hex[:8]}"
             upsert_bucketed(spark, table_dir, batch, keys, buckets, stage, **opts)
-        with open(marker + ".tmp", "w") as fh:
-            json.dump({"batch_id": batch_id}, fh)
-        os.replace(marker + ".tmp", marker)
+        fs.write_text(spark, f"{marks}/{batch_id}.json", json.dumps({"batch_id": batch_id}), overwrite=True)
 
     return callback
 
