@@ -87,3 +87,14 @@ def test_scd2_publish_open_closed(spark, tmp_path):
     assert U.read_table(spark, d + "/open").count() == 3
     closed = h.filter(F.col("valid_to").isNotNull()).collect()
     assert [(r.k, r.x) for r in closed] == [(1, 10.0)]
+
+
+def test_scd2_intervals_do_not_overlap(spark):
+    l1 = spark.createDataFrame([(1, 1.0)], "k int, x double")
+    h = U.scd2_apply(None, l1, ["k"], ["x"], ts("2024-01-01"))
+    for i, day in enumerate(["2024-02-01", "2024-03-01", "2024-04-01"]):
+        h = U.scd2_apply(h, spark.createDataFrame([(1, float(i + 2))], "k int, x double"), ["k"], ["x"], ts(day))
+    rows = sorted((r.valid_from, r.valid_to) for r in h.collect())
+    assert len(rows) == 4 and rows[-1][1] is None
+    for (f1, t1), (f2, _) in zip(rows, rows[1:]):
+        assert t1 == f2 and f1 < t1

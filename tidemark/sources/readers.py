@@ -35,13 +35,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, null_tokens_: S
 
 def read_json(spark: SparkSession, path: str, schema: StructType, mode: str = "PERMISSIVE",
               corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    """Strict-schema JSON lines -> (good rows, bad rows). ``mode='FAILFAST'`` raises instead."""
+    """Strict-schema JSON lines -> (good rows, bad rows); ``mode='FAILFAST'`` raises instead.
+
+    Lines are read as text and parsed with ``from_json``, so the bad-row frame
+    can be queried on its own (Spark refuses queries that touch only the
+    corrupt-record column of a raw JSON scan).
+    """
+    text = spark.read.text(path)
     full = StructType(schema.fields + [StructField(corrupt, StringType())])
-    df = (spark.read.schema(full).option("mode", mode).option("columnNameOfCorruptRecord", corrupt).json(path))
-    # Spark forbids queries that reference only the corrupt column of a raw
-    # JSON scan; caching is unnecessary when the filter keeps data columns.
-    good = df.filter(F.col(corrupt).isNull()).drop(corrupt)
-    bad = df.filter(F.col(corrupt).isNotNull())
+    parsed = text.select(F.from_json("value", full, {"mode": mode, "columnNameOfCorruptRecord": corrupt})
+                         .alias("_j")).select("_j.*")
+    good = parsed.filter(F.col(corrupt).isNull()).drop(corrupt)
+    bad = parsed.filter(F.col(corrupt).isNotNull())
     return good, bad
 
 
