@@ -95,3 +95,20 @@ def test_scalar_attach_has_no_join(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Subquery" in plan
     assert {r.mx for r in out.collect()} == {9}
+
+
+def test_within_join_matches_plain_range_join(spark):
+    import random
+    from tidemark.operators.joins import within_join
+    r = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    leads = spark.createDataFrame(
+        [(i, "hot" if i % 3 else f"u{i % 5}", base + dt.timedelta(seconds=r.randint(0, 40000))) for i in range(300)],
+        "lid int, u string, t timestamp_ntz")
+    owners = spark.createDataFrame(
+        [(j, "hot" if j % 2 else f"u{j % 5}", base + dt.timedelta(seconds=r.randint(0, 40000))) for j in range(300)],
+        "oid int, ou string, ot timestamp_ntz")
+    got = within_join(leads, owners, [("u", "ou")], "t", "ot", 600, how="left").select("lid", "oid")
+    cond = (leads.u == owners.ou) & (owners.ot >= leads.t) & (owners.ot <= leads.t + F.expr("INTERVAL 600 SECONDS"))
+    exp = leads.join(owners, cond, "left").select("lid", "oid")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, exp.collect()), key=repr)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import within_join
 from tidemark.operators.ranking import latest_per_key
 from tidemark.plans.registry import register
 from tidemark.plans.views import table
 
 WAIT = "12 hours"
+WAIT_SECONDS = {"10 minutes": 600, "20 minutes": 1200, "12 hours": 43200}
 
 
 def v_leads(spark, sf):
@@ -31,13 +33,12 @@ def v_owners(spark, sf):
 def enrich_leads(leads: DataFrame, owners: DataFrame, wait: str = WAIT) -> DataFrame:
     """Each lead with the latest owner record that arrived within ``wait``.
 
-    Equi-join on the user plus a time-range condition; leads without an owner
-    record in the window keep NULL owner fields. Builds the notification text.
+    Equi-join on the user and a time slot plus the exact time-range condition
+    (:func:`within_join`); leads without an owner record in the window keep NULL
+    owner fields. Builds the notification text.
     """
-    cond = ((leads.user_id == owners.owner_user_id)
-            & (owners.owner_ts >= leads.date_created)
-            & (owners.owner_ts <= leads.date_created + F.expr(f"INTERVAL {wait}")))
-    j = leads.join(owners, cond, "left")
+    j = within_join(leads, owners, [("user_id", "owner_user_id")], "date_created", "owner_ts",
+                    WAIT_SECONDS[wait], how="left")
     j = latest_per_key(j, ["lead_id"], "owner_ts", ["owner_event_id"])
     msg = F.concat_ws(" | ", F.concat(F.lit("New lead: "), F.col("display_name")),
                       F.concat(F.lit("id "), F.col("lead_id").cast("string")),
