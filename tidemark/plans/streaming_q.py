@@ -134,7 +134,7 @@ def q_delayed(spark, sf):
     v_owners(spark, sf).write.parquet(od)
     leads = spark.readStream.schema(spark.read.parquet(ld).schema).parquet(ld)
     owners = spark.readStream.schema(spark.read.parquet(od).schema).parquet(od)
-    out = jobs.delayed_enrich_stream(leads, owners, "12 hours")
+    out = jobs.delayed_enrich_stream(leads, owners, 12 * 3600)
     jobs._drain(out.writeStream.format("parquet").option("path", dst).option("checkpointLocation", ck)
                 .outputMode("append"))
     return spark.read.parquet(dst).select("lead_id", "display_name", "lead_owner", "funnel")

@@ -122,15 +122,18 @@ def change_stream_scd1(spark: SparkSession, src: str, schema: StructType, table_
     _drain(df.writeStream.foreachBatch(cb).option("checkpointLocation", checkpoint))
 
 
-def delayed_enrich_stream(leads: DataFrame, owners: DataFrame, wait: str, delay: str = "1 hour") -> DataFrame:
-    """Stream-stream left outer join: each lead waits up to ``wait`` for its owner record.
+def delayed_enrich_stream(leads: DataFrame, owners: DataFrame, wait_seconds: int,
+                          delay: str = "1 hour") -> DataFrame:
+    """Stream-stream left outer join: each lead waits up to ``wait_seconds`` for its owner record.
 
     Both sides carry a watermark; a lead without an owner in the window is
     emitted with NULL owner fields once the watermark passes its window end.
-    Event time must be TIMESTAMP (not TIMESTAMP_NTZ).
+    The join key includes a time slot (:func:`within_join`), so state is probed
+    per (user, slot) rather than per user. Event time must be TIMESTAMP (not
+    TIMESTAMP_NTZ).
     """
+    from tidemark.operators.joins import within_join
     l = leads.withColumn("date_created", F.col("date_created").cast("timestamp")).withWatermark("date_created", delay)
     o = owners.withColumn("owner_ts", F.col("owner_ts").cast("timestamp")).withWatermark("owner_ts", delay)
-    cond = ((l.user_id == o.owner_user_id) & (o.owner_ts >= l.date_created)
-            & (o.owner_ts <= l.date_created + F.expr(f"INTERVAL {wait}")))
-    return l.join(o, cond, "leftOuter")
+    return within_join(l, o, [("user_id", "owner_user_id")], "date_created", "owner_ts", wait_seconds,
+                       how="leftOuter")
