@@ -177,11 +177,14 @@ def scd2_current(history: DataFrame, valid_to: str = "valid_to") -> DataFrame:
 
 
 # ------------------------------------------------------------------ compaction
-def compact(df: DataFrame, by: str, files: int) -> DataFrame:
+def compact(df: DataFrame, by: str, files: int, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Range-cluster on ``by`` into ``files`` partitions, sorted inside each,
     so Parquet min/max statistics skip row groups on ``by`` filters. The row
-    multiset is unchanged."""
-    return df.repartitionByRange(files, F.col(by)).sortWithinPartitions(by)
+    multiset is unchanged. ``tiebreak`` columns join the range key so a
+    ``by`` value holding a large share of the rows is split over several
+    files (tasks) instead of one."""
+    cols = [F.col(by), *[F.col(c) for c in tiebreak]]
+    return df.repartitionByRange(files, *cols).sortWithinPartitions(*cols)
 
 
 # ------------------------------------------------------------------ bucketed in-place upsert
