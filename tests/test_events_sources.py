@@ -112,3 +112,22 @@ def test_within_join_matches_plain_range_join(spark):
     cond = (leads.u == owners.ou) & (owners.ot >= leads.t) & (owners.ot <= leads.t + F.expr("INTERVAL 600 SECONDS"))
     exp = leads.join(owners, cond, "left").select("lid", "oid")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, exp.collect()), key=repr)
+
+
+def test_write_partitioned_spreads_hot_partition(spark, tmp_path):
+    from tidemark.sources.readers import write_partitioned
+    df = spark.range(3000).withColumn("p", F.when(F.col("id") < 2000, F.lit("hot")).otherwise(
+        (F.col("id") % 5).cast("string")))
+    out = str(tmp_path / "w")
+    # At this size AQE would merge the shuffle partitions back into one task.
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_partitioned(df, out, ["p"], rows_per_file=500)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    import os
+    hot_files = [f for f in os.listdir(os.path.join(out, "p=hot")) if f.endswith(".parquet")]
+    assert len(hot_files) >= 2
+    back = spark.read.parquet(out)
+    assert back.count() == 3000 and back.filter("p = 'hot'").count() == 2000

@@ -93,8 +93,9 @@ def q_upsert_stream(spark, sf):
     b = b.withColumn("_part", _third(F.to_timestamp_ntz("payload.scheduled_event.created_at")))
     for i in range(3):
         b.filter(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(bronze)
-    jobs.silver_stream(spark, bronze, tdir, ck, SILVER_UPDATE, max_files=1)
-    return read_table(spark, tdir)
+    # Key-bucketed silver table: each micro-batch rewrites only the buckets it touches.
+    jobs.silver_stream(spark, bronze, tdir, ck, SILVER_UPDATE, max_files=1, buckets=16)
+    return jobs.read_bucketed(spark, tdir)
 
 
 _PART_SQL = (f"CASE WHEN event_create_time < TIMESTAMP '{CUTS[0]}' THEN 0 "

@@ -100,7 +100,7 @@ def read_bucketed(spark: SparkSession, table_dir: str) -> DataFrame:
 
 
 def silver_stream(spark: SparkSession, bronze_dir: str, table_dir: str, checkpoint: str,
-                  update_cols: Sequence[str], max_files: int | None = 1) -> None:
+                  update_cols: Sequence[str], max_files: int | None = 1, buckets: int | None = None) -> None:
     """Bronze table stream -> flatten -> per batch latest per invitee -> partial upsert."""
     schema = spark.read.parquet(bronze_dir).schema
     r = spark.readStream.schema(schema)
@@ -108,7 +108,7 @@ def silver_stream(spark: SparkSession, bronze_dir: str, table_dir: str, checkpoi
         r = r.option("maxFilesPerTrigger", max_files)
     flat = flatten_event(r.parquet(bronze_dir))
     cb = foreach_batch_upsert(spark, table_dir, ["invitee_id"], update_cols=update_cols, dedupe_ts="ingested_at",
-                              dedupe_tiebreak=["event_start_time"])
+                              dedupe_tiebreak=["event_start_time"], buckets=buckets)
     _drain(flat.writeStream.foreachBatch(cb).option("checkpointLocation", checkpoint))
 
 
