@@ -486,16 +486,19 @@ def q_at_risk(spark, sf):
     "FROM v_fact GROUP BY GROUPING SETS ((date_key, restaurant_id), (year, week, item_category), "
     "(year, month, is_holiday), (year, month, hour(creation_time_utc)))"))
 def q_rev_breakdown(spark, sf):
-    f = final_fact(spark, sf).withColumn("hour", F.hour("creation_time_utc"))
-    f.createOrReplaceTempView("_tm_fact")
-    return f.sparkSession.sql(
-        "SELECT date_key, year, week, month, restaurant_id, item_category, is_holiday, hour, "
-        "CAST(SUM(CAST(item_price * item_quantity + option_price * option_quantity AS DECIMAL(18,2))) "
-        "AS DOUBLE) AS revenue, "
-        "CASE WHEN GROUPING(restaurant_id) = 0 THEN 'day_location' WHEN GROUPING(item_category) = 0 "
-        "THEN 'week_category' WHEN GROUPING(is_holiday) = 0 THEN 'month_holiday' ELSE 'month_hour' END "
-        "AS grain FROM _tm_fact GROUP BY GROUPING SETS ((date_key, restaurant_id), "
-        "(year, week, item_category), (year, month, is_holiday), (year, month, hour))")
+    """Revenue by day x location, week x category, month x holiday and month x hour in one
+    Expand (GROUPING SETS) over a single scan of the fact."""
+    f = final_fact(spark, sf).withColumn("hour", F.hour("creation_time_utc")).withColumn("_rev", REV())
+    sets = [["date_key", "restaurant_id"], ["year", "week", "item_category"], ["year", "month", "is_holiday"],
+            ["year", "month", "hour"]]
+    cols = ["date_key", "year", "week", "month", "restaurant_id", "item_category", "is_holiday", "hour"]
+    g = f.groupingSets(sets, *cols).agg(
+        exact_sum("_rev").alias("revenue"),
+        F.grouping("restaurant_id").alias("_g_loc"), F.grouping("item_category").alias("_g_cat"),
+        F.grouping("is_holiday").alias("_g_hol"))
+    grain = (F.when(F.col("_g_loc") == 0, "day_location").when(F.col("_g_cat") == 0, "week_category")
+             .when(F.col("_g_hol") == 0, "month_holiday").otherwise("month_hour"))
+    return g.withColumn("grain", grain).drop("_g_loc", "_g_cat", "_g_hol")
 
 
 @register("repeat_orders_by_loyalty", sql(
@@ -560,12 +563,11 @@ def q_distinct_sorted(spark, sf):
     f"SELECT item_category, CAST(SUM{REV_SQL} AS DOUBLE) AS revenue FROM v_fact "
     "WHERE year = 1998 AND month = 6 GROUP BY item_category"))
 def q_param_filter(spark, sf, year: int = 1998, month: int = 6):
-    f = final_fact(spark, sf)
-    f.createOrReplaceTempView("_tm_fact_p")
-    return f.sparkSession.sql(
+    """The dashboard's parameterised query: named parameter markers, no string formatting."""
+    return spark.sql(
         "SELECT item_category, CAST(SUM(CAST(item_price * item_quantity + option_price * option_quantity "
-        "AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM _tm_fact_p WHERE year = :y AND month = :m "
-        "GROUP BY item_category", args={"y": year, "m": month})
+        "AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM {fact} WHERE year = :y AND month = :m "
+        "GROUP BY item_category", args={"y": year, "m": month}, fact=final_fact(spark, sf))
 
 
 @register("case_label", sql(

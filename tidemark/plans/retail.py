@@ -81,12 +81,11 @@ def sales_by_day_month_year(depts):
     """The three rollups in one scan (GROUPING SETS -> a single Expand)."""
     d = depts.select(F.dayofmonth("date").alias("day"), month_name("date").alias("month"),
                      F.year("date").alias("year"), "weekly_sales")
-    d.createOrReplaceTempView("_tm_depts_dmy")
-    return d.sparkSession.sql(
-        "SELECT day, month, year, "
-        "COALESCE(CAST(SUM(CAST(weekly_sales AS DECIMAL(18,2))) AS DOUBLE), 0D) AS weekly_sales_total, "
-        "CASE WHEN GROUPING(day) = 0 THEN 'day' WHEN GROUPING(month) = 0 THEN 'month' ELSE 'year' END "
-        "AS grain FROM _tm_depts_dmy GROUP BY GROUPING SETS ((day), (month), (year))")
+    g = d.groupingSets([["day"], ["month"], ["year"]], "day", "month", "year").agg(
+        F.coalesce(exact_sum("weekly_sales"), F.lit(0.0)).alias("weekly_sales_total"),
+        F.grouping("day").alias("_gd"), F.grouping("month").alias("_gm"))
+    grain = F.when(F.col("_gd") == 0, "day").when(F.col("_gm") == 0, "month").otherwise("year")
+    return g.withColumn("grain", grain).drop("_gd", "_gm")
 
 
 def sales_cpi(depts, facts, current_only=True):
