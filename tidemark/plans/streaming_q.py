@@ -10,7 +10,6 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 
 from tidemark.functions.columns import uri_segment
 from tidemark.operators.events import EVENT_SCHEMA
-from tidemark.operators.upsert import read_table
 from tidemark.plans.cleaning_q import FLAT_SQL, raw_events
 from tidemark.plans.leads import v_leads, v_owners
 from tidemark.plans.registry import register
