@@ -140,4 +140,19 @@ def q_delayed(spark, sf):
     return spark.read.parquet(dst).select("lead_id", "display_name", "lead_owner", "funnel")
 
 
-register("delayed_enrich_stream")(q_delayed)
+# Drained in one micro-batch: every (lead, owner) pair within the wait, plus the
+# unmatched leads whose wait window ended before the final watermark
+# (min over both streams of max event time - 1 hour). Leads still inside their
+# window stay in the join state, exactly as a live stream would hold them.
+DELAYED_SQL = """WITH l AS (SELECT event_id AS lead_id, user_id, 'Lead ' || CAST(user_id AS VARCHAR) AS display_name,
+  ts AS date_created FROM events WHERE event_type = 'signup'),
+o AS (SELECT user_id AS owner_user_id, ts AS owner_ts, 'owner' || CAST(user_id % 7 AS VARCHAR) AS lead_owner,
+  CASE WHEN value > 100 THEN 'enterprise' ELSE 'self-serve' END AS funnel FROM events WHERE event_type = 'purchase'),
+wm AS (SELECT LEAST((SELECT MAX(date_created) FROM l), (SELECT MAX(owner_ts) FROM o)) - INTERVAL 1 HOUR AS w),
+m AS (SELECT l.lead_id, l.display_name, o.lead_owner, o.funnel FROM l JOIN o ON l.user_id = o.owner_user_id
+  AND o.owner_ts >= l.date_created AND o.owner_ts <= l.date_created + INTERVAL 12 HOUR)
+SELECT * FROM m
+UNION ALL
+SELECT lead_id, display_name, NULL AS lead_owner, NULL AS funnel FROM l WHERE lead_id NOT IN (SELECT lead_id FROM m)
+  AND date_created < (SELECT w FROM wm) - INTERVAL 12 HOUR"""
+register("delayed_enrich_stream", DELAYED_SQL)(q_delayed)
