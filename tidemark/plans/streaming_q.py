@@ -114,7 +114,7 @@ def q_stream_scd1(spark, sf):
     d = dept_weeks(spark, sf)
     k = _split_key()
     d.filter(k % 3 != 0).coalesce(1).write.parquet(src)
-    (d.filter(k % 2 == 0).withColumn("weekly_sales", (F.col("weekly_sales") + 1).cast("decimal(12,2)"))
+    (d.filter((k % 2 == 0) | (k % 3 == 0)).withColumn("weekly_sales", (F.col("weekly_sales") + 1).cast("decimal(12,2)"))
      .coalesce(1).write.mode("append").parquet(src))
     stamps = {0: T0, 1: T1}
     # Key-bucketed target: each micro-batch rewrites only the buckets it touches.
