@@ -67,3 +67,17 @@ def test_bucketed_lag_matches_window(spark, buckets):
     j = got.join(exp.select("id", "e"), "id")
     assert j.count() == 600
     assert j.filter(~F.col("g").eqNullSafe(F.col("e"))).count() == 0
+
+
+def test_split_literals_of_awkward_types(spark):
+    import datetime as dt
+    from decimal import Decimal
+    r = random.Random(5)
+    names = ["o'brien", "back\\slash", "plain", "", "ünï", 'dq"x']
+    data = [(i, r.choice(names), Decimal(r.randint(-500, 500)) / 100, dt.date(2024, 1, 1) + dt.timedelta(r.randint(0, 40)),
+             r.choice([1.5, -0.25, float("nan"), 1e-9])) for i in range(400)]
+    df = spark.createDataFrame(data, "id long, s string, d decimal(6,2), day date, x double")
+    order = [SortKey("s"), SortKey("d"), SortKey("day"), SortKey("x"), SortKey("id")]
+    got = global_ntile(df, 7, order, out="t", buckets=11)
+    exp = brute(df, 7, [F.col(c) for c in ("s", "d", "day", "x", "id")])
+    assert got.join(exp, "id").filter(F.col("t") != F.col("expect")).count() == 0

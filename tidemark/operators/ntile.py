@@ -13,6 +13,7 @@ spread over several ranges by the following columns.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from dataclasses import dataclass
 
@@ -67,26 +68,43 @@ def _norm_fields(df: DataFrame, keys: list[SortKey]) -> list[tuple[str, Column]]
     return fields
 
 
-def _lex_less(names: list[str], split: list) -> Column:
-    """Row key < split point, lexicographic over the normalized fields."""
-    expr = None
-    for name, v in reversed(list(zip(names, split))):
-        c = F.col(name)
-        lit = F.lit(v)
-        lt = (c < lit) if v is not None else F.lit(False)
-        eq = c.eqNullSafe(lit)
-        expr = lt if expr is None else (lt | (eq & expr))
-    return F.coalesce(expr, F.lit(False))
-
-
-def _bucket_expr(names: list[str], splits: list[list]) -> Column:
-    """Balanced decision tree: number of split points <= row key."""
+def _sql_literal(v, dtype) -> str:
+    """SQL text of a split-point value, cast to the field type."""
+    t = dtype.simpleString()
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, str):
+        return "CAST('" + v.replace("\\", "\\\\").replace("'", "\\'") + f"' AS {t})"
+    if isinstance(v, float):
+        if v != v:
+            return f"CAST('NaN' AS {t})"
+        if v in (float("inf"), float("-inf")):
+            return f"CAST('{'Infinity' if v > 0 else '-Infinity'}' AS {t})"
+        return f"CAST({v!r}D AS {t})" if "e" not in repr(v) else f"CAST('{v!r}' AS {t})"
+    if isinstance(v, dt.datetime):
+        return f"CAST('{v.isoformat(sep=' ')}' AS {t})"
+    if isinstance(v, dt.date):
+        return f"CAST(DATE '{v.isoformat()}' AS {t})"
+    return f"CAST('{v}' AS {t})"
+
+
+def _bucket_sql(key: str, key_type, splits: list[list]) -> str:
+    """Balanced decision tree over the split points (number of splits <= key) as SQL text.
+
+    ``key`` names the struct of normalized fields; Spark compares structs field
+    by field, so each node is one native comparison. Built as text and parsed
+    once, so a few hundred split points cost one call, not thousands.
+    """
+    lits = ["named_struct(" + ", ".join(f"'{f.name}', {_sql_literal(v, f.dataType)}"
+                                        for v, f in zip(sp, key_type.fields)) + ")" for sp in splits]
 
-    def build(lo: int, hi: int) -> Column:
+    def build(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(_lex_less(names, splits[mid - 1]), build(lo, mid - 1)).otherwise(build(mid, hi))
+        return f"CASE WHEN {key} < {lits[mid - 1]} THEN {build(lo, mid - 1)} ELSE {build(mid, hi)} END"
 
     return build(0, len(splits))
 
@@ -124,7 +142,7 @@ def choose_split_points(df: DataFrame, names: list[str], buckets: int, total: in
 
 
 def assign_buckets(df: DataFrame, keys: list[SortKey], buckets: int | None = None,
-                   rows_per_bucket: int = 250_000, max_buckets: int = 512,
+                   rows_per_bucket: int = 1_000_000, max_buckets: int = 128,
                    stats_from: DataFrame | None = None,
                    total: int | None = None) -> tuple[DataFrame, DataFrame, int, int]:
     """Add ``_bucket``: the range of the composite key ``keys`` each row falls in.
@@ -144,17 +162,21 @@ def assign_buckets(df: DataFrame, keys: list[SortKey], buckets: int | None = Non
     src_keyed = src.select("*", *[c.alias(f) for f, c in fields])
     splits = choose_split_points(src_keyed, names, buckets, total)
 
+    key_type = src_keyed.select(F.struct(*names).alias("k")).schema["k"].dataType
+    bucket_sql = _bucket_sql("_nkey", key_type, splits) if splits else None
+
     def with_bucket(frame: DataFrame) -> DataFrame:
-        keyed = frame.select("*", *[c.alias(f) for f, c in _norm_fields(frame, keys)])
-        b = _bucket_expr(names, splits) if splits else F.lit(0)
-        return keyed.withColumn("_bucket", b).drop(*names)
+        if not splits:
+            return frame.withColumn("_bucket", F.lit(0))
+        keyed = frame.withColumn("_nkey", F.struct(*[c.alias(f) for f, c in _norm_fields(frame, keys)]))
+        return keyed.withColumn("_bucket", F.expr(bucket_sql).cast("int")).drop("_nkey")
 
     return with_bucket(df), with_bucket(src), len(splits) + 1, total
 
 
 def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by=(),
-                 buckets: int | None = None, rows_per_bucket: int = 250_000,
-                 max_buckets: int = 512, stats_from: DataFrame | None = None,
+                 buckets: int | None = None, rows_per_bucket: int = 1_000_000,
+                 max_buckets: int = 128, stats_from: DataFrame | None = None,
                  total: int | None = None) -> DataFrame:
     """Add ``out`` = NTILE(n) OVER (PARTITION BY partition_by ORDER BY order).
 
@@ -193,7 +215,7 @@ def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by=
 
 
 def bucketed_lag(df: DataFrame, key: str, order, value: str, out: str, buckets: int | None = None,
-                 rows_per_bucket: int = 250_000, max_buckets: int = 512,
+                 rows_per_bucket: int = 1_000_000, max_buckets: int = 128,
                  stats_from: DataFrame | None = None) -> DataFrame:
     """``lag(value) OVER (PARTITION BY key ORDER BY order)`` without one task per key.
 
