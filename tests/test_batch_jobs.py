@@ -50,3 +50,14 @@ def test_cost_per_booking_job_reads_yesterday(spark, tmp_path):
                            v_mapping(spark), str(tmp_path / "gold"))
     gold = read_table(spark, str(tmp_path / "gold"))
     assert gold.count() == 3 and {str(r.spend_date) for r in gold.collect()} == {"2024-01-10"}
+
+
+def test_csv_landing_job(spark, tmp_path):
+    src = tmp_path / "Daily Nurse-Staffing Q2.csv"
+    src.write_bytes(b"PROVNUM,provider_name,WorkDate,hours\r\n1, Alpha ,20240401,8.5\r\n,Beta,20240402,7\r\n"
+                    b"3,Gamma,bad,6\r\n")
+    name = J.csv_landing_job(spark, str(src), str(tmp_path / "lake"))
+    assert name == "daily_nurse_staffing_q2"
+    back = spark.read.parquet(str(tmp_path / "lake" / "tables" / name))
+    rows = sorted((r.PROVNUM, r.provider_name, r.year, r.month, r.day) for r in back.collect())
+    assert rows == [("1", "Alpha", 2024, 4, 1), ("3", "Gamma", None, None, None)]

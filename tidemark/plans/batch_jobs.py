@@ -74,3 +74,28 @@ def cost_per_booking_job(spark: SparkSession, silver, spend_template: str, run_d
     spend = read_dated(spark, spend_template, run_date, SPEND_SCHEMA, out_col="date_parsed")
     spend = spend.withColumn("date", F.date_format("date_parsed", "yyyy-MM-dd")).drop("date_parsed")
     return publish(B.cost_per_booking(spend, silver, mapping), out_root)
+
+
+# Id columns whose NULL rows are dropped when the file has them.
+LANDING_ID_COLUMNS = ["PROVNUM", "CMS Certification Number (CCN)", "State or Nation"]
+
+
+def csv_landing_job(spark: SparkSession, csv_path: str, dest_root: str) -> str:
+    """Land one delivered CSV as partitioned Parquet under ``dest_root/tables/<table>``.
+
+    The table name comes from the file name; columns are read as text (the
+    files' layouts differ, and no inference scan is run), rows with NULL ids are
+    dropped when those columns exist, strings are trimmed, year / month / day
+    come from the file's date column, and rows are appended partitioned by
+    them. Returns the table name.
+    """
+    from tidemark.functions.columns import table_name_from_file
+    from tidemark.operators.clean import date_parts, drop_null_if_present, trim_all_strings
+    from tidemark.sources.readers import write_partitioned
+    name = spark.range(1).select(table_name_from_file(F.lit(csv_path.rstrip("/").split("/")[-1]))
+                                 .alias("t")).first()["t"]
+    df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(csv_path)
+    df = date_parts(trim_all_strings(drop_null_if_present(df, LANDING_ID_COLUMNS)))
+    parts = [c for c in ("year", "month", "day") if c in df.columns]
+    write_partitioned(df, f"{dest_root}/tables/{name}", parts, mode="append")
+    return name
