@@ -25,17 +25,21 @@ REV_SQL = "(item_price * item_quantity + option_price * option_quantity)"
 GAP_TIEBREAK = ["order_id", "lineitem_id", "restaurant_id"]
 
 
-def final_fact(spark, sf_dir) -> DataFrame:
-    """The final fact for ``sf_dir``, written once per application and reused."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def base_fact(spark, sf_dir) -> DataFrame:
+    """The cleaned, joined sales fact for ``sf_dir``, written once per application and reused."""
+    key = (spark.sparkContext.applicationId, sf_dir, "base")
     if key not in _FACT_CACHE:
-        df = R.sales_fact_final(v_items(spark, sf_dir), v_opts(spark, sf_dir), v_cal(spark, sf_dir))
-        _FACT_CACHE[key] = materialize(df, "final_fact")
+        df = R.sales_fact(v_items(spark, sf_dir), v_opts(spark, sf_dir), v_cal(spark, sf_dir))
+        _FACT_CACHE[key] = materialize(df, "sales_fact")
     return _FACT_CACHE[key]
 
 
-def base_fact(spark, sf_dir) -> DataFrame:
-    return R.sales_fact(v_items(spark, sf_dir), v_opts(spark, sf_dir), v_cal(spark, sf_dir))
+def final_fact(spark, sf_dir) -> DataFrame:
+    """The final fact (with CLV and RFM) for ``sf_dir``, written once per application and reused."""
+    key = (spark.sparkContext.applicationId, sf_dir, "final")
+    if key not in _FACT_CACHE:
+        _FACT_CACHE[key] = materialize(R.final_from_fact(base_fact(spark, sf_dir)), "final_fact")
+    return _FACT_CACHE[key]
 
 
 def for_period(df: DataFrame, year: int, month: int | None = None) -> DataFrame:
