@@ -44,13 +44,16 @@ def get_session(master: str | None = None, app: str = "tidemark",
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (local
-    tests) a private folder is created and registered as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset on a
+    local master (tests) a private folder is created and registered; on a
+    cluster an unset setting is an error, never a machine-local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
