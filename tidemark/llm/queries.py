@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import language_id, line_dedup, packing, quality, url_filter
+from tidemark.llm import language_id, line_dedup, minhash, packing, quality, url_filter
 from tidemark.llm.common import table
 
 QUERIES = {
     "op1_pack": lambda s, d: packing.op1(table(s, d, "documents")),
+    "op3_minhash": lambda s, d: minhash.op3(table(s, d, "documents")),
     "op6_quality": lambda s, d: quality.op6(table(s, d, "documents"), table(s, d, "labels")),
     "op7_url_rules": lambda s, d: url_filter.op7(table(s, d, "pages")),
     "op9_language": lambda s, d: language_id.op9(table(s, d, "documents")),
