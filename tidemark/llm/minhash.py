@@ -3,10 +3,10 @@
 1. One Arrow pass hashes each text's 5-word shingles and keeps ``BANDS * ROWS`` minima: their low ``BITS`` bits packed
    into a signature, and one key per band. Documents with equal sets are one class from here on (smallest id).
 2. Classes that share a band key are candidates. A bucket is never expanded into pairs: first each class meets only the
-   best-estimated hub (smallest id) of its buckets. Buckets whose classes still lie in different components are cut
-   into blocks, block pairs compare signatures by bit counts, and only classes of different components whose estimate
-   may reach the threshold come out: the best few first, then, in the last round, all that remain.
-3. Every candidate is confirmed on the full sets, read again from the text of the documents concerned.
+   best-estimated hub (smallest id) of its buckets, and confirmed links form components.
+3. Buckets whose classes still lie in different components are cut into blocks of bounded bytes. A task holds two
+   blocks: signatures are compared by bit counts, each pair only in the first band it shares, and what may reach the
+   threshold is confirmed on the full sets there. A task emits at most a spanning forest of the components it joins.
 
 A pair at a similarity of 0.75 shares no band with probability (1 - 0.75**5)**48 = 2.3e-6, and the estimate misses it
 beyond six standard deviations. Hot groups: copies collapse by a partial minimum, hub rows are linear in the bucket,
@@ -30,8 +30,9 @@ ROWS, BANDS, BITS = 5, 48, 4
 MINIMA = ROWS * BANDS
 FACTOR = np.random.default_rng(1999).integers(1, 1 << 63, MINIMA, dtype=U64) * U64(2) + U64(1)
 PLACE = np.random.default_rng(2001).integers(1, 1 << 63, ROWS, dtype=U64) * U64(2) + U64(1)
-BLOCK = 256              # classes of a bucket per block
-BEST = 4                 # candidates per class and component in the first block round
+BLOCK = 256              # classes of a bucket per block, if their sets are small
+BLOCK_SHINGLES = 500_000 # shingles of a bucket per block (4 MB)
+CONFIRM = 32             # candidates of one class confirmed at once
 CHUNK = 2048             # shingles hashed at once
 NIBBLES = U64(0x1111111111111111)
 
@@ -140,29 +141,44 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return p.where(linked("sa", "sb")).select("a", "b")
 
 
-def _block_pairs(rows: DataFrame, floor: float, best: int | None) -> DataFrame:
-    """Candidates (a, b) within groups (key, i, j): different components, estimate at least ``floor``.
-
-    ``best``: per class and other component only that many, the highest estimates; None: all.
-    """
-    def group(pdf: pd.DataFrame) -> list[tuple[int, int]]:
-        ids, comp, sig, half = pdf["id"].to_numpy(), pdf["comp"].to_numpy(), _words(pdf["sig"]), pdf["blk"].to_numpy()
-        found = []
-        for x in range(len(ids)):
-            # Two blocks: only across them (within a block is another group's work); one block: each pair once.
-            other = np.flatnonzero((half != half[x]) if half.min() != half.max() else np.arange(len(ids)) > x)
-            other = other[(comp[other] != comp[x])]
-            if not len(other):
-                continue
-            e = estimate(sig[x], sig[other])
-            other, e = other[e >= floor], e[e >= floor]
-            if best is not None and len(other) > best:
-                order = np.lexsort((ids[other], -e))
-                rank = pd.Series(comp[other][order]).groupby(comp[other][order]).cumcount().to_numpy()
-                other = other[order[rank < best]]
-            found += [(min(ids[x], y), max(ids[x], y)) for y in ids[other]]
-        return found
-
+def _common(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of sorted ``x`` with each of ``others``."""
+    every = np.concatenate(others)
+    hit = x[np.minimum(np.searchsorted(x, every), len(x) - 1)] == every
+    return np.add.reduceat(hit, np.r_[0, np.cumsum([len(o) for o in others])[:-1]], dtype=np.int64)
+
+
+def _group_links(pdf: pd.DataFrame, floor: float, percent: int) -> list[tuple[int, int]]:
+    """Links between components of one group (key, i, j), as pairs of component ids."""
+    root, blk = pdf["comp"].to_numpy().copy(), pdf["blk"].to_numpy()
+    sig, bands = _words(pdf["sig"]), np.stack(pdf["bands"].to_numpy())
+    sets = [np.frombuffer(s, U64) for s in pdf["s"]]
+    size = np.array([len(s) for s in sets])
+    band = int((bands[0] == pdf["key"].iloc[0]).argmax())
+    across, found = pdf["i"].iloc[0] != pdf["j"].iloc[0], []
+    for x in range(len(root) - 1):
+        fits = (root[x + 1:] != root[x]) & (100 * np.minimum(size[x + 1:], size[x]) >= percent * np.maximum(size[x + 1:], size[x]))
+        if across:   # within a block is the work of the group (key, i, i)
+            fits &= blk[x + 1:] != blk[x]
+        other = np.flatnonzero(fits) + x + 1
+        other = other[(bands[other] == bands[x]).argmax(axis=1) == band] if len(other) else other
+        if not len(other):
+            continue
+        e = estimate(sig[other], sig[x])
+        other = other[np.argsort(-e, kind="stable")][:int((e >= floor).sum())]
+        while len(other):
+            some, other = other[:CONFIRM], other[CONFIRM:]
+            same = _common(sets[x], [sets[y] for y in some])
+            for y in some[100 * same >= percent * (size[x] + size[some] - same)]:
+                if root[y] != root[x]:
+                    found.append((int(root[x]), int(root[y])))
+                    root[root == root[y]] = root[x]
+            other = other[root[other] != root[x]]
+    return found
+
+
+def _block_links(rows: DataFrame, floor: float, percent: int) -> DataFrame:
+    """Links (a, b) between components, found within the groups (key, i, j)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for pdf in batches:
@@ -171,14 +187,13 @@ def _block_pairs(rows: DataFrame, floor: float, best: int | None) -> DataFrame:
             cut = np.flatnonzero((g[1:] != g[:-1]).any(axis=1)) + 1
             found = []
             for lo, hi in zip(np.r_[0, cut[:-1]], cut):
-                found += group(pdf.iloc[lo:hi])
+                found += _group_links(pdf.iloc[lo:hi], floor, percent)
             rest = pdf.iloc[cut[-1] if len(cut) else 0:]
-            yield pd.DataFrame(sorted(set(found)), columns=["a", "b"])
+            yield pd.DataFrame(found, columns=["a", "b"])
         if rest is not None and len(rest):
-            yield pd.DataFrame(group(rest), columns=["a", "b"])
+            yield pd.DataFrame(_group_links(rest, floor, percent), columns=["a", "b"])
 
-    sorted_rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sorted_rows.mapInPandas(run, "a long, b long").distinct()
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -193,12 +208,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     floor = floor_for(percent / 100)
     s = materialize(sketch(docs, key, text, shingle), "sketch")
     reps = s.where("cls IS NOT NULL AND k IS NOT NULL").groupBy("cls").agg(F.min("k").alias("rep"))
-    own = s.where("k IS NOT NULL").select("cls", F.col("k").alias("rep"), "bands", "sig")
+    own = s.where("k IS NOT NULL").select("cls", F.col("k").alias("rep"), "n", "bands", "sig")
     classes = materialize(own.join(reps, ["cls", "rep"]).dropDuplicates(["cls", "rep"])
-                          .select(F.col("rep").alias("id"), "bands", "sig"), "classes")
+                          .select(F.col("rep").alias("id"), "n", "bands", "sig"), "classes")
     sig = classes.select("id", "sig")
 
-    banded = classes.select("id", F.explode("bands").alias("key"))
+    banded = classes.select("id", "n", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
     buckets = materialize(banded.join(shared.select("key", "hub"), "key"), "buckets")
     sets = materialize(_sets(docs, buckets.select("id").distinct(), key, text, shingle), "sets")
@@ -214,26 +229,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     nearest = hubs.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")).select("a", "b")
     labels = components(_confirmed(nearest, sets, percent))
 
-    for best in (BEST, None):
-        comp = F.coalesce("comp", "id").alias("comp")
-        placed = buckets.join(labels, "id", "left").select("key", "id", comp)
-        mixed = placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("size")) \
-            .where("c1 < c2").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-        open_rows = placed.join(mixed, "key").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        dealt = open_rows.select("key", "id", "comp", "blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")) \
-            .select("key", "id", "comp", "blk", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"))
-        pairs = _block_pairs(dealt.join(sig, "id"), floor, best)
-        # Links between components; the components of these smaller graphs complete the labels.
-        links = _confirmed(pairs, sets, percent)
-        at = labels.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
-        bt = labels.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
-        links = links.join(at, "a", "left").join(bt, "b", "left") \
-            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-        more = components(links)
-        up = more.select(F.col("id").alias("comp"), F.col("comp").alias("up"))
-        moved = labels.join(up, "comp", "left").select("id", F.coalesce("up", "comp").alias("comp"))
-        # A component's own smallest id has no label yet; it gets one when its component moves.
-        labels = materialize(moved.union(more), "labels")
+    comp = F.coalesce("comp", "id").alias("comp")
+    placed = buckets.join(labels, "id", "left").select("key", "id", comp, "n")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), blocks.alias("blocks")) \
+        .where("c1 < c2").select("key", "blocks")
+    dealt = placed.join(mixed, "key").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
+        .select("key", "id", "comp", "blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")) \
+        .select("key", "id", "comp", "blk", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"))
+    held = classes.select("id", "sig", "bands").join(sets.dropDuplicates(["id"]), "id")
+    links = _block_links(dealt.join(held, "id"), floor, percent)
+    # Components of this smaller graph over components complete the labels.
+    more = materialize(components(links), "more")
+    up = more.select(F.col("id").alias("comp"), F.col("comp").alias("up"))
+    moved = labels.join(up, "comp", "left").select("id", F.coalesce("up", "comp").alias("comp"))
+    # A component's own smallest id has no label yet; it gets one when its component moves.
+    labels = moved.union(more)
 
     rep = s.select("k", "n", "cls").join(reps, "cls", "left").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("cls").isNull(), F.col("k")).otherwise(F.coalesce("comp", "rep"))
