@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,3 +25,17 @@ def id_crc_mod(col: str, m: int) -> Column:
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(c, UPPER, UPPER.lower())
+
+
+def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The runs of equal ``keys`` in batches that are sorted by them; a run that spans batches comes out whole."""
+    rest = None
+    for pdf in batches:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        g = pdf[keys].to_numpy()
+        cut = np.flatnonzero((g[1:] != g[:-1]).any(axis=1)) + 1
+        for lo, hi in zip(np.r_[0, cut[:-1]], cut):
+            yield pdf.iloc[lo:hi]
+        rest = pdf.iloc[cut[-1] if len(cut) else 0:]
+    if rest is not None and len(rest):
+        yield rest

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import groups
 from tidemark.llm.textnum import U64, mix, shingle_set
 from tidemark.operators.materialize import materialize
 
@@ -180,18 +181,13 @@ def _group_links(pdf: pd.DataFrame, floor: float, percent: int) -> list[tuple[in
 def _block_links(rows: DataFrame, floor: float, percent: int) -> DataFrame:
     """Links (a, b) between components, found within the groups (key, i, j)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for pdf in batches:
-            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            g = pdf[["key", "i", "j"]].to_numpy()
-            cut = np.flatnonzero((g[1:] != g[:-1]).any(axis=1)) + 1
-            found = []
-            for lo, hi in zip(np.r_[0, cut[:-1]], cut):
-                found += _group_links(pdf.iloc[lo:hi], floor, percent)
-            rest = pdf.iloc[cut[-1] if len(cut) else 0:]
-            yield pd.DataFrame(found, columns=["a", "b"])
-        if rest is not None and len(rest):
-            yield pd.DataFrame(_group_links(rest, floor, percent), columns=["a", "b"])
+        found = []
+        for group in groups(batches, ["key", "i", "j"]):
+            found += _group_links(group, floor, percent)
+            if len(found) > 10_000:
+                yield pd.DataFrame(found, columns=["a", "b"])
+                found = []
+        yield pd.DataFrame(found, columns=["a", "b"])
 
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInPandas(run, "a long, b long")
 
