@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import bm25, language_id, line_dedup, minhash, mixing, packing, quality, url_filter, vector_search
+from tidemark.llm import bm25, language_id, line_dedup, minhash, mixing, packing, quality, secrets, url_filter, vector_search
 from tidemark.llm.common import table
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op1_pack": lambda s, d: packing.op1(table(s, d, "documents")),
     "op2_mix": lambda s, d: mixing.op2(table(s, d, "documents")),
     "op3_minhash": lambda s, d: minhash.op3(table(s, d, "documents")),
+    "op4_secrets": lambda s, d: secrets.op4(table(s, d, "documents")),
     "op5_bm25": lambda s, d: bm25.op5(table(s, d, "documents")),
     "op6_quality": lambda s, d: quality.op6(table(s, d, "documents"), table(s, d, "labels")),
     "op7_url_rules": lambda s, d: url_filter.op7(table(s, d, "pages")),
