@@ -36,8 +36,8 @@ def term_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [terms_of(t) for t in pdf["t"]]
-            yield pd.DataFrame({"id": pdf["id"], "words": [r[2] for r in rows], "terms": [r[0] for r in rows],
-                                "freqs": [r[1] for r in rows]})
+            yield pd.DataFrame({"id": pdf["id"], "words": [r[2] for r in rows], "terms": pd.Series([r[0] for r in rows], dtype=object),
+                                "freqs": pd.Series([r[1] for r in rows], dtype=object)})
 
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).where("id IS NOT NULL") \
         .mapInPandas(run, "id long, words long, terms array<long>, freqs array<int>")
@@ -148,7 +148,9 @@ def _search_block(index: DataFrame, queries: pd.DataFrame, mean: float, k: int)
         if held:
             shard(held)
         some = [q for q in range(len(ids)) if len(best[q][0])]
-        yield pd.DataFrame({"query_id": ids[some], "doc_ids": [best[q][1] for q in some], "scores": [best[q][0] for q in some]})
+        if some:
+            yield pd.DataFrame({"query_id": ids[some], "doc_ids": pd.Series([best[q][1] for q in some], dtype=object),
+                                "scores": pd.Series([best[q][0] for q in some], dtype=object)})
 
     return index.mapInPandas(run, "query_id long, doc_ids array<long>, scores array<double>")
 
