@@ -203,7 +203,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     floor = floor_for(percent / 100)
     s = materialize(sketch(docs, key, text, shingle), "sketch")
-    reps = s.where("cls IS NOT NULL AND k IS NOT NULL").groupBy("cls").agg(F.min("k").alias("rep"))
+    # Written, so that the joins below meet two plain exchanges, of which Spark can split a class of very many copies.
+    reps = materialize(s.where("cls IS NOT NULL AND k IS NOT NULL").groupBy("cls").agg(F.min("k").alias("rep")), "reps")
     own = s.where("k IS NOT NULL").select("cls", F.col("k").alias("rep"), "n", "bands", "sig")
     classes = materialize(own.join(reps, ["cls", "rep"]).dropDuplicates(["cls", "rep"])
                           .select(F.col("rep").alias("id"), "n", "bands", "sig"), "classes")
