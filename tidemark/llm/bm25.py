@@ -4,7 +4,8 @@ The term table (word hashes and frequencies per document) is written once; a sha
 task builds the shard's inverted index in memory. Document frequencies, document count and mean length are global, so
 shard results merge exactly. Queries come in blocks of bounded size. Per query and shard the maxima of its terms' posting
 blocks give an upper bound for every block of documents; the most promising blocks are scored first, and a block is
-skipped once its bound is below the k-th best score found so far.
+skipped once its bound is below the k-th best score found so far. Where most blocks stay open, as for queries of hundreds
+of words, the posting lists are scored whole.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from tidemark.llm.textnum import LOWER, word_hashes
 from tidemark.operators.materialize import materialize
 
 K1, B = 1.2, 0.75
-SHARD_DOCS, SHARD_POSTINGS = 16_384, 4_000_000   # a shard ends at either bound
+SHARD_DOCS, SHARD_POSTINGS = 8_192, 2_000_000    # a shard ends at either bound
+TASK_DOCS = 16_384                               # documents per task: a task passes on k results per query
 BLOCK = 64                                       # documents per block
 SLACK = 1e-9                                     # bounds and scores are sums in different order
 
@@ -69,6 +71,7 @@ class Shard:
         self.impact = freq * (K1 + 1) / (freq + K1 * (1 - B + B * length / mean))
         block = self.doc // BLOCK
         start = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (block[1:] != block[:-1])]) if len(at) else np.empty(0, np.int64)
+        self.posting = np.searchsorted(at, np.arange(len(vocabulary) + 1)).tolist()   # first posting of each term
         self.start = np.r_[start, len(at)]                       # first posting of each (term, block)
         self.block = block[start]
         self.most = np.maximum.reduceat(self.impact, start) if len(start) else np.empty(0)
@@ -84,18 +87,30 @@ class Shard:
             return best
         weight = np.repeat(weights, n)
         bound = np.bincount(self.block[entry], weights=self.most[entry] * weight, minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
+        full = len(best[0]) == k
+        open_blocks = np.flatnonzero((bound > 0) & (bound >= (best[0][-1] - SLACK if full else 0.0)))
+        if not full or len(open_blocks) * 4 > self.blocks:
+            # Most blocks are open: whole posting lists in order cost less per posting than picking blocks.
+            return self._score_all(query_id, terms, weights, k, best)
+        order = open_blocks[np.argsort(-bound[open_blocks], kind="stable")]
         at, step = 0, 2
         while at < len(order):
-            floor = best[0][-1] if len(best[0]) == k else 0.0
             wave = order[at:at + step]
-            wave = wave[(bound[wave] > 0) & (bound[wave] >= floor - SLACK)]
+            wave = wave[bound[wave] >= best[0][-1] - SLACK]
             if not len(wave):
                 break
             at, step = at + step, step * 4
             best = self._score(query_id, entry, weight, wave, k, best)
         return best
 
+    def _score_all(self, query_id, terms, weights, k, best):
+        score = np.zeros(self.blocks * BLOCK)
+        for t, w in zip(terms.tolist(), weights.tolist()):
+            lo, hi = self.posting[t], self.posting[t + 1]
+            if hi > lo:
+                score[self.doc[lo:hi]] += w * self.impact[lo:hi]   # a document occurs once in a list
+        return self._merge(query_id, np.arange(self.blocks), score, k, best)
+
     def _score(self, query_id, entry, weight, wave, k, best):
         slot = np.full(self.blocks, -1, np.int64)
         slot[wave] = np.arange(len(wave))
@@ -106,7 +121,15 @@ class Shard:
         doc = self.doc[post]
         local = slot[doc // BLOCK] * BLOCK + doc % BLOCK
         score = np.bincount(local, weights=self.impact[post] * np.repeat(w, n), minlength=len(wave) * BLOCK)
-        hit = np.flatnonzero(score > (best[0][-1] - SLACK if len(best[0]) == k else 0.0))
+        return self._merge(query_id, wave, score, k, best)
+
+    def _merge(self, query_id, wave, score, k, best):
+        """The best of ``best`` and the scores of the blocks ``wave``."""
+        if len(best[0]) == k:
+            floor = best[0][-1] - SLACK
+        else:   # one place more, for the query's own document
+            floor = np.partition(score, -k - 1)[-k - 1] - SLACK if len(score) > k else 0.0
+        hit = np.flatnonzero((score >= floor) & (score > 0))
         ids = self.ids[wave[hit // BLOCK] * BLOCK + hit % BLOCK]
         other = ids != query_id
         scores, ids = np.r_[best[0], score[hit][other]], np.r_[best[1], ids[other]]
@@ -120,7 +143,7 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
 
 
-def _search_block(index: DataFrame, queries: pd.DataFrame, mean: float, k: int) -> DataFrame:
+def _search_block(index: DataFrame, queries: pd.DataFrame, mean: float, k: int, tasks: int) -> DataFrame:
     vocabulary, at = np.unique(np.concatenate(queries["terms"].to_list()), return_inverse=True)
     cut = np.cumsum([len(t) for t in queries["terms"]])[:-1]
     shared = index.sparkSession.sparkContext.broadcast(
@@ -152,7 +175,7 @@ def _search_block(index: DataFrame, queries: pd.DataFrame, mean: float, k: int)
             yield pd.DataFrame({"query_id": ids[some], "doc_ids": pd.Series([best[q][1] for q in some], dtype=object),
                                 "scores": pd.Series([best[q][0] for q in some], dtype=object)})
 
-    return index.mapInPandas(run, "query_id long, doc_ids array<long>, scores array<double>")
+    return index.coalesce(tasks).mapInPandas(run, "query_id long, doc_ids array<long>, scores array<double>")
 
 
 def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text", k: int = 10,
@@ -183,7 +206,7 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     for part in range(blocks):
         some = weighed.where(F.col("part") == part).orderBy("id").toPandas()
         if len(some):
-            rows = _search_block(index, some, float(mean or 1) or 1.0, k)
+            rows = _search_block(index, some, float(mean or 1) or 1.0, k, max(1, -(-n // TASK_DOCS)))
             found = rows if found is None else found.union(rows)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
