@@ -109,6 +109,7 @@ class Shard:
             lo, hi = self.posting[t], self.posting[t + 1]
             if hi > lo:
                 score[self.doc[lo:hi]] += w * self.impact[lo:hi]   # a document occurs once in a list
+        score[np.flatnonzero(self.ids == query_id)] = 0
         return self._merge(query_id, np.arange(self.blocks), score, k, best)
 
     def _score(self, query_id, entry, weight, wave, k, best):
@@ -127,8 +128,8 @@ class Shard:
         """The best of ``best`` and the scores of the blocks ``wave``."""
         if len(best[0]) == k:
             floor = best[0][-1] - SLACK
-        else:   # one place more, for the query's own document
-            floor = np.partition(score, -k - 1)[-k - 1] - SLACK if len(score) > k else 0.0
+        else:
+            floor = np.partition(score, -k)[-k] - SLACK if len(score) > k else 0.0
         hit = np.flatnonzero((score >= floor) & (score > 0))
         ids = self.ids[wave[hit // BLOCK] * BLOCK + hit % BLOCK]
         other = ids != query_id
