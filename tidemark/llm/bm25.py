@@ -21,7 +21,7 @@ from tidemark.llm.textnum import LOWER, word_hashes
 from tidemark.operators.materialize import materialize
 
 K1, B = 1.2, 0.75
-SHARD_DOCS, SHARD_POSTINGS = 8_192, 2_000_000    # a shard ends at either bound
+SHARD_DOCS, SHARD_POSTINGS = 4_096, 1_000_000    # a shard ends at either bound
 TASK_DOCS = 16_384                               # documents per task: a task passes on k results per query
 BLOCK = 64                                       # documents per block
 SLACK = 1e-9                                     # bounds and scores are sums in different order
@@ -56,13 +56,14 @@ class Shard:
         at = np.searchsorted(vocabulary, term)
         at[at == len(vocabulary)] = 0
         own = vocabulary[at] == term if len(vocabulary) else np.zeros(len(term), bool)
-        at, doc, freq = at[own], doc[own], freq[own]
+        at, doc, freq = at[own].astype(np.int32), doc[own].astype(np.int32), freq[own]
+        del term, own
         # Documents with many common words in common lie together, so block maxima are sharper.
         common = np.bincount(at, minlength=len(vocabulary)).argsort()[::-1][:20]
         bit = np.zeros(len(vocabulary), np.int64)
         bit[common] = 1 << np.arange(len(common))[::-1]
         order = np.lexsort((words, np.bincount(doc, weights=bit[at], minlength=len(ids))))
-        place = np.empty(len(ids), np.int64)
+        place = np.empty(len(ids), np.int32)
         place[order] = np.arange(len(ids))
         self.ids, doc = ids[order], place[doc]
         sort = np.lexsort((doc, at))
@@ -162,8 +163,8 @@ def _search_block(index: DataFrame, queries: pd.DataFrame, mean: float, k: int,
 
         held, docs, postings = [], 0, 0
         for pdf in batches:
-            for lo in range(0, len(pdf), 1024):
-                part = pdf.iloc[lo:lo + 1024]
+            for lo in range(0, len(pdf), 512):
+                part = pdf.iloc[lo:lo + 512]
                 held.append(part)
                 docs, postings = docs + len(part), postings + int(part["terms"].map(len).sum())
                 if docs >= SHARD_DOCS or postings >= SHARD_POSTINGS:
