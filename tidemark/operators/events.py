@@ -77,7 +77,9 @@ def unwrap_envelope(raw: Column) -> tuple[Column, Column, Column]:
     real payload. ``event`` missing -> lead id ``unknown_lead``; a lead id missing
     inside ``event`` stays NULL. Invalid JSON gives is_valid = false.
     """
-    wrapped = raw.rlike(r'^\s*\{\s*"body"\s*:\s*"')
+    body = F.try_variant_get(F.try_parse_json(raw), "$.body", "variant")
+    # Wherever the key stands: only a non-empty text body wraps another payload.
+    wrapped = F.coalesce((F.schema_of_variant(body) == "STRING") & (F.get_json_object(raw, "$.body") != ""), F.lit(False))
     payload = F.when(wrapped, F.get_json_object(raw, "$.body")).otherwise(raw)
     valid = F.try_parse_json(raw).isNotNull() & F.try_parse_json(payload).isNotNull()
     event = F.get_json_object(payload, "$.event")
