@@ -29,6 +29,11 @@ EVENT_SCHEMA = StructType([
 ])
 
 
+def _utc_time(text: Column) -> Column:
+    """UTC wall time of a timestamp text; an offset counts, bad text is NULL (the session runs in UTC)."""
+    return F.try_to_timestamp(text).cast("timestamp_ntz")
+
+
 def flatten_event(df: DataFrame) -> DataFrame:
     """Nested booking event -> the 19 flat silver columns (+ ingested_at)."""
     p = "payload"
@@ -42,9 +47,9 @@ def flatten_event(df: DataFrame) -> DataFrame:
         F.col(f"{p}.scheduling_method").alias("scheduling_method"),
         F.col(f"{p}.timezone").alias("timezone"),
         F.col(f"{se}.event_type").alias("event_type"),
-        F.to_timestamp_ntz(F.col(f"{se}.created_at")).alias("event_create_time"),
-        F.to_timestamp_ntz(F.col(f"{se}.start_time")).alias("event_start_time"),
-        F.to_timestamp_ntz(F.col(f"{se}.end_time")).alias("event_end_time"),
+        _utc_time(F.col(f"{se}.created_at")).alias("event_create_time"),
+        _utc_time(F.col(f"{se}.start_time")).alias("event_start_time"),
+        _utc_time(F.col(f"{se}.end_time")).alias("event_end_time"),
         F.col(f"{se}.name").alias("event_name"),
         F.array_join(F.transform(F.col(f"{se}.event_memberships"), lambda m: m["user_name"]), ", ")
         .alias("host_user_names"),
@@ -113,8 +118,8 @@ MEDIA_SCHEMA = StructType([
 def visitor_flat(df: DataFrame, col: str = "raw") -> DataFrame:
     v = F.from_json(F.col(col), VISITOR_SCHEMA).alias("v")
     return df.select(v).select(
-        "v.visitor_key", F.to_timestamp_ntz("v.created_at").alias("created_at"),
-        F.to_timestamp_ntz("v.last_active_at").alias("last_active_at"), "v.last_event_key", "v.load_count",
+        "v.visitor_key", _utc_time(F.col("v.created_at")).alias("created_at"),
+        _utc_time(F.col("v.last_active_at")).alias("last_active_at"), "v.last_event_key", "v.load_count",
         "v.play_count", F.col("v.visitor_identity.name").alias("visitor_name"),
         F.col("v.visitor_identity.email").alias("visitor_email"),
         F.col("v.visitor_identity.org.name").alias("org_name"),
