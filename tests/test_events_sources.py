@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,15 +120,34 @@ def test_write_partitioned_spreads_hot_partition(spark, tmp_path):
     df = spark.range(3000).withColumn("p", F.when(F.col("id") < 2000, F.lit("hot")).otherwise(
         (F.col("id") % 5).cast("string")))
     out = str(tmp_path / "w")
-    # At this size AQE would merge the shuffle partitions back into one task.
-    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
     try:
-        write_partitioned(df, out, ["p"], rows_per_file=500)
+        write_partitioned(df.repartition(8), out, ["p"])
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+    write_partitioned(df, str(tmp_path / "plain"))
+    assert spark.read.parquet(str(tmp_path / "plain")).count() == 3000
     import os
     hot_files = [f for f in os.listdir(os.path.join(out, "p=hot")) if f.endswith(".parquet")]
     assert len(hot_files) >= 2
     back = spark.read.parquet(out)
     assert back.count() == 3000 and back.filter("p = 'hot'").count() == 2000
+
+
+def test_latest_within_matches_join(spark):
+    from tidemark.operators.joins import latest_within
+    r = random.Random(4)
+    base = dt.datetime(2024, 1, 1)
+    at = lambda: None if r.random() < 0.05 else base + dt.timedelta(seconds=r.randint(0, 4000))
+    who = lambda: None if r.random() < 0.05 else "hot" if r.random() < 0.6 else f"u{r.randint(0, 3)}"
+    left = spark.createDataFrame([(i, who(), at()) for i in range(300)], "lid int, u string, t timestamp_ntz")
+    right = spark.createDataFrame([(i, who(), at()) for i in range(300)], "oid int, ou string, ot timestamp_ntz")
+    got = {x.lid: x.oid for x in latest_within(left, right, [("u", "ou")], "t", "ot", 600, ["oid"]).collect()}
+    owners = right.collect()
+    want = {}
+    for x in left.collect():
+        hits = [o for o in owners if x.u and x.t and o.ot and o.ou == x.u and x.t <= o.ot <= x.t + dt.timedelta(seconds=600)]
+        want[x.lid] = max(hits, key=lambda o: (o.ot, o.oid)).oid if hits else None
+    assert got == want
+    assert latest_within(left.limit(0), right, [("u", "ou")], "t", "ot", 600).count() == 0

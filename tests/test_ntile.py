@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ntile import SortKey, global_ntile
+from tidemark.operators.ntile import SortKey, dealt_in_ranges, global_ntile
 
 
 def brute(df, n, order_cols, partition=()):
@@ -50,9 +50,23 @@ def test_descending_and_partitioned(spark):
 
 def test_no_single_partition_numbering(spark):
     df = spark.createDataFrame(rows(200, 1), "id long, v int, g string")
-    plan = global_ntile(df, 5, ["v", "id"], out="t", buckets=4)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(_bucket" in plan
-    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+    hot = df.withColumn("v", F.when(F.col("id") % 10 > 0, 7).otherwise(F.col("v")))
+    sizes = [r["count"] for r in dealt_in_ranges(hot, [SortKey("v"), SortKey("id")], rows_per_bucket=20)
+             .groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 60        # 90 % of the rows share one value
+    # The rows are dealt by Spark's range partitioning; the only single partition is the table of range sizes.
+    got = global_ntile(hot, 5, ["v", "id"], out="t", rows_per_bucket=20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") <= 1 and "Window" in plan
+    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "CartesianProduct" not in plan
+
+
+def test_null_groups_and_null_keys(spark):
+    df = spark.createDataFrame([(i, i % 4 or None, None if i % 3 == 0 else "ab"[i % 2]) for i in range(120)], "id long, v int, g string")
+    got = global_ntile(df, 4, ["v", "id"], out="t", partition_by=["g"], rows_per_bucket=10)
+    exp = brute(df, 4, [F.col("v").asc_nulls_first(), F.col("id")], partition=["g"])
+    j = got.join(exp, "id")
+    assert j.count() == 120 and j.filter(F.col("t") != F.col("expect")).count() == 0
 
 
 @pytest.mark.parametrize("buckets", [1, 3, 9])
@@ -69,7 +83,7 @@ def test_bucketed_lag_matches_window(spark, buckets):
     assert j.filter(~F.col("g").eqNullSafe(F.col("e"))).count() == 0
 
 
-def test_split_literals_of_awkward_types(spark):
+def test_keys_of_awkward_types(spark):
     import datetime as dt
     from decimal import Decimal
     r = random.Random(5)

@@ -8,10 +8,10 @@ from tidemark.operators.upsert import read_table
 from tidemark.streaming import jobs
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
+@pytest.mark.parametrize("buckets", [None, 1])
 def test_replayed_batch_is_noop(spark, tmp_path, buckets):
     d = str(tmp_path / "t")
-    cb = jobs.foreach_batch_upsert(spark, d, ["k"], stamps=("ins", "upd"), buckets=buckets,
+    cb = jobs.foreach_batch_upsert(spark, d, ["k"], stamps=("ins", "upd"), **(dict(bucketed=True, rows_per_bucket=buckets) if buckets else {}),
                                    now_of_batch=lambda b: F.lit(f"2024-01-0{b + 1}").cast("timestamp_ntz"))
     read = (lambda: jobs.read_bucketed(spark, d)) if buckets else (lambda: read_table(spark, d))
     b0 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")

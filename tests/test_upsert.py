@@ -61,18 +61,43 @@ def test_publish_pointer_and_compaction(spark, tmp_path):
 
 
 def test_bucketed_upsert_rewrites_only_touched(spark, tmp_path):
-    import os
-    d, stage = str(tmp_path / "tbl"), str(tmp_path / "stage")
+    d = str(tmp_path / "tbl")
     t = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    U.create_bucketed(t, d, ["k"], 16)
-    before = {p: os.path.getmtime(os.path.join(d, p)) for p in os.listdir(d) if p.startswith("_kb=")}
+    U.upsert_bucketed(spark, d, t, ["k"], rows_per_bucket=20)
+    before = U.current_version(d, spark)["buckets"]
     b = spark.createDataFrame([(5, -1), (500, 7)], "k long, v long")
-    n = U.upsert_bucketed(spark, d, b, ["k"], 16, stage)
-    assert 1 <= n <= 2
-    got = {r.k: r.v for r in spark.read.parquet(d).collect()}
+    n = U.upsert_bucketed(spark, d, b, ["k"], rows_per_bucket=20)
+    assert len(before) == 10 and 1 <= n <= 2
+    got = {r.k: r.v for r in U.read_bucketed(spark, d).collect()}
     assert len(got) == 201 and got[5] == -1 and got[500] == 7 and got[6] == 60
-    after = {p: os.path.getmtime(os.path.join(d, p)) for p in os.listdir(d) if p.startswith("_kb=")}
-    assert sum(1 for p in before if after.get(p) != before[p]) <= n
+    after = U.current_version(d, spark)["buckets"]
+    assert sum(1 for x in after if after[x] != before.get(x)) == n
+    U.upsert_bucketed(spark, d, spark.range(1000, 2000).select(F.col("id").alias("k"), F.lit(0).alias("v")), ["k"], rows_per_bucket=20)
+    assert U.current_version(d, spark)["n"] == 61 and U.read_bucketed(spark, d).count() == 1201      # dealt anew
+
+
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_crash_before_the_marker_then_retry(spark, tmp_path, monkeypatch, bucketed):
+    from tidemark.streaming import jobs
+    a = spark.createDataFrame([(i, "a") for i in range(40)], "k int, v string")
+    b = spark.createDataFrame([(i, "b") for i in range(20, 60)], "k int, v string")
+    opts = dict(bucketed=True, rows_per_bucket=8) if bucketed else {}
+    read = (lambda d: U.read_bucketed(spark, d)) if bucketed else (lambda d: U.read_table(spark, d))
+    clean, broken = str(tmp_path / "clean"), str(tmp_path / "broken")
+    for d in (clean, broken):
+        cb = jobs.foreach_batch_upsert(spark, d, ["k"], **opts)
+        for i, batch in enumerate((a, b)):
+            if d == broken:
+                with monkeypatch.context() as m:
+                    m.setattr(U.fs, "write_text", lambda *x, **y: (_ for _ in ()).throw(OSError("lost")))
+                    with pytest.raises(OSError):
+                        cb(batch, i)                 # files written, marker not
+                if i:
+                    assert read(d).count() == 40     # readers still see the version before
+            cb(batch, i)
+            cb(batch, i)                             # replay: no-op
+    rows = [sorted(map(tuple, read(d).collect())) for d in (clean, broken)]
+    assert rows[0] == rows[1] and len(rows[0]) == 60
 
 
 def test_scd2_publish_open_closed(spark, tmp_path):

@@ -24,19 +24,19 @@ def null_tokens_to_null(c: ColumnOrName, tokens) -> Column:
     return F.when(col.isin(list(tokens)) | (col == ""), F.lit(None).cast("string")).otherwise(col)
 
 
-def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
-    """Sum computed exactly in decimal, returned as double.
+def exact_sum(c: ColumnOrName, scale: int = 10) -> Column:
+    """Sum computed exactly in decimal, returned as double. Values keep ``scale`` digits after the point.
 
     Double sums depend on the order rows arrive in; a decimal sum does not, so
     the same data always gives the same bits regardless of partitioning.
     """
-    return F.sum(_c(c).cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(_c(c).cast(f"decimal(28,{scale})")).cast("double")
 
 
-def mean_of(c: ColumnOrName, scale: int = 2) -> Column:
+def mean_of(c: ColumnOrName, scale: int = 10) -> Column:
     """Order-independent mean: exact decimal sum / non-null count (NULL if none)."""
     col = _c(c)
-    return F.try_divide(F.sum(col.cast(f"decimal(18,{scale})")).cast("double"),
+    return F.try_divide(F.sum(col.cast(f"decimal(28,{scale})")).cast("double"),
                         F.count(col).cast("double"))
 
 

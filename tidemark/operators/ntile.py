@@ -1,27 +1,28 @@
-"""Exact NTILE over a whole table (or per group) without a single-task window.
+"""Exact NTILE and lag over a whole table (or per group) without a single-task window.
 
-``Window.orderBy(x)`` with no partition moves every row into one task. Here
-the sort key is cut into ranges by split points taken from a bounded sample;
-each range is numbered in its own task and a small table of range sizes turns
-local row numbers into global positions. Sampling only balances the work: the
-tile of every row is exact and equals ``NTILE(n) OVER (ORDER BY ...)``.
+``Window.orderBy(x)`` with no partition moves every row into one task, and a
+window partitioned by a hot key moves that key into one. Here Spark's own range
+partitioning deals the rows by the whole composite key (groups, sort keys,
+tie-breaks); inside a range a row's place is its position in the sorted
+partition, and a small table of range sizes turns places into global positions.
+The plan is the same at every size: the number of ranges follows the row count.
 
-Split points are compared on the whole composite key (partition columns, sort
-keys, tie-breaks), so a key value that holds a large share of the rows is
-spread over several ranges by the following columns.
+The dealt rows are written once, because range bounds come from a sample: every
+later step reads the same assignment, also after a lost executor.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
-_NUMERIC_DESC_ERR = "descending sort keys must be numeric (they are negated)"
+from tidemark.operators.materialize import materialize
+
+ROWS_PER_RANGE = 1_000_000
+_PLACE_BITS = 33            # monotonically_increasing_id: partition number above, row position below
 
 
 @dataclass(frozen=True)
@@ -30,83 +31,16 @@ class SortKey:
     ascending: bool = True
     nulls_first: bool | None = None  # None = Spark default (asc: first, desc: last)
 
-    @property
-    def nf(self) -> bool:
-        return self.ascending if self.nulls_first is None else self.nulls_first
-
     def order_expr(self) -> Column:
         c = F.col(self.col)
+        nulls_first = self.ascending if self.nulls_first is None else self.nulls_first
         if self.ascending:
-            return c.asc_nulls_first() if self.nf else c.asc_nulls_last()
-        return c.desc_nulls_first() if self.nf else c.desc_nulls_last()
+            return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
+        return c.desc_nulls_first() if nulls_first else c.desc_nulls_last()
 
 
 def _as_keys(order) -> list[SortKey]:
-    out = []
-    for o in order:
-        if isinstance(o, SortKey):
-            out.append(o)
-        elif isinstance(o, str):
-            out.append(SortKey(o))
-        else:
-            out.append(SortKey(*o))
-    return out
-
-
-def _norm_fields(df: DataFrame, keys: list[SortKey]) -> list[tuple[str, Column]]:
-    """Ascending-comparable fields: (null rank, value or -value) per key."""
-    fields = []
-    for i, k in enumerate(keys):
-        c = F.col(k.col)
-        rank = F.when(c.isNull(), F.lit(0 if k.nf else 1)).otherwise(F.lit(1 if k.nf else 0))
-        if not k.ascending:
-            if not isinstance(df.schema[k.col].dataType, NumericType):
-                raise TypeError(_NUMERIC_DESC_ERR)
-            c = -c
-        fields.append((f"_nk{i}_r", rank.cast("int")))
-        fields.append((f"_nk{i}_v", c))
-    return fields
-
-
-def _sql_literal(v, dtype) -> str:
-    """SQL text of a split-point value, cast to the field type."""
-    t = dtype.simpleString()
-    if v is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, str):
-        return "CAST('" + v.replace("\\", "\\\\").replace("'", "\\'") + f"' AS {t})"
-    if isinstance(v, float):
-        if v != v:
-            return f"CAST('NaN' AS {t})"
-        if v in (float("inf"), float("-inf")):
-            return f"CAST('{'Infinity' if v > 0 else '-Infinity'}' AS {t})"
-        return f"CAST({v!r}D AS {t})" if "e" not in repr(v) else f"CAST('{v!r}' AS {t})"
-    if isinstance(v, dt.datetime):
-        return f"CAST('{v.isoformat(sep=' ')}' AS {t})"
-    if isinstance(v, dt.date):
-        return f"CAST(DATE '{v.isoformat()}' AS {t})"
-    return f"CAST('{v}' AS {t})"
-
-
-def _bucket_sql(key: str, key_type, splits: list[list]) -> str:
-    """Balanced decision tree over the split points (number of splits <= key) as SQL text.
-
-    ``key`` names the struct of normalized fields; Spark compares structs field
-    by field, so each node is one native comparison. Built as text and parsed
-    once, so a few hundred split points cost one call, not thousands.
-    """
-    lits = ["named_struct(" + ", ".join(f"'{f.name}', {_sql_literal(v, f.dataType)}"
-                                        for v, f in zip(sp, key_type.fields)) + ")" for sp in splits]
-
-    def build(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi + 1) // 2
-        return f"CASE WHEN {key} < {lits[mid - 1]} THEN {build(lo, mid - 1)} ELSE {build(mid, hi)} END"
-
-    return build(0, len(splits))
+    return [o if isinstance(o, SortKey) else SortKey(o) if isinstance(o, str) else SortKey(*o) for o in order]
 
 
 def tile_of(idx: Column, total: Column, n: int) -> Column:
@@ -119,127 +53,76 @@ def tile_of(idx: Column, total: Column, n: int) -> Column:
             .otherwise(r + F.floor((idx - big - 1) / q) + 1)).cast("int")
 
 
-def choose_split_points(df: DataFrame, names: list[str], buckets: int, total: int,
-                        oversample: int = 24, seed: int = 17) -> list[list]:
-    """Up to ``buckets - 1`` distinct composite split points from a bounded sample."""
-    if buckets <= 1 or total == 0:
-        return []
-    want = buckets * oversample
-    frac = min(1.0, want / total)
-    sample = (df.select(*names).sample(False, frac, seed)
-              .orderBy(*[F.col(n).asc_nulls_first() for n in names])
-              .limit(want * 2).collect())
-    if not sample:
-        return []
-    step = len(sample) / buckets
-    pts, last = [], None
-    for i in range(1, buckets):
-        row = list(sample[min(len(sample) - 1, int(i * step))])
-        if row != last:
-            pts.append(row)
-            last = row
-    return pts
-
-
-def assign_buckets(df: DataFrame, keys: list[SortKey], buckets: int | None = None,
-                   rows_per_bucket: int = 1_000_000, max_buckets: int = 128,
-                   stats_from: DataFrame | None = None,
-                   total: int | None = None) -> tuple[DataFrame, DataFrame, int, int]:
-    """Add ``_bucket``: the range of the composite key ``keys`` each row falls in.
-
-    Returns (df with _bucket, stats source with _bucket, number of ranges, row count).
-    Count and split points come from ``stats_from`` (default ``df``), which must
-    hold the same rows; pass a materialized table so those passes are cheap
-    and the (possibly expensive) ``df`` plan runs once.
+def dealt_in_ranges(df: DataFrame, keys: Sequence[SortKey], buckets: int | None = None,
+                    rows_per_bucket: int = ROWS_PER_RANGE, total: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted on ``keys``, with ``_bucket`` (range number) and ``_place``
+    (position in it, from 0), written to the shared folder.
+
+    Ranges ascend with the key, so equal leading keys lie in neighbouring ranges. Only rows equal in all of
+    ``keys`` cannot be parted: give tie-breaks up to a unique key.
     """
-    src = stats_from if stats_from is not None else df
-    fields = _norm_fields(src, keys)
-    names = [f for f, _ in fields]
-    if total is None:
-        total = src.count()
     if buckets is None:
-        buckets = max(1, min(max_buckets, math.ceil(total / rows_per_bucket)))
-    src_keyed = src.select("*", *[c.alias(f) for f, c in fields])
-    splits = choose_split_points(src_keyed, names, buckets, total)
-
-    key_type = src_keyed.select(F.struct(*names).alias("k")).schema["k"].dataType
-    bucket_sql = _bucket_sql("_nkey", key_type, splits) if splits else None
+        rows = df.count() if total is None else total
+        buckets = max(2, -(-rows // rows_per_bucket))
+    order = [k.order_expr() for k in keys]
+    placed = (df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
+              .withColumn("_place", F.monotonically_increasing_id()))
+    return materialize(placed.withColumns({
+        "_bucket": F.shiftright("_place", _PLACE_BITS).cast("int"),
+        "_place": F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))}), "ranges")
 
-    def with_bucket(frame: DataFrame) -> DataFrame:
-        if not splits:
-            return frame.withColumn("_bucket", F.lit(0))
-        keyed = frame.withColumn("_nkey", F.struct(*[c.alias(f) for f, c in _norm_fields(frame, keys)]))
-        return keyed.withColumn("_bucket", F.expr(bucket_sql).cast("int")).drop("_nkey")
 
-    return with_bucket(df), with_bucket(src), len(splits) + 1, total
+def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    cond = F.lit(True)
+    for a, b in pairs:
+        cond = cond & left[a].eqNullSafe(right[b])
+    return cond
 
 
-def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by=(),
-                 buckets: int | None = None, rows_per_bucket: int = 1_000_000,
-                 max_buckets: int = 128, stats_from: DataFrame | None = None,
+def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by: Sequence[str] = (),
+                 buckets: int | None = None, rows_per_bucket: int = ROWS_PER_RANGE,
                  total: int | None = None) -> DataFrame:
     """Add ``out`` = NTILE(n) OVER (PARTITION BY partition_by ORDER BY order).
 
     ``order`` is a list of column names, ``(name, ascending)`` pairs or
-    :class:`SortKey`. Give a full tie-break so the result is reproducible.
-    ``stats_from``: a materialized frame with the same rows and order columns
-    (see :func:`assign_buckets`); by default ``df`` itself, which should then
-    be cheap to re-read.
+    :class:`SortKey`. Give a full tie-break so the result is reproducible and
+    equal keys can be parted. ``total`` saves the counting pass over ``df``.
     """
-    pcols = list(partition_by)
-    keys = [SortKey(p) for p in pcols] + _as_keys(order)
-    keyed, src, n_ranges, total = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from,
-                                                 total)
-
-    part = [*pcols, "_bucket"]
-    w_local = Window.partitionBy(*part).orderBy(*[k.order_expr() for k in _as_keys(order)])
-    numbered = keyed.withColumn("_rn", F.row_number().over(w_local))
-    if n_ranges == 1 and not pcols:
-        # One range (small input): positions are the row numbers, N is known.
-        return numbered.withColumn(out, tile_of(F.col("_rn"), F.lit(total), n)).drop("_bucket", "_rn")
-
-    sizes = src.groupBy(*part).agg(F.count(F.lit(1)).alias("_cnt"))
-    w_prefix = Window.partitionBy(*pcols).orderBy("_bucket")
+    groups = list(partition_by)
+    dealt = dealt_in_ranges(df, [*_as_keys(groups), *_as_keys(order)], buckets, rows_per_bucket, total)
+    # One row per (group, range). A group's rows are neighbours, so its first place in a range is known.
+    sizes = dealt.groupBy("_bucket", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_place").alias("_from"))
+    before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(
-        *part,
-        F.coalesce(F.sum("_cnt").over(w_prefix.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_before"),
-        F.sum("_cnt").over(Window.partitionBy(*pcols)).alias("_total"),
-    )
-    # Without groups the size table has at most ``buckets`` rows: broadcast it.
-    # With groups its size follows the group count; AQE picks the join.
-    sizes = F.broadcast(sizes) if not pcols else sizes
-    res = numbered.join(sizes, on=part, how="inner")
-    res = res.withColumn(out, tile_of(F.col("_before") + F.col("_rn"), F.col("_total"), n))
-    return res.drop("_bucket", "_rn", "_before", "_total")
+        F.col("_bucket").alias("_b"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+        (F.coalesce(F.sum("_cnt").over(before), F.lit(0)) - F.col("_from")).alias("_shift"),
+        F.sum("_cnt").over(Window.partitionBy(*groups)).alias("_total"))
+    res = dealt.join(sizes, (dealt["_bucket"] == sizes["_b"])
+                     & _same(dealt, sizes, [(g, f"_g{i}") for i, g in enumerate(groups)]), "inner")
+    res = res.withColumn(out, tile_of(F.col("_place") + F.col("_shift") + 1, F.col("_total"), n))
+    return res.select(*df.columns, out)
 
 
 def bucketed_lag(df: DataFrame, key: str, order, value: str, out: str, buckets: int | None = None,
-                 rows_per_bucket: int = 1_000_000, max_buckets: int = 128,
-                 stats_from: DataFrame | None = None) -> DataFrame:
+                 rows_per_bucket: int = ROWS_PER_RANGE, total: int | None = None) -> DataFrame:
     """``lag(value) OVER (PARTITION BY key ORDER BY order)`` without one task per key.
 
-    Rows are cut into ranges of the composite key (key, order...), so a key
-    holding a large share of the rows spans several ranges. Inside a range the
-    lag is a normal window; the first row of a key in a range takes the last
-    ``value`` of that key in the previous range (ranges of one key are
-    contiguous). ``value`` must be the first ``order`` column (ascending), so the
-    last value of a range is its maximum.
+    A key holding a large share of the rows spans several ranges of (key,
+    order...). Inside a range the lag is a normal window; the first row of a key
+    in a range takes the last ``value`` of that key in the range before, from a
+    table with one row per (key, range). ``value`` must be the first ``order``
+    column (ascending), so the last value of a range is its maximum.
     """
     okeys = _as_keys(order)
     if okeys[0].col != value or not okeys[0].ascending:
         raise ValueError("value must be the leading ascending order column")
-    keys = [SortKey(key)] + okeys
-    keyed, src, n_ranges, _ = assign_buckets(df, keys, buckets, rows_per_bucket, max_buckets, stats_from)
-    if n_ranges == 1:
-        w1 = Window.partitionBy(key).orderBy(*[k.order_expr() for k in okeys])
-        return keyed.withColumn(out, F.lag(F.col(value)).over(w1)).drop("_bucket")
-    w = Window.partitionBy("_bucket", key).orderBy(*[k.order_expr() for k in okeys])
-    local = keyed.withColumn("_lag", F.lag(F.col(value)).over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    tails = (src.groupBy("_bucket", key).agg(F.max(value).alias("_tail"))
-             .select((F.col("_bucket") + 1).alias("_bucket"), key, "_tail"))
-    # The windowed rows are already hash-partitioned on (_bucket, key): only the
-    # per-range tail table moves for this join.
-    j = local.join(tails, on=["_bucket", key], how="left")
+    dealt = dealt_in_ranges(df, [SortKey(key), *okeys], buckets, rows_per_bucket, total)
+    w = Window.partitionBy("_bucket", key).orderBy("_place")
+    local = dealt.withColumns({"_lag": F.lag(value).over(w), "_first": F.row_number().over(w) == 1})
+    tails = dealt.groupBy("_bucket", key).agg(F.max(value).alias("_max"))
+    tails = tails.select(F.col("_bucket").alias("_b"), F.col(key).alias("_k"),
+                         F.lag("_max").over(Window.partitionBy(key).orderBy("_bucket")).alias("_tail"))
+    # The windowed rows are already hash-partitioned on (_bucket, key): only the tail table moves for this join.
+    j = local.join(tails, (local["_bucket"] == tails["_b"]) & local[key].eqNullSafe(tails["_k"]), "left")
     val = F.when(F.col("_first"), F.col("_tail")).otherwise(F.col("_lag"))
-    return j.withColumn(out, val).drop("_bucket", "_lag", "_first", "_tail")
+    return j.withColumn(out, val).select(*df.columns, out)

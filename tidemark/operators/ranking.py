@@ -51,19 +51,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequen
 
 
 def gap_days(df: DataFrame, key: str, date: str, tiebreak: Sequence[str] = (),
-             out: str = "days_between_orders", distributed: bool = True, buckets: int | None = None,
-             stats_from: DataFrame | None = None) -> DataFrame:
+             out: str = "days_between_orders", distributed: bool = True, buckets: int | None = None) -> DataFrame:
     """Days since the previous row of the same key ordered by date (+tie-break).
 
     ``distributed`` (default) numbers ranges of (key, date, tie-break) instead
     of whole keys, so one key with a large share of the rows does not become
     one task (see :func:`tidemark.operators.ntile.bucketed_lag`). The input
-    should be cheap to re-read (materialized) or ``stats_from`` given.
+    is read twice (count, dealing), so it should be materialized.
     """
     if distributed:
         from tidemark.operators.ntile import SortKey, bucketed_lag
         order = [SortKey(date)] + [SortKey(t) for t in tiebreak]
-        lagged = bucketed_lag(df, key, order, date, "_prev", buckets=buckets, stats_from=stats_from)
+        lagged = bucketed_lag(df, key, order, date, "_prev", buckets=buckets)
         return lagged.withColumn(out, F.datediff(F.col(date), F.col("_prev"))).drop("_prev")
     w = Window.partitionBy(key).orderBy(F.col(date).asc_nulls_first(),
                                         *[F.col(t).asc_nulls_first() for t in tiebreak])

@@ -1,21 +1,23 @@
 """Upserts (SCD1), history tables (SCD2) and file compaction on plain Parquet.
 
-Without a table format, a table is a directory of versions ``v=<n>/`` plus
-commit markers ``_commits/<n>.json``. A version becomes visible only when its
-marker is created, after all its files are written; markers are created with
-overwrite disabled, so a second writer of the same version fails instead of
-clobbering. Readers take the highest marker. All file operations go through
-Hadoop's FileSystem API, so the same code runs on local disk, HDFS or S3A.
+Without a table format, a table is a set of data directories plus commit
+markers ``_commits/<n>.json``. A writer puts its files into a new directory of
+its own and then commits a marker that names the directories of the version;
+readers follow the highest marker. A writer that dies before its marker leaves
+an unused directory and the retry succeeds. Single writer per table. All file
+operations go through Hadoop's FileSystem API.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.materialize import materialize
 from tidemark.sources import fs
 
 COMMITS = "_commits"
@@ -46,24 +48,24 @@ def read_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
     cur = current_version(table_dir, spark)
     if cur is None:
         return None
-    return spark.read.parquet(f"{table_dir}/v={cur['version']}")
+    return spark.read.parquet(f"{table_dir}/{cur['data']}")
 
 
-def publish(df: DataFrame, table_dir: str, batch_id: int | None = None, partition_by: Sequence[str] = ()) -> int:
-    """Write ``df`` as the next version, then commit it with a new marker file.
-
-    Single writer per table; a concurrent writer fails on the data directory or
-    the marker (both are created without overwrite).
-    """
-    spark = df.sparkSession
-    cur = current_version(table_dir, spark)
+def _commit(spark: SparkSession, table_dir: str, cur: dict | None, **content) -> int:
     nxt = 0 if cur is None else cur["version"] + 1
+    fs.write_text(spark, f"{table_dir}/{COMMITS}/{nxt}.json", json.dumps({"version": nxt, **content}))
+    return nxt
+
+
+def publish(df: DataFrame, table_dir: str, batch_id: int | None = None, partition_by: Sequence[str] = ()) -> int:
+    """Write ``df`` to a new directory, then commit it as the next version."""
+    data = f"data-{uuid.uuid4().hex}"
     w = df.write.mode("error").option("compression", "snappy")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(f"{table_dir}/v={nxt}")
-    fs.write_text(spark, f"{table_dir}/{COMMITS}/{nxt}.json", json.dumps({"version": nxt, "batch_id": batch_id}))
-    return nxt
+    w.parquet(f"{table_dir}/{data}")
+    spark = df.sparkSession
+    return _commit(spark, table_dir, current_version(table_dir, spark), batch_id=batch_id, data=data)
 
 
 # ------------------------------------------------------------------ SCD1 upsert
@@ -86,7 +88,7 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     unmatched batch rows are inserted when ``insert`` (both stamps = now).
     ``newer_only`` = a timestamp column: update only when the batch row is newer
     (the reference updates unconditionally, so this is off by default).
-    One full-outer join on the keys; AQE handles skewed keys.
+    One full-outer join on the keys, which are unique on both sides.
     """
     keys = list(keys)
     if check_keys:
@@ -177,56 +179,81 @@ def scd2_current(history: DataFrame, valid_to: str = "valid_to") -> DataFrame:
 
 
 # ------------------------------------------------------------------ compaction
-def compact(df: DataFrame, by: str, files: int, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Range-cluster on ``by`` into ``files`` partitions, sorted inside each,
-    so Parquet min/max statistics skip row groups on ``by`` filters. The row
-    multiset is unchanged. ``tiebreak`` columns join the range key so a
-    ``by`` value holding a large share of the rows is split over several
-    files (tasks) instead of one."""
+def compact(df: DataFrame, by: str, files: int | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Range-cluster on ``by``, sorted inside each partition, so Parquet min/max
+    statistics skip row groups on ``by`` filters. The row multiset is unchanged.
+    Without ``files`` the partition count follows the data (shuffle partitions,
+    merged by AQE to its advisory size). ``tiebreak`` columns join the range key so
+    a ``by`` value holding a large share of the rows is split over several tasks."""
     cols = [F.col(by), *[F.col(c) for c in tiebreak]]
-    return df.repartitionByRange(files, *cols).sortWithinPartitions(*cols)
+    dealt = df.repartitionByRange(*cols) if files is None else df.repartitionByRange(files, *cols)
+    return dealt.sortWithinPartitions(*cols)
 
 
-# ------------------------------------------------------------------ bucketed in-place upsert
+# ------------------------------------------------------------------ bucketed upsert
 KEY_BUCKET = "_kb"
+ROWS_PER_KEY_BUCKET = 1_000_000
 
 
 def key_bucket(keys: Sequence[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
-def create_bucketed(df: DataFrame, table_dir: str, keys: Sequence[str], n: int) -> None:
-    """Write a table hash-bucketed on ``keys`` into ``n`` partition directories."""
-    (df.withColumn(KEY_BUCKET, key_bucket(keys, n)).repartition(KEY_BUCKET)
-     .write.mode("error").option("compression", "snappy").partitionBy(KEY_BUCKET).parquet(table_dir))
+def read_bucketed(spark: SparkSession, table_dir: str, only: Sequence[int] | None = None) -> DataFrame | None:
+    """The committed rows of a bucketed table, or of the buckets ``only`` of it. None: no commit, or no such bucket."""
+    cur = current_version(table_dir, spark)
+    if cur is None:
+        return None
+    wanted = cur["buckets"] if only is None else {str(b): cur["buckets"][str(b)] for b in only if str(b) in cur["buckets"]}
+    if not wanted:
+        return None
+    paths = [f"{table_dir}/{data}/{KEY_BUCKET}={b}" for b, data in wanted.items()]
+    return spark.read.schema(cur["schema"]).parquet(*paths)
 
 
-def upsert_bucketed(spark: SparkSession, table_dir: str, batch: DataFrame, keys: Sequence[str], n: int,
-                    staging_dir: str, **upsert_opts) -> int:
-    """MERGE ``batch`` into a key-bucketed table, rewriting only touched buckets.
+def upsert_bucketed(spark: SparkSession, table_dir: str, batch: DataFrame, keys: Sequence[str],
+                    batch_id: int | None = None, rows_per_bucket: int = ROWS_PER_KEY_BUCKET, **upsert_opts) -> int:
+    """MERGE ``batch`` into a table hash-bucketed on ``keys``, rewriting only the buckets it touches.
 
-    The touched bucket ids (at most ``n`` integers) select target partitions
-    by partition pruning; the merged buckets are staged in ``staging_dir`` and
-    then swapped in with dynamic partition overwrite, so the cost follows the
-    batch, not the table. Returns the number of rewritten buckets. Each bucket
-    is replaced atomically; a batch touching many buckets is not atomic as a
-    whole (re-running the same batch is idempotent).
+    Each batch writes its buckets to a directory of its own; the marker then names the directory of every
+    bucket, so the whole batch becomes visible at once and a retry after a crash starts from the old version.
+    The number of buckets follows the row count: a table that outgrew twice its buckets is dealt anew.
+    Returns the number of rewritten buckets. The driver holds bucket numbers only, one per ``rows_per_bucket``.
     """
-    b = batch.withColumn(KEY_BUCKET, key_bucket(keys, n))
-    touched = sorted(r[0] for r in b.select(KEY_BUCKET).distinct().collect())
-    if not touched:
-        return 0
-    target = spark.read.parquet(table_dir).filter(F.col(KEY_BUCKET).isin(touched)).drop(KEY_BUCKET)
-    merged = upsert(target, batch, keys, **upsert_opts).withColumn(KEY_BUCKET, key_bucket(keys, n))
-    merged.write.mode("error").partitionBy(KEY_BUCKET).parquet(staging_dir)
-    staged = spark.read.parquet(staging_dir)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    batch = batch.persist()
     try:
-        staged.write.mode("overwrite").option("compression", "snappy").partitionBy(KEY_BUCKET).parquet(table_dir)
+        return _upsert_bucketed(spark, table_dir, batch, keys, batch_id, rows_per_bucket, upsert_opts)
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return len(touched)
+        batch.unpersist()
+
+
+def _upsert_bucketed(spark, table_dir, batch, keys, batch_id, rows_per_bucket, upsert_opts) -> int:
+    cur = current_version(table_dir, spark)
+    new = batch.count()
+    if not new:
+        return 0
+    rows = new + (cur["rows"] if cur else 0)              # at most; a matched row counts twice until the table is dealt anew
+    anew = cur is None or rows > 2 * rows_per_bucket * cur["n"]
+    if anew:
+        target = read_bucketed(spark, table_dir)
+        if target is not None:
+            rows = new + target.count()
+        n = -(-rows // rows_per_bucket)
+    else:
+        n = cur["n"]
+        touched = [r[0] for r in batch.select(key_bucket(keys, n)).distinct().collect()]
+        target = read_bucketed(spark, table_dir, touched)
+        if target is None:
+            target = spark.createDataFrame([], cur["schema"])
+    merged = upsert(target, batch, keys, **upsert_opts)
+    data = f"data-{uuid.uuid4().hex}"
+    (merged.withColumn(KEY_BUCKET, key_bucket(keys, n)).repartition(n, KEY_BUCKET).write.mode("error")
+     .option("compression", "snappy").partitionBy(KEY_BUCKET).parquet(f"{table_dir}/{data}"))
+    written = [x.split("=")[1] for x in fs.list_names(spark, f"{table_dir}/{data}") if x.startswith(f"{KEY_BUCKET}=")]
+    buckets = ({} if anew else dict(cur["buckets"])) | {b: data for b in written}
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema.fields)
+    _commit(spark, table_dir, cur, batch_id=batch_id, n=n, rows=rows, buckets=buckets, schema=schema)
+    return len(written)
 
 
 # ------------------------------------------------------------------ SCD2 on open / closed directories
@@ -248,11 +275,13 @@ def scd2_publish(spark: SparkSession, history_dir: str, batch: DataFrame, keys:
     check_unique(batch, keys)
     open_rows = read_table(spark, open_dir)
     applied = scd2_apply(open_rows, batch, keys, tracked, now, valid_from, valid_to, updated_at)
-    staged = f"{history_dir}/_stage/load={load_id}"
-    applied.write.mode("overwrite").parquet(staged)
-    res = spark.read.parquet(staged)
-    res.filter(F.col(valid_to).isNotNull()).write.mode("overwrite").parquet(f"{closed_dir}/load={load_id}")
-    publish(res.filter(F.col(valid_to).isNull()), open_dir, batch_id=load_id)
+    is_open = F.col(valid_to).isNull()
+    if open_rows is None:
+        publish(applied, open_dir, batch_id=load_id)      # a first load closes nothing
+        return
+    res = materialize(applied, "scd2_load")
+    res.filter(~is_open).write.mode("overwrite").parquet(f"{closed_dir}/load={load_id}")
+    publish(res.filter(is_open), open_dir, batch_id=load_id)
 
 
 def read_history(spark: SparkSession, history_dir: str) -> DataFrame:

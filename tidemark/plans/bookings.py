@@ -11,7 +11,7 @@ from tidemark.plans.views import v_book, v_mapping, v_spend
 
 def daily_bookings(silver: DataFrame, mapping: DataFrame) -> DataFrame:
     """Bookings per (meeting date, mapped channel); unmapped event types dropped."""
-    m = F.broadcast(mapping)  # the channel mapping is a fixed handful of rows
+    m = mapping
     j = silver.join(m, silver.event_type == m.event_type_uri, "inner")
     return (j.groupBy(F.to_date("event_start_time").alias("meeting_date"), "channel_name")
             .agg(F.count(F.lit(1)).alias("total_meetings_booked")))
@@ -24,7 +24,7 @@ def cost_per_booking(spend: DataFrame, silver: DataFrame, mapping: DataFrame) ->
     """
     daily = daily_bookings(silver, mapping)
     s = (spend.withColumn("spend_date", F.to_date("date", "yyyy-MM-dd")).drop("date")
-         .join(F.broadcast(mapping.select("channel_name")),
+         .join(mapping.select("channel_name"),
                F.col("channel") == F.col("channel_name"), "inner").drop("channel_name"))
     j = s.join(daily, (s.spend_date == daily.meeting_date) & (s.channel == daily.channel_name), "left")
     n = F.col("total_meetings_booked")
@@ -46,7 +46,7 @@ def channel_leaderboard(spend: DataFrame, silver: DataFrame, mapping: DataFrame)
     c = cost_per_booking(spend, silver, mapping)
     g = c.groupBy("marketing_channel").agg(
         F.sum("meetings_booked").alias("bookings"),
-        F.sum(F.col("ad_spend").cast("decimal(18,2)")).cast("double").alias("spend"))
+        F.sum(F.col("ad_spend").cast("decimal(28,10)")).cast("double").alias("spend"))
     g = g.withColumn("cpb", F.try_divide(F.col("spend"), F.col("bookings").cast("double")))
     # One row per channel: the ranking window over it is bounded.
     return g.withColumn("cpb_rank", F.rank().over(Window.orderBy(F.col("cpb").asc_nulls_last())))
@@ -118,8 +118,8 @@ ORACLES = {
     "bookings_weekly_source": W(VB) + "SELECT CAST(date_trunc('week', event_start_time) AS DATE) AS period_start, "
     "event_type AS source, COUNT(*) AS bookings FROM v_book GROUP BY ALL",
     "channel_leaderboard": W(VB, VM, VSP, DAILY, CPB) + "SELECT marketing_channel, CAST(SUM(meetings_booked) AS BIGINT) AS bookings, "
-    "CAST(SUM(CAST(ad_spend AS DECIMAL(18,2))) AS DOUBLE) AS spend, "
-    "CASE WHEN SUM(meetings_booked) = 0 THEN NULL ELSE CAST(SUM(CAST(ad_spend AS DECIMAL(18,2))) AS DOUBLE) / "
+    "CAST(SUM(CAST(ad_spend AS DECIMAL(28,10))) AS DOUBLE) AS spend, "
+    "CASE WHEN SUM(meetings_booked) = 0 THEN NULL ELSE CAST(SUM(CAST(ad_spend AS DECIMAL(28,10))) AS DOUBLE) / "
     "CAST(SUM(meetings_booked) AS DOUBLE) END AS cpb, "
     "CAST(rank() OVER (ORDER BY cpb ASC NULLS LAST) AS INTEGER) AS cpb_rank FROM v_cpb GROUP BY marketing_channel",
     "booking_heatmap": W(VB) + "SELECT CAST(hour(event_start_time) AS INTEGER) AS hour, "
@@ -145,7 +145,7 @@ _Q = {
     "cost_per_booking": lambda s, sf: cost_per_booking(v_spend(s, sf), v_book(s, sf), v_mapping(s)),
     "left_join_compound": lambda s, sf: cost_per_booking(v_spend(s, sf), v_book(s, sf), v_mapping(s)),
     "count_by_day_channel": lambda s, sf: daily_bookings(v_book(s, sf), v_mapping(s)),
-    "inner_join_mapping": lambda s, sf: v_book(s, sf).join(F.broadcast(v_mapping(s)),
+    "inner_join_mapping": lambda s, sf: v_book(s, sf).join(v_mapping(s),
                                                            F.col("event_type") == F.col("event_type_uri")),
     "bookings_daily_source": lambda s, sf: bookings_by_period(v_book(s, sf), "day"),
     "bookings_weekly_source": lambda s, sf: bookings_by_period(v_book(s, sf), "week"),

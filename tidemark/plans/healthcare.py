@@ -107,7 +107,8 @@ def staff_vs_load(staff):
 def staff_occupancy_corr(ps):
     return ps.groupBy("state").agg(
         F.round(F.corr("total_nurse_hrs", "mds_census"), 6).alias("corr_hours_census"),
-        F.round(F.corr("total_nurse_hrs", "bed_utilization_rate"), 6).alias("corr_hours_util"))
+        F.round(F.corr("total_nurse_hrs", "bed_utilization_rate"), 6).alias("corr_hours_util"),
+        F.round(F.corr("total_nurse_hrs", "score"), 6).alias("corr_hours_readmission"))
 
 
 # ------------------------------------------------------------------ oracle text
@@ -123,7 +124,7 @@ VPS = """v_ps AS (SELECT s.provider_name, s.state, s.month AS month_x, s.day, s.
   CASE WHEN p.number_of_certified_beds = 0 THEN NULL
        ELSE CAST(s.mds_census AS DOUBLE) / CAST(p.number_of_certified_beds AS DOUBLE) * 100 END AS bed_utilization_rate
   FROM v_staff s LEFT JOIN v_prov p ON s.provider_name = p.provider_name)"""
-HRS = "CAST(SUM(CAST(total_nurse_hrs AS DECIMAL(18,2))) AS DOUBLE)"
+HRS = "CAST(SUM(CAST(total_nurse_hrs AS DECIMAL(28,10))) AS DOUBLE)"
 RATE = ("CASE WHEN SUM(mds_census) = 0 THEN NULL ELSE "
         f"{HRS} / CAST(SUM(mds_census) AS DOUBLE) END")
 
@@ -158,7 +159,7 @@ ORACLES = {
     "hc_staff_vs_load": W(VS) + _topsql(f"SELECT provider_name, {RATE} AS hours_per_resident FROM v_staff "
                                         "GROUP BY provider_name", "hours_per_resident", False),
     "hc_staff_occupancy_corr": W(VS, VP, VPS) + "SELECT state, ROUND(corr(total_nurse_hrs, mds_census), 6) AS "
-    "corr_hours_census, ROUND(corr(total_nurse_hrs, bed_utilization_rate), 6) AS corr_hours_util FROM v_ps "
+    "corr_hours_census, ROUND(corr(total_nurse_hrs, bed_utilization_rate), 6) AS corr_hours_util, ROUND(corr(total_nurse_hrs, score), 6) AS corr_hours_readmission FROM v_ps "
     "GROUP BY state",
 }
 for _desc, _sfx in ((True, "top"), (False, "bottom")):

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import within_join
-from tidemark.operators.ranking import latest_per_key
+from tidemark.operators.joins import latest_within
 from tidemark.plans.registry import register
 from tidemark.plans.views import table
 
 WAIT = "12 hours"
-WAIT_SECONDS = {"10 minutes": 600, "20 minutes": 1200, "12 hours": 43200}
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def wait_seconds(wait: str) -> int:
+    """Seconds of a text like ``10 minutes``."""
+    number, unit = wait.split()
+    return int(number) * UNIT_SECONDS[unit.rstrip("s")]
 
 
 def v_leads(spark, sf):
@@ -33,13 +38,11 @@ def v_owners(spark, sf):
 def enrich_leads(leads: DataFrame, owners: DataFrame, wait: str = WAIT) -> DataFrame:
     """Each lead with the latest owner record that arrived within ``wait``.
 
-    Equi-join on the user and a time slot plus the exact time-range condition
-    (:func:`within_join`); leads without an owner record in the window keep NULL
-    owner fields. Builds the notification text.
+    One row per lead (:func:`latest_within`); leads without an owner record in the
+    window keep NULL owner fields. Builds the notification text.
     """
-    j = within_join(leads, owners, [("user_id", "owner_user_id")], "date_created", "owner_ts",
-                    WAIT_SECONDS[wait], how="left")
-    j = latest_per_key(j, ["lead_id"], "owner_ts", ["owner_event_id"])
+    j = latest_within(leads, owners, [("user_id", "owner_user_id")], "date_created", "owner_ts",
+                      wait_seconds(wait), ["owner_event_id"])
     msg = F.concat_ws(" | ", F.concat(F.lit("New lead: "), F.col("display_name")),
                       F.concat(F.lit("id "), F.col("lead_id").cast("string")),
                       F.concat(F.lit("status "), F.col("status_label")),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import exact_sum, mean_of, season
 from tidemark.operators.materialize import materialize
-from tidemark.operators.ntile import SortKey, global_ntile
+from tidemark.operators.ntile import global_ntile
 from tidemark.operators.ranking import gap_days, top_k
 from tidemark.plans import restaurant as R
 from tidemark.plans.oracle_views import RESTAURANT, with_views
@@ -440,9 +440,8 @@ PRICE_ORDER = ["item_price", "item_quantity", "option_price", "option_quantity"]
     "(SELECT *, CAST(NTILE(10) OVER (PARTITION BY year, month ORDER BY item_price, item_quantity, option_price, "
     "option_quantity) AS INTEGER) AS price_bucket FROM v_fact) GROUP BY year, month, price_bucket"))
 def q_price_deciles(spark, sf):
-    f = final_fact(spark, sf).select("year", "month", *PRICE_ORDER)
-    t = global_ntile(f, 10, [SortKey(c) for c in PRICE_ORDER], out="price_bucket",
-                     partition_by=["year", "month"])
+    f = final_fact(spark, sf).select("year", "month", *PRICE_ORDER, *GAP_TIEBREAK)
+    t = global_ntile(f, 10, PRICE_ORDER + GAP_TIEBREAK, out="price_bucket", partition_by=["year", "month"])
     return (t.groupBy("year", "month", "price_bucket").agg(exact_sum(REV()).alias("bucket_revenue"))
             .orderBy("bucket_revenue"))
 
@@ -453,12 +452,10 @@ def q_price_deciles(spark, sf):
     "ORDER BY item_price, item_quantity, option_price, option_quantity) AS INTEGER) AS price_bucket FROM v_fact) "
     "GROUP BY ALL"))
 def q_ntile10(spark, sf):
-    f = final_fact(spark, sf).select("year", "month", *PRICE_ORDER)
-    # Per-month deciles through the range-split NTILE: a month holding a large
-    # share of the rows is numbered by several tasks. Small ranges here so the
-    # per-group carry across ranges is exercised by the oracle.
-    t = global_ntile(f, 10, [SortKey(c) for c in PRICE_ORDER], out="price_bucket",
-                     partition_by=["year", "month"], rows_per_bucket=5_000)
+    f = final_fact(spark, sf).select("year", "month", *PRICE_ORDER, *GAP_TIEBREAK)
+    # Small ranges here, so the carry of a month across ranges is exercised by the oracle.
+    t = global_ntile(f, 10, PRICE_ORDER + GAP_TIEBREAK, out="price_bucket", partition_by=["year", "month"],
+                     rows_per_bucket=5_000)
     return t.groupBy("year", "month", "price_bucket").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(F.col("item_price").cast("double")).alias("min_price"),
         F.max(F.col("item_price").cast("double")).alias("max_price"))
@@ -481,28 +478,28 @@ def q_at_risk(spark, sf):
     return r.withColumn("at_risk", F.col("days_since_last_order") > 45)
 
 
+# Period -> its columns; dimension -> its column. Every period meets every dimension.
+PERIODS = {"day": ["date_key"], "week": ["year", "week"], "month": ["year", "month"]}
+DIMENSIONS = {"location": "restaurant_id", "category": "item_category", "hour": "hour", "holiday": "is_holiday"}
+BREAKDOWNS = {f"{p}_{d}": [*pc, dc] for p, pc in PERIODS.items() for d, dc in DIMENSIONS.items()}
+_BREAKDOWN_COLS = ["date_key", "year", "week", "month", *DIMENSIONS.values()]
+_BREAKDOWN_SQL = "\nUNION ALL\n".join(
+    "SELECT " + ", ".join(c if c in cols else f"NULL AS {c}" for c in _BREAKDOWN_COLS)
+    + f", CAST(SUM{REV_SQL} AS DOUBLE) AS revenue, '{grain}' AS grain FROM f GROUP BY {', '.join(cols)}"
+    for grain, cols in BREAKDOWNS.items())
+
+
 @register("rev_breakdown", sql(
-    "SELECT date_key, year, week, month, restaurant_id, item_category, is_holiday, "
-    "CAST(hour(creation_time_utc) AS INTEGER) AS hour, "
-    f"CAST(SUM{REV_SQL} AS DOUBLE) AS revenue, "
-    "CASE WHEN GROUPING(restaurant_id) = 0 THEN 'day_location' WHEN GROUPING(item_category) = 0 "
-    "THEN 'week_category' WHEN GROUPING(is_holiday) = 0 THEN 'month_holiday' ELSE 'month_hour' END AS grain "
-    "FROM v_fact GROUP BY GROUPING SETS ((date_key, restaurant_id), (year, week, item_category), "
-    "(year, month, is_holiday), (year, month, hour(creation_time_utc)))"))
+    "SELECT * FROM (WITH f AS (SELECT *, CAST(hour(creation_time_utc) AS INTEGER) AS hour FROM v_fact) "
+    f"{_BREAKDOWN_SQL})"))
 def q_rev_breakdown(spark, sf):
-    """Revenue by day x location, week x category, month x holiday and month x hour in one
-    Expand (GROUPING SETS) over a single scan of the fact."""
-    f = final_fact(spark, sf).withColumn("hour", F.hour("creation_time_utc")).withColumn("_rev", REV())
-    sets = [["date_key", "restaurant_id"], ["year", "week", "item_category"], ["year", "month", "is_holiday"],
-            ["year", "month", "hour"]]
-    cols = ["date_key", "year", "week", "month", "restaurant_id", "item_category", "is_holiday", "hour"]
-    g = f.groupingSets(sets, *cols).agg(
-        exact_sum("_rev").alias("revenue"),
-        F.grouping("restaurant_id").alias("_g_loc"), F.grouping("item_category").alias("_g_cat"),
-        F.grouping("is_holiday").alias("_g_hol"))
-    grain = (F.when(F.col("_g_loc") == 0, "day_location").when(F.col("_g_cat") == 0, "week_category")
-             .when(F.col("_g_hol") == 0, "month_holiday").otherwise("month_hour"))
-    return g.withColumn("grain", grain).drop("_g_loc", "_g_cat", "_g_hol")
+    """Revenue by {day, week, month} x {location, category, hour, holiday}: twelve grouping sets over one scan of the fact."""
+    f = final_fact(spark, sf).withColumn("hour", F.hour("creation_time_utc"))
+    g = f.groupingSets(list(BREAKDOWNS.values()), *_BREAKDOWN_COLS).agg(
+        exact_sum(REV()).alias("revenue"), *[F.grouping(c).alias(f"_no_{c}") for c in _BREAKDOWN_COLS])
+    period = F.when(F.col("_no_date_key") == 0, "day").when(F.col("_no_week") == 0, "week").otherwise("month")
+    dimension = F.coalesce(*[F.when(F.col(f"_no_{c}") == 0, d) for d, c in DIMENSIONS.items()])
+    return g.withColumn("grain", F.concat(period, F.lit("_"), dimension)).select(*_BREAKDOWN_COLS, "revenue", "grain")
 
 
 @register("repeat_orders_by_loyalty", sql(

@@ -45,7 +45,7 @@ def q_csv_null_tokens(spark, sf):
         F.when(k % 13 == 0, F.lit("")).otherwise(F.col("size").cast("string")).alias("size"),
         F.concat(F.lit("Store, #"), k.cast("string")).alias("store_name"))
     path = scratch_path(spark, "stores_csv")
-    txt.coalesce(1).write.option("header", True).option("lineSep", "\r\n").option("emptyValue", "").csv(path)
+    txt.write.option("header", True).option("lineSep", "\r\n").option("emptyValue", "").csv(path)
     return read_csv(spark, path, STORES_SCHEMA, null_tokens_=("NA", "na"))
 
 
@@ -58,7 +58,7 @@ register("csv_null_tokens", """SELECT CAST(s_suppkey AS INTEGER) AS store_id,
 
 def q_parquet_glob(spark, sf):
     path = scratch_path(spark, "lineitem_parts")
-    table(spark, sf, "lineitem").repartition(4).write.parquet(path)
+    table(spark, sf, "lineitem").write.parquet(path)
     spark.read.parquet(f"{path}/*.parquet").createOrReplaceTempView("lineitem_parts")
     return spark.table("lineitem_parts")
 
@@ -77,13 +77,11 @@ register("parquet_snappy_write", "SELECT * FROM orders")(q_snappy)
 
 def q_partitioned_append(spark, sf):
     o = table(spark, sf, "orders")
-    # Monthly directories: ~80 of them here (daily ones would be ~2,400 tiny
-    # files per append at this scale); day stays a data column.
     o = o.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate"),
                        "day": F.dayofmonth("o_orderdate")})
-    path = scratch_path(spark, "orders_by_month")
-    write_partitioned(o.filter(F.col("o_orderkey") % 2 == 0), path, ["year", "month"])
-    write_partitioned(o.filter(F.col("o_orderkey") % 2 == 1), path, ["year", "month"])
+    path = scratch_path(spark, "orders_by_day")
+    write_partitioned(o.filter(F.col("o_orderkey") % 2 == 0), path, ["year", "month", "day"])
+    write_partitioned(o.filter(F.col("o_orderkey") % 2 == 1), path, ["year", "month", "day"])
     return spark.read.parquet(path)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 from tidemark.functions.columns import uri_segment
 from tidemark.operators.events import EVENT_SCHEMA
 from tidemark.plans.cleaning_q import FLAT_SQL, raw_events
-from tidemark.plans.leads import v_leads, v_owners
+from tidemark.plans.leads import ORACLE as LEADS_SQL, v_leads, v_owners
 from tidemark.plans.registry import register
 from tidemark.plans.upserts_q import _FLAT_COLS, SILVER_UPDATE, T0, T1, _split_key, dept_weeks, ts
 from tidemark.plans.views import table
@@ -20,9 +20,9 @@ from tidemark.streaming import jobs
 
 
 def _write_parts(df, path, fmt, parts, cond_of, **opts):
-    """Write ``parts`` files one after another (oldest first), one job each."""
+    """Write ``parts`` sets of files one after another (oldest first), one job each."""
     for i in range(parts):
-        w = df.filter(cond_of(i)).coalesce(1).write.mode("append").format(fmt)
+        w = df.filter(cond_of(i)).write.mode("append").format(fmt)
         for k, v in opts.items():
             w = w.option(k, v)
         w.save(path)
@@ -91,9 +91,9 @@ def q_upsert_stream(spark, sf):
     b = raw.select(F.from_json("raw", EVENT_SCHEMA).alias("j"), "ingested_at").select("j.*", "ingested_at")
     b = b.withColumn("_part", _third(F.to_timestamp_ntz("payload.scheduled_event.created_at")))
     for i in range(3):
-        b.filter(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(bronze)
-    # Key-bucketed silver table: each micro-batch rewrites only the buckets it touches.
-    jobs.silver_stream(spark, bronze, tdir, ck, SILVER_UPDATE, max_files=1, buckets=16)
+        b.filter(F.col("_part") == i).drop("_part").write.mode("append").parquet(bronze)
+        # One drain per arrival: each micro-batch rewrites only the key buckets it touches (small ones here).
+        jobs.silver_stream(spark, bronze, tdir, ck, SILVER_UPDATE, max_files=None, bucketed=True, rows_per_bucket=1_000)
     return jobs.read_bucketed(spark, tdir)
 
 
@@ -113,13 +113,13 @@ def q_stream_scd1(spark, sf):
     src, tdir, ck = (scratch_path(spark, n) for n in ("dept_changes", "dept_tbl", "ck_dept"))
     d = dept_weeks(spark, sf)
     k = _split_key()
-    d.filter(k % 3 != 0).coalesce(1).write.parquet(src)
-    (d.filter((k % 2 == 0) | (k % 3 == 0)).withColumn("weekly_sales", (F.col("weekly_sales") + 1).cast("decimal(12,2)"))
-     .coalesce(1).write.mode("append").parquet(src))
+    changed = d.filter((k % 2 == 0) | (k % 3 == 0)).withColumn("weekly_sales", (F.col("weekly_sales") + 1).cast("decimal(12,2)"))
     stamps = {0: T0, 1: T1}
-    # Key-bucketed target: each micro-batch rewrites only the buckets it touches.
-    jobs.change_stream_scd1(spark, src, d.schema, tdir, ck, ["store_id", "dept_id", "date"],
-                            now_of_batch=lambda b: ts(stamps.get(b, T1)), buckets=16)
+    for arrival in (d.filter(k % 3 != 0), changed):
+        arrival.write.mode("append").parquet(src)
+        # Key-bucketed target: each micro-batch rewrites only the buckets it touches.
+        jobs.change_stream_scd1(spark, src, d.schema, tdir, ck, ["store_id", "dept_id", "date"], max_files=None,
+                                now_of_batch=lambda b: ts(stamps.get(b, T1)), bucketed=True, rows_per_bucket=1_000)
     return jobs.read_bucketed(spark, tdir)
 
 
@@ -137,22 +137,9 @@ def q_delayed(spark, sf):
     out = jobs.delayed_enrich_stream(leads, owners, 12 * 3600)
     jobs._drain(out.writeStream.format("parquet").option("path", dst).option("checkpointLocation", ck)
                 .outputMode("append"))
-    return spark.read.parquet(dst).select("lead_id", "display_name", "lead_owner", "funnel")
-
-
-# Drained in one micro-batch: every (lead, owner) pair within the wait, plus the
-# unmatched leads whose wait window ended before the final watermark
-# (min over both streams of max event time - 1 hour). Leads still inside their
-# window stay in the join state, exactly as a live stream would hold them.
-DELAYED_SQL = """WITH l AS (SELECT event_id AS lead_id, user_id, 'Lead ' || CAST(user_id AS VARCHAR) AS display_name,
-  ts AS date_created FROM events WHERE event_type = 'signup'),
-o AS (SELECT user_id AS owner_user_id, ts AS owner_ts, 'owner' || CAST(user_id % 7 AS VARCHAR) AS lead_owner,
-  CASE WHEN value > 100 THEN 'enterprise' ELSE 'self-serve' END AS funnel FROM events WHERE event_type = 'purchase'),
-wm AS (SELECT LEAST((SELECT MAX(date_created) FROM l), (SELECT MAX(owner_ts) FROM o)) - INTERVAL 1 HOUR AS w),
-m AS (SELECT l.lead_id, l.display_name, o.lead_owner, o.funnel FROM l JOIN o ON l.user_id = o.owner_user_id
-  AND o.owner_ts >= l.date_created AND o.owner_ts <= l.date_created + INTERVAL 12 HOUR)
-SELECT * FROM m
-UNION ALL
-SELECT lead_id, display_name, NULL AS lead_owner, NULL AS funnel FROM l WHERE lead_id NOT IN (SELECT lead_id FROM m)
-  AND date_created < (SELECT w FROM wm) - INTERVAL 12 HOUR"""
-register("delayed_enrich_stream", DELAYED_SQL)(q_delayed)
+    done = jobs.one_row_per_lead(spark.read.parquet(dst), spark.read.parquet(ld))
+    return done.select("lead_id", "display_name", "lead_owner", "funnel")
+
+
+# The drained stream gives what the batch form gives: every lead once.
+register("delayed_enrich_stream", f"SELECT lead_id, display_name, lead_owner, funnel FROM ({LEADS_SQL})")(q_delayed)

@@ -94,33 +94,18 @@ def write_snappy(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, parts: Sequence[str], mode: str = "append",
-                      rows_per_file: int | None = 2_000_000, max_hot: int = 1000) -> None:
-    """Partitioned snappy Parquet, clustered on the partition keys.
-
-    Each task writes few partition directories. Partition values holding more
-    than ``rows_per_file`` rows are detected from a per-partition row count
-    (one row per partition value; at most ``max_hot`` hot values are read back)
-    and spread over ``ceil(count / rows_per_file)`` tasks by a row-hash salt, so
-    a value holding a third of the rows is not written by one task. Other
-    values stay in one file each. ``rows_per_file=None`` disables the check.
+def write_partitioned(df: DataFrame, path: str, parts: Sequence[str] = (), mode: str = "append") -> None:
+    """Snappy Parquet partitioned and clustered on ``parts`` (plain Parquet without any).
+
+    The REBALANCE hint deals rows by the partition columns and lets AQE merge
+    small partitions and split large ones to its advisory size
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so a partition value
+    holding a third of the rows is written by many tasks. ``df`` runs once.
     """
-    keys = [F.col(p) for p in parts]
-    if rows_per_file:
-        hot = (df.groupBy(*parts).count().filter(F.col("count") > rows_per_file)
-               .orderBy(F.col("count").desc()).limit(max_hot).collect())
-        if hot:
-            rowhash = F.xxhash64(*[F.col(c) for c in df.columns])
-            salt = F.lit(0)
-            for r in hot:
-                cond = F.lit(True)
-                for p in parts:
-                    cond = cond & F.col(p).eqNullSafe(F.lit(r[p]))
-                ways = -(-r["count"] // rows_per_file)
-                salt = F.when(cond, F.pmod(rowhash, F.lit(ways))).otherwise(salt)
-            keys.append(salt)
-    (df.repartition(*keys).write.mode(mode).option("compression", "snappy")
-     .partitionBy(*parts).parquet(path))
+    w = df.hint("rebalance", *parts).write.mode(mode).option("compression", "snappy")
+    if parts:
+        w = w.partitionBy(*parts)
+    w.parquet(path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,

@@ -16,12 +16,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.events import flatten_event
 from tidemark.operators.ranking import latest_per_key
-import json
-import uuid
-
-from tidemark.operators.upsert import (KEY_BUCKET, create_bucketed, current_version, publish, read_table, upsert,
-                                       upsert_bucketed)
-from tidemark.sources import fs
+from tidemark.operators.upsert import current_version, publish, read_bucketed, read_table, upsert, upsert_bucketed
 
 
 def _drain(writer) -> None:
@@ -55,52 +50,40 @@ def foreach_batch_upsert(spark: SparkSession, table_dir: str, keys: Sequence[str
                          update_cols: Sequence[str] | None = None, dedupe_ts: str | None = None,
                          dedupe_tiebreak: Sequence[str] = (), stamps: tuple[str, str] | None = None,
                          now_of_batch: Callable[[int], Column] | None = None,
-                         newer_only: str | None = None,
-                         buckets: int | None = None) -> Callable[[DataFrame, int], None]:
+                         newer_only: str | None = None, bucketed: bool = False,
+                         **bucket_opts) -> Callable[[DataFrame, int], None]:
     """Callback for ``foreachBatch``: dedupe the batch, MERGE it, commit.
 
-    Empty batches are skipped. Versioned form (default): the batch id is stored
-    in the table pointer, so a batch replayed after a failure is a no-op.
-    ``buckets=n``: the table is hash-bucketed on the keys and only the buckets a
-    batch touches are rewritten (cost follows the batch, not the table); the
-    last committed batch id is kept in ``_last_batch.json`` and re-applying a
-    half-committed batch is idempotent.
+    Empty batches are skipped. The batch id is stored in the commit marker of
+    the table, so a batch replayed after a failure is a no-op, and a batch that
+    died before its marker left nothing visible. ``bucketed``: the table is
+    hash-bucketed on the keys and only the buckets a batch touches are rewritten
+    (:func:`tidemark.operators.upsert.upsert_bucketed`, which takes ``bucket_opts``).
     """
-    marks = f"{table_dir}/_batches"
-
-    def done(batch_id: int) -> bool:
-        if buckets:
-            ids = [int(n.split(".")[0]) for n in fs.list_names(spark, marks) if n.endswith(".json")]
-            return bool(ids) and max(ids) >= batch_id
-        cur = current_version(table_dir, spark)
-        return cur is not None and cur.get("batch_id") is not None and cur["batch_id"] >= batch_id
-
     def callback(batch: DataFrame, batch_id: int) -> None:
-        if done(batch_id) or batch.isEmpty():
+        cur = current_version(table_dir, spark)
+        if cur is not None and cur.get("batch_id") is not None and cur["batch_id"] >= batch_id:
             return
         if dedupe_ts:
             batch = latest_per_key(batch, keys, dedupe_ts, dedupe_tiebreak)
         now = now_of_batch(batch_id) if now_of_batch else F.current_timestamp()
         opts = dict(update_cols=update_cols, stamps=stamps, now=now, newer_only=newer_only)
-        if not buckets:
-            publish(upsert(read_table(spark, table_dir), batch, keys, **opts), table_dir, batch_id=batch_id)
+        if bucketed:
+            upsert_bucketed(spark, table_dir, batch, keys, batch_id, **bucket_opts, **opts)
             return
-        if not fs.exists(spark, f"{table_dir}/_SUCCESS"):
-            create_bucketed(upsert(None, batch, keys, **opts), table_dir, keys, buckets)
-        else:
-            stage = f"{table_dir}/_stage/b={batch_id}-{uuid.uuid4().hex[:8]}"
-            upsert_bucketed(spark, table_dir, batch, keys, buckets, stage, **opts)
-        fs.write_text(spark, f"{marks}/{batch_id}.json", json.dumps({"batch_id": batch_id}), overwrite=True)
+        batch = batch.persist()        # read by the emptiness test, the key check and the merge
+        try:
+            if not batch.isEmpty():
+                publish(upsert(read_table(spark, table_dir), batch, keys, **opts), table_dir, batch_id=batch_id)
+        finally:
+            batch.unpersist()
 
     return callback
 
 
-def read_bucketed(spark: SparkSession, table_dir: str) -> DataFrame:
-    return spark.read.parquet(table_dir).drop(KEY_BUCKET)
-
-
 def silver_stream(spark: SparkSession, bronze_dir: str, table_dir: str, checkpoint: str,
-                  update_cols: Sequence[str], max_files: int | None = 1, buckets: int | None = None) -> None:
+                  update_cols: Sequence[str], max_files: int | None = 1, bucketed: bool = False,
+                  **bucket_opts) -> None:
     """Bronze table stream -> flatten -> per batch latest per invitee -> partial upsert."""
     schema = spark.read.parquet(bronze_dir).schema
     r = spark.readStream.schema(schema)
@@ -108,17 +91,20 @@ def silver_stream(spark: SparkSession, bronze_dir: str, table_dir: str, checkpoi
         r = r.option("maxFilesPerTrigger", max_files)
     flat = flatten_event(r.parquet(bronze_dir))
     cb = foreach_batch_upsert(spark, table_dir, ["invitee_id"], update_cols=update_cols, dedupe_ts="ingested_at",
-                              dedupe_tiebreak=["event_start_time"], buckets=buckets)
+                              dedupe_tiebreak=["event_start_time"], bucketed=bucketed, **bucket_opts)
     _drain(flat.writeStream.foreachBatch(cb).option("checkpointLocation", checkpoint))
 
 
 def change_stream_scd1(spark: SparkSession, src: str, schema: StructType, table_dir: str, checkpoint: str,
                        keys: Sequence[str], now_of_batch: Callable[[int], Column], fmt: str = "parquet",
-                       buckets: int | None = None) -> None:
+                       max_files: int | None = 1, bucketed: bool = False, **bucket_opts) -> None:
     """Append-only change files -> SCD1 merge per micro-batch (only when data arrived)."""
-    df = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).format(fmt).load(src)
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    df = r.format(fmt).load(src)
     cb = foreach_batch_upsert(spark, table_dir, keys, stamps=("insert_dts", "update_dts"), now_of_batch=now_of_batch,
-                              buckets=buckets)
+                              bucketed=bucketed, **bucket_opts)
     _drain(df.writeStream.foreachBatch(cb).option("checkpointLocation", checkpoint))
 
 
@@ -137,3 +123,15 @@ def delayed_enrich_stream(leads: DataFrame, owners: DataFrame, wait_seconds: int
     o = owners.withColumn("owner_ts", F.col("owner_ts").cast("timestamp")).withWatermark("owner_ts", delay)
     return within_join(l, o, [("user_id", "owner_user_id")], "date_created", "owner_ts", wait_seconds,
                        how="leftOuter")
+
+
+def one_row_per_lead(met: DataFrame, leads: DataFrame) -> DataFrame:
+    """The result of a drained :func:`delayed_enrich_stream`: each lead once.
+
+    ``met`` is what the stream wrote; a lead that met several owner records keeps the latest, and leads whose wait
+    was still open when the stream ended (they sit in its state) are closed with NULL owner fields.
+    """
+    latest = latest_per_key(met, ["lead_id"], "owner_ts", ["owner_event_id"])
+    waiting = leads.join(latest.select("lead_id"), "lead_id", "left_anti")
+    return latest.unionByName(waiting.withColumn("date_created", F.col("date_created").cast("timestamp")),
+                              allowMissingColumns=True)
