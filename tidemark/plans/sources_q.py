@@ -76,18 +76,16 @@ register("parquet_snappy_write", "SELECT * FROM orders")(q_snappy)
 
 
 def q_partitioned_append(spark, sf):
-    o = table(spark, sf, "orders")
-    o = o.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate"),
-                       "day": F.dayofmonth("o_orderdate")})
-    path = scratch_path(spark, "orders_by_day")
-    write_partitioned(o.filter(F.col("o_orderkey") % 2 == 0), path, ["year", "month", "day"])
-    write_partitioned(o.filter(F.col("o_orderkey") % 2 == 1), path, ["year", "month", "day"])
+    e = table(spark, sf, "events")
+    e = e.withColumns({"year": F.year("ts"), "month": F.month("ts"), "day": F.dayofmonth("ts")})
+    path = scratch_path(spark, "events_by_day")
+    write_partitioned(e.filter(F.col("event_id") % 2 == 0), path, ["year", "month", "day"])
+    write_partitioned(e.filter(F.col("event_id") % 2 == 1), path, ["year", "month", "day"])
     return spark.read.parquet(path)
 
 
-register("partitioned_append", """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year,
-  CAST(month(o_orderdate) AS INTEGER) AS month, CAST(day(o_orderdate) AS INTEGER) AS day FROM orders""")(
-    q_partitioned_append)
+register("partitioned_append", """SELECT *, CAST(year(ts) AS INTEGER) AS year,
+  CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day FROM events""")(q_partitioned_append)
 
 EVOLVED = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType()),
                       StructField("c_acctbal", DoubleType()), StructField("c_mktsegment", StringType()),
