@@ -17,11 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import arrow_rows
 from tidemark.llm.textnum import LOWER, word_hashes
 from tidemark.operators.materialize import materialize
 
 K1, B = 1.2, 0.75
-SHARD_DOCS, SHARD_POSTINGS = 4_096, 1_000_000    # a shard ends at either bound
+SHARD_DOCS, SHARD_POSTINGS = 4_096, 500_000    # a shard ends at either bound
+BATCH_DOCS = 256                                 # documents per Arrow batch
 TASK_DOCS = 16_384                               # documents per task: a task passes on k results per query
 BLOCK = 64                                       # documents per block
 SLACK = 1e-9                                     # bounds and scores are sums in different order
@@ -50,7 +52,7 @@ class Shard:
 
     def __init__(self, ids: np.ndarray, words: np.ndarray, terms: list, freqs: list, vocabulary: np.ndarray, mean: float):
         sizes = np.array([len(t) for t in terms])
-        doc = np.repeat(np.arange(len(ids)), sizes)
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
         term = np.concatenate([np.empty(0, np.int64), *terms])
         freq = np.concatenate([np.empty(0, np.int32), *freqs]).astype(np.float64)
         at = np.searchsorted(vocabulary, term)
@@ -163,13 +165,11 @@ def _search_block(index: DataFrame, queries: pd.DataFrame, mean: float, k: int,
 
         held, docs, postings = [], 0, 0
         for pdf in batches:
-            for lo in range(0, len(pdf), 512):
-                part = pdf.iloc[lo:lo + 512]
-                held.append(part)
-                docs, postings = docs + len(part), postings + int(part["terms"].map(len).sum())
-                if docs >= SHARD_DOCS or postings >= SHARD_POSTINGS:
-                    shard(held)
-                    held, docs, postings = [], 0, 0
+            held.append(pdf)
+            docs, postings = docs + len(pdf), postings + int(pdf["terms"].map(len).sum())
+            if docs >= SHARD_DOCS or postings >= SHARD_POSTINGS:
+                shard(held)
+                held, docs, postings = [], 0, 0
         if held:
             shard(held)
         some = [q for q in range(len(ids)) if len(best[q][0])]
@@ -190,7 +190,8 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     rows; columns other than ``key`` and ``text`` are ignored. Per pass ``query_block`` queries are broadcast.
     """
     spark = docs.sparkSession
-    index = materialize(term_table(docs, key, text), "terms")
+    with arrow_rows(spark, BATCH_DOCS):
+        index = materialize(term_table(docs, key, text), "terms")
     n, mean = index.agg(F.count("*"), F.avg("words")).first()
     frequency = materialize(index.select(F.explode("terms").alias("term")).groupBy("term")
                             .agg(F.count("*").alias("df")).where("df > 1"), "df")
@@ -208,7 +209,8 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     for part in range(blocks):
         some = weighed.where(F.col("part") == part).orderBy("id").toPandas()
         if len(some):
-            rows = _search_block(index, some, float(mean or 1) or 1.0, k, max(1, -(-n // TASK_DOCS)))
+            with arrow_rows(spark, BATCH_DOCS):
+                rows = materialize(_search_block(index, some, float(mean or 1) or 1.0, k, max(1, -(-n // TASK_DOCS))), "best")
             found = rows if found is None else found.union(rows)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
