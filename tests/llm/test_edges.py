@@ -302,6 +302,40 @@ def test_bm25(spark, odd, empty):
     assert set(bm25.search(odd, odd).toPandas()["query_id"]) >= {5, 10, 15}
 
 
+def test_bm25_shards_and_blocks(monkeypatch):
+    """Frequent and seldom words, many shards, equal texts in several of them: as scoring every document."""
+    import pandas as pd
+    monkeypatch.setattr(bm25, "FREQUENT", 12)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"{i % 3}v{min(int(z), 300)}" for z in rng.zipf(1.25, int(rng.integers(0, 80)))) for i in range(900)]
+    texts += [texts[17]] * 25 + ["", texts[400]]
+    rows = [bm25.terms_of(t) for t in texts]
+    words = np.array([r[2] for r in rows])
+    terms, df = np.unique(np.concatenate([r[0] for r in rows]), return_counts=True)
+    idf = np.log(1 + (len(rows) - df + .5) / (df + .5))
+    asked = [i for i in range(0, 927, 10) if words[i]]
+    at = [np.searchsorted(terms, rows[i][0]) for i in asked]
+    queries = bm25.Queries(pd.DataFrame({"id": asked, "terms": pd.Series([rows[i][0] for i in asked], dtype=object),
+                                         "weights": pd.Series([rows[i][1] * idf[a] for i, a in zip(asked, at)], dtype=object),
+                                         "dfs": pd.Series([df[a] for a in at], dtype=object)}))
+    table = pd.DataFrame({"id": range(len(rows)), "words": words, "terms": [r[0].tobytes() for r in rows],
+                          "freqs": [r[1].tobytes() for r in rows]}).sample(frac=1, random_state=1)
+    best = [(np.empty(0), np.empty(0, np.int64)) for _ in asked]
+    for lo in range(0, len(table), 130):
+        shard = bm25.Shard(table.iloc[lo:lo + 130].reset_index(drop=True), queries, words.mean())
+        for q in range(0, len(asked), 16):
+            shard.search(queries, q, min(q + 16, len(asked)), 10, best)
+    for q, query_id in enumerate(queries.ids):
+        weight = dict(zip(rows[query_id][0].tolist(), (rows[query_id][1] * idf[np.searchsorted(terms, rows[query_id][0])]).tolist()))
+        want = []
+        for i, (t, f, n) in enumerate(rows):
+            s = sum(weight.get(x, 0) * y * 2.2 / (y + 1.2 * (.25 + .75 * n / words.mean())) for x, y in zip(t.tolist(), f.tolist()))
+            if s > 0 and i != query_id:
+                want.append((-round(s, 8), i))
+        assert [i for _, i in sorted(want)[:10]] == best[q][1].tolist()
+        assert np.allclose([-s for s, _ in sorted(want)[:10]], best[q][0])
+
+
 def test_held_out_accuracy_and_clean_documents(spark):
     """Whole sf0.01 tables: language and quality against the given labels on the held-out folds."""
     sf = "/root/testdata/sf0.01"

@@ -2,10 +2,10 @@
 
 The term table (word hashes and frequencies per document) is written once; a shard is a bounded run of its rows, and a
 task builds the shard's inverted index in memory. Document frequencies, document count and mean length are global, so
-shard results merge exactly. Queries come in blocks of bounded size. Per query and shard the maxima of its terms' posting
-blocks give an upper bound for every block of documents; the most promising blocks are scored first, and a block is
-skipped once its bound is below the k-th best score found so far. Where most blocks stay open, as for queries of hundreds
-of words, the posting lists are scored whole.
+shard results merge exactly. Queries come in blocks of bounded size, and a task takes them in batches of similar ones.
+Posting lists of seldom words are read whole. Lists of the most frequent words, where nearly all postings are, lie in
+blocks of documents: a block's maxima and its best score from the seldom words give an upper bound, and a block is
+skipped once no query of the batch has a bound above the k-th best score it has found so far.
 """
 
 from __future__ import annotations
@@ -22,11 +22,13 @@ from tidemark.llm.textnum import LOWER, word_hashes
 from tidemark.operators.materialize import materialize
 
 K1, B = 1.2, 0.75
-SHARD_DOCS, SHARD_POSTINGS = 4_096, 500_000    # a shard ends at either bound
+SHARD_DOCS, SHARD_POSTINGS = 8_192, 2_000_000   # a shard ends at either bound
 BATCH_DOCS = 256                                 # documents per Arrow batch
-TASK_DOCS = 16_384                               # documents per task: a task passes on k results per query
 BLOCK = 64                                       # documents per block
-SLACK = 1e-9                                     # bounds and scores are sums in different order
+FREQUENT = 1_024                                 # words whose lists lie in blocks
+QUERY_BATCH = 128                                # queries that share a pass over the blocks
+QUERY_TERMS = 4_000_000                          # terms of a query block: what is broadcast
+SLACK = 1e-9                                     # share by which sums in another order may differ
 
 
 def terms_of(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
@@ -36,145 +38,157 @@ def terms_of(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     return t, n.astype(np.int32), len(w)
 
 
-def term_table(docs: DataFrame, key: str, text: str) -> DataFrame:
+def term_table(docs: DataFrame, key: str, text: str, packed: bool = False) -> DataFrame:
+    """(id, words, terms, freqs); ``packed``: the arrays as bytes of 64-bit and 32-bit integers."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [terms_of(t) for t in pdf["t"]]
-            yield pd.DataFrame({"id": pdf["id"], "words": [r[2] for r in rows], "terms": pd.Series([r[0] for r in rows], dtype=object),
-                                "freqs": pd.Series([r[1] for r in rows], dtype=object)})
+            terms, freqs = ([r[i].tobytes() if packed else r[i] for r in rows] for i in (0, 1))
+            yield pd.DataFrame({"id": pdf["id"], "words": [r[2] for r in rows], "terms": pd.Series(terms, dtype=object),
+                                "freqs": pd.Series(freqs, dtype=object)})
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).where("id IS NOT NULL") \
-        .mapInPandas(run, "id long, words long, terms array<long>, freqs array<int>")
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).where("id IS NOT NULL").mapInPandas(
+        run, "id long, words long, " + ("terms binary, freqs binary" if packed else "terms array<long>, freqs array<int>"))
+
+
+def document_frequency(index: DataFrame) -> DataFrame:
+    """(term, df) of a packed term table, counted in each task before the shuffle."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def counted(held: list[bytes]) -> pd.DataFrame:
+            t, n = np.unique(np.frombuffer(b"".join(held), np.int64), return_counts=True)
+            return pd.DataFrame({"term": t, "n": n})
+
+        held, size = [], 0
+        for pdf in batches:
+            held += pdf["terms"].to_list()
+            size += int(pdf["terms"].map(len).sum())
+            if size >= 8 * SHARD_POSTINGS:
+                yield counted(held)
+                held, size = [], 0
+        if held:
+            yield counted(held)
+
+    return index.select("terms").mapInPandas(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
+
+
+class Queries:
+    """A block of queries: weights of vocabulary positions, the frequent ones apart from the seldom ones."""
+
+    def __init__(self, rows: pd.DataFrame):
+        terms, df = np.concatenate(rows["terms"].to_list()), np.concatenate(rows["dfs"].to_list())
+        weights, sizes = np.concatenate(rows["weights"].to_list()), rows["terms"].map(len).to_numpy()
+        self.vocabulary, first, at = np.unique(terms, return_index=True, return_inverse=True)
+        most = np.lexsort((self.vocabulary, -df[first]))[:FREQUENT]
+        self.column = np.full(len(self.vocabulary), -1, np.int32)     # of a frequent word
+        self.column[most] = np.arange(len(most))
+        self.bit = np.zeros(len(self.vocabulary), np.int64)           # of the most frequent words: alike texts lie together
+        self.bit[most[:20]] = 1 << np.arange(len(most[:20]))[::-1]
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        order = np.argsort(np.bincount(owner, weights=self.bit[at], minlength=len(rows)), kind="stable")
+        cut = np.cumsum(sizes)[:-1]
+        at, weights = np.split(at.astype(np.int32), cut), np.split(weights, cut)
+        self.ids = rows["id"].to_numpy()[order]
+        self.at, self.weights = [at[q] for q in order], [weights[q] for q in order]
 
 
 class Shard:
     """Inverted index of a run of documents over the terms of a query block."""
 
-    def __init__(self, ids: np.ndarray, words: np.ndarray, terms: list, freqs: list, vocabulary: np.ndarray, mean: float):
-        sizes = np.array([len(t) for t in terms])
-        doc = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        term = np.concatenate([np.empty(0, np.int64), *terms])
-        freq = np.concatenate([np.empty(0, np.int32), *freqs]).astype(np.float64)
-        at = np.searchsorted(vocabulary, term)
+    def __init__(self, rows: pd.DataFrame, queries: Queries, mean: float):
+        words, vocabulary = rows["words"].to_numpy(), queries.vocabulary
+        term = np.frombuffer(b"".join(rows["terms"]), np.int64)
+        freq = np.frombuffer(b"".join(rows["freqs"]), np.int32)
+        doc = np.repeat(np.arange(len(rows), dtype=np.int32), rows["terms"].map(len).to_numpy() // 8)
+        at = np.searchsorted(vocabulary, term).astype(np.int32)
         at[at == len(vocabulary)] = 0
-        own = vocabulary[at] == term if len(vocabulary) else np.zeros(len(term), bool)
-        at, doc, freq = at[own].astype(np.int32), doc[own].astype(np.int32), freq[own]
-        del term, own
-        # Documents with many common words in common lie together, so block maxima are sharper.
-        common = np.bincount(at, minlength=len(vocabulary)).argsort()[::-1][:20]
-        bit = np.zeros(len(vocabulary), np.int64)
-        bit[common] = 1 << np.arange(len(common))[::-1]
-        order = np.lexsort((words, np.bincount(doc, weights=bit[at], minlength=len(ids))))
-        place = np.empty(len(ids), np.int32)
-        place[order] = np.arange(len(ids))
-        self.ids, doc = ids[order], place[doc]
-        sort = np.lexsort((doc, at))
-        self.doc, at, freq = doc[sort], at[sort], freq[sort]
-        length = words[order][self.doc]
-        self.impact = freq * (K1 + 1) / (freq + K1 * (1 - B + B * length / mean))
-        block = self.doc // BLOCK
-        start = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (block[1:] != block[:-1])]) if len(at) else np.empty(0, np.int64)
-        self.posting = np.searchsorted(at, np.arange(len(vocabulary) + 1)).tolist()   # first posting of each term
-        self.start = np.r_[start, len(at)]                       # first posting of each (term, block)
-        self.block = block[start]
-        self.most = np.maximum.reduceat(self.impact, start) if len(start) else np.empty(0)
-        self.first = np.searchsorted(at[start], np.arange(len(vocabulary) + 1))   # first (term, block) of each term
-        self.blocks = (len(ids) + BLOCK - 1) // BLOCK
-
-    def search(self, query_id: int, terms: np.ndarray, weights: np.ndarray, k: int,
-               best: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """``best`` (scores, ids) after this shard: descending scores, ties to the smaller id, at most ``k``."""
-        lo, n = self.first[terms], self.first[terms + 1] - self.first[terms]
-        entry = _ranges(lo, n)
-        if not len(entry):
-            return best
-        weight = np.repeat(weights, n)
-        bound = np.bincount(self.block[entry], weights=self.most[entry] * weight, minlength=self.blocks)
-        full = len(best[0]) == k
-        open_blocks = np.flatnonzero((bound > 0) & (bound >= (best[0][-1] - SLACK if full else 0.0)))
-        if not full or len(open_blocks) * 4 > self.blocks:
-            # Most blocks are open: whole posting lists in order cost less per posting than picking blocks.
-            return self._score_all(query_id, terms, weights, k, best)
-        order = open_blocks[np.argsort(-bound[open_blocks], kind="stable")]
-        at, step = 0, 2
-        while at < len(order):
-            wave = order[at:at + step]
-            wave = wave[bound[wave] >= best[0][-1] - SLACK]
-            if not len(wave):
-                break
-            at, step = at + step, step * 4
-            best = self._score(query_id, entry, weight, wave, k, best)
-        return best
-
-    def _score_all(self, query_id, terms, weights, k, best):
-        score = np.zeros(self.blocks * BLOCK)
-        for t, w in zip(terms.tolist(), weights.tolist()):
-            lo, hi = self.posting[t], self.posting[t + 1]
-            if hi > lo:
-                score[self.doc[lo:hi]] += w * self.impact[lo:hi]   # a document occurs once in a list
-        score[np.flatnonzero(self.ids == query_id)] = 0
-        return self._merge(query_id, np.arange(self.blocks), score, k, best)
-
-    def _score(self, query_id, entry, weight, wave, k, best):
-        slot = np.full(self.blocks, -1, np.int64)
-        slot[wave] = np.arange(len(wave))
-        own = slot[self.block[entry]] >= 0
-        e, w = entry[own], weight[own]
-        n = self.start[e + 1] - self.start[e]
-        post = _ranges(self.start[e], n)
-        doc = self.doc[post]
-        local = slot[doc // BLOCK] * BLOCK + doc % BLOCK
-        score = np.bincount(local, weights=self.impact[post] * np.repeat(w, n), minlength=len(wave) * BLOCK)
-        return self._merge(query_id, wave, score, k, best)
-
-    def _merge(self, query_id, wave, score, k, best):
-        """The best of ``best`` and the scores of the blocks ``wave``."""
-        if len(best[0]) == k:
-            floor = best[0][-1] - SLACK
-        else:
-            floor = np.partition(score, -k)[-k] - SLACK if len(score) > k else 0.0
-        hit = np.flatnonzero((score >= floor) & (score > 0))
-        ids = self.ids[wave[hit // BLOCK] * BLOCK + hit % BLOCK]
-        other = ids != query_id
-        scores, ids = np.r_[best[0], score[hit][other]], np.r_[best[1], ids[other]]
-        top = np.lexsort((ids, -scores))[:k]
-        return scores[top], ids[top]
+        own = vocabulary[at] == term
+        at, doc, freq = at[own], doc[own], freq[own]
+        # Documents with the same very frequent words lie together, so block maxima are sharper.
+        order = np.lexsort((words, np.bincount(doc, weights=queries.bit[at], minlength=len(rows))))
+        place = np.empty(len(rows), np.int32)
+        place[order] = np.arange(len(rows))
+        self.ids, doc = rows["id"].to_numpy()[order], place[doc]
+        self.by_id = np.argsort(self.ids, kind="stable")
+        impact = freq * (K1 + 1) / (freq + K1 * (1 - B + B * words[order][doc] / mean))
+        column = queries.column[at]
+        often = column >= 0
+        self.blocks = (len(rows) + BLOCK - 1) // BLOCK
+        self.often = np.zeros((int(queries.column.max()) + 1, self.blocks * BLOCK))
+        self.often[column[often], doc[often]] = impact[often]
+        self.most = self.often.reshape(len(self.often), self.blocks, BLOCK).max(axis=2)
+        at, doc, impact = at[~often], doc[~often], impact[~often]
+        sort = np.argsort(at, kind="stable")
+        self.doc, self.impact = doc[sort], impact[sort]
+        self.first = np.searchsorted(at[sort], np.arange(len(vocabulary) + 1))   # first posting of each seldom term
+
+    def search(self, queries: Queries, lo: int, hi: int, k: int, best: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Bring ``best`` (scores, ids: descending scores, ties to the smaller id, at most ``k``) of queries lo..hi up to date."""
+        width = self.blocks * BLOCK
+        weight = np.zeros((hi - lo, len(self.often)))
+        score = np.zeros((hi - lo, width))
+        for q in range(lo, hi):
+            at, w = queries.at[q], queries.weights[q]
+            column = queries.column[at]
+            weight[q - lo, column[column >= 0]] = w[column >= 0]
+            n = self.first[at + 1] - self.first[at]
+            at, w, n = at[n > 0], w[n > 0], n[n > 0]
+            post = _ranges(self.first[at], n)
+            score[q - lo] = np.bincount(self.doc[post], weights=self.impact[post] * np.repeat(w, n), minlength=width)
+        floor = np.array([best[q][0][-1] * (1 - SLACK) if len(best[q][0]) == k else 0.0 for q in range(lo, hi)])
+        used = np.flatnonzero(weight.any(axis=0))
+        bound = weight[:, used] @ self.most[used] + score.reshape(hi - lo, self.blocks, BLOCK).max(axis=2)
+        wanted = np.flatnonzero(((bound * (1 + SLACK) >= floor[:, None]) & (bound > 0)).any(axis=0))
+        if not len(wanted):
+            return
+        docs = (wanted[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        seldom = score[:, docs]
+        total = seldom + weight[:, used] @ self.often[np.ix_(used, docs)]
+        left, right = (np.searchsorted(self.ids[self.by_id], queries.ids[lo:hi], side=s) for s in ("left", "right"))
+        for q in np.flatnonzero(right > left):       # its own rows are no results
+            total[q, np.isin(docs, self.by_id[left[q]:right[q]])] = 0
+        hits = (total >= floor[:, None]) & (total > 0)
+        for q in np.flatnonzero(hits.any(axis=1)):
+            hit = np.flatnonzero(hits[q])
+            if len(hit) > k:
+                hit = hit[total[q, hit] >= np.partition(total[q, hit], -k)[-k] * (1 - SLACK)]
+            # A score is summed in the order of its words, so that equal texts have equal scores wherever they lie.
+            mine = np.flatnonzero(weight[q])
+            parts = self.often[np.ix_(mine, docs[hit])] * weight[q, mine, None]
+            exact = seldom[q, hit] + np.bincount(np.tile(np.arange(len(hit)), len(mine)), weights=parts.ravel(), minlength=len(hit))
+            scores, ids = np.r_[best[lo + q][0], exact], np.r_[best[lo + q][1], self.ids[docs[hit]]]
+            top = np.lexsort((ids, -scores))[:k]
+            best[lo + q] = scores[top], ids[top]
 
 
 def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     """start[0] .. start[0]+n[0]-1, start[1] .. and so on."""
-    total = int(n.sum())
-    return np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
+    return np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n)
 
 
-def _search_block(index: DataFrame, queries: pd.DataFrame, mean: float, k: int, tasks: int) -> DataFrame:
-    vocabulary, at = np.unique(np.concatenate(queries["terms"].to_list()), return_inverse=True)
-    cut = np.cumsum([len(t) for t in queries["terms"]])[:-1]
-    shared = index.sparkSession.sparkContext.broadcast(
-        (queries["id"].to_numpy(), vocabulary, np.split(at, cut), [np.asarray(w) for w in queries["weights"]]))
+def _search_block(index: DataFrame, rows: pd.DataFrame, mean: float, k: int, tasks: int) -> DataFrame:
+    shared = index.sparkSession.sparkContext.broadcast(Queries(rows))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, vocab, terms, weights = shared.value
-        best = [(np.empty(0), np.empty(0, np.int64)) for _ in ids]
+        queries = shared.value
+        best = [(np.empty(0), np.empty(0, np.int64)) for _ in queries.ids]
 
-        def shard(rows: list[pd.DataFrame]) -> None:
-            r = pd.concat(rows, ignore_index=True)
-            s = Shard(r["id"].to_numpy(), r["words"].to_numpy(), r["terms"].to_list(), r["freqs"].to_list(), vocab, mean)
-            for q, query_id in enumerate(ids):
-                best[q] = s.search(query_id, terms[q], weights[q], k, best[q])
+        def shard(held: list[pd.DataFrame]) -> None:
+            s = Shard(pd.concat(held, ignore_index=True), queries, mean)
+            for lo in range(0, len(best), QUERY_BATCH):
+                s.search(queries, lo, min(lo + QUERY_BATCH, len(best)), k, best)
 
-        held, docs, postings = [], 0, 0
+        held, docs, size = [], 0, 0
         for pdf in batches:
             held.append(pdf)
-            docs, postings = docs + len(pdf), postings + int(pdf["terms"].map(len).sum())
-            if docs >= SHARD_DOCS or postings >= SHARD_POSTINGS:
+            docs, size = docs + len(pdf), size + int(pdf["terms"].map(len).sum())
+            if docs >= SHARD_DOCS or size >= 8 * SHARD_POSTINGS:
                 shard(held)
-                held, docs, postings = [], 0, 0
+                held, docs, size = [], 0, 0
         if held:
             shard(held)
-        some = [q for q in range(len(ids)) if len(best[q][0])]
+        some = [q for q in range(len(best)) if len(best[q][0])]
         if some:
-            yield pd.DataFrame({"query_id": ids[some], "doc_ids": pd.Series([best[q][1] for q in some], dtype=object),
+            yield pd.DataFrame({"query_id": queries.ids[some], "doc_ids": pd.Series([best[q][1] for q in some], dtype=object),
                                 "scores": pd.Series([best[q][0] for q in some], dtype=object)})
 
     return index.coalesce(tasks).mapInPandas(run, "query_id long, doc_ids array<long>, scores array<double>")
@@ -187,30 +201,33 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     Every word of a query counts, as often as it occurs; only documents that share a word are results. Ties go to the
     smaller id. Null ids take no part; null, empty and wordless texts match nothing but count in the statistics;
     repeated rows are separate candidates (and queries with one id are one query: the longest). Empty tables give no
-    rows; columns other than ``key`` and ``text`` are ignored. Per pass ``query_block`` queries are broadcast.
+    rows; columns other than ``key`` and ``text`` are ignored. Per pass about ``query_block`` queries are broadcast, fewer
+    if they are long. The tasks follow the cluster's cores, since each passes on k results per query.
     """
     spark = docs.sparkSession
     with arrow_rows(spark, BATCH_DOCS):
-        index = materialize(term_table(docs, key, text), "terms")
-    n, mean = index.agg(F.count("*"), F.avg("words")).first()
-    frequency = materialize(index.select(F.explode("terms").alias("term")).groupBy("term")
-                            .agg(F.count("*").alias("df")).where("df > 1"), "df")
-    idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    asked = term_table(queries, key, text).groupBy("id").agg(F.max_by(F.struct("terms", "freqs"), F.struct("words", "terms")).alias("t"))
-    # A term of one document alone cannot find another.
-    weighed = asked.select("id", F.explode(F.arrays_zip("t.terms", "t.freqs")).alias("t")) \
-        .select("id", F.col("t.terms").alias("term"), F.col("t.freqs").alias("freq")).join(frequency, "term") \
-        .select("id", "term", (F.col("freq") * idf).alias("weight"))
-    weighed = weighed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("t")) \
-        .select("id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights"))
-    blocks = max(1, -(-queries.count() // query_block))
-    weighed = materialize(weighed.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(blocks))), "queries")
+        index = materialize(term_table(docs, key, text, packed=True), "terms")
+        asked = term_table(queries, key, text).groupBy("id") \
+            .agg(F.max_by(F.struct("terms", "freqs"), F.struct("words", "terms")).alias("t"))
+        n, mean = index.agg(F.count("*"), F.avg("words")).first()
+        # A term of one document alone cannot find another.
+        frequency = document_frequency(index).where("df > 1")
+        idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        weighed = asked.select("id", F.explode(F.arrays_zip("t.terms", "t.freqs")).alias("t")) \
+            .select("id", F.col("t.terms").alias("term"), F.col("t.freqs").alias("freq")).join(frequency, "term") \
+            .select("id", "term", (F.col("freq") * idf).alias("weight"), "df")
+        weighed = materialize(
+            weighed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "weight", "df"))).alias("t"))
+            .select("id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights"), F.col("t.df").alias("dfs")), "queries")
+    count, size = weighed.agg(F.count("*"), F.sum(F.size("terms"))).first()
+    blocks = max(1, -(-count // query_block), -(-(size or 0) // QUERY_TERMS))
+    tasks = max(1, min(-(-n // SHARD_DOCS), 2 * spark.sparkContext.defaultParallelism))
     found = None
     for part in range(blocks):
-        some = weighed.where(F.col("part") == part).orderBy("id").toPandas()
+        some = weighed.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == part).orderBy("id").toPandas()
         if len(some):
             with arrow_rows(spark, BATCH_DOCS):
-                rows = materialize(_search_block(index, some, float(mean or 1) or 1.0, k, max(1, -(-n // TASK_DOCS))), "best")
+                rows = materialize(_search_block(index, some, float(mean or 1) or 1.0, k, tasks), "best")
             found = rows if found is None else found.union(rows)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
