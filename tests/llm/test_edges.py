@@ -315,9 +315,8 @@ def test_bm25_shards_and_blocks(monkeypatch):
     idf = np.log(1 + (len(rows) - df + .5) / (df + .5))
     asked = [i for i in range(0, 927, 10) if words[i]]
     at = [np.searchsorted(terms, rows[i][0]) for i in asked]
-    queries = bm25.Queries(pd.DataFrame({"id": asked, "terms": pd.Series([rows[i][0] for i in asked], dtype=object),
-                                         "weights": pd.Series([rows[i][1] * idf[a] for i, a in zip(asked, at)], dtype=object),
-                                         "dfs": pd.Series([df[a] for a in at], dtype=object)}))
+    queries = bm25.Queries(np.array(asked), np.array([len(a) for a in at]), np.concatenate([rows[i][0] for i in asked]),
+                           np.concatenate([rows[i][1] * idf[a] for i, a in zip(asked, at)]), np.concatenate([df[a] for a in at]))
     table = pd.DataFrame({"id": range(len(rows)), "words": words, "terms": [r[0].tobytes() for r in rows],
                           "freqs": [r[1].tobytes() for r in rows]}).sample(frac=1, random_state=1)
     best = [(np.empty(0), np.empty(0, np.int64)) for _ in asked]

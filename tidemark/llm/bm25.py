@@ -22,12 +22,12 @@ from tidemark.llm.textnum import LOWER, word_hashes
 from tidemark.operators.materialize import materialize
 
 K1, B = 1.2, 0.75
-SHARD_DOCS, SHARD_POSTINGS = 8_192, 2_000_000   # a shard ends at either bound
+SHARD_DOCS, SHARD_POSTINGS = 4_096, 1_500_000   # a shard ends at either bound
 BATCH_DOCS = 256                                 # documents per Arrow batch
 BLOCK = 64                                       # documents per block
 FREQUENT = 1_024                                 # words whose lists lie in blocks
 QUERY_BATCH = 128                                # queries that share a pass over the blocks
-QUERY_TERMS = 4_000_000                          # terms of a query block: what is broadcast
+QUERY_TERMS = 1_000_000                          # terms of a query block: what is broadcast
 SLACK = 1e-9                                     # share by which sums in another order may differ
 
 
@@ -74,20 +74,19 @@ def document_frequency(index: DataFrame) -> DataFrame:
 class Queries:
     """A block of queries: weights of vocabulary positions, the frequent ones apart from the seldom ones."""
 
-    def __init__(self, rows: pd.DataFrame):
-        terms, df = np.concatenate(rows["terms"].to_list()), np.concatenate(rows["dfs"].to_list())
-        weights, sizes = np.concatenate(rows["weights"].to_list()), rows["terms"].map(len).to_numpy()
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, df: np.ndarray):
+        """``terms``, their ``weights`` and ``df``: those of the first query (``sizes[0]`` of them), of the second, and so on."""
         self.vocabulary, first, at = np.unique(terms, return_index=True, return_inverse=True)
         most = np.lexsort((self.vocabulary, -df[first]))[:FREQUENT]
         self.column = np.full(len(self.vocabulary), -1, np.int32)     # of a frequent word
         self.column[most] = np.arange(len(most))
         self.bit = np.zeros(len(self.vocabulary), np.int64)           # of the most frequent words: alike texts lie together
         self.bit[most[:20]] = 1 << np.arange(len(most[:20]))[::-1]
-        owner = np.repeat(np.arange(len(rows)), sizes)
-        order = np.argsort(np.bincount(owner, weights=self.bit[at], minlength=len(rows)), kind="stable")
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        order = np.argsort(np.bincount(owner, weights=self.bit[at], minlength=len(ids)), kind="stable")
         cut = np.cumsum(sizes)[:-1]
         at, weights = np.split(at.astype(np.int32), cut), np.split(weights, cut)
-        self.ids = rows["id"].to_numpy()[order]
+        self.ids = ids[order]
         self.at, self.weights = [at[q] for q in order], [weights[q] for q in order]
 
 
@@ -165,8 +164,15 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n)
 
 
-def _search_block(index: DataFrame, rows: pd.DataFrame, mean: float, k: int, tasks: int) -> DataFrame:
-    shared = index.sparkSession.sparkContext.broadcast(Queries(rows))
+def _collected(rows: DataFrame) -> Queries:
+    """The queries of one block, as flat arrays."""
+    t = rows.toArrow()
+    flat = [t[c].combine_chunks() for c in ("terms", "weights", "dfs")]
+    return Queries(t["id"].to_numpy(), flat[0].value_lengths().to_numpy(), *(c.flatten().to_numpy() for c in flat))
+
+
+def _search_block(index: DataFrame, queries: Queries, mean: float, k: int, tasks: int) -> DataFrame:
+    shared = index.sparkSession.sparkContext.broadcast(queries)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries = shared.value
@@ -191,7 +197,10 @@ def _search_block(index: DataFrame, rows: pd.DataFrame, mean: float, k: int, tas
             yield pd.DataFrame({"query_id": queries.ids[some], "doc_ids": pd.Series([best[q][1] for q in some], dtype=object),
                                 "scores": pd.Series([best[q][0] for q in some], dtype=object)})
 
-    return index.coalesce(tasks).mapInPandas(run, "query_id long, doc_ids array<long>, scores array<double>")
+    with arrow_rows(index.sparkSession, BATCH_DOCS):
+        found = materialize(index.coalesce(tasks).mapInPandas(run, "query_id long, doc_ids array<long>, scores array<double>"), "best")
+    shared.destroy()
+    return found
 
 
 def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text", k: int = 10,
@@ -224,10 +233,9 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     tasks = max(1, min(-(-n // SHARD_DOCS), 2 * spark.sparkContext.defaultParallelism))
     found = None
     for part in range(blocks):
-        some = weighed.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == part).orderBy("id").toPandas()
-        if len(some):
-            with arrow_rows(spark, BATCH_DOCS):
-                rows = materialize(_search_block(index, some, float(mean or 1) or 1.0, k, tasks), "best")
+        some = _collected(weighed.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == part).orderBy("id"))
+        if len(some.ids):
+            rows = _search_block(index, some, float(mean or 1) or 1.0, k, tasks)
             found = rows if found is None else found.union(rows)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
