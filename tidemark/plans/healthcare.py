@@ -177,7 +177,6 @@ for _desc, _sfx in ((True, "top"), (False, "bottom")):
         f"WHERE provider_name IN (SELECT provider_name FROM ({_top_c}))")
 ORACLES["semi_filter_topk"] = ORACLES["hc_hours_trend_top"]
 ORACLES["topk_rows"] = ORACLES["hc_readmission_top"]
-ORACLES["exclude_values"] = ORACLES["hc_hours_state"]
 ORACLES["left_join_suffix"] = W(VS, VP, VPS) + "SELECT * FROM v_ps"
 
 _Q = {
@@ -202,7 +201,6 @@ _Q = {
     "semi_filter_topk": lambda s, sf: hours_trend(s, sf, True),
     "topk_rows": lambda s, sf: top_k(v_prov(s, sf).select("provider_name", "score"), "score", 10,
                                      desc=True, tiebreak=["provider_name"]),
-    "exclude_values": lambda s, sf: hours_by(_staff(s, sf), "state"),
     "left_join_suffix": lambda s, sf: _ps(s, sf),
 }
 for _k, _f in _Q.items():

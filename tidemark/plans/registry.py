@@ -28,5 +28,5 @@ def add(key: str, fn: QueryFn, oracle: str | None = None) -> None:
 
 def load_all() -> None:
     """Import every plan module so its queries register themselves."""
-    from tidemark.plans import (bookings, cleaning_q, healthcare, leads,  # noqa: F401
+    from tidemark.plans import (bookings, cleaning_q, healthcare, leads, operators_q,  # noqa: F401
                                 restaurant_reports, retail, sources_q, streaming_q, upserts_q)

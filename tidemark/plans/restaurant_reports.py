@@ -68,12 +68,6 @@ def q_sales_fact(spark, sf):
     return base_fact(spark, sf)
 
 
-for _k in ("drop_blank_keys", "left_join_multikey", "left_join_calendar", "calendar_backfill",
-           "fill_zero", "cast_if_needed", "date_key_parse"):
-    # Each cleaning / join step of the fact build, checked through its output.
-    register(_k, sql(f"SELECT {FACT_BASE_COLS} FROM v_fact_base"))(q_sales_fact)
-
-
 @register("order_revenue", sql(
     "SELECT order_id, user_id, creation_time_utc, CAST(base_revenue AS DOUBLE) AS base_revenue, "
     "CAST(options_revenue AS DOUBLE) AS options_revenue, CAST(total_revenue AS DOUBLE) AS total_revenue "

@@ -175,10 +175,6 @@ ORACLES = {
     "CASE WHEN GROUPING(day(date)) = 0 THEN 'day' WHEN GROUPING(monthname(date)) = 0 THEN 'month' "
     "ELSE 'year' END AS grain FROM v_depts GROUP BY GROUPING SETS ((day(date)), (monthname(date)), (year(date))))",
 }
-ORACLES["sum_by_keys"] = ORACLES["rpt_sales_store_holiday"]
-ORACLES["multi_sum"] = ORACLES["rpt_markdown_year_store"]
-ORACLES["drop_all_null"] = ORACLES["rpt_markdown_year_store"]
-ORACLES["mean_by_keys"] = ORACLES["rpt_fuel_store_year"]
 ORACLES["range_bin"] = ORACLES["rpt_sales_temp_year"]
 ORACLES["ordered_report"] = ORACLES["rpt_sales_store_size"]
 
@@ -204,10 +200,6 @@ _Q = {
     "rpt_sales_cpi": lambda s, sf: sales_cpi(_d(s, sf), v_facts(s, sf)),
     "rpt_sales_dept": lambda s, sf: sales_dept(_d(s, sf)),
     "day_month_year_sums": lambda s, sf: sales_by_day_month_year(_d(s, sf)),
-    "sum_by_keys": lambda s, sf: sales_store_holiday(_d(s, sf)),
-    "multi_sum": lambda s, sf: markdown_year_store(v_facts(s, sf)),
-    "drop_all_null": lambda s, sf: markdown_year_store(v_facts(s, sf)),
-    "mean_by_keys": lambda s, sf: fuel_store_year(v_facts(s, sf)),
     "range_bin": lambda s, sf: sales_temp_year(_d(s, sf), v_facts(s, sf)),
     # Bins ordered by their numeric lower bound (manual bin order of the dashboard).
     "ordered_report": lambda s, sf: sales_store_size(_d(s, sf), v_stores(s, sf)).orderBy(
