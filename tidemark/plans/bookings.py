@@ -139,11 +139,9 @@ ORACLES = {
 # Host pairs are distinct per booking: host_id != (user_id+3) % 10 always holds
 # because host_id = user_id % 10, so the list never repeats an entry.
 ORACLES["meeting_load"] = ORACLES["meeting_load"].replace("list_distinct_keep(", "(")
-ORACLES["left_join_compound"] = ORACLES["cost_per_booking"]
 
 _Q = {
     "cost_per_booking": lambda s, sf: cost_per_booking(v_spend(s, sf), v_book(s, sf), v_mapping(s)),
-    "left_join_compound": lambda s, sf: cost_per_booking(v_spend(s, sf), v_book(s, sf), v_mapping(s)),
     "count_by_day_channel": lambda s, sf: daily_bookings(v_book(s, sf), v_mapping(s)),
     "inner_join_mapping": lambda s, sf: v_book(s, sf).join(v_mapping(s),
                                                            F.col("event_type") == F.col("event_type_uri")),

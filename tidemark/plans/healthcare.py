@@ -175,8 +175,6 @@ for _desc, _sfx in ((True, "top"), (False, "bottom")):
     ORACLES[f"hc_patients_trend_{_sfx}"] = W(VS, VP, VPS) + (
         "SELECT provider_name, make_date(2024, month_x, day) AS date, mds_census FROM v_ps "
         f"WHERE provider_name IN (SELECT provider_name FROM ({_top_c}))")
-ORACLES["semi_filter_topk"] = ORACLES["hc_hours_trend_top"]
-ORACLES["topk_rows"] = ORACLES["hc_readmission_top"]
 ORACLES["left_join_suffix"] = W(VS, VP, VPS) + "SELECT * FROM v_ps"
 
 _Q = {
@@ -198,9 +196,6 @@ _Q = {
                                               desc=True, tiebreak=["provider_name"]),
     "hc_staff_vs_load": lambda s, sf: staff_vs_load(_staff(s, sf)),
     "hc_staff_occupancy_corr": lambda s, sf: staff_occupancy_corr(_ps(s, sf)),
-    "semi_filter_topk": lambda s, sf: hours_trend(s, sf, True),
-    "topk_rows": lambda s, sf: top_k(v_prov(s, sf).select("provider_name", "score"), "score", 10,
-                                     desc=True, tiebreak=["provider_name"]),
     "left_join_suffix": lambda s, sf: _ps(s, sf),
 }
 for _k, _f in _Q.items():

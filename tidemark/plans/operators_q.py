@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import exact_sum, mean_of
 from tidemark.operators.clean import (calendar_backfill, cast_if_needed, drop_all_null, drop_blank_keys,
                                       exclude_values, fill_zero)
+from tidemark.operators.ranking import rows_of_top_groups, top_k
 from tidemark.plans.oracle_views import V_CAL, V_ITEMS, V_OPTS, with_views
 from tidemark.plans.registry import register
-from tidemark.plans.restaurant import ITEM_KEYS
+from tidemark.plans.restaurant import ITEM_KEYS, attach_scalar
 from tidemark.plans.retail import pandas_sum
 from tidemark.plans.views import table, v_cal, v_items, v_opts
 
@@ -147,3 +148,59 @@ def q_multi_sum(spark, sf):
     FROM {MONEY} GROUP BY l_suppkey, flag""")
 def q_mean_by_keys(spark, sf):
     return _money(spark, sf).groupBy("l_suppkey", "flag").agg(mean_of("discounted").alias("mean_discounted"))
+
+
+def _orders(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+
+
+@register("topk_rows", """
+    SELECT o_orderkey, o_totalprice, CAST(row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS INTEGER) AS rank
+    FROM orders QUALIFY rank <= 10""")
+def q_topk_rows(spark, sf):
+    return top_k(_orders(spark, sf).select("o_orderkey", "o_totalprice"), "o_totalprice", 10, tiebreak=["o_orderkey"])
+
+
+@register("semi_filter_topk", """
+    SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN
+        (SELECT o_custkey FROM orders GROUP BY o_custkey ORDER BY COUNT(*) DESC, o_custkey LIMIT 10)""")
+def q_semi_filter_topk(spark, sf):
+    orders = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice")
+    busiest = top_k(orders.groupBy("o_custkey").agg(F.count("*").alias("n")), "n", 10, tiebreak=["o_custkey"])
+    return rows_of_top_groups(orders, busiest, ["o_custkey"]).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@register("topk_groups", """
+    SELECT o_orderpriority, o_custkey, n, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY n DESC, o_custkey) AS INTEGER) AS rank
+    FROM (SELECT o_orderpriority, o_custkey, COUNT(*) AS n FROM orders GROUP BY o_orderpriority, o_custkey) QUALIFY rank <= 3""")
+def q_topk_groups(spark, sf):
+    counts = _orders(spark, sf).groupBy("o_orderpriority", "o_custkey").agg(F.count("*").alias("n"))
+    return top_k(counts, "n", 3, tiebreak=["o_custkey"], group=["o_orderpriority"])
+
+
+@register("top1_group", """
+    SELECT o_custkey, o_orderpriority, n FROM (SELECT o_custkey, o_orderpriority, COUNT(*) AS n FROM orders GROUP BY ALL)
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, o_orderpriority) = 1""")
+def q_top1_group(spark, sf):
+    counts = _orders(spark, sf).groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
+    return top_k(counts, "n", 1, tiebreak=["o_orderpriority"], group=["o_custkey"], rank_col=None)
+
+
+@register("cross_join_scalar", """
+    SELECT o_orderkey, o_totalprice, (SELECT MAX(o_totalprice) FROM orders) AS dearest FROM orders""")
+def q_cross_join_scalar(spark, sf):
+    orders = _orders(spark, sf).select("o_orderkey", "o_totalprice")
+    return attach_scalar(orders, orders.agg(F.max("o_totalprice").alias("dearest")))
+
+
+@register("left_join_compound", """
+    SELECT o.number, o.day, o.n_orders, s.n_shipped
+    FROM (SELECT o_custkey AS number, CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n_orders FROM orders GROUP BY ALL) o
+    LEFT JOIN (SELECT l_suppkey AS number, CAST(l_shipdate AS DATE) AS day, COUNT(*) AS n_shipped FROM lineitem GROUP BY ALL) s
+      ON o.number = s.number AND o.day = s.day""")
+def q_left_join_compound(spark, sf):
+    orders = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("number"), F.to_date("o_orderdate").alias("day")).agg(
+        F.count("*").alias("n_orders"))
+    shipped = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("number"), F.to_date("l_shipdate").alias("day")).agg(
+        F.count("*").alias("n_shipped"))
+    return orders.join(shipped, ["number", "day"], "left").select("number", "day", "n_orders", "n_shipped")

@@ -34,11 +34,19 @@ def base_fact(spark, sf_dir) -> DataFrame:
     return _FACT_CACHE[key]
 
 
+def final_plan(spark, sf_dir) -> DataFrame:
+    """The final fact (with CLV and RFM) for ``sf_dir``, not written; its CLV and RFM tables are built once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "plan")
+    if key not in _FACT_CACHE:
+        _FACT_CACHE[key] = R.final_from_fact(base_fact(spark, sf_dir))
+    return _FACT_CACHE[key]
+
+
 def final_fact(spark, sf_dir) -> DataFrame:
-    """The final fact (with CLV and RFM) for ``sf_dir``, written once per application and reused."""
+    """:func:`final_plan` written once per application, for the reports that read it many times."""
     key = (spark.sparkContext.applicationId, sf_dir, "final")
     if key not in _FACT_CACHE:
-        _FACT_CACHE[key] = materialize(R.final_from_fact(base_fact(spark, sf_dir)), "final_fact")
+        _FACT_CACHE[key] = materialize(final_plan(spark, sf_dir), "final_fact")
     return _FACT_CACHE[key]
 
 
@@ -94,9 +102,6 @@ def q_clv(spark, sf):
     return R.clv(base_fact(spark, sf))
 
 
-register("cross_join_scalar", sql("SELECT * FROM v_clv"))(q_clv)
-
-
 @register("clv_segment", sql("SELECT * FROM v_clv_seg"))
 def q_clv_segment(spark, sf):
     return R.clv_segment(R.clv(base_fact(spark, sf)))
@@ -149,7 +154,7 @@ def q_rfm_status(spark, sf):
 
 @register("sales_fact_final", sql("SELECT * FROM v_fact"))
 def q_sales_fact_final(spark, sf):
-    return final_fact(spark, sf)
+    return final_plan(spark, sf)
 
 
 register("inner_join_multi", sql("SELECT * FROM v_fact"))(q_sales_fact_final)
@@ -304,8 +309,7 @@ def _top_product(group):
     return q, o
 
 
-for _key, _grp in {"top_product_year": ["year"], "top_product_month": ["year", "month"],
-                   "top1_group": ["year", "month"]}.items():
+for _key, _grp in {"top_product_year": ["year"], "top_product_month": ["year", "month"]}.items():
     _q, _o = _top_product(_grp)
     register(_key, _o)(_q)
 
@@ -397,13 +401,6 @@ for _kind, _name in (("rev", "loc_rev"), ("aov", "loc_aov"), ("gap", "loc_gap"),
                  f"restaurant_id) AS INTEGER) AS rank FROM ({_msql}) QUALIFY rank <= 10")
         register(f"{_name}_{_suffix}", _o)(_q)
 
-register("topk_groups", sql(
-    f"SELECT *, CAST(row_number() OVER (PARTITION BY year, month ORDER BY total_revenue DESC NULLS LAST, "
-    f"restaurant_id) AS INTEGER) AS rank FROM (SELECT year, month, restaurant_id, CAST(SUM{REV_SQL} AS DOUBLE) "
-    "AS total_revenue FROM v_fact GROUP BY ALL) QUALIFY rank <= 10"))(
-    lambda spark, sf: top_k(_loc_metric("rev")[0](spark, sf), "total_revenue", 10, desc=True,
-                            tiebreak=["restaurant_id"], group=["year", "month"]))
-
 
 @register("rank_locations", sql(
     "SELECT *, CAST(rank() OVER (PARTITION BY year, month ORDER BY total_revenue DESC) AS INTEGER) "
