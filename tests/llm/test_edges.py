@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 import zlib
 
 import numpy as np
@@ -62,6 +63,24 @@ def test_packing_ids_equal_the_tokenizer():
         assert enc.encode_ordinary(t) == ids(t)
 
 
+def test_packing_long_blank_runs(spark, monkeypatch):
+    n = 2_000_000
+    rows = [(1, " " * n, "en"), (2, "a b" + "\n" * n + "tail", "en"), (3, " \t" * (n // 2) + " x " + "\u3000" * 150_000 + "y", "en"),
+            (4, "after", "en")]
+    got = packing.op1(frame(spark, rows)).toPandas()
+    for i, t, _ in rows:
+        all_ids = np.array(ids(t) + [0], "<u4")
+        own = got[got["doc_id"] == i].sort_values("start")
+        assert own["length"].sum() == len(all_ids) and (own["doc_tokens"] == len(all_ids)).all()
+        assert all(r.ids_crc32 == zlib.crc32(all_ids[r.start:r.start + r.length].tobytes()) for r in own.itertuples())
+    # Short runs cut the same way.
+    monkeypatch.setattr(packing, "LONG_RUN", 2)
+    monkeypatch.setattr(packing, "RUNS", re.compile(packing.RUNS.pattern.replace("100000", "2")))
+    enc = packing._encoder(packing.ranks_path())
+    for t in ["a  b", "  b", "b  ", "  ", " \n don't  \x1c x\x85\x85 1   !", "a \n\n  b\u2003 c", "\u200b\u200b  x"]:
+        assert packing.encode(enc, t) == ids(t)
+
+
 def test_sum_of_squares_choice_against_brute_force():
     rng = np.random.default_rng(3)
     p, levels = packing.Packer(16, 0, 10_000), {}

@@ -9,6 +9,7 @@ are cut up to fill the others, so at most one padded window per call of that ste
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 WINDOW = 1024
 # Fixed value: the published pre-tokenisation pattern of this byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The pattern's blanks (White_Space). tiktoken's matcher panics on about a million in a row, so longer runs go round it.
+LONG_RUN = 100_000
+RUNS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 _ENCODERS: dict[str, object] = {}
 
@@ -38,6 +42,18 @@ def _encoder(ranks: str):
     return _ENCODERS[ranks]
 
 
+def encode(encoder, text: str) -> list[int]:
+    """Ids of a text. A long run of blanks is one pre-token, without its last blank if something follows."""
+    if len(text) < LONG_RUN:
+        return encoder.encode_ordinary(text)
+    out, at = [], 0
+    for run in RUNS.finditer(text):
+        out += encoder.encode_ordinary(text[at:run.start()])
+        at = run.end() - (run.end() < len(text))
+        out += encoder._encode_single_piece(text[run.start():at])
+    return out + encoder.encode_ordinary(text[at:])
+
+
 class Packer:
     """Level array of open windows; ``rows`` collects the pieces of closed ones."""
 
@@ -140,10 +156,10 @@ def pack(docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "text", s
             packer.rows = []
             return out
 
-        encode = _encoder(ranks).encode_ordinary
+        encoder = _encoder(ranks)
         for pdf in batches:
             for k, t in zip(pdf["k"], pdf["t"]):
-                ids = np.array(encode(t or ""), "<u4").tobytes()
+                ids = np.array(encode(encoder, t or ""), "<u4").tobytes()
                 packer.add(None if pd.isna(k) else int(k), ids + end)
                 if len(packer.rows) > 10_000:
                     yield rows()
