@@ -63,6 +63,19 @@ def test_packing_ids_equal_the_tokenizer():
         assert enc.encode_ordinary(t) == ids(t)
 
 
+def test_packing_special_token_is_one_id(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers as p
+    t = Tokenizer.from_file(p.path("byte_bpe_50k.json"))
+    enc, end = packing._encoder(packing.ranks_path()), "<|endoftext|>"
+    texts = [end, f"a {end} b", f"{end}{end}x", f"tail  {end}", f"don't{end}<|endof{end}text|>", end[1:], " " * 150_000 + end + "\n" * 150_000]
+    for x in texts:
+        assert packing.encode(enc, x) == t.encode(x, add_special_tokens=False).ids
+    got = packing.op1(frame(spark, [(1, end, "en")])).collect()
+    want = np.array([50256, 0], "<u4")
+    assert [(r["length"], r["doc_tokens"], r["ids_crc32"]) for r in got] == [(2, 2, zlib.crc32(want.tobytes()))]
+
+
 def test_packing_long_blank_runs(spark, monkeypatch):
     n = 2_000_000
     rows = [(1, " " * n, "en"), (2, "a b" + "\n" * n + "tail", "en"), (3, " \t" * (n // 2) + " x " + "\u3000" * 150_000 + "y", "en"),

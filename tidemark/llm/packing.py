@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 WINDOW = 1024
 # Fixed value: the published pre-tokenisation pattern of this byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: the added token of the vocabulary file, which the rank file leaves out. In a text it is one id.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 # The pattern's blanks (White_Space). tiktoken's matcher panics on about a million in a row, so longer runs go round it.
 LONG_RUN = 100_000
 RUNS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
@@ -44,6 +46,11 @@ def _encoder(ranks: str):
 
 def encode(encoder, text: str) -> list[int]:
     """Ids of a text. A long run of blanks is one pre-token, without its last blank if something follows."""
+    if SPECIAL in text:
+        out = []
+        for part in text.split(SPECIAL):
+            out += [*encode(encoder, part), SPECIAL_ID]
+        return out[:-1]
     if len(text) < LONG_RUN:
         return encoder.encode_ordinary(text)
     out, at = [], 0
