@@ -251,6 +251,27 @@ def test_secrets(spark, odd, empty):
     assert secrets.op4(odd).toPandas()["predicted"].eq(0).all()
 
 
+def test_secrets_every_candidate_of_a_word(spark):
+    a, b = "AKIA" + "Q7" * 8, "ghp_" + "aB3" * 12
+    texts = [f"see https://static-files-example-host.com/d?token={a} here", f'{{"password":"{a}","aws_secret_access_key":"{b}"}}',
+             f"x={a}&y={b}", f"db.password={a},{b}", f"{a}:{b}", f"p=q={a}==", "abcdefgh=ijklmnop", f"/x/name={a}", "k=" + "z" * 15,
+             ".".join("ab" for _ in range(100_000)) + "=" + a, "é" * 40]
+    got = {}
+    for r in secrets.findings(frame(spark, [(i, t, "en") for i, t in enumerate(texts)])).collect():
+        got.setdefault(r["id"], []).append((r["pos"], r["match"], r["candidate"], r["near"][0]))
+    assert [sorted(got.get(i, [])) for i in range(len(texts) - 2)] == [
+        [(1, 0, "//static-files-example-host", "https"), (1, 1, a, "token")],
+        [(0, 0, a, "password"), (0, 1, "aws_secret_access_key", ""), (0, 2, b, "awssecretaccesskey")],
+        [(0, 0, a, "x"), (0, 1, b, "y")], [(0, 0, a, "dbpassword"), (0, 1, b, "")], [(0, 0, a, ""), (0, 1, b, a.lower())],
+        [(0, 0, a + "==", "q")], [(0, 0, "abcdefgh=ijklmnop", "")], [(0, 0, a, "name")], [(0, 0, "k=" + "z" * 15, "")]]
+    assert [x[2] for x in got[9]] == [a] and 10 not in got
+    docs = frame(spark, [(i, f'{{"token":"{hashlib.md5(str(i).encode()).hexdigest()[:18]}","password":"{hashlib.md5(str(-i).encode()).hexdigest()[:18]}"}}'
+                          f" an extraordinarilylongwordnumber{'abcdefgh'[i % 8]}", "en") for i in range(1, 41)])
+    out = secrets.op4(docs).toPandas()
+    keys = out[out["candidate"].str.fullmatch("[0-9a-f]{18}")]
+    assert len(keys) == 80 and keys["predicted"].eq(1).all() and not out.duplicated(["doc_id", "pos", "match"]).any()
+
+
 def test_url_rules(spark):
     urls = ["http://Example.ORG/es/x", "https://a.example.org/en/12?q=/es/", "http://notexample.org/es/", "http://example.org", None,
             "no scheme", "x://b.com/fr/1", "x://com/de/#f", "x://c.com/dex", "x://deep.a.example.org/es/z", "", "http:///path",

@@ -21,6 +21,12 @@ from tidemark.operators.materialize import materialize
 
 LEAST = 16                          # characters of a candidate
 CANDIDATE = r"([A-Za-z0-9_/+=\-]{16,})"
+KEYLIKE = r"[A-Za-z0-9_/+\-]{16,}+"
+# Each match in a word: what is named before "=" or ":" (group 1) and a run of key-like characters with its padding (group 2).
+# A run that only reaches the length with "=" inside is whole. Nothing here steps back over a run, so long words cost no more.
+MATCHES = (r"""(?:(?<![A-Za-z0-9_/+.\-])([A-Za-z0-9_/+.\-]++)[\\"']*+[=:]++[\\"']*+(?=[A-Za-z0-9_/+\-]{16}))?+"""
+           r"(" + KEYLIKE + r"(?:=++(?![A-Za-z0-9_/+\-]))?+"
+           r"|(?<![A-Za-z0-9_/+=\-])(?![A-Za-z0-9_/+=\-]*?[A-Za-z0-9_/+\-]{16})[A-Za-z0-9_/+=\-]{16,}+)")
 TRIGRAMS, NEIGHBOURS = 1 << 14, 1 << 10
 FEATURES = ["length", "switches", "digits", "uppers", "variety", "coverage", "transition", "slashes", "tame_path", "near"]
 # Path words that announce made-up content.
@@ -30,7 +36,8 @@ FORMATS = r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[baprs]-[A-Za-z0-9-]{1
 
 
 def findings(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """(id, path, pos, candidate, near): candidates with the word number and up to three neighbouring words."""
+    """(id, path, pos, match, candidate, near): every candidate with the word number, its number in the word, and its name
+    and up to three neighbouring words."""
     words = F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+")
     rows = docs.select(F.col(key).alias("id"), F.col(path).cast("string").alias("path"), words.alias("w"))
     found = F.filter(F.transform("w", lambda x, i: F.when(
@@ -41,11 +48,14 @@ def findings(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
         F.array(F.coalesce(F.get("w", f["pos"] - 1), F.lit("")), F.coalesce(F.get("w", f["pos"] - 2), F.lit("")),
                 F.coalesce(F.get("w", f["pos"] + 1), F.lit(""))).alias("around")))
     one = rows.select("id", "path", F.explode(near).alias("f")).select("id", "path", "f.pos", "f.word", "f.around")
-    # "name=value": the name is a neighbour, the value the candidate.
-    named = F.regexp_extract("word", r"^[\"'(]*([A-Za-z_][A-Za-z0-9_.\-]*)[=:]+[\"']*[A-Za-z0-9_/+\-]{16,}", 1)
-    value = F.regexp_extract(F.when(named != "", F.regexp_replace("word", r"^[^=:]*[=:]+", "")).otherwise(F.col("word")), CANDIDATE, 1)
-    near = F.transform(F.concat(F.array(named), "around"), lambda w: ascii_lower(F.regexp_replace(w, r"[^A-Za-z0-9=:]", "")))
-    return one.select("id", "path", "pos", value.alias("candidate"), near.alias("near")).where(F.length("candidate") >= LEAST)
+    # "name=value": the name is a neighbour, the value the candidate; a name as long as a key is a candidate too.
+    before, value = (F.regexp_extract_all("word", F.lit(MATCHES), F.lit(i)) for i in (1, 2))
+    each = F.flatten(F.zip_with(before, value, lambda b, v: F.concat(
+        F.transform(F.regexp_extract_all(b, F.lit(KEYLIKE), F.lit(0)), lambda x: F.struct(x.alias("value"), F.lit("").alias("name"))),
+        F.array(F.struct(v.alias("value"), F.regexp_extract(b, r"(?<![A-Za-z0-9_.\-])[0-9.\-]*+([A-Za-z_][A-Za-z0-9_.\-]*+)$", 1).alias("name"))))))
+    one = one.select("id", "path", "pos", "around", F.posexplode(each).alias("match", "c"))
+    near = F.transform(F.concat(F.array("c.name"), "around"), lambda w: ascii_lower(F.regexp_replace(w, r"[^A-Za-z0-9=:]", "")))
+    return one.select("id", "path", "pos", "match", F.col("c.value").alias("candidate"), near.alias("near"))
 
 
 def _trigrams(word: Column) -> Column:
@@ -136,10 +146,10 @@ class SecretModel:
 def train(labelled: DataFrame, trigrams: list[float], max_findings: int = 20_000, trees: int = 20, depth: int = 6) -> SecretModel:
     """Fit on labelled findings (the columns of :func:`findings` and ``label`` 0 / 1).
 
-    Sample bound: about ``max_findings`` of each label, by a hash of document, position and candidate.
+    Sample bound: about ``max_findings`` of each label, by a hash of document, position, match and candidate.
     """
     sizes = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    u = F.pmod(F.xxhash64("id", "pos", "candidate"), F.lit(1 << 20))
+    u = F.pmod(F.xxhash64("id", "pos", "match", "candidate"), F.lit(1 << 20))
     take = F.lit(False)
     for label, n in sizes.items():
         if label in (0, 1):
@@ -147,7 +157,7 @@ def train(labelled: DataFrame, trigrams: list[float], max_findings: int = 20_000
     if not (sizes.get(0) and sizes.get(1)):
         return SecretModel(trigrams, [], None, 1.0 if sizes.get(1) else 0.0)
     # A bounded sample in one sorted partition: the forest is the same at every run.
-    sample = materialize(labelled.where(take).repartition(1).sortWithinPartitions("id", "pos", "candidate"), "findings")
+    sample = materialize(labelled.where(take).repartition(1).sortWithinPartitions("id", "pos", "match", "candidate"), "findings")
     odds = neighbour_odds(sample)
     rows = VectorAssembler(inputCols=FEATURES, outputCol="_x").transform(featured(sample, trigrams, odds))
     forest = RandomForestClassifier(featuresCol="_x", labelCol="label", probabilityCol="_p", rawPredictionCol="_r",
@@ -157,13 +167,14 @@ def train(labelled: DataFrame, trigrams: list[float], max_findings: int = 20_000
 
 def scan(docs: DataFrame, model: SecretModel, key: str = "doc_id", text: str = "text", path: str = "source",
          threshold: float = 0.5) -> DataFrame:
-    """One row per candidate: ``key``, ``pos`` (word number from 0), ``candidate``, ``score``, ``predicted``.
+    """One row per candidate: ``key``, ``pos`` (word number from 0), ``match`` (number in the word from 0),
+    ``candidate``, ``score``, ``predicted``.
 
     Null, empty and wordless texts have no candidates; a null path is ordinary; null ids and repeated rows give their
     findings like any other row; an empty table gives none; columns other than the three named are ignored.
     """
     s = model.score(findings(docs, key, text, path))
-    return s.select(F.col("id").alias(key), "pos", "candidate", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return s.select(F.col("id").alias(key), "pos", "match", "candidate", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def op4(docs: DataFrame) -> DataFrame:
