@@ -272,6 +272,21 @@ def test_secrets_every_candidate_of_a_word(spark):
     assert len(keys) == 80 and keys["predicted"].eq(1).all() and not out.duplicated(["doc_id", "pos", "match"]).any()
 
 
+def test_secrets_dictionary_counts_every_document(spark):
+    rng = np.random.default_rng(7)
+    rare = ["".join(rng.choice(list("абвгдежзийклмнопрстуфхцчшщыьэюя"), 8)) for _ in range(60)]
+    docs = frame(spark, [(i, f"some common words {rare[i // 50] if i % 50 == 0 else ''}", "en") for i in range(3_000)])
+    table, n = secrets.dictionary(docs), {}
+    grams = [w[j:j + 3] for w in ["some", "common", "words"] * 3_000 + rare for j in range(len(w) - 2)]
+    slots = spark.createDataFrame([(g,) for g in sorted(set(grams))], "g string").select("g", secrets._slot(F.col("g"), secrets.TRIGRAMS))
+    slot = dict(slots.toPandas().itertuples(index=False))
+    for g in grams:
+        n[slot[g]] = n.get(slot[g], 0) + 1
+    for s, x in enumerate(table):
+        assert math.isclose(x, math.log(1 + n.get(s, 0) / len(grams) / secrets.COMMON), rel_tol=1e-9)
+    assert np.allclose(table, secrets.dictionary(docs.union(docs)))   # shares, whatever the size
+
+
 def test_url_rules(spark):
     urls = ["http://Example.ORG/es/x", "https://a.example.org/en/12?q=/es/", "http://notexample.org/es/", "http://example.org", None,
             "no scheme", "x://b.com/fr/1", "x://com/de/#f", "x://c.com/dex", "x://deep.a.example.org/es/z", "", "http:///path",

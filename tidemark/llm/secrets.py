@@ -28,6 +28,7 @@ MATCHES = (r"""(?:(?<![A-Za-z0-9_/+.\-])([A-Za-z0-9_/+.\-]++)[\\"']*+[=:]++[\\"'
            r"(" + KEYLIKE + r"(?:=++(?![A-Za-z0-9_/+\-]))?+"
            r"|(?<![A-Za-z0-9_/+=\-])(?![A-Za-z0-9_/+=\-]*?[A-Za-z0-9_/+\-]{16})[A-Za-z0-9_/+=\-]{16,}+)")
 TRIGRAMS, NEIGHBOURS = 1 << 14, 1 << 10
+COMMON = 1e-7                       # share of all trigrams above which a slot counts as covered
 FEATURES = ["length", "switches", "digits", "uppers", "variety", "coverage", "transition", "slashes", "tame_path", "near"]
 # Path words that announce made-up content.
 TAME = "test|example|sample|fixture|mock|doc"
@@ -71,21 +72,18 @@ def _table(values: list[float]) -> Column:
     return F.from_json(F.lit(json.dumps([round(v, 5) for v in values])), "array<double>")
 
 
-def dictionary(docs: DataFrame, key: str = "doc_id", text: str = "text", max_docs: int = 2_000) -> list[float]:
-    """Log frequency of hashed letter trigrams of ordinary words (4 to 12 letters), ``TRIGRAMS`` slots; 0: unseen.
-
-    Sample bound: about ``max_docs`` documents, by a hash of the id.
+def dictionary(docs: DataFrame, text: str = "text") -> list[float]:
+    """Hashed letter trigrams of the ordinary words (4 to 12 letters) of all documents: ``TRIGRAMS`` slots with the logarithm of
+    1 + the slot's share of all trigrams in units of ``COMMON``; 0: unseen.
     """
-    n = docs.count()
-    some = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    if n > max_docs:
-        some = some.where(F.pmod(F.xxhash64("k"), F.lit(1 << 20)) < int((1 << 20) * max_docs / n))
-    words = some.select(F.explode(F.regexp_extract_all(F.coalesce("t", F.lit("")), F.lit(r"\b(\p{L}{4,12})\b"), 1)).alias("w"))
-    rows = words.select(F.explode(_trigrams(F.col("w"))).alias("g")).groupBy(_slot(F.col("g"), TRIGRAMS).alias("s")) \
-        .agg(F.count("*").alias("n")).collect()
-    out = [0.0] * TRIGRAMS
+    words = docs.select(F.explode(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"\b(\p{L}{4,12})\b"), 1)).alias("w"))
+    # Each distinct word is cut into trigrams once.
+    words = words.groupBy("w").agg(F.count("*").alias("n"))
+    rows = words.select("n", F.explode(_trigrams(F.col("w"))).alias("g")).groupBy(_slot(F.col("g"), TRIGRAMS).alias("s")) \
+        .agg(F.sum("n").alias("n")).collect()
+    out, total = [0.0] * TRIGRAMS, sum(r["n"] for r in rows)
     for r in rows:
-        out[r["s"]] = math.log(1 + r["n"])
+        out[r["s"]] = math.log(1 + r["n"] / total / COMMON)
     return out
 
 
@@ -109,7 +107,7 @@ def featured(found: DataFrame, trigrams: list[float], odds: list[float]) -> Data
     seen = F.transform(_trigrams(c), lambda g: F.get(table, _slot(g, TRIGRAMS)))
     odd = F.transform(F.filter("near", lambda w: w != ""), lambda w: F.get(near, _slot(w, NEIGHBOURS)))
     f = found.withColumn("_seen", F.transform(F.array(seen), lambda s: F.struct(
-        (F.size(F.filter(s, lambda x: x > 1.0)) / F.size(s)).alias("coverage"),
+        (F.size(F.filter(s, lambda x: x > math.log(2))) / F.size(s)).alias("coverage"),
         (F.aggregate(s, F.lit(0.0), lambda a, x: a + x) / F.size(s)).alias("transition")))[0])
     return f.select(
         "*", size.alias("length"), ((runs - 1) / size).alias("switches"),
