@@ -341,6 +341,32 @@ def test_vectors(spark):
     assert vector_search.op8(df.limit(0)).count() == 0
 
 
+def test_vectors_of_small_tables(spark):
+    rng = np.random.default_rng(3)
+    for n in (2, 12, 22, 40):
+        x = rng.normal(size=(n, 64))
+        df = spark.createDataFrame([(i, [float(v) for v in e]) for i, e in enumerate(x)], "vec_id long, embedding array<double>")
+        got = vector_search.nearest(df, df).toPandas()
+        assert set(got["query_id"]) == set(range(n))
+        for q, own in got.groupby("query_id"):
+            s = x @ x[q]
+            s[q] = -np.inf
+            assert list(own.sort_values("rank")["vec_id"]) == list(np.argsort(-s, kind="stable")[:min(20, n - 1)])
+
+
+def test_probe_passes_over_empty_leaves():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(40, 64))
+    f = vector_search.fit_forest(x, np.linalg.norm(x, axis=1).max(), 16, 7)
+    codes = f.leaves(x) + (np.arange(16) << 7)
+    sizes = np.bincount(codes.ravel(), minlength=16 << 7)
+    for q in x:
+        assert sizes[f.probe(q, 110, sizes, 0)].all() and len(f.probe(q, 110, sizes, 0)) == 110
+        met = f.probe(q, 1, sizes, 21)
+        assert np.isin(codes, met).any(axis=1).sum() >= 21
+        assert np.isin(codes, f.probe(q, 1, sizes, 41)).any(axis=1).all()
+
+
 def test_bm25(spark, odd, empty):
     rng = np.random.default_rng(12)
     rows = [(i, " ".join(f"v{min(int(z), 400)}" for z in rng.zipf(1.3, int(rng.integers(0, 60)))), "en") for i in range(300)]

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import groups
 from tidemark.operators.materialize import materialize
 
+LEAF = 16                            # vectors of a leaf at least, on average
+
 
 @dataclass
 class Forest:
@@ -48,20 +50,28 @@ class Forest:
             out[:, t] = node - ((1 << self.depth) - 1)
         return out
 
-    def probe(self, q: np.ndarray, probes: int) -> np.ndarray:
-        """The ``probes`` best (tree * leaves + leaf) numbers of a query, by the shared queue."""
+    def probe(self, q: np.ndarray, probes: int, sizes: np.ndarray, least: int) -> np.ndarray:
+        """The ``probes`` best (tree * leaves + leaf) numbers of a query, by the shared queue, and more until ``least`` ids are met.
+
+        ``sizes``: stored vectors of each leaf; empty leaves are passed over. A tree holds each vector once, so what one
+        tree's visited leaves hold are that many distinct ids.
+        """
         q = np.r_[q, 0.0]
         margin = self.normal @ q - self.level
         inner, out = (1 << self.depth) - 1, []
         queue = [(-np.inf, t, 0) for t in range(self.trees)]
-        while queue and len(out) < probes:
+        met = np.zeros(self.trees, np.int64)
+        while queue and (len(out) < probes or met.max() < least):
             cost, t, node = heapq.heappop(queue)
             while node < inner:
                 m = margin[t, node]
                 near, far = (2 * node + 2, 2 * node + 1) if m > 0 else (2 * node + 1, 2 * node + 2)
                 heapq.heappush(queue, (max(cost, abs(m)), t, far))
                 node = near
-            out.append((t << self.depth) + node - inner)
+            leaf = (t << self.depth) + node - inner
+            if sizes[leaf]:
+                out.append(leaf)
+                met[t] += sizes[leaf]
         return np.array(out)
 
 
@@ -138,7 +148,8 @@ def nearest(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: st
     is fitted on at most about ``sample`` rows, taken by a hash of the id. Ties go to the smaller id. What
     :func:`valid_vectors` leaves out takes no part on either side; empty tables give no rows; columns other than
     ``key`` and ``vector`` are ignored. ``probes`` of ``trees << depth`` leaves are visited: a share of the index, so
-    recall holds as the data grows.
+    recall holds as the data grows. Empty leaves do not count, and a query goes on until it met ``k`` other ids (all, if
+    there are fewer). Small tables have shallower trees.
     """
     spark = rows.sparkSession
     v, q = valid_vectors(rows, key, vector), valid_vectors(queries, key, vector)
@@ -152,6 +163,8 @@ def nearest(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: st
         drawn = v.limit(1).toPandas()
     drawn = drawn.sort_values("id")
     points = np.stack(drawn["x"].to_numpy())
+    # A small table has fewer leaves: about LEAF vectors in each.
+    depth = min(depth, int(max(1, stats[0] // LEAF)).bit_length() - 1)
     forest = spark.sparkContext.broadcast(fit_forest(points, stats[1], trees, depth))
 
     @F.pandas_udf("array<int>")
@@ -160,11 +173,15 @@ def nearest(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: st
         codes = f.leaves(np.stack(x.to_numpy())) + (np.arange(f.trees) << f.depth) if len(x) else []
         return pd.Series(list(codes), dtype=object)
 
+    placed = materialize(v.withColumn("leaves", leaves("x")), "placed")
+    held = np.zeros(trees << depth, np.int64)
+    for r in placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect():
+        held[r["leaf"]] = r["n"]
+
     @F.pandas_udf("array<int>")
     def probed(x: pd.Series) -> pd.Series:
-        return pd.Series([forest.value.probe(e, probes) for e in x], dtype=object)
+        return pd.Series([forest.value.probe(e, probes, held, k + 1) for e in x], dtype=object)
 
-    placed = materialize(v.withColumn("leaves", leaves("x")), "placed")
     asking = materialize(q.withColumn("leaves", probed("x")), "asking")
     # One row per leaf: at most trees << depth. Both sides of a large leaf are dealt over blocks.
     stored = placed.select("id", "x", F.explode("leaves").alias("leaf"))
