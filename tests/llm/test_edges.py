@@ -367,6 +367,17 @@ def test_probe_passes_over_empty_leaves():
         assert np.isin(codes, f.probe(q, 1, sizes, 41)).any(axis=1).all()
 
 
+def test_bm25_outside_queries(spark):
+    docs = frame(spark, [(i, f"shared words here unique{i}", "en") for i in range(30)])
+    asked = frame(spark, [(1000, "shared unique7", "en"), (1001, "unique9 nowhere", "en"), (5, "unique5", "en"), (6, "unique8", "en")])
+    got = bm25.search(docs, asked).toPandas()
+    best = got[got["rank"] == 1].set_index("query_id")["doc_id"].to_dict()
+    assert best == {1000: 7, 1001: 9, 6: 8} and (got["query_id"] == 1001).sum() == 1
+    first = got[(got["query_id"] == 1000)].sort_values("rank")["score"].to_numpy()
+    idf = lambda df: math.log(1 + (30 - df + .5) / (df + .5))
+    assert np.allclose(first[:2], [idf(30) + idf(1), idf(30)])
+
+
 def test_bm25(spark, odd, empty):
     rng = np.random.default_rng(12)
     rows = [(i, " ".join(f"v{min(int(z), 400)}" for z in rng.zipf(1.3, int(rng.integers(0, 60)))), "en") for i in range(300)]

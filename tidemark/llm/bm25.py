@@ -52,23 +52,26 @@ def term_table(docs: DataFrame, key: str, text: str, packed: bool = False) -> Da
 
 
 def document_frequency(index: DataFrame) -> DataFrame:
-    """(term, df) of a packed term table, counted in each task before the shuffle."""
+    """(term, df, holder) of a packed term table, counted in each task before the shuffle; ``holder``: an id with the term."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def counted(held: list[bytes]) -> pd.DataFrame:
-            t, n = np.unique(np.frombuffer(b"".join(held), np.int64), return_counts=True)
-            return pd.DataFrame({"term": t, "n": n})
+        def counted(held: list[bytes], ids: list[int]) -> pd.DataFrame:
+            t, first, n = np.unique(np.frombuffer(b"".join(held), np.int64), return_index=True, return_counts=True)
+            row = np.searchsorted(np.cumsum([len(h) // 8 for h in held]), first, side="right")
+            return pd.DataFrame({"term": t, "n": n, "holder": np.array(ids, np.int64)[row] if len(t) else first})
 
-        held, size = [], 0
+        held, ids, size = [], [], 0
         for pdf in batches:
             held += pdf["terms"].to_list()
+            ids += pdf["id"].to_list()
             size += int(pdf["terms"].map(len).sum())
             if size >= 8 * SHARD_POSTINGS:
-                yield counted(held)
-                held, size = [], 0
+                yield counted(held, ids)
+                held, ids, size = [], [], 0
         if held:
-            yield counted(held)
+            yield counted(held, ids)
 
-    return index.select("terms").mapInPandas(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
+    return index.select("id", "terms").mapInPandas(run, "term long, n long, holder long").groupBy("term") \
+        .agg(F.sum("n").alias("df"), F.max("holder").alias("holder"))
 
 
 class Queries:
@@ -219,11 +222,12 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
         asked = term_table(queries, key, text).groupBy("id") \
             .agg(F.max_by(F.struct("terms", "freqs"), F.struct("words", "terms")).alias("t"))
         n, mean = index.agg(F.count("*"), F.avg("words")).first()
-        # A term of one document alone cannot find another.
-        frequency = document_frequency(index).where("df > 1")
+        frequency = document_frequency(index)
         idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+        # A term of the query's own document alone cannot find another.
         weighed = asked.select("id", F.explode(F.arrays_zip("t.terms", "t.freqs")).alias("t")) \
             .select("id", F.col("t.terms").alias("term"), F.col("t.freqs").alias("freq")).join(frequency, "term") \
+            .where("df > 1 OR holder != id") \
             .select("id", "term", (F.col("freq") * idf).alias("weight"), "df")
         weighed = materialize(
             weighed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "weight", "df"))).alias("t"))
