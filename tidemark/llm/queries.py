@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import bm25, language_id, line_dedup, minhash, mixing, packing, quality, secrets, url_filter, vector_search
+from tidemark.llm import (bm25, language_id, line_dedup, minhash, mixing, packing, prefix_trie, quality, secrets, simhash,
+                          url_filter, vector_search, whitening)
 from tidemark.llm.common import table
 
 QUERIES = {
@@ -18,11 +19,15 @@ QUERIES = {
     "op8_vectors": lambda s, d: vector_search.op8(table(s, d, "embeddings")),
     "op9_language": lambda s, d: language_id.op9(table(s, d, "documents")),
     "op10_line_dedup": lambda s, d: line_dedup.op10(table(s, d, "documents")),
+    "op11_whiten": lambda s, d: whitening.op11(table(s, d, "embeddings")),
+    "op12_simhash": lambda s, d: simhash.op12(table(s, d, "documents")),
+    "op13_prefix_trie": lambda s, d: prefix_trie.op13(table(s, d, "conversations")),
 }
 
 ORACLE = {
     "op7_url_rules": url_filter.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
