@@ -28,20 +28,24 @@ def brute(rows, shared):
     for c, v in own.items():
         h = zlib.crc32(str(c).encode()) % 4 if shared else 0
         whole[c] = own.get(c - int(math.fmod(c, 20)), [])[:h] + v[h:]
-    members = collections.defaultdict(list)
+    path, members = {}, collections.defaultdict(list)
     for c, v in whole.items():
-        for d in range(len(v) + 1):
-            members[tuple(v[:d])].append(c)
-    kids = collections.Counter(p[:-1] for p in members if p)
+        path[c] = [b""]
+        for r, x in v:
+            path[c].append(hashlib.md5(path[c][-1] + repr((r, x)).encode()).digest())
+        for p in path[c]:
+            members[p].append(c)
+    at = {p: (min(m), path[min(m)].index(p)) for p, m in members.items()}
+    kids = collections.Counter(path[c][d - 1] for c, d in at.values() if d)
     leaves, saved = collections.Counter(), collections.Counter()
-    for p, m in members.items():
-        w = (len(m) - 1) * len(re.findall(r"[^\x20\x09-\x0D]+", p[-1][1])) if p else 0
-        for d in range(len(p) + 1):
-            saved[p[:d]] += w
-            leaves[p[:d]] += kids[p] == 0
-    ends = lambda p, m: hashlib.sha256(",".join(str(c) for c in sorted(m) if len(whole[c]) == len(p)).encode()).hexdigest()
-    return sorted((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p], ends(p, m))
-                  for p, m in members.items())
+    for p, (c, d) in at.items():
+        w = (len(members[p]) - 1) * len(re.findall(r"[^\x20\x09-\x0D]+", whole[c][d - 1][1])) if d else 0
+        for up in path[c][:d + 1]:
+            saved[up] += w
+            leaves[up] += kids[p] == 0
+    ends = lambda p: hashlib.sha256(",".join(str(c) for c in sorted(members[p]) if path[c][-1] == p).encode()).hexdigest()
+    return sorted((c, d, at[path[c][d - 1]][0] if d else None, len(members[p]), kids[p], leaves[p], saved[p], ends(p))
+                  for p, (c, d) in at.items())
 
 
 def same(got, rows, shared):
@@ -73,7 +77,7 @@ def test_edges(spark):
 
 def test_long_conversations_cross_chunks_and_full_tries(spark, monkeypatch):
     """Conversations of more turns than a chunk; forks in the middle of a chunk."""
-    rows = [(c, t, "u", f"t{t}" if t < 1500 + 20 * c else f"t{t} {c % 3}") for c in range(6) for t in range(2000 + c)]
+    rows = [(c, t, "u", f"t{t}" if t < 1010 + 9 * c else f"t{t} {c % 3}") for c in range(5) for t in range(1100 + c)]
     same(prefix_trie.prefix_trie(frame(spark, rows), rows_per_range=900), rows, False)
 
 
