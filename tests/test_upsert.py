@@ -114,6 +114,32 @@ def test_scd2_publish_open_closed(spark, tmp_path):
     assert [(r.k, r.x) for r in closed] == [(1, 10.0)]
 
 
+@pytest.mark.parametrize("lost", ["open rows", "marker"])
+def test_scd2_crash_shows_the_old_state(spark, tmp_path, monkeypatch, lost):
+    """A load that dies after its closed rows, before or after its open rows, is not seen; its retry is seen once."""
+    d = str(tmp_path / "hist")
+    l1 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
+    l2 = spark.createDataFrame([(1, "c"), (2, "b"), (3, "d")], "k int, x string")
+    assert U.read_history(spark, d) is None
+    U.scd2_publish(spark, d, l1, ["k"], ["x"], ts("2024-01-01"), load_id=1)
+    before = sorted(map(str, U.read_history(spark, d).collect()))
+    with monkeypatch.context() as m:
+        if lost == "marker":
+            m.setattr(U.fs, "write_text", lambda *x, **y: (_ for _ in ()).throw(OSError("lost")))
+        else:
+            m.setattr(U, "publish", lambda *x, **y: (_ for _ in ()).throw(OSError("lost")))
+        for _ in range(2):
+            with pytest.raises(OSError):
+                U.scd2_publish(spark, d, l2, ["k"], ["x"], ts("2024-02-01"), load_id=2)
+    assert U.fs.list_names(spark, f"{d}/closed")                                   # written, never committed
+    assert sorted(map(str, U.read_history(spark, d).collect())) == before
+    U.scd2_publish(spark, d, l2, ["k"], ["x"], ts("2024-02-01"), load_id=2)
+    got = sorted((r.k, r.x, r.valid_to is None) for r in U.read_history(spark, d).collect())
+    assert got == [(1, "a", False), (1, "c", True), (2, "b", True), (3, "d", True)]
+    U.scd2_publish(spark, d, l2.filter("k > 1"), ["k"], ["x"], ts("2024-03-01"), load_id=3)
+    assert U.read_history(spark, d).count() == 4                                  # nothing closed, nothing lost
+
+
 def test_scd2_intervals_do_not_overlap(spark):
     l1 = spark.createDataFrame([(1, 1.0)], "k int, x double")
     h = U.scd2_apply(None, l1, ["k"], ["x"], ts("2024-01-01"))

@@ -57,15 +57,15 @@ def _commit(spark: SparkSession, table_dir: str, cur: dict | None, **content) ->
     return nxt
 
 
-def publish(df: DataFrame, table_dir: str, batch_id: int | None = None, partition_by: Sequence[str] = ()) -> int:
-    """Write ``df`` to a new directory, then commit it as the next version."""
+def publish(df: DataFrame, table_dir: str, batch_id: int | None = None, partition_by: Sequence[str] = (), **content) -> int:
+    """Write ``df`` to a new directory, then commit it as the next version; ``content`` joins the marker."""
     data = f"data-{uuid.uuid4().hex}"
     w = df.write.mode("error").option("compression", "snappy")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{table_dir}/{data}")
     spark = df.sparkSession
-    return _commit(spark, table_dir, current_version(table_dir, spark), batch_id=batch_id, data=data)
+    return _commit(spark, table_dir, current_version(table_dir, spark), batch_id=batch_id, data=data, **content)
 
 
 # ------------------------------------------------------------------ SCD1 upsert
@@ -262,32 +262,35 @@ def scd2_publish(spark: SparkSession, history_dir: str, batch: DataFrame, keys:
                  valid_to: str = "valid_to", updated_at: str = "updated_at") -> None:
     """Apply one load to a history stored as ``open/`` (versioned) + ``closed/`` (append-only).
 
-    Only the open rows (the current table) are read and rewritten; rows closed
-    by this load are written once to ``closed/load=<id>/`` (overwrite, so a
-    retried load rewrites the same folder) before the open pointer moves. A
-    load whose id the pointer already records is skipped. The history size
-    therefore never drives the cost of a load.
+    Only the open rows (the current table) are read and rewritten, so the history size never drives the cost of a
+    load. The rows that a load closes go to a directory of their own; the one marker under ``open/_commits`` names the
+    open rows and every closed directory of its version. A reader sees a load whole or not at all, and a load that
+    died before its marker leaves directories that no reader visits. A load whose id the marker records is skipped.
     """
-    open_dir, closed_dir = f"{history_dir}/open", f"{history_dir}/closed"
+    open_dir = f"{history_dir}/open"
     cur = current_version(open_dir, spark)
     if cur is not None and cur.get("batch_id") is not None and cur["batch_id"] >= load_id:
         return
     check_unique(batch, keys)
     open_rows = read_table(spark, open_dir)
     applied = scd2_apply(open_rows, batch, keys, tracked, now, valid_from, valid_to, updated_at)
-    is_open = F.col(valid_to).isNull()
     if open_rows is None:
-        publish(applied, open_dir, batch_id=load_id)      # a first load closes nothing
+        publish(applied, open_dir, batch_id=load_id, closed=[])      # a first load closes nothing
         return
     res = materialize(applied, "scd2_load")
-    res.filter(~is_open).write.mode("overwrite").parquet(f"{closed_dir}/load={load_id}")
-    publish(res.filter(is_open), open_dir, batch_id=load_id)
+    is_open = F.col(valid_to).isNull()
+    closed = f"load={load_id}-{uuid.uuid4().hex}"
+    res.filter(~is_open).write.mode("error").parquet(f"{history_dir}/closed/{closed}")
+    publish(res.filter(is_open), open_dir, batch_id=load_id, closed=[*cur["closed"], closed])
 
 
-def read_history(spark: SparkSession, history_dir: str) -> DataFrame:
-    """open rows + every closed row (``load`` folder column dropped)."""
-    open_rows = read_table(spark, f"{history_dir}/open")
-    if not any(n.startswith("load=") for n in fs.list_names(spark, f"{history_dir}/closed")):
+def read_history(spark: SparkSession, history_dir: str) -> DataFrame | None:
+    """Open and closed rows of the committed version: what its marker names, and nothing else."""
+    cur = current_version(f"{history_dir}/open", spark)
+    if cur is None:
+        return None
+    open_rows = spark.read.parquet(f"{history_dir}/open/{cur['data']}")
+    if not cur["closed"]:
         return open_rows
-    closed = spark.read.parquet(f"{history_dir}/closed").drop("load")
-    return open_rows.unionByName(closed.select(*open_rows.columns))
+    closed = spark.read.schema(open_rows.schema).parquet(*[f"{history_dir}/closed/{d}" for d in cur["closed"]])
+    return open_rows.unionByName(closed)

@@ -19,35 +19,35 @@ from tidemark.plans import restaurant as R
 from tidemark.plans.oracle_views import RESTAURANT, with_views
 from tidemark.plans.registry import register
 from tidemark.plans.views import v_cal, v_items, v_opts
+from tidemark.sources import fs
 
 _FACT_CACHE: dict = {}
 REV_SQL = "(item_price * item_quantity + option_price * option_quantity)"
 GAP_TIEBREAK = ["order_id", "lineitem_id", "restaurant_id"]
 
 
-def base_fact(spark, sf_dir) -> DataFrame:
-    """The cleaned, joined sales fact for ``sf_dir``, written once per application and reused."""
-    key = (spark.sparkContext.applicationId, sf_dir, "base")
+def _once(spark, sf_dir, what: str, build) -> DataFrame:
+    """``build()``, kept for the application and the input files as they are: new or changed files build it anew."""
+    key = (spark.sparkContext.applicationId, sf_dir, fs.stamp(spark, sf_dir), what)
     if key not in _FACT_CACHE:
-        df = R.sales_fact(v_items(spark, sf_dir), v_opts(spark, sf_dir), v_cal(spark, sf_dir))
-        _FACT_CACHE[key] = materialize(df, "sales_fact")
+        _FACT_CACHE[key] = build()
     return _FACT_CACHE[key]
 
 
+def base_fact(spark, sf_dir) -> DataFrame:
+    """The cleaned, joined sales fact for ``sf_dir``, written once and reused."""
+    return _once(spark, sf_dir, "base", lambda: materialize(
+        R.sales_fact(v_items(spark, sf_dir), v_opts(spark, sf_dir), v_cal(spark, sf_dir)), "sales_fact"))
+
+
 def final_plan(spark, sf_dir) -> DataFrame:
-    """The final fact (with CLV and RFM) for ``sf_dir``, not written; its CLV and RFM tables are built once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, "plan")
-    if key not in _FACT_CACHE:
-        _FACT_CACHE[key] = R.final_from_fact(base_fact(spark, sf_dir))
-    return _FACT_CACHE[key]
+    """The final fact (with CLV and RFM) for ``sf_dir``, not written; its CLV and RFM tables are built once."""
+    return _once(spark, sf_dir, "plan", lambda: R.final_from_fact(base_fact(spark, sf_dir)))
 
 
 def final_fact(spark, sf_dir) -> DataFrame:
-    """:func:`final_plan` written once per application, for the reports that read it many times."""
-    key = (spark.sparkContext.applicationId, sf_dir, "final")
-    if key not in _FACT_CACHE:
-        _FACT_CACHE[key] = materialize(final_plan(spark, sf_dir), "final_fact")
-    return _FACT_CACHE[key]
+    """:func:`final_plan` written once, for the reports that read it many times."""
+    return _once(spark, sf_dir, "final", lambda: materialize(final_plan(spark, sf_dir), "final_fact"))
 
 
 def for_period(df: DataFrame, year: int, month: int | None = None) -> DataFrame:
@@ -89,12 +89,12 @@ def q_order_revenue(spark, sf):
 
 @register("user_history", sql("SELECT * FROM v_hist"))
 def q_user_history(spark, sf):
-    return R.user_history(R.order_revenue(base_fact(spark, sf)))
+    return R.user_history(base_fact(spark, sf))
 
 
 @register("global_means", sql("SELECT * FROM v_glob"))
 def q_global_means(spark, sf):
-    return R.global_means(R.user_history(R.order_revenue(base_fact(spark, sf))))
+    return R.global_means(R.user_history(base_fact(spark, sf)))
 
 
 @register("clv", sql("SELECT * FROM v_clv"))
@@ -141,10 +141,12 @@ def q_rfm_scores(spark, sf):
     return R.rfm_scores(base_fact(spark, sf))
 
 
-@register("ntile2_rfm", sql(f"SELECT {RFM_COLS} FROM v_rfm"))
+@register("ntile2_rfm", sql("SELECT user_id, year, month, " + ", ".join(
+    f"CASE WHEN {c} = 'Low' THEN 1 ELSE 2 END AS {c.replace('score', 'half')}" for c in R.SCORES) + " FROM v_rfm"))
 def q_ntile2_rfm(spark, sf):
-    # Same operator with small ranges, so the multi-range path is exercised.
-    return R.rfm_scores(base_fact(spark, sf), rows_per_bucket=2_000)
+    """The three halves as numbers. Small brackets, so several rounds of the selection are exercised by the oracle."""
+    t = R.rfm_tiles(base_fact(spark, sf), held=3_000, sample=1_000)
+    return t.select("user_id", "year", "month", *[F.col(c).alias(c.replace("score", "half")) for c in R.SCORES])
 
 
 @register("rfm_status", sql("SELECT * FROM v_rfm"))
@@ -219,8 +221,14 @@ GAP_SQL = ("CAST(date_diff('day', LAG(date_key) OVER (PARTITION BY user_id ORDER
            "lineitem_id, restaurant_id), date_key) AS INTEGER)")
 
 
-def gapped(spark, sf, buckets=None):
-    return gap_days(final_fact(spark, sf), "user_id", "date_key", GAP_TIEBREAK, buckets=buckets)
+GAP_DIMS = ["year", "month", "monthly_churn_risk_status", "is_loyalty", "restaurant_id"]
+
+
+def gapped(spark, sf) -> DataFrame:
+    """Days between orders per fact row with what the reports group by; dealt on these narrow rows once, for all of them."""
+    cols = list(dict.fromkeys(["user_id", "date_key", *GAP_TIEBREAK, *GAP_DIMS]))
+    return _once(spark, sf, "gaps", lambda: materialize(
+        gap_days(final_fact(spark, sf).select(*cols), "user_id", "date_key", GAP_TIEBREAK), "gaps"))
 
 
 def _gap_by(dim: str, name: str):
@@ -242,9 +250,7 @@ for _key, _args in {"gap_by_churn": ("monthly_churn_risk_status", "churn_risk"),
     f"SELECT user_id, order_id, lineitem_id, restaurant_id, date_key, {GAP_SQL} AS days_between_orders "
     "FROM v_fact"))
 def q_lag_gap_rows(spark, sf):
-    # Eight ranges regardless of size, so the cross-range carry is exercised.
-    return gapped(spark, sf, buckets=8).select("user_id", "order_id", "lineitem_id", "restaurant_id", "date_key",
-                                    "days_between_orders")
+    return gapped(spark, sf).select("user_id", "order_id", "lineitem_id", "restaurant_id", "date_key", "days_between_orders")
 
 
 @register("lag_gap_orders", sql(

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import fs
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -22,14 +24,14 @@ _VIEW_CACHE: dict = {}
 
 
 def shared_view(build):
-    """Write a derived view once per application (shared folder) and reuse it.
+    """Write a derived view once per application and state of the input files (shared folder) and reuse it.
 
     A report family reads the same joined input many times; writing it once
     runs the join once, and later reads are plain Parquet scans with pruning.
     """
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tidemark.operators.materialize import materialize
-        key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+        key = (spark.sparkContext.applicationId, sf_dir, fs.stamp(spark, sf_dir), build.__name__)
         if key not in _VIEW_CACHE:
             _VIEW_CACHE[key] = materialize(build(spark, sf_dir), f"view_{build.__name__}")
         return _VIEW_CACHE[key]

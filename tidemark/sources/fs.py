@@ -43,3 +43,9 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def stamp(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and times of what lies in a folder (one level; a table's folder changes its time with its files)."""
+    fs, p = _fs(spark, path)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))
