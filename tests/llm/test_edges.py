@@ -134,6 +134,30 @@ def test_line_positions_past_64(spark):
     assert got[3]["kept_sha256"] == hashlib.sha256(want.encode()).hexdigest()
 
 
+BIG = (1 << 60) + 1
+
+
+def test_ids_stay_exact_beside_a_null(spark):
+    """Long ids above 2^53 in the Arrow batch of a null id: pieces and components carry the ids they were given."""
+    rows = [(None, "some words of a text without an id", "en"), (BIG, "one text of that id", "en"), (BIG + 1, "one text of that ID", "en"),
+            (BIG + 2, "quite another text here for that", "de")]
+    docs = frame(spark, rows).coalesce(1)
+    assert sorted({r["doc_id"] or 0 for r in packing.op1(docs).collect()}) == [0, BIG, BIG + 1, BIG + 2]
+    got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in minhash.op3(docs).collect()}
+    assert got == {None: (None, True), BIG: (BIG, True), BIG + 1: (BIG, False), BIG + 2: (BIG + 2, True)}
+
+
+def test_near_duplicates_of_a_repeated_id(spark):
+    """Rows of one id with unrelated texts: each is judged by its own text, in either order of ids."""
+    a = " ".join(f"a{i}" for i in range(60))
+    c = " ".join(f"c{i}" for i in range(60))
+    for other in (3, 9):
+        docs = frame(spark, [(7, a, "en"), (other, a + " more", "en"), (7, c, "en"), (8, c + " tail", "en")])
+        got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.op3(docs).collect())
+        low = min(other, 7)
+        assert got == sorted([(7, low, low == 7), (other, low, low == other), (7, 7, True), (8, 7, False)])
+
+
 def test_near_duplicates(spark, odd, empty):
     got = minhash.op3(odd).toPandas().set_index("doc_id", drop=False)
     assert len(got) == odd.count()

@@ -20,10 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import groups
+from tidemark.llm.components import components
 from tidemark.llm.textnum import U64, mix, shingle_set
 from tidemark.operators.materialize import materialize
 
@@ -77,54 +79,41 @@ def _words(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), U64).reshape(len(column), MINIMA * BITS // 64)
 
 
+def set_name(shingles: np.ndarray) -> bytes:
+    return hashlib.md5(shingles.tobytes()).digest()
+
+
 def sketch(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    """(k, n, cls, bands, sig) per row; ``cls`` names the shingle set. Ids pass through Arrow untouched."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
             n, cls, bands, sig = [], [], [], []
-            for t in pdf["t"]:
-                s = shingle_set(t, shingle)
+            for t in b.column("t"):
+                s = shingle_set(t.as_py(), shingle)
+                m = minima(s) if len(s) else None
                 n.append(len(s))
-                if not len(s):
-                    cls.append(None), bands.append(None), sig.append(None)
-                    continue
-                m = minima(s)
-                cls.append(hashlib.md5(s.tobytes()).digest())
-                bands.append(band_keys(m))
-                sig.append(pack_bits(m))
-            yield pd.DataFrame({"k": pdf["k"].astype("Int64"), "n": n, "cls": cls, "bands": bands, "sig": sig})
+                cls.append(set_name(s) if len(s) else None)
+                bands.append(band_keys(m) if len(s) else None)
+                sig.append(pack_bits(m) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(n, pa.int64()), pa.array(cls, pa.binary()),
+                                              pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
+                                             ["k", "n", "cls", "bands", "sig"])
 
     return docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")) \
-        .mapInPandas(run, "k long, n long, cls binary, bands array<long>, sig binary")
+        .mapInArrow(run, "k long, n long, cls binary, bands array<long>, sig binary")
 
 
-def components(edges: DataFrame, name: str = "cc") -> DataFrame:
-    """(id, comp): smallest id of the component of every node of ``edges`` (a, b) that is not itself the smallest.
+def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """(id, s): the shingle set of every class in ``wanted`` (id, cls, rep), from a row of its representative."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), shingle) for t in b.column("t")]
+            yield pa.RecordBatch.from_arrays([pa.array([set_name(s) for s in sets], pa.binary()),
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "s"])
 
-    Alternating large-star and small-star contraction; each pass is written, so a lost executor costs one pass.
-    """
-    e = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name)
-    before = None
-    while True:
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before or not now[0]:
-            return e.select(F.col("u").alias("id"), F.col("v").alias("comp"))
-        before = now
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
-                                                                F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-        e = materialize(small.select("x.u", "x.v").where("u != v").distinct(), name)
-
-
-def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "s": [shingle_set(t, shingle).tobytes() for t in pdf["t"]]})
-
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
-    return rows.join(ids.hint("shuffle_hash"), "id", "left_semi").mapInPandas(run, "id long, s binary")
+    rows = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("t"))
+    made = rows.join(wanted.select("rep").distinct().hint("shuffle_hash"), "rep", "left_semi").mapInArrow(run, "cls binary, s binary")
+    return made.join(wanted.select("id", "cls"), "cls").select("id", "s").dropDuplicates(["id"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -203,17 +192,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     floor = floor_for(percent / 100)
     s = materialize(sketch(docs, key, text, shingle), "sketch")
-    # Written, so that the joins below meet two plain exchanges, of which Spark can split a class of very many copies.
-    reps = materialize(s.where("cls IS NOT NULL AND k IS NOT NULL").groupBy("cls").agg(F.min("k").alias("rep")), "reps")
+    # Written, so that the joins below meet two plain exchanges, of which Spark can split a class of very many copies, and
+    # so that a class keeps its number: classes, not ids, are linked.
+    reps = materialize(s.where("cls IS NOT NULL AND k IS NOT NULL").groupBy("cls").agg(F.min("k").alias("rep"))
+                       .withColumn("id", F.monotonically_increasing_id()), "reps")
     own = s.where("k IS NOT NULL").select("cls", F.col("k").alias("rep"), "n", "bands", "sig")
-    classes = materialize(own.join(reps, ["cls", "rep"]).dropDuplicates(["cls", "rep"])
-                          .select(F.col("rep").alias("id"), "n", "bands", "sig"), "classes")
+    classes = materialize(own.join(reps, ["cls", "rep"]).dropDuplicates(["id"]).select("id", "n", "bands", "sig"), "classes")
     sig = classes.select("id", "sig")
 
     banded = classes.select("id", "n", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
     buckets = materialize(banded.join(shared.select("key", "hub"), "key"), "buckets")
-    sets = materialize(_sets(docs, buckets.select("id").distinct(), key, text, shingle), "sets")
+    wanted = reps.join(buckets.select("id").distinct(), "id", "left_semi")
+    sets = materialize(_sets(docs, wanted, key, text, shingle), "sets")
 
     @F.pandas_udf("double")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -234,7 +225,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     dealt = placed.join(mixed, "key").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
         .select("key", "id", "comp", "blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")) \
         .select("key", "id", "comp", "blk", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"))
-    held = classes.select("id", "sig", "bands").join(sets.dropDuplicates(["id"]), "id")
+    held = classes.select("id", "sig", "bands").join(sets, "id")
     links = _block_links(dealt.join(held, "id"), floor, percent)
     # Components of this smaller graph over components complete the labels.
     more = materialize(components(links), "more")
@@ -243,9 +234,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     # A component's own smallest id has no label yet; it gets one when its component moves.
     labels = moved.union(more)
 
-    rep = s.select("k", "n", "cls").join(reps, "cls", "left").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.when(F.col("cls").isNull(), F.col("k")).otherwise(F.coalesce("comp", "rep"))
-    return rep.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")) \
+    # The smallest id of each component, over the classes that are linked at all.
+    linked = labels.unionByName(labels.select(F.col("comp").alias("id"), "comp").distinct())
+    linked = materialize(linked.join(reps.select("id", "rep"), "id"), "linked")
+    smallest = materialize(linked.groupBy("comp").agg(F.min("rep").alias("least")), "least")
+    named = linked.select("id", "comp").join(smallest, "comp").select("id", "least")
+    named = materialize(reps.join(named, "id", "left").select("cls", F.coalesce("least", "rep").alias("least")), "component_of")
+
+    rows = s.select("k", "n", "cls").join(named, "cls", "left")
+    component = F.when(F.col("cls").isNull(), F.col("k")).otherwise(F.col("least"))
+    return rows.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")) \
         .withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
 

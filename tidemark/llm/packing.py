@@ -14,7 +14,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -151,29 +151,28 @@ def pack(docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "text", s
     repeated rows are packed like any other row; an empty table gives no rows; other columns are ignored. The result
     is a function of the rows of each scan partition, so a task that runs again repeats it.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [f.split()[0] for f in PIECES.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         packer = Packer(size, TaskContext.get().partitionId() << 36, max_open)
         end = np.array([end_id], "<u4").tobytes()
-        names = [f.split()[0] for f in PIECES.split(", ")]
 
-        def rows() -> pd.DataFrame:
-            out = pd.DataFrame(packer.rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
+        def rows() -> pa.RecordBatch:
+            columns = list(zip(*packer.rows)) or [()] * len(names)
             packer.rows = []
-            return out
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
         encoder = _encoder(ranks)
-        for pdf in batches:
-            for k, t in zip(pdf["k"], pdf["t"]):
-                ids = np.array(encode(encoder, t or ""), "<u4").tobytes()
-                packer.add(None if pd.isna(k) else int(k), ids + end)
+        for b in batches:
+            for k, t in zip(b.column("k").to_pylist(), b.column("t")):   # ids as Python integers: a null beside them costs no digit
+                packer.add(k, np.array(encode(encoder, t.as_py() or ""), "<u4").tobytes() + end)
                 if len(packer.rows) > 10_000:
                     yield rows()
         packer.drain()
         yield rows()
 
-    return docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInPandas(run, PIECES)
+    return docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInArrow(run, PIECES)
 
 
 def ranks_path() -> str:
