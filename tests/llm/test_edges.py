@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -296,6 +297,37 @@ def test_secrets_every_candidate_of_a_word(spark):
     assert len(keys) == 80 and keys["predicted"].eq(1).all() and not out.duplicated(["doc_id", "pos", "match"]).any()
 
 
+def test_secrets_very_long_candidates(spark):
+    """Features of a candidate of two million characters take seconds: each is linear in the length."""
+    rows = [(1, "blob " + "aB3/" * 500_000, "en"), (2, "x" * 2_000_000 + " token = " + "0123456789abcdef" * 3, "en"), (3, "plain words only", "en")]
+    found = secrets.findings(frame(spark, rows))
+    start = time.time()
+    got = secrets.featured(found, [0.5] * secrets.TRIGRAMS, [0.0] * secrets.NEIGHBOURS).select("length", "coverage", "variety").collect()
+    assert sorted(r["length"] for r in got) == [48, 2_000_000, 2_000_000] and time.time() - start < 60
+
+
+def test_secrets_trigrams(spark):
+    words = ["ab", "", "abc", "abcdefgh", "AbÇd\nxy"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", secrets._trigrams(F.col("w")).alias("t")).collect()
+    for r in got:
+        w = "".join(c.lower() if c.isascii() else c for c in r["w"])
+        assert sorted(r["t"]) == sorted([w[i:i + 3] for i in range(len(w) - 2)] if len(w) > 2 else [w])
+
+
+def test_secrets_tell_look_alikes_by_their_neighbours(spark):
+    """Forty hexadecimal digits named a token, and the same shape named a commit: the forest learns the difference."""
+    rows = []
+    for i in range(400):
+        digest = hashlib.sha1(str(i).encode()).hexdigest()
+        rows.append((i, f"some words before {'token = ' if i % 2 else 'commit '}{digest} and after it", "en"))
+    found = secrets.findings(frame(spark, rows))
+    labelled = secrets.format_labels(found)
+    assert {(r["id"] % 2, r["label"]) for r in labelled.collect()} == {(0, 0), (1, 1)}
+    model = secrets.train(labelled.where("id % 4 < 2"), secrets.dictionary(frame(spark, rows)))
+    held = secrets.judged(found.where("id % 4 >= 2"), model).collect()
+    assert len(held) == 200 and all(r["predicted"] == r["doc_id"] % 2 for r in held)
+
+
 def test_secrets_dictionary_counts_every_document(spark):
     rng = np.random.default_rng(7)
     rare = ["".join(rng.choice(list("абвгдежзийклмнопрстуфхцчшщыьэюя"), 8)) for _ in range(60)]
