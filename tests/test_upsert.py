@@ -76,6 +76,28 @@ def test_bucketed_upsert_rewrites_only_touched(spark, tmp_path):
     assert U.current_version(d, spark)["n"] == 61 and U.read_bucketed(spark, d).count() == 1201      # dealt anew
 
 
+def test_bucketed_upsert_prunes_by_key_range(spark, tmp_path, monkeypatch):
+    """Keys beyond a run's range: its directory stays and is not read; keys inside: only the runs they can meet are."""
+    d, read = str(tmp_path / "tbl"), []
+    rows = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    real = U._read_runs
+    monkeypatch.setattr(U, "_read_runs", lambda s, t, cur, runs: read.append(runs) or real(s, t, cur, runs))
+    U.upsert_bucketed(spark, d, rows(0, 100, "a"), ["k"], rows_per_bucket=100)
+    first = U.current_version(d, spark)["buckets"]
+    U.upsert_bucketed(spark, d, rows(100, 150, "b"), ["k"], rows_per_bucket=100)
+    second = U.current_version(d, spark)["buckets"]
+    assert read[-1] == {} and len(first) == 1 and second["0"][0] == first["0"][0] and len(second["0"]) == 2
+    U.upsert_bucketed(spark, d, rows(120, 160, "c"), ["k"], rows_per_bucket=100)
+    third = U.current_version(d, spark)["buckets"]
+    assert read[-1] == {"0": [second["0"][1]]} and third["0"][0] == first["0"][0]
+    got = {r.k: r.v for r in U.read_bucketed(spark, d).collect()}
+    assert got == {i: "a" if i < 100 else "b" if i < 120 else "c" for i in range(160)}
+    # Text and date keys keep their order; a bucket of too many runs is merged by the next batch that touches it.
+    monkeypatch.setattr(U, "RUNS_PER_BUCKET", 2)
+    U.upsert_bucketed(spark, d, rows(500, 505, "z"), ["k"], rows_per_bucket=100)
+    assert len(U.current_version(d, spark)["buckets"]["0"]) == 1 and U.read_bucketed(spark, d).count() == 165
+
+
 @pytest.mark.parametrize("bucketed", [False, True])
 def test_crash_before_the_marker_then_retry(spark, tmp_path, monkeypatch, bucketed):
     from tidemark.streaming import jobs

@@ -48,9 +48,32 @@ def read_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
     cur = current_version(table_dir, spark)
     if cur is None:
         return None
+    if "files" in cur:
+        return spark.read.parquet(*[f"{table_dir}/{f}" for f in cur["files"]])
     return spark.read.parquet(f"{table_dir}/{cur['data']}")
 
 
+def table_files(spark: SparkSession, table_dir: str, cur: dict) -> dict[str, int]:
+    """Files of a version with their lengths."""
+    folders = {f.split("/")[0] for f in cur["files"]} if "files" in cur else {cur["data"]}
+    found = {f"{d}/{f}": n for d in sorted(folders) for f, n in fs.list_files(spark, f"{table_dir}/{d}").items()}
+    return {f: found[f] for f in cur["files"]} if "files" in cur else found
+
+
+def commit_files(spark: SparkSession, table_dir: str, cur: dict | None, files: Sequence[str], batch_id: int | None = None) -> int:
+    """Commit a version that is the given files."""
+    return _commit(spark, table_dir, cur, batch_id=batch_id, files=list(files))
+
+
+def append(df: DataFrame, table_dir: str, batch_id: int | None = None) -> int:
+    """Commit a version of the files there are and those of ``df``."""
+    spark, data = df.sparkSession, f"data-{uuid.uuid4().hex}"
+    df.write.mode("error").option("compression", "snappy").parquet(f"{table_dir}/{data}")
+    cur = current_version(table_dir, spark)
+    before = list(table_files(spark, table_dir, cur)) if cur else []
+    return commit_files(spark, table_dir, cur, [*before, *[f"{data}/{f}" for f in fs.list_files(spark, f"{table_dir}/{data}")]], batch_id)
+
+
 def _commit(spark: SparkSession, table_dir: str, cur: dict | None, **content) -> int:
     nxt = 0 if cur is None else cur["version"] + 1
     fs.write_text(spark, f"{table_dir}/{COMMITS}/{nxt}.json", json.dumps({"version": nxt, **content}))
@@ -193,36 +216,64 @@ def compact(df: DataFrame, by: str, files: int | None = None, tiebreak: Sequence
 # ------------------------------------------------------------------ bucketed upsert
 KEY_BUCKET = "_kb"
 ROWS_PER_KEY_BUCKET = 1_000_000
+RUNS_PER_BUCKET = 16         # directories of a bucket before a batch that touches it merges them
 
 
 def key_bucket(keys: Sequence[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
+def _read_runs(spark: SparkSession, table_dir: str, cur: dict, runs: dict[str, list[dict]]) -> DataFrame | None:
+    paths = [f"{table_dir}/{r['data']}/{KEY_BUCKET}={b}" for b, own in runs.items() for r in own]
+    return spark.read.schema(cur["schema"]).parquet(*paths) if paths else None
+
+
 def read_bucketed(spark: SparkSession, table_dir: str, only: Sequence[int] | None = None) -> DataFrame | None:
     """The committed rows of a bucketed table, or of the buckets ``only`` of it. None: no commit, or no such bucket."""
     cur = current_version(table_dir, spark)
     if cur is None:
         return None
     wanted = cur["buckets"] if only is None else {str(b): cur["buckets"][str(b)] for b in only if str(b) in cur["buckets"]}
-    if not wanted:
-        return None
-    paths = [f"{table_dir}/{data}/{KEY_BUCKET}={b}" for b, data in wanted.items()]
-    return spark.read.schema(cur["schema"]).parquet(*paths)
+    return _read_runs(spark, table_dir, cur, wanted)
+
+
+def _ranges(rows: DataFrame, key: str, bucket: Column) -> DataFrame:
+    return rows.groupBy(bucket.alias(KEY_BUCKET)).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+
+
+def _met_runs(spark: SparkSession, cur: dict, batch: DataFrame, keys: Sequence[str]) -> tuple[list[str], dict[str, list[dict]]]:
+    """Buckets that the batch touches, and in them the runs whose range of the first key meets the batch's range there.
+
+    A bucket with too many runs gives all of them. The tables compared hold one row per bucket and per run.
+    """
+    bucket, kind = key_bucket(keys, cur["n"]), batch.schema[keys[0]].dataType.simpleString()
+    touched = _ranges(batch, keys[0], bucket)
+    held = spark.createDataFrame([(int(b), i, r["low"], r["high"]) for b, own in cur["buckets"].items() for i, r in enumerate(own)],
+                                 f"{KEY_BUCKET} int, i int, l string, h string")
+    meet = (F.col("low") <= F.col("h").cast(kind)) & (F.col("high") >= F.col("l").cast(kind))
+    rows = touched.join(held, KEY_BUCKET, "left").select(KEY_BUCKET, "i", F.coalesce(meet, F.lit(False)).alias("met")).collect()
+    runs: dict[str, list[dict]] = {}
+    for r in rows:
+        own = cur["buckets"].get(str(r[0]), [])
+        if r["i"] is not None and (r["met"] or len(own) >= RUNS_PER_BUCKET):
+            runs.setdefault(str(r[0]), []).append(own[r["i"]])
+    return sorted({str(r[0]) for r in rows}), runs
 
 
 def upsert_bucketed(spark: SparkSession, table_dir: str, batch: DataFrame, keys: Sequence[str],
                     batch_id: int | None = None, rows_per_bucket: int = ROWS_PER_KEY_BUCKET, **upsert_opts) -> int:
-    """MERGE ``batch`` into a table hash-bucketed on ``keys``, rewriting only the buckets it touches.
-
-    Each batch writes its buckets to a directory of its own; the marker then names the directory of every
-    bucket, so the whole batch becomes visible at once and a retry after a crash starts from the old version.
-    The number of buckets follows the row count: a table that outgrew twice its buckets is dealt anew.
-    Returns the number of rewritten buckets. The driver holds bucket numbers only, one per ``rows_per_bucket``.
+    """MERGE ``batch`` into a table hash-bucketed on ``keys``, reading and rewriting only what it can meet.
+
+    A bucket is a list of runs (directories), each with the range of its first key. A run whose range does not meet the
+    batch's range in that bucket holds no row to update: it is neither read nor rewritten, and the batch's rows become a
+    run beside it. Each batch writes a directory of its own; the marker then names the runs of every bucket, so the whole
+    batch becomes visible at once and a retry after a crash starts from the old version. The number of buckets follows
+    the row count: a table that outgrew twice its buckets is dealt anew. Returns the number of buckets written to. The
+    driver holds bucket and run numbers only.
     """
     batch = batch.persist()
     try:
-        return _upsert_bucketed(spark, table_dir, batch, keys, batch_id, rows_per_bucket, upsert_opts)
+        return _upsert_bucketed(spark, table_dir, batch, list(keys), batch_id, rows_per_bucket, upsert_opts)
     finally:
         batch.unpersist()
 
@@ -238,21 +289,28 @@ def _upsert_bucketed(spark, table_dir, batch, keys, batch_id, rows_per_bucket, u
         target = read_bucketed(spark, table_dir)
         if target is not None:
             rows = new + target.count()
-        n = -(-rows // rows_per_bucket)
+        n, kept = -(-rows // rows_per_bucket), {}
     else:
         n = cur["n"]
-        touched = [r[0] for r in batch.select(key_bucket(keys, n)).distinct().collect()]
-        target = read_bucketed(spark, table_dir, touched)
+        _, met = _met_runs(spark, cur, batch, keys)
+        kept = {b: [r for r in own if r not in met.get(b, [])] for b, own in cur["buckets"].items()}
+        target = _read_runs(spark, table_dir, cur, met)
         if target is None:
             target = spark.createDataFrame([], cur["schema"])
     merged = upsert(target, batch, keys, **upsert_opts)
     data = f"data-{uuid.uuid4().hex}"
     (merged.withColumn(KEY_BUCKET, key_bucket(keys, n)).repartition(n, KEY_BUCKET).write.mode("error")
      .option("compression", "snappy").partitionBy(KEY_BUCKET).parquet(f"{table_dir}/{data}"))
-    written = [x.split("=")[1] for x in fs.list_names(spark, f"{table_dir}/{data}") if x.startswith(f"{KEY_BUCKET}=")]
-    buckets = ({} if anew else dict(cur["buckets"])) | {b: data for b in written}
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema.fields)
-    _commit(spark, table_dir, cur, batch_id=batch_id, n=n, rows=rows, buckets=buckets, schema=schema)
+    folders = [x.split("=")[1] for x in fs.list_names(spark, f"{table_dir}/{data}") if x.startswith(f"{KEY_BUCKET}=")]
+    written = {}
+    if folders:
+        made = spark.read.schema(f"{schema}, {KEY_BUCKET} int").parquet(f"{table_dir}/{data}")
+        text = [F.col(c).cast("string").alias(c) for c in ("low", "high")]
+        written = {str(r[0]): {"data": data, "low": r["low"], "high": r["high"]}
+                   for r in _ranges(made, keys[0], F.col(KEY_BUCKET)).select(KEY_BUCKET, *text).collect()}
+    buckets = {b: [*kept.get(b, []), *([written[b]] if b in written else [])] for b in sorted({*kept, *written}, key=int)}
+    _commit(spark, table_dir, cur, batch_id=batch_id, n=n, rows=rows, buckets={b: own for b, own in buckets.items() if own}, schema=schema)
     return len(written)
 
 

@@ -45,6 +45,20 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def list_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> dict[str, int]:
+    """Names below ``path`` (folders included) and lengths of the data files in it."""
+    fs, p = _fs(spark, path)
+    root, out, todo = fs.makeQualified(p).toString().rstrip("/"), {}, [p]
+    while todo:
+        for s in fs.listStatus(todo.pop()):
+            name = s.getPath().getName()
+            if s.isDirectory() and not name.startswith(("_", ".")):
+                todo.append(s.getPath())
+            elif name.endswith(suffix) and not name.startswith(("_", ".")):
+                out[s.getPath().toString()[len(root) + 1:]] = s.getLen()
+    return dict(sorted(out.items()))
+
+
 def stamp(spark: SparkSession, path: str) -> tuple:
     """Names, lengths and times of what lies in a folder (one level; a table's folder changes its time with its files)."""
     fs, p = _fs(spark, path)
