@@ -151,3 +151,29 @@ def test_latest_within_matches_join(spark):
         want[x.lid] = max(hits, key=lambda o: (o.ot, o.oid)).oid if hits else None
     assert got == want
     assert latest_within(left.limit(0), right, [("u", "ou")], "t", "ot", 600).count() == 0
+
+
+def test_joined_types_do_not_depend_on_the_order():
+    from itertools import permutations
+    from pyspark.sql.types import StructType
+    from tidemark.sources.readers import join_schemas
+    kinds = {"byte int": "int", "int bigint": "bigint", "int bigint string": "string", "int double": "double", "bigint decimal(10,2)": "decimal(21,2)",
+             "decimal(10,2) decimal(8,4)": "decimal(12,4)", "decimal(38,0) decimal(38,30)": "string", "date timestamp": "timestamp", "boolean int": "string",
+             "float double": "double", "array<int> array<bigint>": "array<bigint>", "struct<a:int> struct<A:bigint,b:string>": "struct<a:bigint,b:string>"}
+    for have, want in kinds.items():
+        for order in permutations(have.split()):
+            got = join_schemas([StructType.fromDDL(f"x {t}") for t in order])["x"].dataType.simpleString().lower()
+            assert sorted(got.replace("struct<", "").strip(">").split(",")) == sorted(want.replace("struct<", "").strip(">").split(",")), (order, got)
+
+
+def test_evolving_parts_without_a_schema(spark, tmp_path):
+    parts = [spark.sql("SELECT 1 AS id, 'a' AS s, named_struct('x', 1) AS n, array(1) AS l"),
+             spark.sql("SELECT 3000000000 AS ID, 5 AS s, named_struct('x', 2Y, 'y', 'q') AS n"),
+             spark.sql("SELECT 7 AS id, CAST(NULL AS string) AS s, CAST(NULL AS struct<x:int>) AS n, array(8L) AS l, 1.5BD AS more")]
+    paths = [str(tmp_path / str(i)) for i in range(3)]
+    for part, path in zip(parts, paths):
+        part.write.parquet(path)
+    got = read_evolving(spark, paths)
+    assert got.schema.simpleString() == "struct<id:bigint,s:string,n:struct<x:int,y:string>,l:array<bigint>,more:decimal(2,1)>"
+    rows = {r.id: (r.s, r.n and tuple(r.n), r.l, r.more and float(r.more)) for r in got.collect()}
+    assert rows == {1: ("a", (1, None), [1], None), 3_000_000_000: ("5", (2, "q"), None, None), 7: (None, None, [8], 1.5)}

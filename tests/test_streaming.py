@@ -37,3 +37,52 @@ def test_incremental_ingest_loads_each_file_once(spark, tmp_path):
     jobs.ingest_stream(spark, src, df.schema, dst, ck, fmt="parquet", add_metadata=False)
     out = spark.read.parquet(dst)
     assert out.count() == 50 and out.select("id").distinct().count() == 50
+
+
+def test_quarantine_adds_up_after_a_replay(spark, tmp_path, monkeypatch):
+    """Good and bad rows of each batch become visible together, once, also where a batch died before its marker."""
+    from pyspark.sql.types import IntegerType, StructField, StructType
+    from tidemark.operators import upsert as U
+    d = str(tmp_path / "t")
+    cb = jobs.quarantine_batch(spark, StructType([StructField("k", IntegerType())]), d)
+    batches = [spark.createDataFrame([(v, "f") for v in lines], "value string, source_file string")
+               for lines in (['{"k": 1}', '{"k": 2', "x"], ['{"k": 3}', "{}", '{"k": "no"}'], ['{"k": 4}'])]
+    seen = lambda: tuple(0 if (t := jobs.read_quarantined(spark, d, k)) is None else t.count() for k in ("good", "bad"))
+    for i, want in enumerate([(1, 2), (3, 3), (4, 3)]):
+        before = seen()
+        with monkeypatch.context() as m:
+            m.setattr(U.fs, "write_text", lambda *x, **y: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                cb(batches[i], i)
+        assert seen() == before
+        cb(batches[i], i)
+        cb(batches[i], i)
+        assert seen() == want
+    assert {r[0] for r in jobs.read_quarantined(spark, d, "bad").select("_corrupt_record").collect()} == {'{"k": 2', "x", '{"k": "no"}'}
+
+
+def test_leads_leave_at_their_timer_with_the_latest_owner(spark, tmp_path):
+    """Owners before, inside, at the end of and after the wait, in later batches than their lead; ties; no user; the tail."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 9, 50)
+    at = lambda minutes: t0 + dt.timedelta(minutes=minutes, microseconds=7)
+    names = "lead_id long, user_id string, date_created timestamp_ntz", "owner_event_id long, owner_user_id string, owner_ts timestamp_ntz, lead_owner string"
+    leads = [[(1, "u", at(0)), (2, "u", at(5)), (3, "v", at(0)), (4, None, at(1)), (5, "w", at(3))], [(6, "u", at(200))], [(7, "q", at(500))]]
+    owners = [[(10, "u", at(-1), "early"), (11, "u", at(8), "a"), (12, "u", at(10), "at the end"), (13, "v", at(11), "late")],
+              [(14, "u", at(14), "b"), (16, "u", at(14), "tie"), (15, "w", at(12), "second batch"), (17, "u", at(202), "c")], []]
+    src = [str(tmp_path / n) for n in ("l", "o", "c")]
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    clock = [[(at(0),)], [(at(0),)], [(at(0),)], [(at(900),)], [(at(901),)]]
+    for i in range(5):
+        for path, rows, schema in ((src[0], leads[i] if i < 3 else [], names[0]), (src[1], owners[i] if i < 3 else [], names[1]),
+                                   (src[2], clock[i], "at timestamp_ntz")):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        s = [spark.readStream.schema(spark.read.parquet(p).schema).parquet(p) for p in src]
+        jobs._drain(jobs.delayed_enrich_stream(s[0], s[1], 600, "30 minutes", s[2]).writeStream.format("parquet")
+                    .option("path", out).option("checkpointLocation", ck).outputMode("append"))
+        if i == 1:
+            early = {r.lead_id for r in spark.read.parquet(out).collect()}
+    got = sorted((r.lead_id, r.lead_owner) for r in spark.read.parquet(out).collect())
+    assert got == [(1, "at the end"), (2, "tie"), (3, None), (4, None), (5, "second batch"), (6, "c"), (7, None)]
+    assert 4 in early and 7 not in early
+    assert {r.date_created for r in spark.read.parquet(out).where("lead_id = 1").collect()} == {at(0)}

@@ -62,7 +62,7 @@ def table_files(spark: SparkSession, table_dir: str, cur: dict) -> dict[str, int
 
 def commit_files(spark: SparkSession, table_dir: str, cur: dict | None, files: Sequence[str], batch_id: int | None = None) -> int:
     """Commit a version that is the given files."""
-    return _commit(spark, table_dir, cur, batch_id=batch_id, files=list(files))
+    return commit(spark, table_dir, cur, batch_id=batch_id, files=list(files))
 
 
 def append(df: DataFrame, table_dir: str, batch_id: int | None = None) -> int:
@@ -74,7 +74,8 @@ def append(df: DataFrame, table_dir: str, batch_id: int | None = None) -> int:
     return commit_files(spark, table_dir, cur, [*before, *[f"{data}/{f}" for f in fs.list_files(spark, f"{table_dir}/{data}")]], batch_id)
 
 
-def _commit(spark: SparkSession, table_dir: str, cur: dict | None, **content) -> int:
+def commit(spark: SparkSession, table_dir: str, cur: dict | None, **content) -> int:
+    """Create the marker of the version after ``cur``; a marker that is there already is an error."""
     nxt = 0 if cur is None else cur["version"] + 1
     fs.write_text(spark, f"{table_dir}/{COMMITS}/{nxt}.json", json.dumps({"version": nxt, **content}))
     return nxt
@@ -88,7 +89,7 @@ def publish(df: DataFrame, table_dir: str, batch_id: int | None = None, partitio
         w = w.partitionBy(*partition_by)
     w.parquet(f"{table_dir}/{data}")
     spark = df.sparkSession
-    return _commit(spark, table_dir, current_version(table_dir, spark), batch_id=batch_id, data=data, **content)
+    return commit(spark, table_dir, current_version(table_dir, spark), batch_id=batch_id, data=data, **content)
 
 
 # ------------------------------------------------------------------ SCD1 upsert
@@ -310,7 +311,7 @@ def _upsert_bucketed(spark, table_dir, batch, keys, batch_id, rows_per_bucket, u
         written = {str(r[0]): {"data": data, "low": r["low"], "high": r["high"]}
                    for r in _ranges(made, keys[0], F.col(KEY_BUCKET)).select(KEY_BUCKET, *text).collect()}
     buckets = {b: [*kept.get(b, []), *([written[b]] if b in written else [])] for b in sorted({*kept, *written}, key=int)}
-    _commit(spark, table_dir, cur, batch_id=batch_id, n=n, rows=rows, buckets={b: own for b, own in buckets.items() if own}, schema=schema)
+    commit(spark, table_dir, cur, batch_id=batch_id, n=n, rows=rows, buckets={b: own for b, own in buckets.items() if own}, schema=schema)
     return len(written)
 
 

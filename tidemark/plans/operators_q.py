@@ -8,11 +8,12 @@ from tidemark.functions.columns import exact_sum, mean_of
 from tidemark.operators.clean import (calendar_backfill, cast_if_needed, drop_all_null, drop_blank_keys,
                                       exclude_values, fill_zero)
 from tidemark.operators.ranking import rows_of_top_groups, top_k
+from tidemark.plans.bookings import DAILY, VB, VM, VSP, W, daily_bookings
 from tidemark.plans.oracle_views import V_CAL, V_ITEMS, V_OPTS, with_views
 from tidemark.plans.registry import register
 from tidemark.plans.restaurant import ITEM_KEYS, attach_scalar
 from tidemark.plans.retail import pandas_sum
-from tidemark.plans.views import table, v_cal, v_items, v_opts
+from tidemark.plans.views import table, v_book, v_cal, v_items, v_mapping, v_opts, v_spend
 
 
 @register("drop_blank_keys", with_views([V_ITEMS], """
@@ -193,14 +194,13 @@ def q_cross_join_scalar(spark, sf):
     return attach_scalar(orders, orders.agg(F.max("o_totalprice").alias("dearest")))
 
 
-@register("left_join_compound", """
-    SELECT o.number, o.day, o.n_orders, s.n_shipped
-    FROM (SELECT o_custkey AS number, CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n_orders FROM orders GROUP BY ALL) o
-    LEFT JOIN (SELECT l_suppkey AS number, CAST(l_shipdate AS DATE) AS day, COUNT(*) AS n_shipped FROM lineitem GROUP BY ALL) s
-      ON o.number = s.number AND o.day = s.day""")
+@register("left_join_compound", W(VB, VM, VSP, DAILY) + """SELECT CAST(s.date AS DATE) AS spend_date, s.channel, s.spend,
+    COALESCE(d.total_meetings_booked, 0) AS bookings
+    FROM v_spend s LEFT JOIN v_daily d ON CAST(s.date AS DATE) = d.meeting_date AND s.channel = d.channel_name""")
 def q_left_join_compound(spark, sf):
-    orders = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("number"), F.to_date("o_orderdate").alias("day")).agg(
-        F.count("*").alias("n_orders"))
-    shipped = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("number"), F.to_date("l_shipdate").alias("day")).agg(
-        F.count("*").alias("n_shipped"))
-    return orders.join(shipped, ["number", "day"], "left").select("number", "day", "n_orders", "n_shipped")
+    """Spend per day and channel with its bookings by (day, channel); without any, NULL becomes 0."""
+    booked = daily_bookings(v_book(spark, sf), v_mapping(spark))
+    spend = v_spend(spark, sf).withColumn("spend_date", F.to_date("date", "yyyy-MM-dd"))
+    both = spend.join(booked, (spend["spend_date"] == booked["meeting_date"]) & (spend["channel"] == booked["channel_name"]), "left")
+    return fill_zero(both.withColumnRenamed("total_meetings_booked", "bookings"), ["bookings"]) \
+        .select("spend_date", "channel", "spend", "bookings")

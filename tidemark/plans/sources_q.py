@@ -76,37 +76,41 @@ register("parquet_snappy_write", "SELECT * FROM orders")(q_snappy)
 
 
 def q_partitioned_append(spark, sf):
-    e = table(spark, sf, "events")
-    e = e.withColumns({"year": F.year("ts"), "month": F.month("ts"), "day": F.dayofmonth("ts")})
-    path = scratch_path(spark, "events_by_day")
-    write_partitioned(e.filter(F.col("event_id") % 2 == 0), path, ["year", "month", "day"])
-    write_partitioned(e.filter(F.col("event_id") % 2 == 1), path, ["year", "month", "day"])
+    """Orders landed by year, month and day (some 2,400 daily directories): a second load appends later days, and rows to
+    days of a month that is there already."""
+    o = table(spark, sf, "orders")
+    o = o.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate"), "day": F.dayofmonth("o_orderdate")})
+    path = scratch_path(spark, "orders_by_day")
+    month = F.col("year") * 100 + F.col("month")
+    second = F.coalesce((month > 199507) | ((month == 199507) & (F.col("o_orderkey") % 2 == 1)), F.lit(False))
+    for load in (~second, second):
+        write_partitioned(o.filter(load), path, ["year", "month", "day"])
     return spark.read.parquet(path)
 
 
-register("partitioned_append", """SELECT *, CAST(year(ts) AS INTEGER) AS year,
-  CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day FROM events""")(q_partitioned_append)
-
-EVOLVED = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType()),
-                      StructField("c_acctbal", DoubleType()), StructField("c_mktsegment", StringType()),
-                      StructField("c_nationkey", StringType())])
+register("partitioned_append", """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year,
+  CAST(month(o_orderdate) AS INTEGER) AS month, CAST(day(o_orderdate) AS INTEGER) AS day FROM orders""")(q_partitioned_append)
 
 
 def q_schema_evolve(spark, sf):
+    """Three generations of files: int, bigint and text nation, with and without balance and segment; no schema given."""
     c = table(spark, sf, "customer")
-    a, b = scratch_path(spark, "cust_old"), scratch_path(spark, "cust_new")
-    # old files: int key, int nation, no segment; new files: bigint key, text nation, no balance
-    c.filter(F.col("c_custkey") % 2 == 0).select(F.col("c_custkey").cast("int").alias("c_custkey"), "c_name",
-                                                 "c_acctbal", "c_nationkey").write.parquet(a)
-    c.filter(F.col("c_custkey") % 2 == 1).select("c_custkey", "c_name", "c_mktsegment",
-                                                 F.col("c_nationkey").cast("string").alias("c_nationkey")) \
-        .write.parquet(b)
-    return read_evolving(spark, [a, b], EVOLVED)
-
-
-register("schema_evolve_union", """SELECT c_custkey, c_name,
-  CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS c_acctbal,
-  CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS c_mktsegment, CAST(c_nationkey AS VARCHAR) AS c_nationkey
+    key = F.col("c_custkey")
+    parts = [c.filter(key % 3 == 0).select(key.cast("int").alias("c_custkey"), "c_name", "c_acctbal", F.col("c_nationkey").cast("int")),
+             c.filter(key % 3 == 1).select(key.cast("bigint").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("bigint").alias("C_NationKey"),
+                                           F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal")),
+             c.filter(key % 3 == 2).select(key.cast("bigint").alias("c_custkey"), "c_name", "c_mktsegment",
+                                           F.concat(F.lit("N"), F.col("c_nationkey")).alias("c_nationkey"))]
+    paths = [scratch_path(spark, f"customers_{i}") for i in range(len(parts))]
+    for part, path in zip(parts, paths):
+        part.write.parquet(path)
+    return read_evolving(spark, paths)
+
+
+register("schema_evolve_union", """SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name,
+  CASE c_custkey % 3 WHEN 0 THEN c_acctbal WHEN 1 THEN CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) END AS c_acctbal,
+  CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_custkey % 3 = 2 THEN 'N' ELSE '' END || CAST(c_nationkey AS VARCHAR) AS c_nationkey
   FROM customer""")(q_schema_evolve)
 
 

@@ -28,12 +28,23 @@ def _write_parts(df, path, fmt, parts, cond_of, **opts):
         w.save(path)
 
 
-def q_bronze(spark, sf):
+def drained_events(spark, sf):
+    """The bronze table of all events whose JSON lines arrive in two loads, every 97th event once more as a line cut short.
+
+    The quarantine stream drains each load; a third drain finds nothing new.
+    """
     src, dst, ck = (scratch_path(spark, n) for n in ("raw_json", "bronze", "ck_bronze"))
-    raw = raw_events(spark, sf).select("raw")
-    raw.write.text(src)
-    jobs.ingest_stream(spark, src, EVENT_SCHEMA, dst, ck, fmt="json")
-    b = spark.read.parquet(dst)
+    raw = raw_events(spark, sf).select("raw", F.regexp_extract("raw", "/EV([0-9]+)/", 1).cast("long").alias("id"))
+    cut = raw.where(F.col("id") % 97 == 0).select(F.expr("substring(raw, 1, length(raw) - 7)").alias("raw"), "id")
+    for load in (0, 1):
+        raw.unionByName(cut).where(F.col("id") % 2 == load).select("raw").write.mode("append").text(src)
+        jobs.quarantine_stream(spark, src, EVENT_SCHEMA, dst, ck)
+    jobs.quarantine_stream(spark, src, EVENT_SCHEMA, dst, ck)
+    return dst
+
+
+def q_bronze(spark, sf):
+    b = jobs.read_quarantined(spark, drained_events(spark, sf), "good")
     return b.select(uri_segment("payload.uri", 6).alias("invitee_id"), F.col("event").alias("webhook_event"),
                     F.col("payload.status").alias("invitee_status"),
                     F.col("source_file").isNotNull().alias("has_source_file"),
@@ -43,6 +54,19 @@ def q_bronze(spark, sf):
 register("json_stream_bronze", f"""SELECT invitee_id, webhook_event, invitee_status, TRUE AS has_source_file,
   TRUE AS has_ingested_at FROM ({FLAT_SQL})""")(q_bronze)
 
+
+def q_quarantine(spark, sf):
+    """Every line that came in, by the sink it went to."""
+    dst = drained_events(spark, sf)
+    good, bad = (jobs.read_quarantined(spark, dst, k) for k in ("good", "bad"))
+    event = lambda c: F.regexp_extract(c, "/EV([0-9]+)/", 1).cast("long").alias("event_id")
+    return good.select(event(F.col("payload.uri")), F.lit(False).alias("quarantined")) \
+        .unionByName(bad.select(event(F.col("_corrupt_record")), F.lit(True).alias("quarantined")))
+
+
+register("json_stream_quarantine", """SELECT event_id, FALSE AS quarantined FROM events
+  UNION ALL SELECT event_id, TRUE FROM events WHERE event_id % 97 = 0""")(q_quarantine)
+
 LINEITEM_SCHEMA = StructType([
     StructField("l_orderkey", LongType()), StructField("l_partkey", LongType()), StructField("l_suppkey", LongType()),
     StructField("l_linenumber", IntegerType()), StructField("l_quantity", DoubleType()),
@@ -129,17 +153,22 @@ register("stream_scd1", _ORACLE["upsert_scd1"])(q_stream_scd1)
 
 
 def q_delayed(spark, sf):
-    ld, od, dst, ck = (scratch_path(spark, n) for n in ("leads_src", "owners_src", "enriched", "ck_enrich"))
+    """Leads and owners drained through the timers; a tick of the clock after the last wait then lets out the tail."""
+    ld, od, cd, dst, ck = (scratch_path(spark, n) for n in ("leads_src", "owners_src", "clock_src", "enriched", "ck_enrich"))
     v_leads(spark, sf).write.parquet(ld)
     v_owners(spark, sf).write.parquet(od)
-    leads = spark.readStream.schema(spark.read.parquet(ld).schema).parquet(ld)
-    owners = spark.readStream.schema(spark.read.parquet(od).schema).parquet(od)
-    out = jobs.delayed_enrich_stream(leads, owners, 12 * 3600)
-    jobs._drain(out.writeStream.format("parquet").option("path", dst).option("checkpointLocation", ck)
-                .outputMode("append"))
-    done = jobs.one_row_per_lead(spark.read.parquet(dst), spark.read.parquet(ld))
-    return done.select("lead_id", "display_name", "lead_owner", "funnel")
-
-
-# The drained stream gives what the batch form gives: every lead once.
+    wait = 12 * 3600
+    last = spark.read.parquet(ld).agg(F.max("date_created").cast("timestamp").alias("at"))
+    for tick in range(2):
+        # The first tick is no later than the leads: the clock's files exist, the time stands still.
+        at = last if not tick else last.select((F.col("at") + F.expr(f"INTERVAL {wait + 7200} SECONDS")).alias("at"))
+        at.write.mode("append").parquet(cd)
+        sources = [spark.readStream.schema(spark.read.parquet(d).schema).parquet(d) for d in (ld, od, cd)]
+        out = jobs.delayed_enrich_stream(sources[0], sources[1], wait, clock=sources[2])
+        jobs._drain(out.writeStream.format("parquet").option("path", dst).option("checkpointLocation", ck)
+                    .outputMode("append"))
+    return spark.read.parquet(dst).select("lead_id", "display_name", "lead_owner", "funnel")
+
+
+# The stream itself gives what the batch form gives: every lead once.
 register("delayed_enrich_stream", f"SELECT lead_id, display_name, lead_owner, funnel FROM ({LEADS_SQL})")(q_delayed)

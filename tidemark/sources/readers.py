@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (ArrayType, DataType, DecimalType, DoubleType, MapType, NullType, StringType, StructField,
+                               StructType)
 
 from tidemark.operators.clean import null_tokens, text_to_bool
 
@@ -71,22 +72,83 @@ def read_dated(spark: SparkSession, template: str, run_date: dt.date, schema: St
     return df.withColumn(out_col, F.to_date(F.col(date_col), "yyyy-MM-dd")).drop(date_col)
 
 
-def read_evolving(spark: SparkSession, paths: Sequence[str], target: StructType) -> DataFrame:
+_WHOLE = ["byte", "short", "integer", "long"]      # each fits into the next
+_DIGITS = {"byte": 3, "short": 5, "integer": 10, "long": 19}
+
+
+def join_types(a: DataType, b: DataType) -> DataType:
+    """Smallest type that holds the values of both; text where only text does.
+
+    Whole numbers widen; with a decimal they become a decimal that keeps all digits, with a float or double a double;
+    a date beside a timestamp becomes the timestamp; arrays, maps and structs join by their parts. The order of the
+    arguments does not matter, and joining is associative up to text, so neither does the order of the parts.
+    """
+    if a == b or isinstance(b, NullType):
+        return a
+    if isinstance(a, NullType):
+        return b
+    x, y = a.typeName(), b.typeName()
+    if x in _WHOLE and y in _WHOLE:
+        return max(a, b, key=lambda t: _WHOLE.index(t.typeName()))
+    if {x, y} <= {*_WHOLE, "decimal"}:
+        whole, scale = 0, 0
+        for t in (a, b):
+            own = t.scale if isinstance(t, DecimalType) else 0
+            whole, scale = max(whole, (t.precision if isinstance(t, DecimalType) else _DIGITS[t.typeName()]) - own), max(scale, own)
+        return DecimalType(whole + scale, scale) if whole + scale <= 38 else StringType()
+    if {x, y} <= {*_WHOLE, "decimal", "float", "double"}:
+        return DoubleType()
+    if {x, y} == {"date", "timestamp"} or {x, y} == {"date", "timestamp_ntz"}:
+        return b if x == "date" else a
+    if x == y == "array":
+        return ArrayType(join_types(a.elementType, b.elementType), a.containsNull or b.containsNull)
+    if x == y == "map":
+        return MapType(join_types(a.keyType, b.keyType), join_types(a.valueType, b.valueType), a.valueContainsNull or b.valueContainsNull)
+    if x == y == "struct":
+        return join_schemas([a, b])
+    return StringType()
+
+
+def join_schemas(schemas: Sequence[StructType]) -> StructType:
+    """Fields of all schemas (names without regard to case, in order of first appearance), each with its joined type."""
+    fields: dict[str, StructField] = {}
+    for f in (f for s in schemas for f in s.fields):
+        old = fields.get(f.name.lower())
+        fields[f.name.lower()] = StructField(old.name if old else f.name, join_types(old.dataType, f.dataType) if old else f.dataType)
+    return StructType(list(fields.values()))
+
+
+def _recast(c: Column, have: DataType, want: DataType) -> Column:
+    """A column as the joined type; structs by field name, arrays by element."""
+    if have == want:
+        return c
+    if isinstance(want, StructType) and isinstance(have, StructType):
+        own = {f.name.lower(): f for f in have.fields}
+        parts = [(_recast(c[own[f.name.lower()].name], own[f.name.lower()].dataType, f.dataType) if f.name.lower() in own
+                  else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    if isinstance(want, ArrayType) and isinstance(have, ArrayType):
+        return F.transform(c, lambda x: _recast(x, have.elementType, want.elementType))
+    if isinstance(want, StringType) and isinstance(have, (StructType, ArrayType, MapType)):
+        return F.to_json(c)
+    return c.cast(want)
+
+
+def read_evolving(spark: SparkSession, paths: Sequence[str], target: StructType | None = None) -> DataFrame:
     """Read Parquet parts written with different schemas as one frame.
 
-    Each part is read with its own schema, cast to the target type (columns
-    the part lacks become NULL, int->bigint widens, int->string casts), then
-    all parts are unioned by name. Plain ``mergeSchema`` cannot do the
-    widening or the int/string mix.
+    Without ``target`` the schema is derived from the parts' footers (:func:`join_schemas`), so int, bigint and text
+    generations of a column need no schema by hand. Each part is read with its own schema and cast (columns that it
+    lacks become NULL), then all parts are unioned by name. Plain ``mergeSchema`` cannot do the widening or the
+    int/string mix. Only footers are read for the schema.
     """
+    parts = [spark.read.parquet(p) for p in paths]
+    target = target or join_schemas([p.schema for p in parts])
     out = None
-    for p in paths:
-        part = spark.read.parquet(p)
-        have = {f.name.lower(): f.name for f in part.schema.fields}
-        cols = [(F.col(have[f.name.lower()]).cast(f.dataType) if f.name.lower() in have
-                 else F.lit(None).cast(f.dataType)).alias(f.name) for f in target.fields]
-        part = part.select(*cols)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    for part in parts:
+        whole = _recast(F.struct(*part.columns), part.schema, target)
+        part = part.select(whole.alias("_row")).select("_row.*")
+        out = part if out is None else out.unionByName(part)
     return out
 
 

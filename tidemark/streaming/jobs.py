@@ -8,15 +8,18 @@ version.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.events import flatten_event
 from tidemark.operators.ranking import latest_per_key
-from tidemark.operators.upsert import current_version, publish, read_bucketed, read_table, upsert, upsert_bucketed
+from tidemark.operators.upsert import commit, current_version, publish, read_bucketed, read_table, upsert, upsert_bucketed
 
 
 def _drain(writer) -> None:
@@ -46,6 +49,48 @@ def ingest_stream(spark: SparkSession, src: str, schema: StructType, dst: str, c
            .outputMode("append"))
 
 
+def quarantine_stream(spark: SparkSession, src: str, schema: StructType, dst: str, checkpoint: str,
+                      max_files: int | None = None, corrupt: str = "_corrupt_record") -> None:
+    """New JSON-line files under ``src`` -> good rows and quarantined lines of the table ``dst``.
+
+    Each micro-batch parses its lines once, writes good and bad rows to directories of its own, and commits one marker
+    with both and the batch id: a reader sees a batch whole or not at all, and a replayed batch is a no-op, so good and
+    bad rows add up to the lines read. Read them with :func:`read_quarantined`.
+    """
+    r = spark.readStream.format("text")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    lines = r.load(src).select("value", F.col("_metadata.file_path").alias("source_file"))
+    _drain(lines.writeStream.foreachBatch(quarantine_batch(spark, schema, dst, corrupt)).option("checkpointLocation", checkpoint))
+
+
+def quarantine_batch(spark: SparkSession, schema: StructType, dst: str, corrupt: str = "_corrupt_record") -> Callable[[DataFrame, int], None]:
+    """Callback of :func:`quarantine_stream`: rows (value, source_file) of one batch to both sinks, and the marker."""
+    full = StructType([*schema.fields, StructField(corrupt, StringType())])
+
+    def callback(batch: DataFrame, batch_id: int) -> None:
+        cur = current_version(dst, spark)
+        if cur is not None and cur["batch_id"] >= batch_id:
+            return
+        parsed = batch.select("source_file", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias("j"))
+        parsed = parsed.select("j.*", "source_file").withColumn("ingested_at", F.current_timestamp()).persist()
+        name = uuid.uuid4().hex
+        try:
+            parsed.where(F.col(corrupt).isNull()).drop(corrupt).write.parquet(f"{dst}/good/{name}")
+            parsed.where(F.col(corrupt).isNotNull()).select(corrupt, "source_file", "ingested_at").write.parquet(f"{dst}/bad/{name}")
+        finally:
+            parsed.unpersist()
+        commit(spark, dst, cur, batch_id=batch_id, batches=[*(cur["batches"] if cur else []), name])
+
+    return callback
+
+
+def read_quarantined(spark: SparkSession, dst: str, kind: str) -> DataFrame | None:
+    """The committed ``good`` or ``bad`` rows of :func:`quarantine_stream`; None before the first batch."""
+    cur = current_version(dst, spark)
+    return spark.read.parquet(*[f"{dst}/{kind}/{b}" for b in cur["batches"]]) if cur else None
+
+
 def foreach_batch_upsert(spark: SparkSession, table_dir: str, keys: Sequence[str],
                          update_cols: Sequence[str] | None = None, dedupe_ts: str | None = None,
                          dedupe_tiebreak: Sequence[str] = (), stamps: tuple[str, str] | None = None,
@@ -108,30 +153,75 @@ def change_stream_scd1(spark: SparkSession, src: str, schema: StructType, table_
     _drain(df.writeStream.foreachBatch(cb).option("checkpointLocation", checkpoint))
 
 
-def delayed_enrich_stream(leads: DataFrame, owners: DataFrame, wait_seconds: int,
-                          delay: str = "1 hour") -> DataFrame:
-    """Stream-stream left outer join: each lead waits up to ``wait_seconds`` for its owner record.
-
-    Both sides carry a watermark; a lead without an owner in the window is
-    emitted with NULL owner fields once the watermark passes its window end.
-    The join key includes a time slot (:func:`within_join`), so state is probed
-    per (user, slot) rather than per user. Event time must be TIMESTAMP (not
-    TIMESTAMP_NTZ).
-    """
-    from tidemark.operators.joins import within_join
-    l = leads.withColumn("date_created", F.col("date_created").cast("timestamp")).withWatermark("date_created", delay)
-    o = owners.withColumn("owner_ts", F.col("owner_ts").cast("timestamp")).withWatermark("owner_ts", delay)
-    return within_join(l, o, [("user_id", "owner_user_id")], "date_created", "owner_ts", wait_seconds,
-                       how="leftOuter")
+LEAD, OWNER, CLOCK = 0, 1, 2
 
 
-def one_row_per_lead(met: DataFrame, leads: DataFrame) -> DataFrame:
-    """The result of a drained :func:`delayed_enrich_stream`: each lead once.
+def delayed_enrich_stream(leads: DataFrame, owners: DataFrame, wait_seconds: int, delay: str = "1 hour",
+                          clock: DataFrame | None = None) -> DataFrame:
+    """Each lead once, with the latest owner record within ``wait_seconds`` after it, emitted when its wait is over.
 
-    ``met`` is what the stream wrote; a lead that met several owner records keeps the latest, and leads whose wait
-    was still open when the stream ended (they sit in its state) are closed with NULL owner fields.
+    Leads and owners are one stream keyed by (user, time slot). The state of a key holds its waiting leads and the owner
+    records of its slot; an event-time timer stands at the end of the earliest wait. When the watermark passes it, each lead
+    that is due leaves as one row with the last owner not after its wait (ties: the larger ``owner_event_id``), or
+    with NULL owner fields. An owner is listed under its own slot of ``wait_seconds`` and the next, so a lead finds all
+    of its owners under the slot where its wait ends. Rows that come more than ``delay`` behind the watermark are too late,
+    as in any stream. ``clock`` (a column ``at``) carries the time on where no events
+    do: its rows raise the watermark and nothing else, so the last leads of a quiet stream are emitted too. Rows
+    without user or time take no part on the owners' side; such leads come out at once, without an owner. Columns:
+    those of ``leads`` and ``owners``; event times are TIMESTAMP.
     """
-    latest = latest_per_key(met, ["lead_id"], "owner_ts", ["owner_event_id"])
-    waiting = leads.join(latest.select("lead_id"), "lead_id", "left_anti")
-    return latest.unionByName(waiting.withColumn("date_created", F.col("date_created").cast("timestamp")),
-                              allowMissingColumns=True)
+    l = leads.withColumn("date_created", F.col("date_created").cast("timestamp"))
+    o = owners.withColumn("owner_ts", F.col("owner_ts").cast("timestamp"))
+    wait = F.expr(f"INTERVAL {int(wait_seconds)} SECONDS")
+    slot = lambda t: F.floor(F.unix_micros(t) / F.lit(wait_seconds * 1_000_000))
+    none = lambda df: F.lit(None).cast(df.schema)
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    kinds = [l.select(F.lit(LEAD).alias("kind"), F.col("user_id").cast("string").alias("key"), slot(F.col("date_created") + wait).alias("slot"),
+                      F.col("date_created").alias("at"), F.struct("*").alias("lead"), none(o).alias("owner"))]
+    own = slot(F.col("owner_ts"))
+    kinds.append(o.dropna(subset=["owner_ts", "owner_user_id"]).select(
+        F.lit(OWNER).alias("kind"), F.col("owner_user_id").cast("string").alias("key"), F.explode(F.array(own, own + 1)).alias("slot"),
+        F.col("owner_ts").alias("at"), none(l).alias("lead"), F.struct("*").alias("owner")))
+    if clock is not None:
+        kinds.append(clock.select(F.lit(CLOCK).alias("kind"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("long").alias("slot"),
+                                  F.col("at").cast("timestamp").alias("at"), none(l).alias("lead"), none(o).alias("owner")))
+    rows = reduce(DataFrame.unionByName, kinds).withWatermark("at", delay)
+    packed = rows.select("kind", "key", "slot", "at", F.unix_micros("at").alias("micros"), F.to_json("lead", exact).alias("lead"),
+                         F.to_json("owner", exact).alias("owner"), F.col("owner.owner_event_id").cast("long").alias("tie"))
+    found = packed.groupBy("key", "slot").applyInPandasWithState(
+        _lead_timers(wait_seconds * 1_000_000), "lead string, owner string",
+        "lead array<struct<micros: long, row: string>>, owner array<struct<micros: long, tie: long, row: string>>",
+        "append", "EventTimeTimeout")
+    return found.select(F.from_json("lead", l.schema, exact).alias("l"), F.from_json("owner", o.schema, exact).alias("o")) \
+        .select("l.*", "o.*")
+
+
+def _lead_timers(wait: int) -> Callable:
+    """State function of one (user, slot): keep leads and owners, emit the leads whose wait is over."""
+    def run(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        leads, owners = ([tuple(x) for x in part] for part in state.get) if state.exists else ([], [])
+        for pdf in batches:
+            for kind, micros, tie, lead, owner in zip(pdf["kind"], pdf["micros"], pdf["tie"], pdf["lead"], pdf["owner"]):
+                if kind == LEAD:
+                    leads.append((None if pd.isna(micros) else int(micros), lead))
+                elif kind == OWNER:
+                    owners.append((int(micros), -1 if pd.isna(tie) else int(tie), owner))
+        now = state.getCurrentWatermarkMs() * 1000
+        due = [x for x in leads if x[0] is None or key[0] is None or x[0] + wait < now]
+        leads = [x for x in leads if x not in due]
+        out = []
+        for micros, lead in due:
+            fits = [x for x in owners if micros is not None and micros <= x[0] <= micros + wait]
+            out.append((lead, max(fits)[2] if fits else None))
+        end = (int(key[1]) + 1) * wait if key[1] is not None and not pd.isna(key[1]) else None   # no lead of this slot waits longer
+        if end is None or not leads and end < now:
+            state.remove()
+        else:
+            state.update((leads, owners))
+            # Timers lie ahead of the watermark; the slot's own end clears owners that no lead asked for.
+            at = min([x[0] + wait for x in leads], default=end)
+            state.setTimeoutTimestamp(max(at // 1000 + 1, now // 1000 + 1))
+        if out:
+            yield pd.DataFrame(out, columns=["lead", "owner"])
+
+    return run
