@@ -192,9 +192,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     floor = floor_for(percent / 100)
     s = materialize(sketch(docs, key, text, shingle), "sketch")
-    # Written, so that the joins below meet two plain exchanges, of which Spark can split a class of very many copies, and
-    # so that a class keeps its number: classes, not ids, are linked.
-    reps = materialize(s.where("cls IS NOT NULL AND k IS NOT NULL").groupBy("cls").agg(F.min("k").alias("rep"))
+    # Classes, not ids, are linked. Their numbers follow the order of their smallest ids, so the smallest number of a component
+    # names its smallest id. Written, so that the numbers stay and the joins below meet two plain exchanges, of which Spark
+    # can split a class of very many copies.
+    reps = materialize(s.where("cls IS NOT NULL AND k IS NOT NULL").groupBy("cls").agg(F.min("k").alias("rep")), "class_reps")
+    reps = materialize(reps.repartitionByRange("rep", "cls").sortWithinPartitions("rep", "cls")
                        .withColumn("id", F.monotonically_increasing_id()), "reps")
     own = s.where("k IS NOT NULL").select("cls", F.col("k").alias("rep"), "n", "bands", "sig")
     classes = materialize(own.join(reps, ["cls", "rep"]).dropDuplicates(["id"]).select("id", "n", "bands", "sig"), "classes")
@@ -234,11 +236,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     # A component's own smallest id has no label yet; it gets one when its component moves.
     labels = moved.union(more)
 
-    # The smallest id of each component, over the classes that are linked at all.
-    linked = labels.unionByName(labels.select(F.col("comp").alias("id"), "comp").distinct())
-    linked = materialize(linked.join(reps.select("id", "rep"), "id"), "linked")
-    smallest = materialize(linked.groupBy("comp").agg(F.min("rep").alias("least")), "least")
-    named = linked.select("id", "comp").join(smallest, "comp").select("id", "least")
+    first = reps.select(F.col("id").alias("comp"), F.col("rep").alias("least"))
+    named = materialize(labels.join(first, "comp").select("id", "least"), "component_reps")
     named = materialize(reps.join(named, "id", "left").select("cls", F.coalesce("least", "rep").alias("least")), "component_of")
 
     rows = s.select("k", "n", "cls").join(named, "cls", "left")
