@@ -33,7 +33,7 @@ ROWS, BANDS, BITS = 5, 48, 4
 MINIMA = ROWS * BANDS
 FACTOR = np.random.default_rng(1999).integers(1, 1 << 63, MINIMA, dtype=U64) * U64(2) + U64(1)
 PLACE = np.random.default_rng(2001).integers(1, 1 << 63, ROWS, dtype=U64) * U64(2) + U64(1)
-BLOCK = 256              # classes of a bucket per block, if their sets are small
+BLOCK = 1024             # classes of a bucket per block, if their sets are small: fewer blocks, fewer copies of a class
 BLOCK_SHINGLES = 500_000 # shingles of a bucket per block (4 MB)
 CONFIRM = 32             # candidates of one class confirmed at once
 CHUNK = 2048             # shingles hashed at once
