@@ -175,8 +175,25 @@ ORACLES = {
     "CASE WHEN GROUPING(day(date)) = 0 THEN 'day' WHEN GROUPING(monthname(date)) = 0 THEN 'month' "
     "ELSE 'year' END AS grain FROM v_depts GROUP BY GROUPING SETS ((day(date)), (monthname(date)), (year(date))))",
 }
-ORACLES["range_bin"] = ORACLES["rpt_sales_temp_year"]
-ORACLES["ordered_report"] = ORACLES["rpt_sales_store_size"]
+ORACLES["range_bin"] = _w(D, FA) + (
+    f"SELECT store_id, date, temperature, {_bin_sql('temperature', 10, True)} AS temp_range, cpi, {_bin_sql('cpi', 10, True)} AS cpi_range "
+    "FROM v_facts")
+ORACLES["ordered_report"] = _w(S) + (
+    f"SELECT {_bin_sql('size', 10000, False)} AS store_size_range, type, COUNT(*) AS stores, CAST(SUM(size) AS BIGINT) AS total_size "
+    "FROM v_stores GROUP BY ALL")
+
+
+def binned_facts(facts: DataFrame) -> DataFrame:
+    """Every fact row with the bins of its temperature and CPI."""
+    bins = {"temp_range": range_bin_label("temperature", 10, True), "cpi_range": range_bin_label("cpi", 10, True)}
+    return facts.withColumns(bins).select("store_id", "date", "temperature", "temp_range", "cpi", "cpi_range")
+
+
+def stores_by_size(stores: DataFrame) -> DataFrame:
+    """Stores and floor space per size bin and type, in the order of the bins' lower bounds, the larger count first."""
+    g = stores.groupBy(range_bin_label("size", 10000, False).alias("store_size_range"), "type").agg(
+        F.count(F.lit(1)).alias("stores"), F.sum(F.col("size").cast("bigint")).alias("total_size"))
+    return g.orderBy(F.split("store_size_range", " ").getItem(0).cast("bigint"), F.desc("stores"), "type")
 
 
 def _d(spark, sf):
@@ -200,10 +217,8 @@ _Q = {
     "rpt_sales_cpi": lambda s, sf: sales_cpi(_d(s, sf), v_facts(s, sf)),
     "rpt_sales_dept": lambda s, sf: sales_dept(_d(s, sf)),
     "day_month_year_sums": lambda s, sf: sales_by_day_month_year(_d(s, sf)),
-    "range_bin": lambda s, sf: sales_temp_year(_d(s, sf), v_facts(s, sf)),
-    # Bins ordered by their numeric lower bound (manual bin order of the dashboard).
-    "ordered_report": lambda s, sf: sales_store_size(_d(s, sf), v_stores(s, sf)).orderBy(
-        F.split("store_size_range", " ").getItem(0).cast("bigint")),
+    "range_bin": lambda s, sf: binned_facts(v_facts(s, sf)),
+    "ordered_report": lambda s, sf: stores_by_size(v_stores(s, sf)),
 }
 for _k, _f in _Q.items():
     register(_k, ORACLES[_k])(_f)
