@@ -10,8 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bm25, language_id, line_dedup, minhash, mixing, packing, quality, secrets, url_filter,
-                          vector_search)
+from tidemark.llm import (bm25, language_id, line_dedup, minhash, mixing, packing, quality, secrets, simhash,
+                          url_filter, vector_search)
 
 SCHEMA = "doc_id long, text string, lang string, source string, score double, sequence_id long, line string, h long"
 LONG = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
@@ -126,6 +126,21 @@ def test_line_dedup(spark, odd, empty):
     assert line_dedup.op10(empty).count() == 0
 
 
+def test_columns_named_like_the_operators_own(spark):
+    """Columns with the names that the operators use inside come through unchanged."""
+    names = ["_k", "_t", "_drop", "_DROP_", "_copy", "__copy", "_kept_id", "id", "cls"]
+    rows = frame(spark, [(i, f"{SAME}\nown line {i}", "en") for i in range(6)]).select("doc_id", "text", "lang", *[F.lit(n).alias(n) for n in names])
+    got = line_dedup.dedup_lines(rows)
+    assert got.columns == [*rows.columns, "_lines", "_kept"]
+    assert all([r[n] for n in names] == names and len(r["_kept"]) == (2 if r["doc_id"] == 5 else 1) for r in got.collect())
+    own = line_dedup.dedup_lines(rows.withColumn("_kept", F.lit(3)).withColumn("_lines", F.lit("x")), lines="a", kept="b")
+    assert {(r["_kept"], r["_lines"], len(r["a"])) for r in own.collect()} == {(3, "x", 2)}
+    repeated = mixing.mixed_documents(rows, mixing.labelled_by_language(rows), mixing.TARGETS)
+    assert repeated.columns == rows.columns and {tuple(r[n] for n in names) for r in repeated.collect()} == {tuple(names)}
+    for op in (packing.op1, minhash.op3, simhash.op12):
+        assert op(rows).count() >= 6
+
+
 def test_line_positions_past_64(spark):
     body = [f"line number {i} of a long document that is its own {i}" for i in range(200)]
     rows = [(d, "\n".join([*[f"{d} {b}" for b in body], SAME, "tail", SAME]), "en") for d in range(7)]

@@ -30,6 +30,17 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores in front until no column is called so (without regard to case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_crc_mod(col: str, m: int) -> Column:
     """``crc32`` of the id as text, modulo ``m`` (NULL for a NULL id)."""
     return F.crc32(F.col(col).cast("string")) % F.lit(m)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLANKS, ascii_lower
+from tidemark.llm.common import BLANKS, ascii_lower, fresh
 from tidemark.operators.materialize import materialize
 
 NO_ID = -(1 << 63)   # stands for a null id, which thus sorts below every other
@@ -58,22 +58,24 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
 
 
 # Lines whose bit is not set; words that the map lacks hold no drops.
-KEPT = """CASE WHEN _drop IS NULL THEN _lines ELSE
-  filter(_lines, (line, i) -> coalesce(
-    shiftrightunsigned(try_element_at(_drop, cast(i div 64 as int)), i % 64) & 1 = 0, true)) END"""
+KEPT = """CASE WHEN `{drop}` IS NULL THEN `{lines}` ELSE
+  filter(`{lines}`, (line, i) -> coalesce(
+    shiftrightunsigned(try_element_at(`{drop}`, cast(i div 64 as int)), i % 64) & 1 = 0, true)) END"""
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_length: int = 40,
-                min_docs: int = 5) -> DataFrame:
-    """``docs`` with ``_lines`` (all lines) and ``_kept`` (lines that stay), by a join with the keep bitmaps.
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_length: int = 40, min_docs: int = 5,
+                lines: str = "_lines", kept: str = "_kept") -> DataFrame:
+    """``docs`` with two array columns, ``lines`` (all lines) and ``kept`` (lines that stay), by a join with the keep bitmaps.
 
     Every input row comes back once, repeated rows included; a null or empty text is one empty line, which stays.
-    Columns named ``_k``, ``_t``, ``_lines``, ``_kept`` or ``_drop`` are the operator's own and must not exist.
+    Input columns named like the two are replaced; all others pass through, whatever their names.
     """
-    drop = dropped_lines(docs, key, text, min_length, min_docs).withColumnRenamed("drop", "_drop")
-    rows = docs.select("*", *_row_id(key, text)).join(drop, ["_k", "_t"], "left")
-    rows = rows.withColumn("_lines", split_lines(F.col(text)))
-    return rows.withColumn("_kept", F.expr(KEPT)).drop("_k", "_t", "_drop")
+    docs = docs.drop(*{lines, kept} - {key, text})
+    k, t, drop = fresh([*docs.columns, lines, kept], "_k", "_t", "_drop")
+    found = dropped_lines(docs, key, text, min_length, min_docs).toDF(k, t, drop)
+    rows = docs.select("*", *[c.alias(n) for c, n in zip(_row_id(key, text), (k, t))]).join(found, [k, t], "left")
+    rows = rows.withColumn(lines, split_lines(F.col(text)))
+    return rows.withColumn(kept, F.expr(KEPT.format(drop=drop, lines=lines))).drop(k, t, drop)
 
 
 def op10(docs: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower
+from tidemark.llm.common import ascii_lower, fresh
 from tidemark.operators.materialize import materialize
 
 FEATURES = 1 << 13       # hashed words
@@ -156,7 +156,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: st
 
 def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str = "doc_id",
                     text: str = "text", domain: str = "domain", total: float | None = None) -> DataFrame:
-    """``docs`` with each row repeated by its copies (at least one); same columns. Texts are not shuffled."""
+    """``docs`` with each row repeated by its copies (at least one); same columns, whatever their names. Texts are not shuffled."""
     domains = sorted(targets)
     weights = [targets[d] / sum(targets.values()) for d in domains]
     prior, logs = train(labelled, domains, text, domain, key)
@@ -165,7 +165,8 @@ def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, flo
     # The one-element array names the posterior, which the fold over the gradients reads at every step.
     r = F.transform(F.array(p["p"]), lambda x: rate(x, gradients))[0]
     n = copies(r, key)
-    return docs.select("*", F.explode(F.array_repeat(F.lit(True), n)).alias("_copy")).select(*docs.columns)
+    copy, = fresh(docs.columns, "_copy")
+    return docs.select("*", F.explode(F.array_repeat(F.lit(True), n)).alias(copy)).drop(copy)
 
 
 def labelled_by_language(docs: DataFrame) -> DataFrame:
