@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, minhash, mixing, packing, quality
-from tidemark.llm.common import table
+from tidemark.llm.common import fresh, table
 from tidemark.operators.materialize import materialize
 
 THRESHOLD = 0.3
@@ -24,8 +24,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that repeat across documents; ``n_chars`` follows the text."""
-    kept = line_dedup.dedup_lines(docs).withColumn("text", F.array_join("_kept", "\n"))
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    lines, kept = fresh(docs.columns, "_lines", "_kept")
+    out = line_dedup.dedup_lines(docs, lines=lines, kept=kept).withColumn("text", F.array_join(kept, "\n"))
+    return out.withColumn("n_chars", F.length("text").cast("long")).drop(lines, kept)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
