@@ -95,3 +95,22 @@ def test_keys_of_awkward_types(spark):
     got = global_ntile(df, 7, order, out="t", buckets=11)
     exp = brute(df, 7, [F.col(c) for c in ("s", "d", "day", "x", "id")])
     assert got.join(exp, "id").filter(F.col("t") != F.col("expect")).count() == 0
+
+
+def test_columns_named_like_the_operators_own(spark):
+    """Columns called like the operators' working columns come through unchanged."""
+    from tidemark.operators.cutpoints import ntiles
+    from tidemark.operators.ntile import bucketed_lag
+    from tidemark.operators.ranking import gap_days, latest_per_key, top_k
+    from tidemark.plans.restaurant import attach_scalar
+    names = ["_bucket", "_place", "_b", "_k", "_g0", "_shift", "_total", "_cnt", "_from", "_lag", "_first", "_max", "_tail", "_rn", "_rk", "_prev", "_s"]
+    df = spark.createDataFrame([(i, i % 3, f"2024-01-{i % 28 + 1:02d}") for i in range(60)], "id int, g int, d string") \
+        .select("id", "g", F.to_date("d").alias("d"), *[F.lit(n).alias(n) for n in names])
+    tiles = brute(df, 4, [F.col("id")], ["g"])
+    results = [global_ntile(df, 4, ["id"], out="t", partition_by=["g"], rows_per_bucket=9), bucketed_lag(df, "g", ["d", "id"], "d", "before", rows_per_bucket=9),
+               ntiles(df, {"x": (3, [SortKey("id")])}), top_k(df, "id", 4, group=["g"]), latest_per_key(df, ["g"], "d", ["id"]),
+               gap_days(df, "g", "d", ["id"]), attach_scalar(df, df.agg(F.max("id").alias("top")))]
+    for r in results:
+        assert r.columns[:len(df.columns)] == df.columns
+        assert {tuple(x) for x in r.select(*names).distinct().collect()} == {tuple(names)}
+    assert results[0].join(tiles.select("id", "expect"), "id").filter(F.col("t") != F.col("expect")).count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -101,3 +103,14 @@ def table_name_from_file(c: ColumnOrName) -> Column:
     stem = F.regexp_replace(base, r"^(.*[^.].*)\.[^.]*$", "$1")
     clean = F.lower(F.regexp_replace(stem, r"[^a-zA-Z0-9_]", "_"))
     return F.when(clean.rlike(r"^[0-9]"), F.concat(F.lit("table_"), clean)).otherwise(clean)
+
+
+def fresh(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each with underscores in front until no column is called so (without regard to case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

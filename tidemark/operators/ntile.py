@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import fresh
 from tidemark.operators.materialize import materialize
 
 ROWS_PER_RANGE = 1_000_000
@@ -54,9 +55,10 @@ def tile_of(idx: Column, total: Column, n: int) -> Column:
 
 
 def dealt_in_ranges(df: DataFrame, keys: Sequence[SortKey], buckets: int | None = None,
-                    rows_per_bucket: int = ROWS_PER_RANGE, total: int | None = None) -> DataFrame:
-    """``df`` range-partitioned and sorted on ``keys``, with ``_bucket`` (range number) and ``_place``
-    (position in it, from 0), written to the shared folder.
+                    rows_per_bucket: int = ROWS_PER_RANGE, total: int | None = None,
+                    bucket: str = "_bucket", place: str = "_place") -> DataFrame:
+    """``df`` range-partitioned and sorted on ``keys``, with ``bucket`` (range number) and ``place``
+    (position in it, from 0), written to the shared folder. No column may have these two names yet.
 
     Ranges ascend with the key, so equal leading keys lie in neighbouring ranges. Only rows equal in all of
     ``keys`` cannot be parted: give tie-breaks up to a unique key.
@@ -66,10 +68,10 @@ def dealt_in_ranges(df: DataFrame, keys: Sequence[SortKey], buckets: int | None
         buckets = max(2, -(-rows // rows_per_bucket))
     order = [k.order_expr() for k in keys]
     placed = (df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
-              .withColumn("_place", F.monotonically_increasing_id()))
+              .withColumn(place, F.monotonically_increasing_id()))
     return materialize(placed.withColumns({
-        "_bucket": F.shiftright("_place", _PLACE_BITS).cast("int"),
-        "_place": F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))}), "ranges")
+        bucket: F.shiftright(place, _PLACE_BITS).cast("int"),
+        place: F.col(place).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))}), "ranges")
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -89,18 +91,18 @@ def global_ntile(df: DataFrame, n: int, order, out: str = "ntile", partition_by:
     equal keys can be parted. ``total`` saves the counting pass over ``df``.
     """
     groups = list(partition_by)
-    dealt = dealt_in_ranges(df, [*_as_keys(groups), *_as_keys(order)], buckets, rows_per_bucket, total)
+    bucket, place = fresh(df.columns, "_bucket", "_place")
+    dealt = dealt_in_ranges(df, [*_as_keys(groups), *_as_keys(order)], buckets, rows_per_bucket, total, bucket, place)
     # One row per (group, range). A group's rows are neighbours, so its first place in a range is known.
-    sizes = dealt.groupBy("_bucket", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_place").alias("_from"))
-    before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(
-        F.col("_bucket").alias("_b"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
-        (F.coalesce(F.sum("_cnt").over(before), F.lit(0)) - F.col("_from")).alias("_shift"),
-        F.sum("_cnt").over(Window.partitionBy(*groups)).alias("_total"))
-    res = dealt.join(sizes, (dealt["_bucket"] == sizes["_b"])
-                     & _same(dealt, sizes, [(g, f"_g{i}") for i, g in enumerate(groups)]), "inner")
-    res = res.withColumn(out, tile_of(F.col("_place") + F.col("_shift") + 1, F.col("_total"), n))
-    return res.select(*df.columns, out)
+    sizes = dealt.groupBy(F.col(bucket).alias("_b"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]) \
+        .agg(F.count(F.lit(1)).alias("_cnt"), F.min(place).alias("_from"))
+    of = [f"_g{i}" for i in range(len(groups))]
+    before = Window.partitionBy(*of).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_b", *of, (F.coalesce(F.sum("_cnt").over(before), F.lit(0)) - F.col("_from")).alias("_shift"),
+                         F.sum("_cnt").over(Window.partitionBy(*of)).alias("_total"))
+    res = dealt.join(sizes, (dealt[bucket] == sizes["_b"]) & _same(dealt, sizes, list(zip(groups, of))), "inner")
+    tile = tile_of(dealt[place] + sizes["_shift"] + 1, sizes["_total"], n)
+    return res.select(*[dealt[c] for c in df.columns if c != out], tile.alias(out))
 
 
 def bucketed_lag(df: DataFrame, key: str, order, value: str, out: str, buckets: int | None = None,
@@ -116,13 +118,13 @@ def bucketed_lag(df: DataFrame, key: str, order, value: str, out: str, buckets:
     okeys = _as_keys(order)
     if okeys[0].col != value or not okeys[0].ascending:
         raise ValueError("value must be the leading ascending order column")
-    dealt = dealt_in_ranges(df, [SortKey(key), *okeys], buckets, rows_per_bucket, total)
-    w = Window.partitionBy("_bucket", key).orderBy("_place")
-    local = dealt.withColumns({"_lag": F.lag(value).over(w), "_first": F.row_number().over(w) == 1})
-    tails = dealt.groupBy("_bucket", key).agg(F.max(value).alias("_max"))
-    tails = tails.select(F.col("_bucket").alias("_b"), F.col(key).alias("_k"),
-                         F.lag("_max").over(Window.partitionBy(key).orderBy("_bucket")).alias("_tail"))
-    # The windowed rows are already hash-partitioned on (_bucket, key): only the tail table moves for this join.
-    j = local.join(tails, (local["_bucket"] == tails["_b"]) & local[key].eqNullSafe(tails["_k"]), "left")
-    val = F.when(F.col("_first"), F.col("_tail")).otherwise(F.col("_lag"))
-    return j.withColumn(out, val).select(*df.columns, out)
+    bucket, place, lag, first = fresh([*df.columns, out], "_bucket", "_place", "_lag", "_first")
+    dealt = dealt_in_ranges(df, [SortKey(key), *okeys], buckets, rows_per_bucket, total, bucket, place)
+    w = Window.partitionBy(bucket, key).orderBy(place)
+    local = dealt.withColumns({lag: F.lag(value).over(w), first: F.row_number().over(w) == 1})
+    tails = dealt.groupBy(F.col(bucket).alias("_b"), F.col(key).alias("_k")).agg(F.max(value).alias("_max"))
+    tails = tails.select("_b", "_k", F.lag("_max").over(Window.partitionBy("_k").orderBy("_b")).alias("_tail"))
+    # The windowed rows are already hash-partitioned on (range, key): only the tail table moves for this join.
+    j = local.join(tails, (local[bucket] == tails["_b"]) & local[key].eqNullSafe(tails["_k"]), "left")
+    val = F.when(local[first], tails["_tail"]).otherwise(local[lag])
+    return j.select(*[local[c] for c in df.columns if c != out], val.alias(out))

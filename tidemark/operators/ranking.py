@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import fresh
+
 
 def _order(by: str | Column, desc: bool) -> Column:
     c = F.col(by) if isinstance(by, str) else by
@@ -30,8 +32,9 @@ def top_k(df: DataFrame, by: str, k: int, desc: bool = True, tiebreak: Sequence[
             out = out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
         return out
     w = Window.partitionBy(*group).orderBy(*order)
-    out = df.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= k)
-    return out.withColumnRenamed("_rk", rank_col) if rank_col else out.drop("_rk")
+    rank, = fresh(df.columns, "_rk")
+    out = df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
+    return out.withColumnRenamed(rank, rank_col) if rank_col else out.drop(rank)
 
 
 def rows_of_top_groups(detail: DataFrame, top: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,7 +50,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequen
     """
     w = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last(),
                                           *[F.col(t).desc_nulls_last() for t in tiebreak])
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    number, = fresh(df.columns, "_rn")
+    return df.withColumn(number, F.row_number().over(w)).filter(F.col(number) == 1).drop(number)
 
 
 def gap_days(df: DataFrame, key: str, date: str, tiebreak: Sequence[str] = (),
@@ -62,8 +66,9 @@ def gap_days(df: DataFrame, key: str, date: str, tiebreak: Sequence[str] = (),
     if distributed:
         from tidemark.operators.ntile import SortKey, bucketed_lag
         order = [SortKey(date)] + [SortKey(t) for t in tiebreak]
-        lagged = bucketed_lag(df, key, order, date, "_prev", buckets=buckets)
-        return lagged.withColumn(out, F.datediff(F.col(date), F.col("_prev"))).drop("_prev")
+        before, = fresh(df.columns, "_prev")
+        lagged = bucketed_lag(df, key, order, date, before, buckets=buckets)
+        return lagged.withColumn(out, F.datediff(F.col(date), F.col(before))).drop(before)
     w = Window.partitionBy(key).orderBy(F.col(date).asc_nulls_first(),
                                         *[F.col(t).asc_nulls_first() for t in tiebreak])
     return df.withColumn(out, F.datediff(F.col(date), F.lag(F.col(date)).over(w)))
