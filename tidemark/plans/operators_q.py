@@ -9,11 +9,14 @@ from tidemark.operators.clean import (calendar_backfill, cast_if_needed, drop_al
                                       exclude_values, fill_zero)
 from tidemark.operators.ranking import rows_of_top_groups, top_k
 from tidemark.plans.bookings import DAILY, VB, VM, VSP, W, daily_bookings
+from tidemark.plans.healthcare import HRS_BY_PROV, VS
 from tidemark.plans.oracle_views import V_CAL, V_ITEMS, V_OPTS, with_views
 from tidemark.plans.registry import register
-from tidemark.plans.restaurant import ITEM_KEYS, attach_scalar
-from tidemark.plans.retail import pandas_sum
-from tidemark.plans.views import table, v_book, v_cal, v_items, v_mapping, v_opts, v_spend
+from tidemark.plans.restaurant import ITEM_KEYS, attach_scalar, line_revenue
+from tidemark.plans.restaurant_reports import REV_SQL, base_fact, sql
+from tidemark.plans.retail import D as DEPTS, FA as FACTS, MARKDOWNS, pandas_sum
+from tidemark.plans.views import (EXCLUDED_PROVIDERS, table, v_book, v_cal, v_depts, v_facts, v_items, v_mapping, v_opts, v_spend,
+                                  v_staff)
 
 
 @register("drop_blank_keys", with_views([V_ITEMS], """
@@ -48,16 +51,17 @@ def q_left_join_calendar(spark, sf):
     return _dated_orders(spark, sf).select("o_orderkey", "date_key", "year", "week", "day_of_week", "holiday_name")
 
 
-@register("calendar_backfill", """
-    SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
-           CAST(week(o_orderdate) AS INTEGER) AS week, dayname(o_orderdate) AS day_of_week,
-           dayofweek(o_orderdate) IN (0, 6) AS is_weekend,
-           year(o_orderdate) = 1998 AND strftime(o_orderdate, '%m-%d') IN ('01-01', '07-04', '12-25') AS is_holiday,
-           CAST(day(o_orderdate) AS INTEGER) AS day
-    FROM orders""")
+@register("calendar_backfill", with_views([V_ITEMS], """
+    SELECT order_id, lineitem_id, CAST(year(t) AS INTEGER) AS year, CAST(month(t) AS INTEGER) AS month,
+           CAST(week(t) AS INTEGER) AS week, dayname(t) AS day_of_week, dayofweek(t) IN (0, 6) AS is_weekend,
+           year(t) = 1998 AND strftime(t, '%m-%d') IN ('01-01', '07-04', '12-25') AS is_holiday, CAST(day(t) AS INTEGER) AS day
+    FROM (SELECT order_id, lineitem_id, creation_time_utc AS t FROM v_items)"""))
 def q_calendar_backfill(spark, sf):
-    return calendar_backfill(_dated_orders(spark, sf), "o_orderdate").select(
-        "o_orderkey", "year", "month", "week", "day_of_week", "is_weekend", "is_holiday", "day")
+    """Items of all years against a calendar of one: what it lacks comes from the timestamp."""
+    items = v_items(spark, sf).select("order_id", "lineitem_id", "creation_time_utc", F.to_date("creation_time_utc").alias("date_key"))
+    cal = v_cal(spark, sf).withColumn("date_key", F.to_date("date_key", "dd-MM-yyyy"))
+    return calendar_backfill(items.join(cal, "date_key", "left"), "creation_time_utc").select(
+        "order_id", "lineitem_id", "year", "month", "week", "day_of_week", "is_weekend", "is_holiday", "day")
 
 
 @register("date_key_parse", """
@@ -67,88 +71,69 @@ def q_date_key_parse(spark, sf):
     return text.select("o_orderkey", F.to_date("date_text", "dd-MM-yyyy").alias("date_key"))
 
 
-@register("fill_zero", """
-    SELECT l_orderkey, l_linenumber, CASE WHEN l_discount > 0.05 THEN 0 ELSE l_discount END AS discount,
-           CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE l_suppkey END AS supplier,
-           CASE WHEN l_tax <= 0.05 THEN l_linestatus END AS status
-    FROM lineitem""")
+MARKS = ", ".join(MARKDOWNS)
+
+
+@register("fill_zero", W(DEPTS, FACTS) + "SELECT store_id, date, " + ", ".join(f"COALESCE({m}, 0) AS {m}" for m in MARKDOWNS)
+          + ", CASE WHEN markdown_1 IS NOT NULL THEN 'promo' END AS note FROM v_facts")
 def q_fill_zero(spark, sf):
-    gaps = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.when(F.col("l_discount") <= 0.05, F.col("l_discount")).alias("discount"),
-        F.when(F.col("l_linenumber") % 3 != 0, F.col("l_suppkey")).alias("supplier"),
-        F.when(F.col("l_tax") <= 0.05, F.col("l_linestatus")).alias("status"))
-    return fill_zero(gaps, ["discount", "supplier", "status"])
-
-
-@register("cast_if_needed", """
-    SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS placed,
-           CASE WHEN o_orderkey % 7 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) END AS price,
-           o_orderdate AS typed, CAST(o_custkey AS INTEGER) AS customer
-    FROM orders""")
+    """Missing markdowns become 0; the text column is listed too and stays as it is."""
+    note = F.when(F.col("markdown_1").isNotNull(), "promo").alias("note")
+    return fill_zero(v_facts(spark, sf).select("store_id", "date", *MARKDOWNS, note), [*MARKDOWNS, "note"])
+
+
+@register("cast_if_needed", with_views([V_ITEMS], """
+    SELECT order_id, lineitem_id, CASE WHEN CAST(order_id AS BIGINT) % 11 <> 0 THEN creation_time_utc END AS placed,
+           CASE WHEN CAST(order_id AS BIGINT) % 7 <> 0 THEN CAST(item_price AS DOUBLE) END AS price,
+           creation_time_utc AS typed, CAST(item_quantity AS BIGINT) AS quantity
+    FROM v_items"""))
 def q_cast_if_needed(spark, sf):
-    key = F.col("o_orderkey")
-    text = table(spark, sf, "orders").select(
-        key, F.when(key % 11 == 0, F.lit("no date")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("placed"),
-        F.when(key % 7 == 0, F.lit("12,5 EUR")).otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string")).alias("price"),
-        F.col("o_orderdate").alias("typed"), F.col("o_custkey").alias("customer"))
-    return cast_if_needed(text, {"placed": "timestamp_ntz", "price": "double", "typed": "timestamp_ntz", "customer": "int"})
+    """Times and prices as text, bad text among them; a column that has its type already stays untouched."""
+    key, time = F.col("order_id").cast("bigint"), F.col("creation_time_utc")
+    text = v_items(spark, sf).select(
+        "order_id", "lineitem_id", F.when(key % 11 == 0, F.lit("no date")).otherwise(F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("placed"),
+        F.when(key % 7 == 0, F.lit("12,5 EUR")).otherwise(F.col("item_price").cast("string")).alias("price"),
+        time.alias("typed"), F.col("item_quantity").alias("quantity"))
+    return cast_if_needed(text, {"placed": "timestamp_ntz", "price": "double", "typed": "timestamp_ntz", "quantity": "bigint"})
 
 
 @register("exclude_values", """
-    SELECT c_custkey, segment FROM (SELECT c_custkey, CASE WHEN c_custkey % 17 <> 0 THEN c_mktsegment END AS segment FROM customer)
-    WHERE segment IS NULL OR segment NOT IN ('BUILDING', 'MACHINERY')""")
+    SELECT event_id, provider_name, total_nurse_hrs FROM (SELECT event_id, value AS total_nurse_hrs,
+        CASE WHEN event_id % 17 <> 0 THEN 'Provider ' || CAST(user_id AS VARCHAR) END AS provider_name FROM events)
+    WHERE provider_name IS NULL OR provider_name NOT IN ('Provider 7', 'Provider 11')""")
 def q_exclude_values(spark, sf):
-    named = table(spark, sf, "customer").select(
-        "c_custkey", F.when(F.col("c_custkey") % 17 != 0, F.col("c_mktsegment")).alias("segment"))
-    return exclude_values(named, "segment", ["BUILDING", "MACHINERY"])
+    """Staffing rows without two providers; rows without a name stay."""
+    rows = table(spark, sf, "events").select("event_id", F.when(
+        F.col("event_id") % 17 != 0, F.concat(F.lit("Provider "), F.col("user_id").cast("string"))).alias("provider_name"),
+        F.col("value").alias("total_nurse_hrs"))
+    return exclude_values(rows, "provider_name", EXCLUDED_PROVIDERS)
 
 
-@register("drop_all_null", """
-    SELECT * FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_discount > 0.03 THEN l_discount END AS discount,
-                          CASE WHEN l_tax > 0.03 THEN l_tax END AS tax, CASE WHEN l_quantity > 10 THEN l_quantity END AS quantity
-                   FROM lineitem)
-    WHERE discount IS NOT NULL OR tax IS NOT NULL OR quantity IS NOT NULL""")
+@register("drop_all_null", W(DEPTS, FACTS) + f"SELECT store_id, date, {MARKS} FROM v_facts WHERE COALESCE({MARKS}) IS NOT NULL")
 def q_drop_all_null(spark, sf):
-    gaps = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.when(F.col("l_discount") > 0.03, F.col("l_discount")).alias("discount"),
-        F.when(F.col("l_tax") > 0.03, F.col("l_tax")).alias("tax"),
-        F.when(F.col("l_quantity") > 10, F.col("l_quantity")).alias("quantity"))
-    return drop_all_null(gaps, ["discount", "tax", "quantity"])
-
-
-def _money(spark, sf):
-    """Line items with exact money; the status is unknown for some."""
-    return table(spark, sf, "lineitem").select(
-        "l_suppkey", F.when(F.col("l_linenumber") != 7, F.col("l_returnflag")).alias("flag"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
-        F.when(F.col("l_discount") > 0, F.col("l_quantity").cast("decimal(12,2)")).alias("discounted"))
-
-
-MONEY = """(SELECT l_suppkey, CASE WHEN l_linenumber <> 7 THEN l_returnflag END AS flag,
-                   CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
-                   CASE WHEN l_discount > 0 THEN CAST(l_quantity AS DECIMAL(12,2)) END AS discounted FROM lineitem)"""
+    return drop_all_null(v_facts(spark, sf).select("store_id", "date", *MARKDOWNS), MARKDOWNS)
 
 
-@register("sum_by_keys", f"""
-    SELECT l_suppkey, flag, CAST(SUM(price) AS DOUBLE) AS total_price FROM {MONEY} WHERE flag IS NOT NULL
-    GROUP BY l_suppkey, flag""")
+@register("sum_by_keys", W(DEPTS) + """
+    SELECT store_id, is_holiday, COALESCE(CAST(SUM(weekly_sales) AS DOUBLE), 0) AS total_sales FROM v_depts
+    WHERE store_id IS NOT NULL AND is_holiday IS NOT NULL GROUP BY store_id, is_holiday""")
 def q_sum_by_keys(spark, sf):
-    return pandas_sum(_money(spark, sf), ["l_suppkey", "flag"], "price", "total_price")
+    return pandas_sum(v_depts(spark, sf), ["store_id", "is_holiday"], "weekly_sales", "total_sales")
 
 
-@register("multi_sum", f"""
-    SELECT l_suppkey, CAST(SUM(price) AS DOUBLE) AS total_price, COALESCE(CAST(SUM(discounted) AS DOUBLE), 0) AS total_discounted
-    FROM {MONEY} GROUP BY l_suppkey""")
+@register("multi_sum", W(DEPTS, FACTS) + "SELECT CAST(year(date) AS INTEGER) AS year, store_id, "
+          + ", ".join(f"COALESCE(CAST(SUM({m}) AS DOUBLE), 0) AS {m}_total" for m in MARKDOWNS) + " FROM v_facts GROUP BY 1, 2")
 def q_multi_sum(spark, sf):
-    return _money(spark, sf).groupBy("l_suppkey").agg(
-        exact_sum("price").alias("total_price"), F.coalesce(exact_sum("discounted"), F.lit(0.0)).alias("total_discounted"))
+    return v_facts(spark, sf).groupBy(F.year("date").alias("year"), "store_id").agg(
+        *[F.coalesce(exact_sum(m), F.lit(0.0)).alias(f"{m}_total") for m in MARKDOWNS])
 
 
-@register("mean_by_keys", f"""
-    SELECT l_suppkey, flag, CAST(SUM(discounted) AS DOUBLE) / NULLIF(COUNT(discounted), 0) AS mean_discounted
-    FROM {MONEY} GROUP BY l_suppkey, flag""")
+@register("mean_by_keys", W(DEPTS, FACTS) + """
+    SELECT store_id, CAST(month(date) AS INTEGER) AS month, CAST(SUM(markdown_1) AS DOUBLE) / NULLIF(COUNT(markdown_1), 0) AS mean_markdown
+    FROM v_facts GROUP BY 1, 2""")
 def q_mean_by_keys(spark, sf):
-    return _money(spark, sf).groupBy("l_suppkey", "flag").agg(mean_of("discounted").alias("mean_discounted"))
+    """Means that leave out missing markdowns; NULL where all are missing."""
+    return v_facts(spark, sf).groupBy("store_id", F.month("date").alias("month")).agg(mean_of("markdown_1").alias("mean_markdown"))
 
 
 def _orders(spark, sf):
@@ -162,13 +147,14 @@ def q_topk_rows(spark, sf):
     return top_k(_orders(spark, sf).select("o_orderkey", "o_totalprice"), "o_totalprice", 10, tiebreak=["o_orderkey"])
 
 
-@register("semi_filter_topk", """
-    SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN
-        (SELECT o_custkey FROM orders GROUP BY o_custkey ORDER BY COUNT(*) DESC, o_custkey LIMIT 10)""")
+@register("semi_filter_topk", W(VS) + f"""SELECT provider_name, month, day, total_nurse_hrs FROM v_staff WHERE provider_name IN
+        (SELECT provider_name FROM ({HRS_BY_PROV}) ORDER BY total_nurse_hrs DESC NULLS LAST, provider_name LIMIT 10)""")
 def q_semi_filter_topk(spark, sf):
-    orders = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice")
-    busiest = top_k(orders.groupBy("o_custkey").agg(F.count("*").alias("n")), "n", 10, tiebreak=["o_custkey"])
-    return rows_of_top_groups(orders, busiest, ["o_custkey"]).select("o_orderkey", "o_custkey", "o_totalprice")
+    """Staffing rows of the ten providers with the most hours."""
+    staff = v_staff(spark, sf)
+    hours = staff.groupBy("provider_name").agg(exact_sum("total_nurse_hrs").alias("hours"))
+    return rows_of_top_groups(staff, top_k(hours, "hours", 10, tiebreak=["provider_name"]), ["provider_name"]).select(
+        "provider_name", "month", "day", "total_nurse_hrs")
 
 
 @register("topk_groups", """
@@ -179,19 +165,23 @@ def q_topk_groups(spark, sf):
     return top_k(counts, "n", 3, tiebreak=["o_custkey"], group=["o_orderpriority"])
 
 
-@register("top1_group", """
-    SELECT o_custkey, o_orderpriority, n FROM (SELECT o_custkey, o_orderpriority, COUNT(*) AS n FROM orders GROUP BY ALL)
-    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, o_orderpriority) = 1""")
+@register("top1_group", sql(f"""
+    SELECT year, month, item_category, CAST(revenue AS DOUBLE) AS revenue FROM
+        (SELECT year, month, item_category, SUM{REV_SQL} AS revenue FROM v_fact_base GROUP BY year, month, item_category)
+    QUALIFY row_number() OVER (PARTITION BY year, month ORDER BY revenue DESC, item_category) = 1"""))
 def q_top1_group(spark, sf):
-    counts = _orders(spark, sf).groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
-    return top_k(counts, "n", 1, tiebreak=["o_orderpriority"], group=["o_custkey"], rank_col=None)
+    """Best-selling category of every month."""
+    sums = base_fact(spark, sf).groupBy("year", "month", "item_category").agg(exact_sum(line_revenue()).alias("revenue"))
+    return top_k(sums, "revenue", 1, tiebreak=["item_category"], group=["year", "month"], rank_col=None)
 
 
-@register("cross_join_scalar", """
-    SELECT o_orderkey, o_totalprice, (SELECT MAX(o_totalprice) FROM orders) AS dearest FROM orders""")
+@register("cross_join_scalar", with_views([V_ITEMS], """
+    SELECT order_id, lineitem_id, CAST(item_price AS DOUBLE) AS item_price,
+           (SELECT CAST(MAX(item_price) AS DOUBLE) FROM v_items) AS dearest, (SELECT COUNT(*) FROM v_items) AS items FROM v_items"""))
 def q_cross_join_scalar(spark, sf):
-    orders = _orders(spark, sf).select("o_orderkey", "o_totalprice")
-    return attach_scalar(orders, orders.agg(F.max("o_totalprice").alias("dearest")))
+    """Every item beside two figures of the whole table."""
+    items = v_items(spark, sf).select("order_id", "lineitem_id", F.col("item_price").cast("double").alias("item_price"))
+    return attach_scalar(items, items.agg(F.max("item_price").alias("dearest"), F.count("*").alias("items")))
 
 
 @register("left_join_compound", W(VB, VM, VSP, DAILY) + """SELECT CAST(s.date AS DATE) AS spend_date, s.channel, s.spend,
