@@ -86,3 +86,45 @@ def test_leads_leave_at_their_timer_with_the_latest_owner(spark, tmp_path):
     assert got == [(1, "at the end"), (2, "tie"), (3, None), (4, None), (5, "second batch"), (6, "c"), (7, None)]
     assert 4 in early and 7 not in early
     assert {r.date_created for r in spark.read.parquet(out).where("lead_id = 1").collect()} == {at(0)}
+
+
+class _State:
+    """What the state function of ``delayed_enrich_stream`` uses of a group's state."""
+
+    def __init__(self, watermark_ms):
+        self.kept, self.watermark, self.timer = None, watermark_ms, None
+
+    exists = property(lambda self: self.kept is not None)
+    get = property(lambda self: self.kept)
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def update(self, kept):
+        self.kept = kept
+
+    def remove(self):
+        self.kept = None
+
+    def setTimeoutTimestamp(self, at):
+        self.timer = at
+
+
+def test_one_state_key_holds_many_users():
+    """The users of a shard share a key; each lead still takes the last owner of its own user alone."""
+    import pandas as pd
+    second = 1_000_000
+    rows = [(jobs.LEAD, t * second, u, -1, f"{u}{t}", None) for u in "abc" for t in (1, 5)] \
+        + [(jobs.OWNER, t * second, u, tie, None, f"{u}{t}-{tie}") for u, t, tie in (("a", 2, 1), ("a", 9, 2), ("a", 9, 3), ("b", 4, 4), ("x", 6, 5))] \
+        + [(jobs.LEAD, 3 * second, None, -1, "nobody", None)]
+    pdf = pd.DataFrame(rows, columns=["kind", "micros", "key", "tie", "lead", "owner"])
+    run, state, got = jobs._lead_timers(10 * second), _State(0), {}
+    for now, batches in ((0, [pdf[:5], pdf[5:]]), (12_500, []), (30_000, [])):
+        state.watermark = now
+        new = {r.lead: r.owner for out in run((0, 1), batches, state) for r in out.itertuples()}
+        assert not set(new) & set(got)
+        got |= new
+        if now == 12_500:
+            assert {"a1", "b1", "c1"} <= set(got) and "a5" not in got and state.timer > now
+    assert got == {"nobody": None, "a1": "a9-3", "a5": "a9-3", "b1": "b4-4", "b5": None, "c1": None, "c5": None}
+    assert state.kept is None

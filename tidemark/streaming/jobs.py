@@ -8,7 +8,9 @@ version.
 
 from __future__ import annotations
 
+import math
 import uuid
+from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
@@ -154,21 +156,23 @@ def change_stream_scd1(spark: SparkSession, src: str, schema: StructType, table_
 
 
 LEAD, OWNER, CLOCK = 0, 1, 2
+SHARDS = 128            # groups of users per time slot of delayed_enrich_stream
 
 
 def delayed_enrich_stream(leads: DataFrame, owners: DataFrame, wait_seconds: int, delay: str = "1 hour",
-                          clock: DataFrame | None = None) -> DataFrame:
+                          clock: DataFrame | None = None, shards: int = SHARDS) -> DataFrame:
     """Each lead once, with the latest owner record within ``wait_seconds`` after it, emitted when its wait is over.
 
-    Leads and owners are one stream keyed by (user, time slot). The state of a key holds its waiting leads and the owner
+    Leads and owners are one stream keyed by (shard, time slot); a shard is a hash group of users, so the number of keys
+    follows ``shards`` and the time, not the users. The state of a key holds its waiting leads and the owner
     records of its slot; an event-time timer stands at the end of the earliest wait. When the watermark passes it, each lead
-    that is due leaves as one row with the last owner not after its wait (ties: the larger ``owner_event_id``), or
+    that is due leaves as one row with the last owner of its user not after its wait (ties: the larger ``owner_event_id``), or
     with NULL owner fields. An owner is listed under its own slot of ``wait_seconds`` and the next, so a lead finds all
     of its owners under the slot where its wait ends. Rows that come more than ``delay`` behind the watermark are too late,
     as in any stream. ``clock`` (a column ``at``) carries the time on where no events
     do: its rows raise the watermark and nothing else, so the last leads of a quiet stream are emitted too. Rows
-    without user or time take no part on the owners' side; such leads come out at once, without an owner. Columns:
-    those of ``leads`` and ``owners``; event times are TIMESTAMP.
+    without user or time take no part on the owners' side; such leads come out at once, without an owner. ``shards`` is
+    fixed for the life of a checkpoint. Columns: those of ``leads`` and ``owners``; event times are TIMESTAMP.
     """
     l = leads.withColumn("date_created", F.col("date_created").cast("timestamp"))
     o = owners.withColumn("owner_ts", F.col("owner_ts").cast("timestamp"))
@@ -187,39 +191,47 @@ def delayed_enrich_stream(leads: DataFrame, owners: DataFrame, wait_seconds: int
                                   F.col("at").cast("timestamp").alias("at"), none(l).alias("lead"), none(o).alias("owner")))
     rows = reduce(DataFrame.unionByName, kinds).withWatermark("at", delay)
     packed = rows.select("kind", "key", "slot", "at", F.unix_micros("at").alias("micros"), F.to_json("lead", exact).alias("lead"),
-                         F.to_json("owner", exact).alias("owner"), F.col("owner.owner_event_id").cast("long").alias("tie"))
-    found = packed.groupBy("key", "slot").applyInPandasWithState(
+                         F.to_json("owner", exact).alias("owner"), F.coalesce(F.col("owner.owner_event_id").cast("long"), F.lit(-1)).alias("tie"))
+    # Leads without a user wait for nobody: any shard will do, so they do not meet in one.
+    shard = F.pmod(F.xxhash64("key", F.when(F.col("key").isNull(), F.col("lead"))), F.lit(shards))
+    found = packed.withColumn("shard", shard).groupBy("shard", "slot").applyInPandasWithState(
         _lead_timers(wait_seconds * 1_000_000), "lead string, owner string",
-        "lead array<struct<micros: long, row: string>>, owner array<struct<micros: long, tie: long, row: string>>",
+        "lead_at array<long>, lead_user array<string>, lead array<string>, "
+        "owner_at array<long>, owner_user array<string>, tie array<long>, owner array<string>",
         "append", "EventTimeTimeout")
     return found.select(F.from_json("lead", l.schema, exact).alias("l"), F.from_json("owner", o.schema, exact).alias("o")) \
         .select("l.*", "o.*")
 
 
 def _lead_timers(wait: int) -> Callable:
-    """State function of one (user, slot): keep leads and owners, emit the leads whose wait is over."""
+    """State function of one (shard, slot): keep leads and owners, emit the leads whose wait is over."""
     def run(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        leads, owners = ([tuple(x) for x in part] for part in state.get) if state.exists else ([], [])
+        held = [list(part) for part in state.get] if state.exists else [[] for _ in range(7)]
+        leads, owners = list(zip(*held[:3])), list(zip(*held[3:]))      # (micros, user, row), (micros, user, tie, row)
         for pdf in batches:
-            for kind, micros, tie, lead, owner in zip(pdf["kind"], pdf["micros"], pdf["tie"], pdf["lead"], pdf["owner"]):
+            for kind, micros, user, tie, lead, owner in zip(*(pdf[c].tolist() for c in ("kind", "micros", "key", "tie", "lead", "owner"))):
                 if kind == LEAD:
-                    leads.append((None if pd.isna(micros) else int(micros), lead))
+                    leads.append((None if pd.isna(micros) else int(micros), user, lead))
                 elif kind == OWNER:
-                    owners.append((int(micros), -1 if pd.isna(tie) else int(tie), owner))
+                    owners.append((int(micros), user, tie, owner))
         now = state.getCurrentWatermarkMs() * 1000
-        due = [x for x in leads if x[0] is None or key[0] is None or x[0] + wait < now]
-        leads = [x for x in leads if x not in due]
+        due, waiting = [], []
+        for x in leads:
+            (due if x[0] is None or x[1] is None or x[0] + wait < now else waiting).append(x)
+        found = sorted((user, micros, tie, row) for micros, user, tie, row in owners) if due else []
         out = []
-        for micros, lead in due:
-            fits = [x for x in owners if micros is not None and micros <= x[0] <= micros + wait]
-            out.append((lead, max(fits)[2] if fits else None))
+        for micros, user, lead in due:
+            # The last record of the user up to the end of the wait, if it is not before the lead.
+            at = bisect_right(found, (user, micros + wait, math.inf)) if micros is not None and user is not None else 0
+            fits = at and found[at - 1][0] == user and found[at - 1][1] >= micros
+            out.append((lead, found[at - 1][3] if fits else None))
         end = (int(key[1]) + 1) * wait if key[1] is not None and not pd.isna(key[1]) else None   # no lead of this slot waits longer
-        if end is None or not leads and end < now:
+        if end is None or not waiting and end < now:
             state.remove()
         else:
-            state.update((leads, owners))
+            state.update(tuple([x[i] for x in rows] for rows, width in ((waiting, 3), (owners, 4)) for i in range(width)))
             # Timers lie ahead of the watermark; the slot's own end clears owners that no lead asked for.
-            at = min([x[0] + wait for x in leads], default=end)
+            at = min([x[0] + wait for x in waiting], default=end)
             state.setTimeoutTimestamp(max(at // 1000 + 1, now // 1000 + 1))
         if out:
             yield pd.DataFrame(out, columns=["lead", "owner"])
