@@ -141,12 +141,13 @@ def q_rfm_scores(spark, sf):
     return R.rfm_scores(base_fact(spark, sf))
 
 
-@register("ntile2_rfm", sql("SELECT user_id, year, month, " + ", ".join(
+@register("ntile2_rfm", sql(f"SELECT {RFM_COLS}, " + ", ".join(
     f"CASE WHEN {c} = 'Low' THEN 1 ELSE 2 END AS {c.replace('score', 'half')}" for c in R.SCORES) + " FROM v_rfm"))
 def q_ntile2_rfm(spark, sf):
-    """The three halves as numbers. Small brackets, so several rounds of the selection are exercised by the oracle."""
+    """Measures, scores and the three halves as numbers. Small brackets, so several rounds of the selection are exercised by the oracle."""
     t = R.rfm_tiles(base_fact(spark, sf), held=3_000, sample=1_000)
-    return t.select("user_id", "year", "month", *[F.col(c).alias(c.replace("score", "half")) for c in R.SCORES])
+    halves = t.withColumns({c.replace("score", "half"): F.col(c) for c in R.SCORES})
+    return R.score_labels(halves).select(*RFM_COLS.split(", "), *[c.replace("score", "half") for c in R.SCORES])
 
 
 @register("rfm_status", sql("SELECT * FROM v_rfm"))
