@@ -160,15 +160,10 @@ def q_sales_fact_final(spark, sf):
     return final_plan(spark, sf)
 
 
-@register("inner_join_multi", sql(
-    "SELECT f.order_id, f.lineitem_id, f.restaurant_id, user_id, year, month, h.total_user_orders, m.monthly_order_count, "
-    "m.monthly_revenue FROM v_fact_base f JOIN v_hist h USING (user_id) JOIN v_month_stats m USING (user_id, year, month)"))
+@register("inner_join_multi", sql("SELECT * FROM v_fact"))
 def q_inner_join_multi(spark, sf):
-    """Fact rows with their user's orders (one key) and their user-month's count and revenue (three keys)."""
-    f = base_fact(spark, sf)
-    users = R.user_history(f).select("user_id", "total_user_orders")
-    return (f.select("order_id", "lineitem_id", "restaurant_id", "user_id", "year", "month")
-            .join(R.user_month_stats(f).join(users, "user_id"), ["user_id", "year", "month"]))
+    """Fact rows joined to their user's CLV and segment (one key) and their user-month's RFM scores and status (three keys)."""
+    return final_plan(spark, sf)
 
 
 # ---------------------------------------------------------------- revenue by flag
