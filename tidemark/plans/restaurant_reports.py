@@ -45,9 +45,13 @@ def final_plan(spark, sf_dir) -> DataFrame:
     return _once(spark, sf_dir, "plan", lambda: R.final_from_fact(base_fact(spark, sf_dir)))
 
 
-def final_fact(spark, sf_dir) -> DataFrame:
-    """:func:`final_plan` written once, for the reports that read it many times."""
-    return _once(spark, sf_dir, "final", lambda: materialize(final_plan(spark, sf_dir), "final_fact"))
+def final_fact(spark, sf_dir, *cols: str) -> DataFrame:
+    """The final fact for a report: its joins carry the columns the report reads, and no others.
+
+    With ``cols``, the rows of these columns are written, for a report that reads them several times.
+    """
+    fact = final_plan(spark, sf_dir)
+    return materialize(fact.select(*cols), "final_cols") if cols else fact
 
 
 def for_period(df: DataFrame, year: int, month: int | None = None) -> DataFrame:
@@ -232,7 +236,7 @@ def gapped(spark, sf) -> DataFrame:
     """Days between orders per fact row with what the reports group by; dealt on these narrow rows once, for all of them."""
     cols = list(dict.fromkeys(["user_id", "date_key", *GAP_TIEBREAK, *GAP_DIMS]))
     return _once(spark, sf, "gaps", lambda: materialize(
-        gap_days(final_fact(spark, sf).select(*cols), "user_id", "date_key", GAP_TIEBREAK), "gaps"))
+        gap_days(final_fact(spark, sf, *cols), "user_id", "date_key", GAP_TIEBREAK), "gaps"))
 
 
 def _gap_by(dim: str, name: str):
@@ -263,7 +267,7 @@ def q_lag_gap_rows(spark, sf):
     "FROM (SELECT DISTINCT order_id, user_id, date_key FROM v_fact)"))
 def q_lag_gap_orders(spark, sf):
     o = final_fact(spark, sf).select("order_id", "user_id", "date_key").distinct()
-    return gap_days(o, "user_id", "date_key", ["order_id"])
+    return gap_days(materialize(o, "order_days"), "user_id", "date_key", ["order_id"])
 
 
 # ---------------------------------------------------------------- KPIs and trends
@@ -427,7 +431,7 @@ def q_rank_locations(spark, sf):
     "SELECT year, month, MAX(CAST(item_price AS DOUBLE)) AS max_price, "
     "(SELECT MIN(CAST(item_price AS DOUBLE)) FROM v_fact) AS min_price_all FROM v_fact GROUP BY year, month"))
 def q_global_extrema(spark, sf):
-    f = final_fact(spark, sf)
+    f = final_fact(spark, sf, "year", "month", "item_price")
     overall = f.agg(F.min(F.col("item_price").cast("double")).alias("min_price_all"))
     per = f.groupBy("year", "month").agg(F.max(F.col("item_price").cast("double")).alias("max_price"))
     return R.attach_scalar(per, overall)
@@ -441,7 +445,7 @@ PRICE_ORDER = ["item_price", "item_quantity", "option_price", "option_quantity"]
     "(SELECT *, CAST(NTILE(10) OVER (PARTITION BY year, month ORDER BY item_price, item_quantity, option_price, "
     "option_quantity) AS INTEGER) AS price_bucket FROM v_fact) GROUP BY year, month, price_bucket"))
 def q_price_deciles(spark, sf):
-    f = final_fact(spark, sf).select("year", "month", *PRICE_ORDER, *GAP_TIEBREAK)
+    f = final_fact(spark, sf, "year", "month", *PRICE_ORDER, *GAP_TIEBREAK)
     t = global_ntile(f, 10, PRICE_ORDER + GAP_TIEBREAK, out="price_bucket", partition_by=["year", "month"])
     return (t.groupBy("year", "month", "price_bucket").agg(exact_sum(REV()).alias("bucket_revenue"))
             .orderBy("bucket_revenue"))
@@ -453,7 +457,7 @@ def q_price_deciles(spark, sf):
     "ORDER BY item_price, item_quantity, option_price, option_quantity) AS INTEGER) AS price_bucket FROM v_fact) "
     "GROUP BY ALL"))
 def q_ntile10(spark, sf):
-    f = final_fact(spark, sf).select("year", "month", *PRICE_ORDER, *GAP_TIEBREAK)
+    f = final_fact(spark, sf, "year", "month", *PRICE_ORDER, *GAP_TIEBREAK)
     # Small ranges here, so the carry of a month across ranges is exercised by the oracle.
     t = global_ntile(f, 10, PRICE_ORDER + GAP_TIEBREAK, out="price_bucket", partition_by=["year", "month"],
                      rows_per_bucket=5_000)
