@@ -171,3 +171,15 @@ def test_scd2_intervals_do_not_overlap(spark):
     assert len(rows) == 4 and rows[-1][1] is None
     for (f1, t1), (f2, _) in zip(rows, rows[1:]):
         assert t1 == f2 and f1 < t1
+
+
+def test_small_buckets_do_not_multiply_with_the_rows(spark, tmp_path, monkeypatch):
+    """Every bucket is a file a run: beyond some hundreds, small buckets grow with the table; the rows stay right."""
+    assert -(-216_000_000 // U.bucket_rows(216_000_000, 1_000)) <= 217 and U.bucket_rows(90_000, 1_000) == 1_000
+    assert U.bucket_rows(10**10, 1_000) == U.ROWS_PER_KEY_BUCKET and U.bucket_rows(10**10, 5_000_000) == 5_000_000
+    monkeypatch.setattr(U, "MANY_KEY_BUCKETS", 4)
+    d = str(tmp_path / "t")
+    for i, (low, high) in enumerate(((0, 40), (20, 60), (50, 70))):
+        U.upsert_bucketed(spark, d, spark.range(low, high).selectExpr("id AS k", f"{i} AS v"), ["k"], batch_id=i, rows_per_bucket=1)
+        assert U.current_version(d, spark)["n"] <= 4
+    assert {r.k: r.v for r in U.read_bucketed(spark, d).collect()} == {k: 0 if k < 20 else 1 if k < 50 else 2 for k in range(70)}
