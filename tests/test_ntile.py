@@ -114,3 +114,13 @@ def test_columns_named_like_the_operators_own(spark):
         assert r.columns[:len(df.columns)] == df.columns
         assert {tuple(x) for x in r.select(*names).distinct().collect()} == {tuple(names)}
     assert results[0].join(tiles.select("id", "expect"), "id").filter(F.col("t") != F.col("expect")).count() == 0
+
+
+def test_ranges_do_not_multiply_with_the_rows(spark, monkeypatch):
+    """Small ranges are an exercise for small tables: their number is bounded, as the driver samples each of them."""
+    from tidemark.operators import ntile as N
+    assert -(-144_000_000 // N.range_rows(144_000_000, 5_000)) <= 256 and N.range_rows(40_000, 5_000) == 5_000
+    assert N.range_rows(10**10, 5_000) == N.ROWS_PER_RANGE == N.range_rows(10**10, N.ROWS_PER_RANGE)
+    monkeypatch.setattr(N, "MANY_RANGES", 4)
+    df = spark.createDataFrame(rows(200, 1), "id long, v int, g string")
+    assert dealt_in_ranges(df, [SortKey("v"), SortKey("id")], rows_per_bucket=2).select("_bucket").distinct().count() <= 4

@@ -23,6 +23,7 @@ from tidemark.functions.columns import fresh
 from tidemark.operators.materialize import materialize
 
 ROWS_PER_RANGE = 1_000_000
+MANY_RANGES = 256           # beyond, smaller ranges than ROWS_PER_RANGE grow with the table: the driver samples 100 rows and more a range
 _PLACE_BITS = 33            # monotonically_increasing_id: partition number above, row position below
 
 
@@ -54,6 +55,11 @@ def tile_of(idx: Column, total: Column, n: int) -> Column:
             .otherwise(r + F.floor((idx - big - 1) / q) + 1)).cast("int")
 
 
+def range_rows(rows: int, rows_per_bucket: int) -> int:
+    """Rows of a range in a table of ``rows``: small ranges only up to ``MANY_RANGES`` of them."""
+    return max(rows_per_bucket, min(ROWS_PER_RANGE, rows // MANY_RANGES))
+
+
 def dealt_in_ranges(df: DataFrame, keys: Sequence[SortKey], buckets: int | None = None,
                     rows_per_bucket: int = ROWS_PER_RANGE, total: int | None = None,
                     bucket: str = "_bucket", place: str = "_place") -> DataFrame:
@@ -65,7 +71,7 @@ def dealt_in_ranges(df: DataFrame, keys: Sequence[SortKey], buckets: int | None
     """
     if buckets is None:
         rows = df.count() if total is None else total
-        buckets = max(2, -(-rows // rows_per_bucket))
+        buckets = max(2, -(-rows // range_rows(rows, rows_per_bucket)))
     order = [k.order_expr() for k in keys]
     placed = (df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
               .withColumn(place, F.monotonically_increasing_id()))
