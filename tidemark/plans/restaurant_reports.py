@@ -26,9 +26,13 @@ REV_SQL = "(item_price * item_quantity + option_price * option_quantity)"
 GAP_TIEBREAK = ["order_id", "lineitem_id", "restaurant_id"]
 
 
+def _place(spark, sf_dir, what: str) -> tuple:
+    return spark.sparkContext.applicationId, sf_dir, fs.stamp(spark, sf_dir), what
+
+
 def _once(spark, sf_dir, what: str, build) -> DataFrame:
     """``build()``, kept for the application and the input files as they are: new or changed files build it anew."""
-    key = (spark.sparkContext.applicationId, sf_dir, fs.stamp(spark, sf_dir), what)
+    key = _place(spark, sf_dir, what)
     if key not in _FACT_CACHE:
         _FACT_CACHE[key] = build()
     return _FACT_CACHE[key]
@@ -40,6 +44,18 @@ def base_fact(spark, sf_dir) -> DataFrame:
         R.sales_fact(v_items(spark, sf_dir), v_opts(spark, sf_dir), v_cal(spark, sf_dir)), "sales_fact"))
 
 
+def fact_once(spark, sf_dir) -> DataFrame:
+    """The base fact for a query that reads few of its columns, once: the written fact if there is one, else its joins
+    without the other columns, not written."""
+    key = _place(spark, sf_dir, "base")
+    return _FACT_CACHE[key] if key in _FACT_CACHE else R.sales_fact(v_items(spark, sf_dir), v_opts(spark, sf_dir), v_cal(spark, sf_dir))
+
+
+def user_months(spark, sf_dir) -> DataFrame:
+    """The user-months of the base fact, written once and reused."""
+    return _once(spark, sf_dir, "months", lambda: materialize(R.user_months(fact_once(spark, sf_dir)), "user_months"))
+
+
 def final_plan(spark, sf_dir) -> DataFrame:
     """The final fact (with CLV and RFM) for ``sf_dir``, not written; its CLV and RFM tables are built once."""
     return _once(spark, sf_dir, "plan", lambda: R.final_from_fact(base_fact(spark, sf_dir)))
@@ -85,7 +101,7 @@ def q_sales_fact(spark, sf):
     "CAST(options_revenue AS DOUBLE) AS options_revenue, CAST(total_revenue AS DOUBLE) AS total_revenue "
     "FROM v_order_rev"))
 def q_order_revenue(spark, sf):
-    o = R.order_revenue(base_fact(spark, sf))
+    o = R.order_revenue(fact_once(spark, sf))
     return o.select("order_id", "user_id", "creation_time_utc",
                     *[F.col(c).cast("double").alias(c)
                       for c in ("base_revenue", "options_revenue", "total_revenue")])
@@ -93,47 +109,47 @@ def q_order_revenue(spark, sf):
 
 @register("user_history", sql("SELECT * FROM v_hist"))
 def q_user_history(spark, sf):
-    return R.user_history(base_fact(spark, sf))
+    return R.user_history(fact_once(spark, sf))
 
 
 @register("global_means", sql("SELECT * FROM v_glob"))
 def q_global_means(spark, sf):
-    return R.global_means(R.user_history(base_fact(spark, sf)))
+    return R.global_means(R.user_history(fact_once(spark, sf)))
 
 
 @register("clv", sql("SELECT * FROM v_clv"))
 def q_clv(spark, sf):
-    return R.clv(base_fact(spark, sf))
+    return R.clv(fact_once(spark, sf))
 
 
 @register("clv_segment", sql("SELECT * FROM v_clv_seg"))
 def q_clv_segment(spark, sf):
-    return R.clv_segment(R.clv(base_fact(spark, sf)))
+    return R.clv_segment(R.clv(fact_once(spark, sf)))
 
 
 @register("ntile5_global", sql(
     "SELECT user_id, customer_lifetime_value, CAST(NTILE(5) OVER (ORDER BY customer_lifetime_value, user_id) "
     "AS INTEGER) AS clv_tile FROM v_clv"))
 def q_ntile5(spark, sf):
-    base = materialize(R.clv(base_fact(spark, sf)).select("user_id", "customer_lifetime_value"), "n5")
+    base = materialize(R.clv(fact_once(spark, sf)).select("user_id", "customer_lifetime_value"), "n5")
     return global_ntile(base, 5, ["customer_lifetime_value", "user_id"], out="clv_tile")
 
 
 @register("user_recency", sql("SELECT * FROM v_recency"))
 def q_user_recency(spark, sf):
-    return R.user_recency(base_fact(spark, sf))
+    return R.user_recency(user_months(spark, sf), "_last")
 
 
 @register("user_month_stats", sql("SELECT * FROM v_month_stats"))
 def q_user_month_stats(spark, sf):
-    return R.user_month_stats(base_fact(spark, sf))
+    return R.user_month_stats(fact_once(spark, sf))
 
 
 @register("left_join_attach", sql(
     "SELECT m.*, r.days_since_last_order FROM v_month_stats m LEFT JOIN v_recency r USING (user_id)"))
 def q_left_join_attach(spark, sf):
-    f = base_fact(spark, sf)
-    return R.user_month_stats(f).join(R.user_recency(f), on="user_id", how="left")
+    months = user_months(spark, sf)
+    return months.drop("_last").join(R.user_recency(months, "_last"), on="user_id", how="left")
 
 
 RFM_COLS = ("user_id, year, month, monthly_order_count, monthly_revenue, days_since_last_order, "
@@ -142,21 +158,21 @@ RFM_COLS = ("user_id, year, month, monthly_order_count, monthly_revenue, days_si
 
 @register("rfm_scores", sql(f"SELECT {RFM_COLS} FROM v_rfm"))
 def q_rfm_scores(spark, sf):
-    return R.rfm_scores(base_fact(spark, sf))
+    return R.score_labels(R.month_tiles(user_months(spark, sf)))
 
 
 @register("ntile2_rfm", sql(f"SELECT {RFM_COLS}, " + ", ".join(
     f"CASE WHEN {c} = 'Low' THEN 1 ELSE 2 END AS {c.replace('score', 'half')}" for c in R.SCORES) + " FROM v_rfm"))
 def q_ntile2_rfm(spark, sf):
     """Measures, scores and the three halves as numbers. Small brackets, so several rounds of the selection are exercised by the oracle."""
-    t = R.rfm_tiles(base_fact(spark, sf), held=3_000, sample=1_000)
+    t = R.month_tiles(user_months(spark, sf), held=3_000, sample=1_000)
     halves = t.withColumns({c.replace("score", "half"): F.col(c) for c in R.SCORES})
     return R.score_labels(halves).select(*RFM_COLS.split(", "), *[c.replace("score", "half") for c in R.SCORES])
 
 
 @register("rfm_status", sql("SELECT * FROM v_rfm"))
 def q_rfm_status(spark, sf):
-    return R.rfm_status(R.rfm_scores(base_fact(spark, sf)))
+    return R.rfm_status(R.score_labels(R.month_tiles(user_months(spark, sf))))
 
 
 @register("sales_fact_final", sql("SELECT * FROM v_fact"))
@@ -479,7 +495,7 @@ def q_price_bucket_100(spark, sf):
 @register("at_risk_45d", sql(
     "SELECT user_id, days_since_last_order, days_since_last_order > 45 AS at_risk FROM v_recency"))
 def q_at_risk(spark, sf):
-    r = R.user_recency(base_fact(spark, sf))
+    r = R.user_recency(user_months(spark, sf), "_last")
     return r.withColumn("at_risk", F.col("days_since_last_order") > 45)
 
 
@@ -550,7 +566,7 @@ def q_discount_split(spark, sf):
     "monthly_revenue, LAG(monthly_revenue, 1) OVER (PARTITION BY user_id ORDER BY year, month) AS prev "
     "FROM v_month_stats)"))
 def q_spend_change(spark, sf, periods: int = 1):
-    m = R.user_month_stats(base_fact(spark, sf))
+    m = user_months(spark, sf).drop("_last")
     w = Window.partitionBy("user_id").orderBy("year", "month")
     m = m.withColumn("prev", F.lag("monthly_revenue", periods).over(w))
     return m.select("user_id", "year", "month", "monthly_revenue", "prev",
