@@ -60,3 +60,18 @@ def test_empty_and_unfit_keys(spark):
     assert ntiles(empty, {"t": (3, [SortKey("v")])}).columns == ["v", "t"] and ntiles(empty, {"x": (3, [SortKey("v")])}).count() == 0
     with pytest.raises(TypeError):
         border_rows(empty, {"t": (3, [SortKey("t")])})
+
+
+def test_later_rounds_read_the_brackets_alone(spark, monkeypatch):
+    """The table is read a fixed number of times; rounds after the first go over the written keys of the brackets."""
+    from tidemark.operators import cutpoints as C
+    seen, fetch = [], C._fetch
+    monkeypatch.setattr(C, "_fetch", lambda df, borders, wanted: (seen.append((bool(borders), df.count())), fetch(df, borders, wanted))[1])
+    df = spark.createDataFrame([(i, i * 7919 % 5003, None if i % 9 == 0 else f"g{i % 5}", "-") for i in range(5_000)], "id long, v int, g string, more string")
+    tiles = {"a": (2, [SortKey("v"), SortKey("id")]), "b": (3, [SortKey("g", False), SortKey("id")])}
+    borders = C.border_rows(df, tiles, held=20, sample=200)
+    read = [n for any_, n in seen if any_]
+    assert read[0] == 5_000 and read == sorted(read, reverse=True) and read.count(5_000) <= 3 and len(read) > 5, seen
+    assert all(n <= 5_000 // C.KEPT for n in read if n < 5_000), seen
+    monkeypatch.setattr(C, "KEPT", 10**9)
+    assert C.border_rows(df, tiles, held=20, sample=200) == borders == C.border_rows(df, tiles)

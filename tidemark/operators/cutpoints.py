@@ -1,9 +1,10 @@
 """Exact NTILE of several orders at once by distributed selection: find the rows at the tile borders, then compare.
 
 A tile border is an order statistic. Sampled rows around each wanted position are counted exactly, for all borders of
-all orders in one aggregation, and the brackets shrink until the few rows left inside are fetched. Every row then gets
-its tile by comparing its keys with at most n - 1 border rows: nothing is dealt, sorted or rewritten, and the driver
-holds a bounded number of keys however large the table is.
+all orders in one aggregation, and the brackets shrink until the few rows left inside are fetched. Once they hold a
+small part of the rows, only the keys of these are written and read on: the table itself is read a few times, however
+many rounds there are. Every row then gets its tile by comparing its keys with at most n - 1 border rows: nothing is
+dealt, sorted or rewritten, and the driver holds a bounded number of keys however large the table is.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.materialize import materialize
 from tidemark.operators.ntile import SortKey
 
 HELD = 50_000           # rows of a bracket that are fetched
 SAMPLE = 10_000         # rows sampled of a larger bracket
+KEPT = 4                # brackets that hold less than this part of the rows read are written
 _PARTS = 1 << 30
 
 
@@ -83,9 +86,18 @@ def _fetch(df: DataFrame, borders: Sequence[_Border], wanted: Sequence[Column])
     return [_sorted([tuple(r[at[k.col]] for k in b.order) for r in rows if r[len(cols) + i]], b.order) for i, b in enumerate(borders)]
 
 
+def _inside(df: DataFrame, borders: Sequence[_Border]) -> DataFrame:
+    """The keys of the rows that lie in a bracket."""
+    any_of = F.lit(False)
+    for b in borders:
+        any_of = any_of | b.bracket()
+    return df.where(any_of).select(*dict.fromkeys(k.col for b in borders for k in b.order))
+
+
 def _shrink(df: DataFrame, borders: Sequence[_Border], sample: int, turn: int) -> bool:
     """Narrow every bracket by two sampled rows around its wanted place, counted exactly in one pass.
 
+    ``df`` holds at least the rows of the brackets; those up to a bracket are counted already.
     Every sampled row lies inside its bracket, so it narrows it; False if some bracket had none.
     """
     drawn = [F.pmod(F.xxhash64(F.lit(turn), *[k.col for k in b.order]), F.lit(_PARTS)) < max(1, _PARTS * sample // b.inside)
@@ -94,14 +106,14 @@ def _shrink(df: DataFrame, borders: Sequence[_Border], sample: int, turn: int) -
     for b, rows in zip(borders, _fetch(df, borders, [b.bracket() & d for b, d in zip(borders, drawn)])):
         at, margin = (b.position - b.below) / b.inside * len(rows), 2 + 2 * len(rows) ** 0.5
         for i in {max(0, int(at - margin)), min(len(rows) - 1, int(at + margin))} if rows else ():
-            tests.append((b, rows[i]))
-            later = after(b.order, rows[i])
-            counts += [F.count_if(~later), F.count_if(~later & ~equal(b.order, rows[i]))]
+            tests.append((b, rows[i], b.below))
+            upto = b.bracket() & ~after(b.order, rows[i])
+            counts += [F.count_if(upto), F.count_if(upto & ~equal(b.order, rows[i]))]
     if not counts:
         return False
     ranks = df.agg(*counts).first()
-    for i, (b, row) in enumerate(tests):
-        upto, before = ranks[2 * i], ranks[2 * i + 1]
+    for i, (b, row, below) in enumerate(tests):
+        upto, before = below + ranks[2 * i], below + ranks[2 * i + 1]
         end = b.below + b.inside
         if before < b.position <= upto:
             b.row = row
@@ -109,14 +121,15 @@ def _shrink(df: DataFrame, borders: Sequence[_Border], sample: int, turn: int) -
             b.low, b.below, b.inside = row, upto, end - upto
         elif b.position <= before < end:
             b.high, b.inside = row, before - b.below
-    return len({id(b) for b, _ in tests}) == len(borders)
+    return len({id(b) for b, *_ in tests}) == len(borders)
 
 
 def border_rows(df: DataFrame, tiles: Mapping[str, tuple[int, Sequence[SortKey]]], total: int | None = None,
                 held: int = HELD, sample: int = SAMPLE) -> dict[str, list[tuple]]:
     """For each name (tiles, order): keys of the last row of every tile but the last.
 
-    ``df`` is read a few times (twice if it has at most ``held`` rows): give a written table. Rows equal in all keys
+    ``df`` is read a few times (twice if it has at most ``held`` rows): give a written table. The keys inside the
+    brackets are written when they are few, so later rounds read those alone. Rows equal in all keys
     are not parted, so give tie-breaks up to a unique key. Tiles beyond the number of rows have no border. Keys are
     numbers, text, booleans or dates.
     """
@@ -130,7 +143,7 @@ def border_rows(df: DataFrame, tiles: Mapping[str, tuple[int, Sequence[SortKey]]
         q, r = divmod(total, n)
         ends = [t * q + min(t, r) for t in range(1, n)]
         borders[name] = [_Border(list(order), p, total) for p in dict.fromkeys(ends) if 0 < p < total]
-    open_, turn = [b for bs in borders.values() for b in bs], 0
+    open_, turn, read = [b for bs in borders.values() for b in bs], 0, total
     while open_:
         ready = [b for b in open_ if b.inside <= held]
         # Borders of one order with the same bracket (a small table) share what is fetched.
@@ -142,6 +155,9 @@ def border_rows(df: DataFrame, tiles: Mapping[str, tuple[int, Sequence[SortKey]]
             if not _shrink(df, open_, sample, turn):
                 sample *= 2
             open_ = [b for b in open_ if b.row is None]
+            left = sum(b.inside for b in open_)
+            if open_ and KEPT * left <= read:
+                df, read = materialize(_inside(df, open_), "brackets"), left
     return {n: [b.row for b in bs] for n, bs in borders.items()}
 
 
