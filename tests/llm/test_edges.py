@@ -511,6 +511,49 @@ def test_bm25_shards_and_blocks(monkeypatch):
         assert np.allclose([-s for s, _ in sorted(want)[:10]], best[q][0])
 
 
+def test_bm25_tiles_serve_every_query_block(monkeypatch):
+    """Tiles are cut once for all query blocks; dense or by lists, scores are those of every document, bit for bit the same."""
+    monkeypatch.setattr(bm25, "TILE_DOCS", 100)
+    monkeypatch.setattr(bm25, "TILE_POSTINGS", 2_500)
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"{'abcd'[i % 4]}{min(int(z), 500)}" for z in rng.zipf(1.2, int(rng.integers(0, 90)))) for i in range(700)]
+    texts += [texts[5]] * 15 + ["", " ".join(f"a{i}" for i in range(3000)), texts[44]]
+    rows = [bm25.terms_of(t) for t in texts]
+    ids, words = np.arange(len(rows)), np.array([r[2] for r in rows])
+    ids[-1] = 44                                     # a second row of one id: no result of its own query
+    terms, df = np.unique(np.concatenate([r[0] for r in rows]), return_counts=True)
+    idf = np.log(1 + (len(rows) - df + .5) / (df + .5))
+    index = list(bm25.tiles(ids, words, [r[0] for r in rows], [r[1] for r in rows]))
+    assert sum(t["docs"] for t in index) == len(rows) and sum(t["total"] for t in index) == words.sum()
+    assert max(t["docs"] for t in index) == 100 and max(len(t["term"]) // 4 for t in index if t["docs"] > 1) <= 2_500
+    asked = [i for i in range(0, 717, 7) if words[i]] + [716]
+    blocks, found = (asked[:50], asked[50:]), []
+    for dense in (0.0, 0.003, 2.0):                  # all words that may be dense, some, none
+        monkeypatch.setattr(bm25, "DENSE", dense)
+        got = {}
+        for block in blocks:
+            at = [np.searchsorted(terms, rows[i][0]) for i in block]
+            queries = bm25.Queries(np.array(block), np.array([len(a) for a in at]), np.concatenate([rows[i][0] for i in block]),
+                                   np.concatenate([rows[i][1] * idf[a] for i, a in zip(block, at)]), np.concatenate([df[a] for a in at]))
+            best = [(np.empty(0), np.empty(0, np.int64)) for _ in block]
+            for part in (index[:3], index[3:]):
+                shard = bm25.Shard([bm25.Tile(t, queries, words.mean()) for t in part], queries, words.mean())
+                for lo in range(0, len(block), 16):
+                    shard.search(queries, lo, min(lo + 16, len(block)), 10, best)
+            got |= dict(zip(queries.ids.tolist(), best))
+        found.append(got)
+    for q in asked:
+        weight = dict(zip(rows[q][0].tolist(), (rows[q][1] * idf[np.searchsorted(terms, rows[q][0])]).tolist()))
+        want = []
+        for i, (t, f, n) in zip(ids.tolist(), rows):
+            s = sum(weight.get(x, 0) * y * 2.2 / (y + 1.2 * (.25 + .75 * n / words.mean())) for x, y in zip(t.tolist(), f.tolist()))
+            if s > 0 and i != q:
+                want.append((-round(s, 8), i))
+        assert [i for _, i in sorted(want)[:10]] == found[0][q][1].tolist()
+        assert np.allclose([-s for s, _ in sorted(want)[:10]], found[0][q][0])
+        assert all(np.array_equal(found[0][q][j], other[q][j]) for other in found[1:] for j in (0, 1))
+
+
 def test_held_out_accuracy_and_clean_documents(spark):
     """Whole sf0.01 tables: language and quality against the given labels on the held-out folds."""
     sf = "/root/testdata/sf0.01"

@@ -19,17 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """Arrow batches of at most ``rows`` rows for what runs inside; the setting before comes back after."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _setting(spark: SparkSession, name: str, value: int):
     before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, str(value))
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def arrow_rows(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for what runs inside; the setting before comes back after."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+def scan_rows(spark: SparkSession, rows: int):
+    """Parquet files are decoded at most ``rows`` rows at a time by what runs inside: for tables of large rows."""
+    return _setting(spark, "spark.sql.parquet.columnarReaderBatchSize", rows)
+
+
 def fresh(columns: list[str], *names: str) -> list[str]:
     """The names, each with underscores in front until no column is called so (without regard to case)."""
     taken, out = {c.lower() for c in columns}, []
