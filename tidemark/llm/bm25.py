@@ -25,14 +25,14 @@ from tidemark.operators.materialize import materialize
 K1, B = 1.2, 0.75
 SHARD_DOCS, SHARD_POSTINGS = 8_192, 3_000_000    # documents sorted, or searched, together: a shard ends at either bound
 DOC_BITS = 11                                    # of a posting; its other bits are the impact
-TILE_DOCS, TILE_POSTINGS = 1 << DOC_BITS, 700_000   # a tile ends at either bound
+TILE_DOCS, TILE_POSTINGS = 1 << DOC_BITS, 500_000   # a tile ends at either bound
 WRITER = {"maxRecordsPerFile": 8, "parquet.page.row.count.limit": 1}   # a tile per page: bounds what is held of large rows
 BATCH_DOCS = 256                                 # documents per Arrow batch
 FREQUENT = 1_024                                 # words of a batch and of a tile that may be taken as dense, at most
 DENSE = 0.003                                    # dense from this share of (query, document) pairs with the word on
 ALIKE = 128                                      # most frequent words by which documents are found alike
 QUERY_BATCH = 256                                # queries that share a pass over a tile
-QUERY_TERMS = 2_000_000                          # terms of a query block: what is broadcast
+QUERY_TERMS = 1_400_000                          # terms of a query block: what is broadcast
 CHUNK = 100_000                                  # postings added up in one step
 TABLE = 1_000_000                                # cells of the table for exact scores
 ROUNDING = 2.0 ** -23                            # twice the relative error of single precision, for each term of a sum
@@ -434,7 +434,7 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
             .select("id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights"), F.col("t.df").alias("dfs")), "queries")
     count, size = weighed.agg(F.count("*"), F.sum(F.size("terms"))).first()
     blocks = max(1, -(-count // query_block), -(-(size or 0) // QUERY_TERMS))
-    tasks = max(1, min(-(-n // SHARD_DOCS), 2 * spark.sparkContext.defaultParallelism))
+    tasks = max(1, min(-(-n // (2 * TILE_DOCS)), 2 * spark.sparkContext.defaultParallelism))
     found = None
     for part in range(blocks):
         some = _collected(weighed.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == part).orderBy("id"))
